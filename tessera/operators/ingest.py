@@ -109,11 +109,15 @@ class Parsed:
                 .select(F.col(REJECT).alias("value"), F.col(PATH).alias("file_path")))
 
     def file_counts(self) -> DataFrame:
-        """Per file: raw lines (A3) and good-width lines (A4). Partial aggregation
+        """Per file: raw lines (A3), good-width lines (A4), error count and failing
+        rows. Partial aggregation
         runs map-side, so a file holding most of the rows is no hot spot."""
+        n_err = F.when(F.col(GOOD), F.size(F.col(ERRORS))).otherwise(F.lit(0))
         return (self.frame.groupBy(F.col(PATH).alias("file_path"))
                 .agg(F.count(F.lit(1)).alias("raw_count"),
-                     F.count_if(F.col(GOOD)).alias("loaded_count")))
+                     F.count_if(F.col(GOOD)).alias("loaded_count"),
+                     F.sum(n_err).alias("dq_error_count"),
+                     F.count_if(n_err > 0).alias("dq_row_count")))
 
     def dq_per_file(self, distinct_by: str = "key") -> DataFrame:
         """Failing rows per file (A5): distinct (file, business key) by default,
