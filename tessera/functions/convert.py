@@ -17,9 +17,10 @@ instead of failing the job.
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,6 +70,23 @@ class Converted:
     key_text: Column       # text of the converted value for the business key
 
 
+@dataclass(frozen=True)
+class FieldPlan:
+    """How to convert one field, as projections applied one after another.
+
+    ``stages[k]`` maps local names to expressions that may refer to the input
+    ``v`` and to names of earlier stages (through ``ref``). Each intermediate is
+    a named column computed once; later stages and ``result`` only refer to it,
+    so no sub-expression is copied into every use (which would bloat the
+    generated code past what the JIT compiles).
+    """
+    stages: list[dict[str, Column]]
+    result: Converted
+
+
+Ref = Callable[[str], Column]
+
+
 # --- regex building blocks (Java regex and RE2 agree on all of them) -------
 _DIGITS = "[0-9]+(?:_[0-9]+)*"  # digits with single underscores between them
 _INT_RE = f"^{WS_CLASS}*-?{_DIGITS}{WS_CLASS}*$"
@@ -81,61 +99,82 @@ _STRIP_NUM_CHARS = f"(?:_|{WS_CLASS})"
 
 
 def _squeeze(c: Column) -> Column:
-    """Drop underscores and whitespace so Spark's cast sees plain digits."""
-    return F.regexp_replace(c, _STRIP_NUM_CHARS, "")
+    """Drop underscores and whitespace so Spark's cast sees plain digits
+    (``translate`` deletes characters that have no replacement)."""
+    return F.translate(c, "_" + PY_WHITESPACE, "")
 
 
 def clean_number_text(v: Column) -> Column:
-    """Number-text cleaning shared by numeric, snumeric and amount fields.
+    """Number-text cleaning shared by numeric, snumeric and amount fields (one
+    expression; ``number_text_stages`` is the staged, cheaper form).
 
     Remove every ``+``, strip, drop leading zeros, put ``0`` before a leading
     point and ``00`` after a point in last place, and turn an empty result into
-    ``0``. Written as a chain so no sub-expression is repeated.
+    ``0``.
     """
-    s = py_strip(F.replace(v, F.lit("+"), F.lit("")))
-    s = F.ltrim(s, F.lit("0"))
+    s = F.ltrim(py_strip(F.replace(v, F.lit("+"), F.lit(""))), F.lit("0"))
     s = F.regexp_replace(s, r"^\.", "0.")
     s = F.regexp_replace(s, r"^([^.]*)\.$", "$1.00")
     return F.coalesce(F.nullif(s, F.lit("")), F.lit("0"))
 
 
-def to_long(v: Column) -> Converted:
-    s = clean_number_text(v)
-    parsed = F.when(s.rlike(_INT_RE), _squeeze(s).try_cast("bigint"))
-    value = F.coalesce(parsed, F.lit(DEFAULT_NUMBER).cast("bigint"))
-    return Converted(value, parsed.isNull(), s, F.lit(MSG_LONG), value.cast("string"))
-
-
-def to_decimal(v: Column) -> Converted:
-    s = clean_number_text(v)
-    plain = py_strip(F.replace(s, F.lit("_"), F.lit("")))
-    parsed = F.when(plain.rlike(_DEC_RE), plain.try_cast(DECIMAL_TYPE))
-    value = F.coalesce(parsed, F.lit(DEFAULT_NUMBER).cast(DECIMAL_TYPE))
-    key = F.when(parsed.isNull(), F.lit("0")).otherwise(decimal_text(plain))
-    return Converted(value, parsed.isNull(), s, F.lit(MSG_DECIMAL), key)
-
-
-def _parse_float(t: Column) -> Column:
-    special = F.regexp_extract(t, _FLOAT_SPECIAL_RE, 2)
-    sign = F.regexp_extract(t, _FLOAT_SPECIAL_RE, 1)
-    special_val = (F.when(F.lower(special) == "nan", F.lit(float("nan")))
-                   .when((special != "") & (sign == "-"), F.lit(float("-inf")))
-                   .when(special != "", F.lit(float("inf"))))
-    return F.coalesce(
-        special_val,
-        F.when(t.rlike(_FLOAT_NUM_RE), _squeeze(t).try_cast("double")),
-    )
-
-
-def to_rate(v: Column) -> Converted:
-    """Rate: ``%`` form divides by 100; otherwise a plain float. Blank is an error."""
-    has_pct = F.contains(v, F.lit("%"))
-    pct = _parse_float(F.btrim(v, F.lit("%"))) / F.lit(100.0)
-    parsed = F.when(has_pct, pct).otherwise(_parse_float(v))
-    as_double = F.coalesce(parsed, F.lit(DEFAULT_RATE))
-    message = F.when(has_pct, F.lit(MSG_RATE_PCT)).otherwise(F.lit(MSG_RATE))
-    return Converted(as_double.cast("float"), parsed.isNull(), v, message,
-                     python_float_text(as_double))
+def number_text_stages(ref: Ref) -> list[dict[str, Column]]:
+    """``clean_number_text`` as stages of plain string functions (no regex)."""
+    return [
+        {"t0": F.ltrim(py_strip(F.replace(ref("v"), F.lit("+"), F.lit(""))), F.lit("0"))},
+        {"t1": F.when(F.startswith(ref("t0"), F.lit(".")), F.concat(F.lit("0"), ref("t0")))
+                .otherwise(ref("t0"))},
+        # a point in last place that is also the first point gets "00"
+        {"t": F.when(F.endswith(ref("t1"), F.lit(".")) & (F.instr(ref("t1"), ".") == F.length(ref("t1"))),
+                     F.concat(ref("t1"), F.lit("00")))
+               .when(ref("t1") == "", F.lit("0"))
+               .otherwise(ref("t1"))},
+    ]
+
+
+def plan_long(ref: Ref, with_key: bool = True) -> FieldPlan:
+    stages = number_text_stages(ref) + [
+        {"p": F.when(ref("t").rlike(_INT_RE), _squeeze(ref("t")).try_cast("bigint"))}]
+    value = F.coalesce(ref("p"), F.lit(DEFAULT_NUMBER).cast("bigint"))
+    return FieldPlan(stages, Converted(value, ref("p").isNull(), ref("t"), F.lit(MSG_LONG),
+                                       value.cast("string")))
+
+
+def plan_decimal(ref: Ref, with_key: bool = True) -> FieldPlan:
+    stages = number_text_stages(ref) + [
+              {"n": py_strip(F.replace(ref("t"), F.lit("_"), F.lit("")))},
+              {"p": F.when(ref("n").rlike(_DEC_RE), ref("n").try_cast(DECIMAL_TYPE))}]
+    key = F.lit("")
+    if with_key:
+        key_stages, text = decimal_text_stages(ref)
+        stages += key_stages
+        key = F.when(ref("p").isNull(), F.lit("0")).otherwise(text)
+    value = F.coalesce(ref("p"), F.lit(DEFAULT_NUMBER).cast(DECIMAL_TYPE))
+    return FieldPlan(stages, Converted(value, ref("p").isNull(), ref("t"), F.lit(MSG_DECIMAL), key))
+
+
+def plan_rate(ref: Ref, with_key: bool = True) -> FieldPlan:
+    """Rate: ``%`` form strips ``%`` at both ends and divides by 100; otherwise a
+    plain float. Blank is an error. Division happens in double, then narrows."""
+    v = ref("v")
+    stages = [
+        {"h": F.contains(v, F.lit("%")),
+         "t": F.when(F.contains(v, F.lit("%")), F.btrim(v, F.lit("%"))).otherwise(v)},
+        {"sp": F.regexp_extract(ref("t"), _FLOAT_SPECIAL_RE, 0),
+         "num": F.when(ref("t").rlike(_FLOAT_NUM_RE), _squeeze(ref("t")).try_cast("double"))},
+        {"p": F.when(ref("sp") == "", ref("num"))
+               .when(F.contains(F.lower(ref("sp")), F.lit("nan")), F.lit(float("nan")))
+               .when(F.contains(ref("sp"), F.lit("-")), F.lit(float("-inf")))
+               .otherwise(F.lit(float("inf")))
+               / F.when(ref("h"), F.lit(100.0)).otherwise(F.lit(1.0))},
+    ]
+    as_double = F.coalesce(ref("p"), F.lit(DEFAULT_RATE))
+    key = F.lit("")
+    if with_key:
+        key_stages, key = python_float_text_stages(ref, as_double)
+        stages += key_stages
+    message = F.when(ref("h"), F.lit(MSG_RATE_PCT)).otherwise(F.lit(MSG_RATE))
+    return FieldPlan(stages, Converted(as_double.cast("float"), ref("p").isNull(), v, message, key))
 
 
 # --- dates ------------------------------------------------------------------
@@ -194,111 +233,153 @@ def date_regex(pattern: str) -> tuple[str, str]:
 _MATCH_MARK = "\u0001"
 
 
-def to_date(v: Column, pattern: str = "YYYYMMDD") -> Converted:
+def plan_date(ref: Ref, pattern: str = "YYYYMMDD", with_key: bool = True) -> FieldPlan:
+    """Blank or all-zero -> default, no error; unparsable -> default + error;
+    before 1582-10-15 -> default, no error.
+
+    One regex pass turns a match into ``y-m-d``; the date is then built with
+    ``make_date(y, m, 1) + (d - 1)`` and rejected when that rolls into the next
+    month (e.g. 30 February), which avoids the datetime parser.
+    """
     regex, template = date_regex(pattern)
-    r = F.regexp_replace(v, regex, _MATCH_MARK + template)
-    matched = F.startswith(r, F.lit(_MATCH_MARK)) & ~F.startswith(v, F.lit(_MATCH_MARK))
-    ymd = F.substring(r, 2, 1 << 20)
-    parsed = F.when(matched & ~F.startswith(ymd, F.lit("0000-")), F.try_to_date(ymd, "y-M-d"))
+    v = ref("v")
+    stages = [
+        {"r": F.regexp_replace(v, regex, _MATCH_MARK + template)},
+        {"parts": F.when(F.startswith(ref("r"), F.lit(_MATCH_MARK)) & ~F.startswith(v, F.lit(_MATCH_MARK)),
+                         F.split(F.substring(ref("r"), 2, 1 << 20), "-"))},
+        {"y": F.element_at(ref("parts"), 1).cast("int"),
+         "m": F.element_at(ref("parts"), 2).cast("int"),
+         "d": F.element_at(ref("parts"), 3).cast("int")},
+        # year 0 does not exist (strptime rejects it); month is 1-12 by the regex
+        {"p0": F.when(ref("y") >= 1, F.date_add(F.make_date(ref("y"), ref("m"), F.lit(1)), ref("d") - 1))},
+        {"p": F.when(F.month(ref("p0")) == ref("m"), ref("p0"))},
+    ]
     blank = (v == "") | (v == ZERO_DATE)
-    value = (F.when(blank | parsed.isNull() | (parsed < F.lit(GREGORIAN_START)), F.lit(DEFAULT_DATE))
-             .otherwise(parsed))
-    bad = ~blank & parsed.isNull()
-    return Converted(value, bad, v, F.lit(MSG_DATE), value.cast("string"))
+    value = (F.when(blank | ref("p").isNull() | (ref("p") < F.lit(GREGORIAN_START)), F.lit(DEFAULT_DATE))
+             .otherwise(ref("p")))
+    bad = ~blank & ref("p").isNull()
+    return FieldPlan(stages, Converted(value, bad, v, F.lit(MSG_DATE), value.cast("string")))
 
 
-def to_string(v: Column) -> Converted:
-    return Converted(v, None, v, None, v)
+def plan_string(ref: Ref, with_key: bool = True) -> FieldPlan:
+    return FieldPlan([], Converted(ref("v"), None, ref("v"), None, ref("v")))
 
 
-def convert(v: Column, datatype: str, date_pattern: str = "YYYYMMDD") -> Converted:
+def plan_field(datatype: str, ref: Ref, date_pattern: str = "YYYYMMDD", with_key: bool = True) -> FieldPlan:
     t = str(datatype).strip().lower()
     if t in ("numeric", "snumeric"):
-        return to_long(v)
+        return plan_long(ref, with_key)
     if t == "amount":
-        return to_decimal(v)
+        return plan_decimal(ref, with_key)
     if t == "date":
-        return to_date(v, date_pattern)
+        return plan_date(ref, date_pattern, with_key)
     if t == "rate":
-        return to_rate(v)
-    return to_string(v)
+        return plan_rate(ref, with_key)
+    return plan_string(ref, with_key)
+
+
+def convert_columns(df: DataFrame, fields: list[tuple[str, Column, str]], keep: list,
+                    date_pattern: str = "YYYYMMDD", key_fields: set[str] | frozenset = frozenset()
+                    ) -> tuple[DataFrame, dict[str, Converted]]:
+    """Apply the staged conversion of several fields.
+
+    ``fields``: ``(prefix, stripped text, datatype)``; intermediate columns are
+    named ``<prefix><local name>``. Returns the staged frame (``keep`` columns
+    plus intermediates) and each field's :class:`Converted`, whose expressions
+    refer to the staged columns. Unused intermediates are pruned by Catalyst.
+    """
+    plans = {prefix: plan_field(dt, (lambda n, p=prefix: F.col(f"{p}{n}")), date_pattern,
+                                with_key=prefix in key_fields)
+             for prefix, _, dt in fields}
+    cur = df.select(*keep, *[src.alias(f"{prefix}v") for prefix, src, _ in fields])
+    depth = max((len(p.stages) for p in plans.values()), default=0)
+    for k in range(depth):
+        new = [expr.alias(f"{prefix}{name}") for prefix, plan in plans.items()
+               if k < len(plan.stages) for name, expr in plan.stages[k].items()]
+        cur = cur.select("*", *new)
+    return cur, {prefix: plan.result for prefix, plan in plans.items()}
+
+
+def convert_one(df: DataFrame, text: Column, datatype: str, prefix: str, keep: list,
+                date_pattern: str = "YYYYMMDD", with_key: bool = False) -> tuple[DataFrame, Converted]:
+    staged, conv = convert_columns(df, [(prefix, text, datatype)], keep, date_pattern,
+                                   {prefix} if with_key else frozenset())
+    return staged, conv[prefix]
 
 
 # --- business-key text: Python's str() of the converted value ---------------
 
-def decimal_text(plain: Column) -> Column:
-    """``str(Decimal(plain))`` for a text already known to be a finite decimal.
+def decimal_text_stages(ref: Ref) -> tuple[list[dict[str, Column]], Column]:
+    """``str(Decimal(n))`` for ``n``, a text known to be a finite decimal.
 
     Python keeps the coefficient digits as written and switches to scientific
     notation when the exponent is positive or the adjusted exponent is below -6.
     """
     rx = r"^(-?)([0-9]*)(?:\.([0-9]*))?(?:[eE]([-+]?[0-9]+))?$"
-    sign = F.regexp_extract(plain, rx, 1)
-    ip = F.regexp_extract(plain, rx, 2)
-    fp = F.regexp_extract(plain, rx, 3)
-    ex = F.coalesce(F.nullif(F.regexp_extract(plain, rx, 4), F.lit("")), F.lit("0")).cast("int")
-    digits = F.coalesce(F.nullif(F.ltrim(F.concat(ip, fp), F.lit("0")), F.lit("")), F.lit("0"))
-    exp = ex - F.length(fp)
+    n = ref("n")
+    stages = [
+        {"ks": F.regexp_extract(n, rx, 1), "ki": F.regexp_extract(n, rx, 2),
+         "kf": F.regexp_extract(n, rx, 3),
+         "kx": F.coalesce(F.nullif(F.regexp_extract(n, rx, 4), F.lit("")), F.lit("0")).cast("int")},
+        {"kd": F.coalesce(F.nullif(F.ltrim(F.concat(ref("ki"), ref("kf")), F.lit("0")), F.lit("")), F.lit("0")),
+         "ke": ref("kx") - F.length(ref("kf"))},
+    ]
+    digits, exp = ref("kd"), ref("ke")
     adjusted = exp + F.length(digits) - 1
     point = F.length(digits) + exp  # position of the point within digits
     plain_form = (
         F.when(exp == 0, digits)
-        .when(point > 0, F.concat(_substr(digits, F.lit(1), point), F.lit("."),
-                                   _substr(digits, point + 1, -exp)))
+        .when(point > 0, F.concat(F.substr(digits, F.lit(1), point), F.lit("."),
+                                  F.substr(digits, point + 1, -exp)))
         .otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
     )
     sci_form = F.concat(
-        _substr(digits, F.lit(1), F.lit(1)),
-        F.when(F.length(digits) > 1, F.concat(F.lit("."), _substr(digits, F.lit(2), F.length(digits)))).otherwise(F.lit("")),
-        F.lit("E"),
-        F.when(adjusted >= 0, F.lit("+")).otherwise(F.lit("-")),
+        F.substr(digits, F.lit(1), F.lit(1)),
+        F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2), F.length(digits))))
+        .otherwise(F.lit("")),
+        F.lit("E"), F.when(adjusted >= 0, F.lit("+")).otherwise(F.lit("-")),
         F.abs(adjusted).cast("string"),
     )
     body = F.when((exp <= 0) & (adjusted >= -6), plain_form).otherwise(sci_form)
-    return F.concat(sign, body)
-
-
-def _substr(s: Column, pos: Column, length: Column) -> Column:
-    return F.substr(s, pos, length)
+    return stages, F.concat(ref("ks"), body)
 
 
-def python_float_text(d: Column) -> Column:
+def python_float_text_stages(ref: Ref, d: Column) -> tuple[list[dict[str, Column]], Column]:
     """``repr(float)`` of a double: shortest digits, fixed notation for
-    1e-4 <= |x| < 1e16, otherwise ``d.ddde+XX``."""
-    j = d.cast("string")  # Java form: 0.05, 1.0E-5, 1.5E7, NaN, Infinity
+    1e-4 <= |x| < 1e16, otherwise ``d.ddde+XX``. Built from Spark's own
+    shortest-digit text (``0.05``, ``1.0E-5``, ``NaN``, ``Infinity``)."""
     rx = r"^(-?)([0-9]+)\.([0-9]+)(?:E(-?[0-9]+))?$"
-    sign = F.regexp_extract(j, rx, 1)
-    ip = F.regexp_extract(j, rx, 2)
-    fp = F.regexp_extract(j, rx, 3)
-    ex = F.coalesce(F.nullif(F.regexp_extract(j, rx, 4), F.lit("")), F.lit("0")).cast("int")
-    all_digits = F.concat(ip, fp)
-    lead = F.length(all_digits) - F.length(F.ltrim(all_digits, F.lit("0")))
-    digits = F.rtrim(F.ltrim(all_digits, F.lit("0")), F.lit("0"))
-    x = F.length(ip) - 1 + ex - lead  # decimal exponent of the first digit
+    stages = [
+        {"j": d.cast("string")},
+        {"js": F.regexp_extract(ref("j"), rx, 1), "ji": F.regexp_extract(ref("j"), rx, 2),
+         "jf": F.regexp_extract(ref("j"), rx, 3),
+         "jx": F.coalesce(F.nullif(F.regexp_extract(ref("j"), rx, 4), F.lit("")), F.lit("0")).cast("int")},
+        {"jl": F.ltrim(F.concat(ref("ji"), ref("jf")), F.lit("0")),
+         "jn": F.length(ref("ji")) + F.length(ref("jf"))},
+        {"jd": F.rtrim(ref("jl"), F.lit("0")),
+         # decimal exponent of the first significant digit
+         "je": F.length(ref("ji")) - 1 + ref("jx") - (ref("jn") - F.length(ref("jl")))},
+    ]
+    digits, x = ref("jd"), ref("je")
     n = F.length(digits)
+    head = F.substr(digits, F.lit(1), x + 1)
     fixed_pos = F.concat(
-        _rpad_col(_substr(digits, F.lit(1), x + 1), x + 1),
+        F.concat(head, F.repeat(F.lit("0"), x + 1 - F.length(head))),
         F.lit("."),
-        F.when(n > x + 1, _substr(digits, x + 2, n)).otherwise(F.lit("0")),
+        F.when(n > x + 1, F.substr(digits, x + 2, n)).otherwise(F.lit("0")),
     )
     fixed_neg = F.concat(F.lit("0."), F.repeat(F.lit("0"), -x - 1), digits)
     sci = F.concat(
-        _substr(digits, F.lit(1), F.lit(1)),
-        F.when(n > 1, F.concat(F.lit("."), _substr(digits, F.lit(2), n))).otherwise(F.lit("")),
-        F.lit("e"),
-        F.when(x >= 0, F.lit("+")).otherwise(F.lit("-")),
+        F.substr(digits, F.lit(1), F.lit(1)),
+        F.when(n > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2), n))).otherwise(F.lit("")),
+        F.lit("e"), F.when(x >= 0, F.lit("+")).otherwise(F.lit("-")),
         F.lpad(F.abs(x).cast("string"), 2, "0"),
     )
-    body = (F.when(x >= 16, sci).when(x >= 0, fixed_pos).when(x >= -4, fixed_neg).otherwise(sci))
-    return (
-        F.when(j == "NaN", F.lit("nan"))
-        .when(j == "Infinity", F.lit("inf"))
-        .when(j == "-Infinity", F.lit("-inf"))
-        .when(digits == "", F.concat(sign, F.lit("0.0")))
-        .otherwise(F.concat(sign, body))
-    )
-
-
-def _rpad_col(s: Column, width: Column) -> Column:
-    # rpad with a Column width: pad with zeros up to `width` characters.
-    return F.concat(s, F.repeat(F.lit("0"), width - F.length(s)))
+    body = F.when(x >= 16, sci).when(x >= 0, fixed_pos).when(x >= -4, fixed_neg).otherwise(sci)
+    j = ref("j")
+    text = (F.when(j == "NaN", F.lit("nan"))
+            .when(j == "Infinity", F.lit("inf"))
+            .when(j == "-Infinity", F.lit("-inf"))
+            .when(digits == "", F.concat(ref("js"), F.lit("0.0")))
+            .otherwise(F.concat(ref("js"), body)))
+    return stages, text

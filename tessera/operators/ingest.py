@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.convert import convert
+from ..functions.convert import convert_columns
 from ..functions.text import base_name, py_strip
 from .layout import Layout, field_slice
 
@@ -30,7 +30,7 @@ REGION_AU_MARK, REGION_NZ_MARK = ".AU_", ".NZ_"
 REGION_AU, REGION_NZ = "AU", "NZ"
 
 # Internal column names of the parsed frame.
-GOOD, PATH, KEY, ERRORS, REJECT, VALUE = "_good", "_path", "_key", "_errors", "_reject", "_value"
+GOOD, PATH, KEY, ERRORS, NERR, REJECT, VALUE = "_good", "_path", "_key", "_errors", "_n_errors", "_reject", "_value"
 
 ERROR_TYPE = T.ArrayType(T.StructType([
     T.StructField("column_name", T.StringType()),
@@ -86,22 +86,29 @@ class Parsed:
                      region(F.col(PATH), self.options.region_mode).alias(region_name)]
         return self.frame.where(F.col(GOOD)).select(*cols)
 
+    def _error_rows(self) -> DataFrame:
+        # The error array holds one slot per checked field (null = no error).
+        # ``inline_outer`` + a filter above the Generate: with plain ``inline``
+        # Catalyst infers ``size(errors) > 0`` and pushes it down to the scan,
+        # re-evaluating the whole conversion inside one huge filter.
+        return (self.frame.where(F.col(GOOD))
+                .select(F.col(PATH), F.col(KEY), F.inline_outer(F.col(ERRORS)))
+                .where(F.col("column_name").isNotNull()))
+
     def exceptions(self) -> DataFrame:
         """One row per data-quality error, 8 string columns."""
         n = self.options.exception_columns
-        return (self.frame.where(F.col(GOOD) & (F.size(F.col(ERRORS)) > 0))
-                .select(base_name(F.col(PATH)).alias(n[0]), F.col(KEY).alias(n[1]),
-                        F.inline(F.col(ERRORS)))
-                .select(n[0], n[1], F.lit(self.options.table_name).alias(n[2]),
-                        F.col("column_name").alias(n[3]), F.col("column_value").alias(n[4]),
-                        F.col("error_message").alias(n[5]), F.lit(ROW_FIXED_FLAG).alias(n[6]),
-                        F.lit(ROW_FIXED_TIMESTAMP).alias(n[7])))
+        return self._error_rows().select(
+            base_name(F.col(PATH)).alias(n[0]), F.col(KEY).alias(n[1]),
+            F.lit(self.options.table_name).alias(n[2]),
+            F.col("column_name").alias(n[3]), F.col("column_value").alias(n[4]),
+            F.col("error_message").alias(n[5]), F.lit(ROW_FIXED_FLAG).alias(n[6]),
+            F.lit(ROW_FIXED_TIMESTAMP).alias(n[7]))
 
     def exceptions_with_path(self) -> DataFrame:
-        """Error rows keyed by full path and business key (for per-file counts)."""
-        return (self.frame.where(F.col(GOOD) & (F.size(F.col(ERRORS)) > 0))
-                .select(F.col(PATH).alias("file_path"), F.col(KEY).alias("row_business_key"),
-                        F.size(F.col(ERRORS)).alias("n_errors")))
+        """``file_path, row_business_key, column_name`` per error."""
+        return self._error_rows().select(F.col(PATH).alias("file_path"),
+                                         F.col(KEY).alias("row_business_key"), "column_name")
 
     def width_rejects(self) -> DataFrame:
         """Lines whose length differs from the layout width (F2): ``value, file_path``."""
@@ -109,25 +116,29 @@ class Parsed:
                 .select(F.col(REJECT).alias("value"), F.col(PATH).alias("file_path")))
 
     def file_counts(self) -> DataFrame:
-        """Per file: raw lines (A3), good-width lines (A4), error count and failing
-        rows. Partial aggregation
-        runs map-side, so a file holding most of the rows is no hot spot."""
-        n_err = F.when(F.col(GOOD), F.size(F.col(ERRORS))).otherwise(F.lit(0))
+        """Per file: raw lines (A3), good-width lines (A4), errors, failing rows
+        and distinct failing business keys (A5), in one aggregation.
+
+        With a single distinct aggregate Spark aggregates by (file, key) first
+        and by file second, both with map-side partial aggregation, so a file
+        holding a third of all rows is still spread over many tasks."""
+        n_err = F.col(NERR)
         return (self.frame.groupBy(F.col(PATH).alias("file_path"))
                 .agg(F.count(F.lit(1)).alias("raw_count"),
                      F.count_if(F.col(GOOD)).alias("loaded_count"),
                      F.sum(n_err).alias("dq_error_count"),
-                     F.count_if(n_err > 0).alias("dq_row_count")))
+                     F.count_if(n_err > 0).alias("dq_row_count"),
+                     F.count_distinct(F.when(n_err > 0, F.col(KEY))).alias("dq_key_count")))
 
     def dq_per_file(self, distinct_by: str = "key") -> DataFrame:
-        """Failing rows per file (A5): distinct (file, business key) by default,
-        as the reference counts; ``distinct_by='row'`` counts every failing row."""
-        errs = self.exceptions_with_path()
-        if distinct_by == "key":
-            errs = errs.dropDuplicates(["file_path", "row_business_key"])
-        elif distinct_by != "row":
+        """Failing rows per file (A5), files with at least one error: distinct
+        (file, business key) by default, as the reference counts;
+        ``distinct_by='row'`` counts every failing row."""
+        if distinct_by not in ("key", "row"):
             raise ValueError("distinct_by must be 'key' or 'row'")
-        return errs.groupBy("file_path").agg(F.count(F.lit(1)).alias("dq_count"))
+        col = "dq_key_count" if distinct_by == "key" else "dq_row_count"
+        return (self.file_counts().where(F.col(col) > 0)
+                .select("file_path", F.col(col).alias("dq_count")))
 
     # -- materialization -------------------------------------------------------
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "Parsed":
@@ -152,38 +163,46 @@ class Parsed:
 
 def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
                 value_col: str = "value", path_col: str = "file_path") -> Parsed:
-    """Parse fixed-width lines in one projection.
+    """Parse fixed-width lines with a short chain of projections.
 
-    Step 1 materializes each stripped slice once (a separate projection, so
-    Catalyst keeps it as one computed column instead of inlining it into every
-    use); step 2 converts them and builds the key and error array.
+    The first projection cuts and strips every field once; the staged
+    conversion (``convert_columns``) then adds each intermediate (cleaned text,
+    regex result, parsed value) as its own column; the last projection
+    assembles typed values, the business key and the error array. All of it is
+    narrow, so the chain runs as one whole-stage-codegen pipeline per task.
     """
     value = F.col(value_col)
     outs = layout.output_columns
-    slices = lines.select(
-        value.alias(VALUE),
-        F.col(path_col).alias(PATH),
-        (F.length(value) == layout.record_length).alias(GOOD),
-        *[py_strip(field_slice(value, c)).alias(f"_f{c.position}") for c in outs],
+    fields = [(f"_f{c.position}_", py_strip(field_slice(F.col(VALUE), c)), c.datatype) for c in outs]
+    staged, conv = convert_columns(
+        lines.select(value.alias(VALUE), F.col(path_col).alias(PATH)),
+        fields,
+        keep=[F.col(VALUE), F.col(PATH), (F.length(F.col(VALUE)) == layout.record_length).alias(GOOD)],
+        date_pattern=options.date_pattern,
+        key_fields={f"_f{c.position}_" for c in outs if c.is_key},
     )
-    conv = {c.name: convert(F.col(f"_f{c.position}"), c.datatype, options.date_pattern) for c in outs}
+    by_name = {c.name: conv[f"_f{c.position}_"] for c in outs}
 
-    key_parts = [F.concat(F.lit(f"{c.name}="), conv[c.name].key_text) for c in outs if c.is_key]
+    key_parts = [F.concat(F.lit(f"{c.name}="), by_name[c.name].key_text) for c in outs if c.is_key]
     key = F.concat_ws("|", *key_parts) if key_parts else F.lit("")
 
-    errors = [F.when(conv[c.name].bad, F.struct(
+    checked = [c for c in outs if by_name[c.name].bad is not None]
+    # One slot per checked field, null when the field is fine (no array_compact:
+    # it is a lambda function and would take this projection out of codegen).
+    errors = [F.when(by_name[c.name].bad, F.struct(
                   F.lit(c.name).alias("column_name"),
-                  conv[c.name].error_text.alias("column_value"),
-                  conv[c.name].message.alias("error_message")))
-              for c in outs if conv[c.name].bad is not None]
-    error_array = (F.array_compact(F.array(*errors)) if errors
-                   else F.array().cast(ERROR_TYPE))
+                  by_name[c.name].error_text.alias("column_value"),
+                  by_name[c.name].message.alias("error_message")))
+              for c in checked]
+    error_array = F.array(*errors) if errors else F.array().cast(ERROR_TYPE)
+    n_errors = sum((by_name[c.name].bad.cast("int") for c in checked), F.lit(0))
 
-    frame = slices.select(
+    frame = staged.select(
         F.col(PATH), F.col(GOOD),
-        *[conv[c.name].value.alias(c.name) for c in outs],
+        *[by_name[c.name].value.alias(c.name) for c in outs],
         key.alias(KEY),
-        F.when(F.col(GOOD), error_array).otherwise(F.array().cast(ERROR_TYPE)).alias(ERRORS),
+        F.when(F.col(GOOD), error_array).alias(ERRORS),
+        F.when(F.col(GOOD), n_errors).otherwise(F.lit(0)).alias(NERR),
         F.when(~F.col(GOOD), F.col(VALUE)).alias(REJECT),
     )
     return Parsed(frame, layout, options)

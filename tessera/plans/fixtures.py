@@ -32,8 +32,32 @@ def lineitem_layout() -> Layout:
     return Layout.from_fields([(r[1], r[2], int(r[3]), r[4]) for r in rows])
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table. ``spread=True`` redistributes it round-robin when the scan
+    gives fewer tasks than the session can run: the driver's files are single
+    row groups, so without it a CPU-heavy parse would run in one task. Inputs
+    that already split into enough tasks (many files or row groups) are left
+    alone, so no shuffle is added at scale."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if spread:
+        n = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < n or _single_row_group(df):
+            df = df.repartition(n)
+    return df
+
+
+def _single_row_group(df: DataFrame) -> bool:
+    # A parquet file with one row group is read by one task however it is split.
+    files = df.inputFiles()
+    if len(files) != 1:
+        return False
+    try:
+        import pyarrow.parquet as pq
+        from urllib.parse import urlparse
+        path = urlparse(files[0]).path if files[0].startswith("file:") else files[0]
+        return pq.ParquetFile(path).metadata.num_row_groups == 1
+    except Exception:  # non-local storage: rely on the partition count
+        return False
 
 
 _RECORD_SQL = """
@@ -62,7 +86,7 @@ _PATH_SQL = """
 def lineitem_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``value, file_path``: one 54-character record per lineitem row; rows with
     ``l_orderkey % 37 = 0`` are one character short (width rejects)."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread=True)
     return (li.select(F.expr(_PATH_SQL).alias("file_path"),
                       F.col("l_orderkey"), F.expr(_RECORD_SQL).alias("line"))
             .select(F.when(F.col("l_orderkey") % 37 == 0, F.substring("line", 1, 53))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import convert as cv
 from ..functions.text import base_name, py_strip
-from ..operators.ingest import ParseOptions, Parsed, parse_lines, region
+from ..operators.ingest import ParseOptions, Parsed, parse_lines
 from ..operators.layout import layout_slices, pick_layout_as_of
 from ..operators.mask import apply_mask_config, keyed_mask
 from ..operators.recon import file_summary, marker_counts, run_counts
@@ -101,7 +101,7 @@ def fw_layout(spark, sf_dir):
 
 
 def _date_texts(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread=True)
     k = F.col("l_orderkey")
     ymd = F.date_format("l_shipdate", "yyyyMMdd")
     return li.select(
@@ -130,13 +130,13 @@ def fw_date_variants(spark, sf_dir):
     t = _date_texts(spark, sf_dir)
     cols = [F.col("l_orderkey"), F.col("l_linenumber")]
     for name, pattern in _DATE_VARIANTS:
-        c = cv.to_date(py_strip(F.col(f"text_{name}")), pattern)
+        t, c = cv.convert_one(t, py_strip(F.col(f"text_{name}")), "date", f"_{name}_", ["*"], pattern)
         cols += [c.value.alias(f"date_{name}"), c.bad.alias(f"bad_{name}")]
     return t.select(*cols)
 
 
 def _number_texts(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread=True)
     k = F.col("l_orderkey")
     price = F.format_string("%.2f", F.col("l_extendedprice"))
     qty = F.col("l_quantity").cast("int").cast("string")
@@ -161,15 +161,15 @@ def _number_texts(spark, sf_dir) -> DataFrame:
 
 def fw_number_clean(spark, sf_dir):
     t = _number_texts(spark, sf_dir)
-    q = cv.to_long(py_strip(F.col("text_qty")))
-    p = cv.to_decimal(py_strip(F.col("text_price")))
+    t, q = cv.convert_one(t, py_strip(F.col("text_qty")), "numeric", "_q_", ["*"])
+    t, p = cv.convert_one(t, py_strip(F.col("text_price")), "amount", "_p_", ["*"])
     return t.select("l_orderkey", "l_linenumber",
                     q.error_text.alias("clean_qty"), q.value.alias("qty"), q.bad.alias("bad_qty"),
                     p.error_text.alias("clean_price"), p.value.alias("price"), p.bad.alias("bad_price"))
 
 
 def _rate_texts(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread=True)
     k = F.col("l_orderkey")
     return li.select(
         "l_orderkey", "l_linenumber",
@@ -185,7 +185,7 @@ def _rate_texts(spark, sf_dir) -> DataFrame:
 
 def fw_rate(spark, sf_dir):
     t = _rate_texts(spark, sf_dir)
-    r = cv.to_rate(py_strip(F.col("text_rate")))
+    t, r = cv.convert_one(t, py_strip(F.col("text_rate")), "rate", "_r_", ["*"])
     return t.select("l_orderkey", "l_linenumber", "text_rate", r.value.alias("rate"),
                     r.bad.alias("bad_rate"), F.when(r.bad, r.message).alias("error_message"))
 
