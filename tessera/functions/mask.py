@@ -35,8 +35,14 @@ def draw60(h: Column) -> Column:
     return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
 
 
+def word_array(words: tuple[str, ...]) -> Column:
+    """The list as one array literal (``split`` of a literal is constant-folded),
+    built with two calls instead of one per word."""
+    return F.split(F.lit(SEP.join(words)), SEP)
+
+
 def pick(words: tuple[str, ...], n: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(w) for w in words]), (n % len(words) + 1).cast("int"))
+    return F.element_at(word_array(words), (n % len(words) + 1).cast("int"))
 
 
 def _gender_of(gender) -> str | Column | None:

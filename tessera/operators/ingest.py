@@ -130,6 +130,15 @@ class Parsed:
                      F.count_if(n_err > 0).alias("dq_row_count"),
                      F.count_distinct(F.when(n_err > 0, F.col(KEY))).alias("dq_key_count")))
 
+    def summary_counts(self, distinct_by: str = "key") -> DataFrame:
+        """``file_path, raw_count, loaded_count, dq_count`` from one aggregation
+        (the input of ``recon.file_summary`` with ``dq_per_file=None``)."""
+        if distinct_by not in ("key", "row"):
+            raise ValueError("distinct_by must be 'key' or 'row'")
+        col = "dq_key_count" if distinct_by == "key" else "dq_row_count"
+        return self.file_counts().select("file_path", "raw_count", "loaded_count",
+                                         F.col(col).alias("dq_count"))
+
     def dq_per_file(self, distinct_by: str = "key") -> DataFrame:
         """Failing rows per file (A5), files with at least one error: distinct
         (file, business key) by default, as the reference counts;

@@ -28,7 +28,8 @@ def run_counts(per_file: DataFrame, inventory: DataFrame | None = None) -> DataF
 
     ``per_file`` comes from ``Parsed.file_counts`` (``file_path, raw_count,
     loaded_count, dq_error_count, dq_row_count``); with an ``inventory`` the
-    listed files are left-joined first so listed-but-empty files are counted.
+    listed files are left-joined first so listed-but-empty files are counted,
+    without one the files are those that have rows.
     """
     rows = per_file
     if inventory is not None:
@@ -42,8 +43,7 @@ def run_counts(per_file: DataFrame, inventory: DataFrame | None = None) -> DataF
         F.sum(z("dq_row_count")).cast("long").alias("dq_row_count"),
         F.count_if(z("raw_count") > 0).cast("long").alias("files_with_rows"),
     ]
-    if inventory is not None:
-        aggs.append(F.count(F.lit(1)).cast("long").alias("number_of_source_files"))
+    aggs.append(F.count(F.lit(1)).cast("long").alias("number_of_source_files"))
     return rows.agg(*aggs)
 
 
@@ -72,14 +72,22 @@ def job_timestamp(now: datetime.datetime | None = None) -> str:
     return (now or datetime.datetime.now()).strftime("%Y-%m-%d %H:%M:%S")
 
 
-def file_summary(inventory: DataFrame, per_file: DataFrame, dq_per_file: DataFrame, *,
+def join_counts(per_file: DataFrame, dq_per_file: DataFrame) -> DataFrame:
+    """Loaded counts left-join failing-row counts on the file (missing -> 0)."""
+    return (per_file.join(dq_per_file.select("file_path", F.col("dq_count").alias("_dq")), "file_path", "left")
+            .withColumn("dq_count", F.coalesce(F.col("_dq"), F.lit(0))).drop("_dq"))
+
+
+def file_summary(inventory: DataFrame, per_file: DataFrame, dq_per_file: DataFrame | None, *,
                  table_name: str, order_date: str, job_run_date: str,
                  marker: DataFrame | None = None,
                  per_file_rejects: bool = False,
                  join_on: str = "path") -> DataFrame:
     """One row per listed file, sorted by file name.
 
-    * J1: loaded counts left-join failing-row counts (missing -> 0).
+    * J1: loaded counts left-join failing-row counts (missing -> 0); pass
+      ``dq_per_file=None`` when ``per_file`` already has ``dq_count`` (as
+      ``Parsed.file_counts`` computes both in one aggregation).
     * J2: the file inventory left-joins that, so a listed file without good
       rows shows zeros and unlisted files drop out.
     * With ``marker`` (``line_number, count``): J3 matches the n-th file by name
@@ -99,9 +107,11 @@ def file_summary(inventory: DataFrame, per_file: DataFrame, dq_per_file: DataFra
     def keyed(df: DataFrame) -> DataFrame:
         return df if key == "file_path" else df.withColumn("file_name", base_name(F.col("file_path"))).drop("file_path")
 
-    stats = (keyed(per_file).join(keyed(dq_per_file), key, "left")                     # J1
-             .select(key, "raw_count", "loaded_count",
-                     F.coalesce("dq_count", F.lit(0)).alias("dq_count")))
+    counts = per_file if dq_per_file is None else join_counts(per_file, dq_per_file)       # J1
+    stats = keyed(counts).groupBy(key).agg(F.sum("raw_count").alias("raw_count"),
+                                           F.sum("loaded_count").alias("loaded_count"),
+                                           F.sum("dq_count").alias("dq_count")) \
+        if key == "file_name" else counts.select(key, "raw_count", "loaded_count", "dq_count")
     inv = inventory.select("file_path", "file_name")
     base = (inv.join(stats, key, "left")                                              # J2
             .select("file_path", "file_name", "raw_count",

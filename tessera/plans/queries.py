@@ -16,6 +16,7 @@ from ..operators.ingest import ParseOptions, Parsed, parse_lines
 from ..operators.layout import layout_slices, pick_layout_as_of
 from ..operators.mask import apply_mask_config, keyed_mask
 from ..operators.recon import file_summary, marker_counts, run_counts
+from ..session import ensure_checkpoint_dir
 from .fixtures import LINEITEM_TABLE, customer_contacts, lineitem_layout, lineitem_records, table
 
 EXTRA = ("dataops_file_name_path", "dataops_li_region")
@@ -74,8 +75,7 @@ def fw_base_name(spark, sf_dir):
 
 
 def fw_counts(spark, sf_dir):
-    p = parsed_records(spark, sf_dir)
-    return run_counts(p.file_counts(), inventory_of(p))
+    return run_counts(parsed_records(spark, sf_dir).file_counts())
 
 
 def fw_rows_per_file(spark, sf_dir):
@@ -201,27 +201,38 @@ def fw_layout_as_of(spark, sf_dir):
     return pick_layout_as_of(names, "19960101", "LI.")
 
 
-def _marker_lines(parsed: Parsed) -> DataFrame:
-    fc = parsed.file_counts()
-    return fc.select(base_name(F.col("file_path")).alias("name"),
-                     F.concat(base_name(F.col("file_path")), F.lit(": "),
-                              F.col("raw_count").cast("string")).alias("value"))
+def _marker_lines(stats: DataFrame) -> DataFrame:
+    """Control counts as a source system would send them: ``NAME: <lines>``."""
+    return stats.select(base_name(F.col("file_path")).alias("name"),
+                        F.concat(base_name(F.col("file_path")), F.lit(": "),
+                                 F.col("raw_count").cast("string")).alias("value"))
+
+
+def per_file_stats(spark, sf_dir) -> DataFrame:
+    """Per-file counts of the records, checkpointed (a few rows per file) so
+    the inventory, marker and summary branches do not each re-parse."""
+    ensure_checkpoint_dir(spark)
+    return parsed_records(spark, sf_dir).summary_counts().checkpoint(eager=True)
+
+
+def _stats_inventory(stats: DataFrame) -> DataFrame:
+    return stats.select("file_path", base_name(F.col("file_path")).alias("file_name"))
 
 
 def fw_marker_counts(spark, sf_dir):
-    return marker_counts(_marker_lines(parsed_records(spark, sf_dir)), order=F.col("name"))
+    return marker_counts(_marker_lines(parsed_records(spark, sf_dir).file_counts()), order=F.col("name"))
 
 
 def fw_summary_marker(spark, sf_dir):
-    p = parsed_records(spark, sf_dir)
-    marker = marker_counts(_marker_lines(p), order=F.col("name"))
-    return file_summary(inventory_of(p), p.file_counts(), p.dq_per_file(), table_name=LINEITEM_TABLE,
+    stats = per_file_stats(spark, sf_dir)
+    marker = marker_counts(_marker_lines(stats), order=F.col("name"))
+    return file_summary(_stats_inventory(stats), stats, None, table_name=LINEITEM_TABLE,
                         order_date=ORDER_DATE, job_run_date=JOB_RUN_DATE, marker=marker)
 
 
 def fw_summary_no_marker(spark, sf_dir):
-    p = parsed_records(spark, sf_dir)
-    return file_summary(inventory_of(p), p.file_counts(), p.dq_per_file(), table_name=LINEITEM_TABLE,
+    stats = per_file_stats(spark, sf_dir)
+    return file_summary(_stats_inventory(stats), stats, None, table_name=LINEITEM_TABLE,
                         order_date=ORDER_DATE, job_run_date=JOB_RUN_DATE)
 
 

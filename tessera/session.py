@@ -17,12 +17,23 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     When the session has none (local tests), one is created and set, so code
     never silently falls back to a machine-local folder on a cluster.
     """
+    root = spark.conf.get(CHECKPOINT_KEY, None) or ensure_checkpoint_dir(spark)
+    return "/".join([root.rstrip("/"), *parts, uuid.uuid4().hex])
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Point ``DataFrame.checkpoint()`` at the shared ``spark.checkpoint.dir``
+    (created only when the session has none, as in local tests)."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, root)
-        spark.sparkContext.setCheckpointDir(root)
-    return "/".join([root.rstrip("/"), *parts, uuid.uuid4().hex])
+    sc.setCheckpointDir(root)
+    return sc.getCheckpointDir() or root
 
 
 def local_session(cpus: int | str = "*", app: str = "tessera", shuffle_partitions: int = 8) -> SparkSession:
@@ -32,6 +43,8 @@ def local_session(cpus: int | str = "*", app: str = "tessera", shuffle_partition
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
+             # no per-call stack capture while building plans (debug aid only)
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
              .getOrCreate())
