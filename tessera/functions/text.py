@@ -37,8 +37,11 @@ def base_name(path: Column) -> Column:
 
 
 def decode_path(path: Column) -> Column:
-    """Undo the percent-encoding Spark applies to file URIs.
+    """Canonical, decoded form of a file URI, equal for the scan's
+    ``_metadata.file_path`` (``file:///x``, percent-encoded) and the file
+    index's listing (``file:/x``).
 
     A plain url_decode would turn a literal ``+`` into a space, so protect it first.
     """
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    uri = F.regexp_replace(path, "^file:/(?!/)", "file:///")
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
