@@ -45,6 +45,7 @@ class FixedWidthJob:
     job_run_date: str | None = None
     scan_all_files: bool = False   # True: scan the whole folder like the reference
     line_sep: str | None = None
+    layout_path: str | None = None # a fixed layout file instead of the dated pick (S4)
 
     def paths(self) -> dict[str, str]:
         t = self.table_name.lower()
@@ -83,7 +84,7 @@ def resolve_layout(spark: SparkSession, job: FixedWidthJob) -> str:
 def run_fixed_width_job(spark: SparkSession, job: FixedWidthJob) -> JobResult:
     paths = job.paths()
     inventory = list_files(spark, job.data_dir, job.file_prefix).cache()          # S5
-    layout_path = resolve_layout(spark, job)                                    # S4
+    layout_path = job.layout_path or resolve_layout(spark, job)                 # S4
     layout = load_layout(spark, layout_path)                                    # S3
     result = JobResult(layout_path, layout, paths=paths)
 

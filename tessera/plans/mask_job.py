@@ -38,5 +38,5 @@ def run_keyed_mask_dir(spark: SparkSession, source_dir: str, target_dir: str, sp
     (one folder per source file, header in every part)."""
     spec = load_mask_spec(spark, spec_path)
     out = mask_pipe_files(read_pipe_directory(spark, source_dir), spec, test_date, salt)
-    write_delimited(out, target_dir, "csv", "|", partition_by="target_name")
+    write_delimited(out, target_dir, "csv", "|", partition_by="target_name", quote_empty=False)
     return out

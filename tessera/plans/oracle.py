@@ -531,15 +531,21 @@ def _keyed_expr(column: str, spec: dict) -> tuple[str, list[str]]:
     return expr, hashes
 
 
-def mask_keyed_sql() -> str:
+def mask_keyed_sql(source: str | None = None) -> str:
     spec = qs.MASK_SPEC["MockColumns"]
+    source = source or CUST_SQL
     exprs, hashes = {}, []
     for column, s in spec.items():
         e, h = _keyed_expr(column, s)
         exprs[column] = e
         hashes += h
     sel = ", ".join(f"{exprs.get(c, c)} AS {c}" for c in CONTACT_COLUMNS)
-    return f"SELECT {sel} FROM (SELECT *, {', '.join(hashes)} FROM ({CUST_SQL}))"
+    return f"SELECT {sel} FROM (SELECT *, {', '.join(hashes)} FROM ({source}))"
+
+
+# Written to delimited files and read back, a null field comes back as ''.
+CUST_FILE_SQL = ("SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c in CONTACT_COLUMNS)
+                 + f" FROM ({CUST_SQL})")
 
 
 def registry() -> dict[str, str]:
@@ -567,4 +573,6 @@ def registry() -> dict[str, str]:
         out[f"mask_{type_name}"] = mask_type_sql(type_name)
     out["mask_config"] = mask_config_sql()
     out["mask_keyed"] = mask_keyed_sql()
+    out["mask_csv_roundtrip"] = mask_keyed_sql(CUST_FILE_SQL)
+    out["fw_sink_roundtrip"] = (f"SELECT * EXCLUDE (dataops_file_name_path) FROM ({fw_typed_rows_sql()})")
     return out

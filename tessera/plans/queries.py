@@ -7,6 +7,8 @@ record); masking queries run on ``customer_contacts``.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,12 @@ from ..operators.ingest import ParseOptions, Parsed, parse_lines
 from ..operators.layout import layout_slices, pick_layout_as_of
 from ..operators.mask import apply_mask_config, keyed_mask
 from ..operators.recon import file_summary, marker_counts, run_counts
-from ..session import ensure_checkpoint_dir
-from .fixtures import LINEITEM_TABLE, customer_contacts, lineitem_layout, lineitem_records, table
+from ..session import ensure_checkpoint_dir, shared_dir
+from .fixed_width_job import FixedWidthJob, run_fixed_width_job
+from ..sinks.publish import write_delimited
+from ..sources.delimited import read_delimited
+from .mask_job import run_keyed_mask_dir
+from .fixtures import LINEITEM_LAYOUT_CSV, LINEITEM_TABLE, customer_contacts, lineitem_layout, lineitem_records, table
 
 EXTRA = ("dataops_file_name_path", "dataops_li_region")
 ORDER_DATE = "20240101"
@@ -263,6 +269,7 @@ MASK_CONFIG = {
     "contact_value": {"type": "contact_details", "meta": {"contact_type_column_name": "contact_type"}},
     "segment": {"type": "city"},
 }
+CONTACT_COLUMNS = ["cust_id", "full_name", "gender", "contact_type", "contact_value", "segment"]
 MASK_SPEC = {"MockColumns": {
     "contact_value": {"IdLookup": ["cust_id"], "DataProvider": [
         {"ValueType": "Email", "Function": "email"},
@@ -293,6 +300,38 @@ def mask_keyed(spark, sf_dir):
     return keyed_mask(customer_contacts(spark, sf_dir), MASK_SPEC, salt=MASK_SALT)
 
 
+# --- write-and-read-back ---------------------------------------------------------------
+
+def fw_sink_roundtrip(spark, sf_dir):
+    """Land the records as text files (one folder per
+    source file name), run the whole job into a fresh shared folder, and read
+    the typed table back (path column left out: it names the landed files)."""
+    root = shared_dir(spark, "tessera-roundtrip")
+    recs = lineitem_records(spark, sf_dir)
+    recs.withColumn("src", base_name(F.col("file_path"))).select("value", "src") \
+        .write.partitionBy("src").text(f"{root}/in")
+    spark.createDataFrame([(line,) for line in LINEITEM_LAYOUT_CSV.strip().splitlines()], "value string") \
+        .coalesce(1).write.text(f"{root}/layout")
+    job = FixedWidthJob(data_dir=f"{root}/in", layout_dir=f"{root}/layout", file_prefix="part-",
+                        table_name=LINEITEM_TABLE, run_date=ORDER_DATE, output_root=f"{root}/out",
+                        dataset="li", layout_path=f"{root}/layout", job_run_date=JOB_RUN_DATE)
+    result = run_fixed_width_job(spark, job)
+    return spark.read.parquet(result.paths["typed"]).drop("dataops_file_name_path")
+
+
+def mask_csv_roundtrip(spark, sf_dir):
+    """Write the customer table as pipe-delimited files (one
+    folder per segment), mask the folder by key, read the masked files back."""
+    root = shared_dir(spark, "tessera-mask-roundtrip")
+    write_delimited(customer_contacts(spark, sf_dir), f"{root}/src", "csv", "|",
+                    partition_by="segment", quote_empty=False)
+    spec_path = f"{root}/spec"
+    spark.createDataFrame([(json.dumps(MASK_SPEC),)], "value string").coalesce(1).write.text(spec_path)
+    run_keyed_mask_dir(spark, f"{root}/src", f"{root}/tgt", spec_path, test_date=ORDER_DATE, salt=MASK_SALT)
+    back = read_delimited(spark, f"{root}/tgt", "csv", "|", empty_as_null=False)
+    return back.select(*CONTACT_COLUMNS)
+
+
 def registry() -> dict:
     q = {
         "fw_typed_rows": fw_typed_rows,
@@ -313,9 +352,11 @@ def registry() -> dict:
         "fw_marker_counts": fw_marker_counts,
         "fw_summary_marker": fw_summary_marker,
         "fw_summary_no_marker": fw_summary_no_marker,
+        "fw_sink_roundtrip": fw_sink_roundtrip,
     }
     for type_name in MASK_TYPE_TARGETS:
         q[f"mask_{type_name}"] = _mask_type_query(type_name)
     q["mask_config"] = mask_config
     q["mask_keyed"] = mask_keyed
+    q["mask_csv_roundtrip"] = mask_csv_roundtrip
     return q

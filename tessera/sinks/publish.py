@@ -84,14 +84,17 @@ def append_landing(spark: SparkSession, manifest_path: str, *, table_name: str,
 
 
 def write_delimited(df: DataFrame, path: str, file_type: str = "csv", delimiter: str = ",",
-                    partition_by: str | None = None) -> None:
+                    partition_by: str | None = None, quote_empty: bool = True) -> None:
     """K9: delimited text with a header row, overwrite.
 
     ``partition_by`` writes one folder per value of that column (used for
-    per-source-file output, S10/K10)."""
+    per-source-file output, S10/K10); ``quote_empty=False`` writes empty
+    strings as nothing, like a plain CSV writer."""
     if file_type != "csv":
         raise RuntimeError(f"File type {file_type!r} is not supported; only csv is")
     w = df.write.mode("overwrite").option("header", "true").option("sep", delimiter)
+    if not quote_empty:
+        w = w.option("emptyValue", "")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.csv(path)

@@ -11,15 +11,19 @@ SUPPORTED_FILE_TYPES = ("csv",)
 
 
 def read_delimited(spark: SparkSession, path: str | list[str], file_type: str = "csv",
-                   delimiter: str = ",", with_source: bool = False) -> DataFrame:
+                   delimiter: str = ",", with_source: bool = False,
+                   empty_as_null: bool = True) -> DataFrame:
     """Header row, caller's delimiter, every column a string (no inference).
 
-    ``with_source=True`` adds ``_source_path`` and ``_source_name`` (S10).
+    ``with_source=True`` adds ``_source_path`` and ``_source_name`` (S10);
+    ``empty_as_null=False`` reads empty fields as ``''`` like a plain CSV reader.
     """
     if file_type not in SUPPORTED_FILE_TYPES:
         raise RuntimeError(f"File type {file_type!r} is not supported; only csv is")
     df = (spark.read.option("header", "true").option("sep", delimiter)
           .option("inferSchema", "false").csv(path))
+    if not empty_as_null:
+        df = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in df.columns])
     if with_source:
         p = decode_path(F.col("_metadata.file_path"))
         df = df.select("*", p.alias("_source_path"), base_name(p).alias("_source_name"))
@@ -27,5 +31,6 @@ def read_delimited(spark: SparkSession, path: str | list[str], file_type: str =
 
 
 def read_pipe_directory(spark: SparkSession, directory: str) -> DataFrame:
-    """Every pipe-delimited file of a directory (same header), with its source."""
-    return read_delimited(spark, directory, "csv", "|", with_source=True)
+    """Every pipe-delimited file of a directory (same header), with its
+    source; empty fields are ``''`` (the files carry no nulls)."""
+    return read_delimited(spark, directory, "csv", "|", with_source=True, empty_as_null=False)
