@@ -142,7 +142,8 @@ def plan_long(ref: Ref, with_key: bool = True) -> FieldPlan:
 
 def plan_decimal(ref: Ref, with_key: bool = True) -> FieldPlan:
     stages = number_text_stages(ref) + [
-              {"n": py_strip(F.replace(ref("t"), F.lit("_"), F.lit("")))},
+              # Decimal() strips whitespace first, then drops every underscore
+              {"n": F.replace(py_strip(ref("t")), F.lit("_"), F.lit(""))},
               {"p": F.when(ref("n").rlike(_DEC_RE), ref("n").try_cast(DECIMAL_TYPE))}]
     key = F.lit("")
     if with_key:

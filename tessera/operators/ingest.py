@@ -182,9 +182,12 @@ def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
     """
     value = F.col(value_col)
     outs = layout.output_columns
-    fields = [(f"_f{c.position}_", py_strip(field_slice(F.col(VALUE), c)), c.datatype) for c in outs]
+    fields = [(f"_f{c.position}_",
+               py_strip(field_slice(F.col(VALUE), c, F.col("_bytes"), F.col("_ascii"))), c.datatype)
+              for c in outs]
     staged, conv = convert_columns(
-        lines.select(value.alias(VALUE), F.col(path_col).alias(PATH)),
+        lines.select(value.alias(VALUE), F.col(path_col).alias(PATH), value.cast("binary").alias("_bytes"),
+                     (F.octet_length(value) == F.length(value)).alias("_ascii")),
         fields,
         keep=[F.col(VALUE), F.col(PATH), (F.length(F.col(VALUE)) == layout.record_length).alias(GOOD)],
         date_pattern=options.date_pattern,

@@ -155,5 +155,13 @@ def layout_slices(lines: DataFrame, layout: Layout, value_col: str = "value") ->
     return lines.select(F.col(value_col), F.inline(F.array(*structs)))
 
 
-def field_slice(value: Column, c: LayoutColumn) -> Column:
-    return F.substring(value, c.offset + 1, c.length)
+def field_slice(value: Column, c: LayoutColumn, value_bytes: Column | None = None,
+                ascii_only: Column | None = None) -> Column:
+    """The field's characters. Finding a character offset in a UTF-8 string
+    walks the string from its start, so cutting many fields from a long record
+    costs quadratic time; for records that are pure ASCII (``ascii_only``) the
+    slice is cut from the bytes (``value_bytes``) at a constant-time offset."""
+    chars = F.substring(value, c.offset + 1, c.length)
+    if value_bytes is None:
+        return chars
+    return F.when(ascii_only, F.substring(value_bytes, c.offset + 1, c.length).cast("string")).otherwise(chars)

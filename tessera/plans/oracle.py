@@ -50,7 +50,7 @@ def long_of(s: str) -> str:
 
 
 def decimal_of(s: str) -> str:
-    plain = strip(f"replace({s}, '_', '')")
+    plain = f"replace({strip(s)}, '_', '')"
     return (f"CASE WHEN regexp_matches({plain}, {q(cv._DEC_RE)}) "
             f"THEN TRY_CAST({plain} AS DECIMAL(38,18)) END")
 

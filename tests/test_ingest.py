@@ -99,3 +99,13 @@ def test_layout_slices(spark):
     assert sl.count() == 5 * 7
     r = sl.where(F.col("column_name") == "SHIP_DATE").first()
     assert r.offset == 12 and r.column_length == 8 and len(r.slice) == 8
+
+
+def test_non_ascii_records_use_character_offsets(spark):
+    layout = Layout.from_fields([("A", "string", 3, "N"), ("B", "numeric", 3, "N"), ("C", "string", 2, "N")])
+    lines = spark.createDataFrame([("äbc012xy", "f"), ("abc012xy", "f"), (" é  7 zz", "f")],
+                                  "value string, file_path string")
+    p = parse_lines(lines, layout, ParseOptions("T", extra_columns=None))
+    got = sorted(tuple(r) for r in p.typed().collect())
+    # Python slices by characters and strips Unicode whitespace (NBSP included)
+    assert got == sorted([("äbc", 12, "xy"), ("abc", 12, "xy"), ("é", 7, "zz")])
