@@ -144,15 +144,16 @@ def pick_layout_as_of(listing: DataFrame, run_date: str, file_prefix: str,
 def layout_slices(lines: DataFrame, layout: Layout, value_col: str = "value") -> DataFrame:
     """One row per record and non-filler field: the field's raw slice and its place.
 
-    Uses ``inline`` over a per-row array, so it is a narrow, shuffle-free
-    expansion (no join against the layout).
+    Uses ``inline_outer`` over a per-row array, so it is a narrow, shuffle-free
+    expansion (no join against the layout) and Catalyst infers no filter on
+    the array to push below it.
     """
     structs = [F.struct(F.lit(c.position).alias("position"), F.lit(c.name).alias("column_name"),
                         F.lit(c.datatype).alias("column_datatype"), F.lit(c.offset).alias("offset"),
                         F.lit(c.length).alias("column_length"), F.lit(c.is_key).alias("is_key"),
                         F.substring(F.col(value_col), c.offset + 1, c.length).alias("slice"))
                for c in layout.output_columns]
-    return lines.select(F.col(value_col), F.inline(F.array(*structs)))
+    return lines.select(F.col(value_col), F.inline_outer(F.array(*structs)))
 
 
 def field_slice(value: Column, c: LayoutColumn, value_bytes: Column | None = None,

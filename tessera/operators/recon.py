@@ -48,18 +48,22 @@ def run_counts(per_file: DataFrame, inventory: DataFrame | None = None) -> DataF
 
 
 def marker_counts(lines: DataFrame, order: Column | None = None,
-                  value_col: str = "value") -> DataFrame:
+                  value_col: str = "value", per_file: str | None = None) -> DataFrame:
     """S6 + W1 + O2: number marker lines and read the count after ``:``.
 
-    ``order`` defaults to the read order of the lines. Returns
-    ``line_number, line_content, count`` (count null when a line has no digits).
+    ``order`` defaults to the read order of the lines. With ``per_file`` (a
+    path column) the numbering restarts in every marker file and that column
+    is kept. Returns ``line_number, line_content, count`` (count null when a
+    line has no digits).
     """
     order = order if order is not None else F.monotonically_increasing_id()
-    return (lines.select(F.row_number().over(Window.orderBy(order)).alias("line_number"),
+    window = Window.orderBy(order) if per_file is None else Window.partitionBy(per_file).orderBy(order)
+    keep = [] if per_file is None else [F.col(per_file)]
+    return (lines.select(*keep, F.row_number().over(window).alias("line_number"),
                          F.col(value_col).alias("line_content"))
-            .select("line_number", "line_content",
+            .select(*keep, "line_number", "line_content",
                     F.regexp_extract("line_content", MARKER_COUNT_REGEX, 1).try_cast("int").alias("count"))
-            .orderBy("line_number"))
+            .orderBy(*keep, "line_number"))
 
 
 def iso_order_date(order_date: str) -> str:

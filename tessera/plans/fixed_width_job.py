@@ -38,6 +38,10 @@ class FixedWidthJob:
     extra_columns: tuple[str, str] | None = None   # default: dataops_file_name_path, dataops_<dataset>_region
     exception_columns: tuple[str, ...] | None = None
     num_output_files: int | None = None
+    # File counts of the exception and reject outputs (the reference writes at
+    # most 10 of each); None lets the data decide, which scales with error volume.
+    num_exception_files: int | None = 10
+    num_reject_files: int | None = 10
     stage: str = "persist"         # persist | parquet | none
     per_file_rejects: bool = False
     distinct_by: str = "key"
@@ -103,13 +107,14 @@ def run_fixed_width_job(spark: SparkSession, job: FixedWidthJob) -> JobResult:
 
     try:
         loaded = publish.write_parquet(parsed.typed(), paths["typed"], job.num_output_files)   # K1
-        n_exc = publish.write_parquet(parsed.exceptions(), paths["exceptions"], 10)          # K2
+        n_exc = publish.write_parquet(parsed.exceptions(), paths["exceptions"],
+                                      job.num_exception_files)                                 # K2
         exceptions_written = spark.read.parquet(paths["exceptions"])
         # K3 (+K4): CSV copy of the exceptions, from the Parquet just written.
-        publish.write_csv_detail(exceptions_written, paths["dq_detail"], 10)
+        publish.write_csv_detail(exceptions_written, paths["dq_detail"], job.num_exception_files)
         if n_exc > 0:
             publish.write_header(spark, exceptions_written.columns, paths["dq_header"])
-        n_rej = publish.write_text(parsed.width_rejects(), paths["rejects"], 10)             # K5
+        n_rej = publish.write_text(parsed.width_rejects(), paths["rejects"], job.num_reject_files)  # K5
         publish.append_landing(spark, paths["manifest"], table_name=job.table_name,         # K7
                                order_date=job.run_date, output_path=paths["typed"],
                                loaded=loaded, exceptions=n_exc, rejects=n_rej)

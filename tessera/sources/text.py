@@ -69,10 +69,16 @@ def list_files(spark: SparkSession, path: str, file_prefix: str | None = None) -
     return inv.select("file_path", base_name(F.col("file_path")).alias("file_name"))
 
 
-def read_marker(spark: SparkSession, path: str) -> DataFrame:
+def read_marker(spark: SparkSession, path: str, per_file: bool = False) -> DataFrame:
     """S6 + W1: ``line_number, line_content, count`` of a control-count file.
 
     A marker holds one short line per source file; numbering uses one ordered
-    window over the file's lines in read order.
+    window over the file's lines in read order. ``per_file=True`` reads a
+    folder of markers and numbers each file's lines separately (``file_path``
+    kept).
     """
-    return marker_counts(spark.read.text(path))
+    lines = spark.read.text(path)
+    if per_file:
+        lines = lines.select("value", decode_path(F.col("_metadata.file_path")).alias("file_path"))
+        return marker_counts(lines, per_file="file_path")
+    return marker_counts(lines)

@@ -101,3 +101,11 @@ def test_run_counts(spark):
     r = run_counts(per_file, inv).first()
     assert (r.raw_count, r.loaded_count, r.rejected_count, r.files_with_rows, r.number_of_source_files) == (
         15, 13, 2, 2, 3)
+
+
+def test_marker_folder_numbers_each_file(spark, tmp_dir):
+    write(f"{tmp_dir}/markers/a.txt", "A1: 1\nA2: 2\n")
+    write(f"{tmp_dir}/markers/b.txt", "B1: 7\n")
+    rows = read_marker(spark, f"{tmp_dir}/markers", per_file=True).collect()
+    got = sorted((r.file_path.split("/")[-1], r.line_number, r["count"]) for r in rows)
+    assert got == [("a.txt", 1, 1), ("a.txt", 2, 2), ("b.txt", 1, 7)]
