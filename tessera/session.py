@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
@@ -47,6 +48,10 @@ def local_session(cpus: int | str = "*", app: str = "tessera", shuffle_partition
              .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
+             # Let the JIT compile generated methods over 8000 bytes of bytecode:
+             # a fused parse pipeline can pass that, and would then run in the
+             # bytecode interpreter (on a cluster: spark.executor.extraJavaOptions).
+             .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
