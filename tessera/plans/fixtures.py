@@ -40,12 +40,26 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     alone, so no shuffle is added at scale."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     if spread:
-        n = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < n or _single_row_group(df):
+        n = _parallelism(spark)
+        if _single_row_group(df) or _scan_tasks(df) < n:
             df = df.repartition(n)
     return df
 
 
+def _parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # e.g. a Spark Connect session has no SparkContext
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
+def _scan_tasks(df: DataFrame) -> int:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): rely on the row-group check
+        return 1 << 30
+
+
 def _single_row_group(df: DataFrame) -> bool:
     # A parquet file with one row group is read by one task however it is split.
     files = df.inputFiles()

@@ -25,11 +25,16 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point ``DataFrame.checkpoint()`` at the shared ``spark.checkpoint.dir``
     (created only when the session has none, as in local tests)."""
-    sc = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        if not root:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return root
     current = sc.getCheckpointDir()
     if current:
         return current
-    root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, root)
