@@ -104,22 +104,14 @@ def _squeeze(c: Column) -> Column:
     return F.translate(c, "_" + PY_WHITESPACE, "")
 
 
-def clean_number_text(v: Column) -> Column:
-    """Number-text cleaning shared by numeric, snumeric and amount fields (one
-    expression; ``number_text_stages`` is the staged, cheaper form).
+def number_text_stages(ref: Ref) -> list[dict[str, Column]]:
+    """Number-text cleaning shared by numeric, snumeric and amount fields, as
+    stages of plain string functions (no regex).
 
     Remove every ``+``, strip, drop leading zeros, put ``0`` before a leading
     point and ``00`` after a point in last place, and turn an empty result into
     ``0``.
     """
-    s = F.ltrim(py_strip(F.replace(v, F.lit("+"), F.lit(""))), F.lit("0"))
-    s = F.regexp_replace(s, r"^\.", "0.")
-    s = F.regexp_replace(s, r"^([^.]*)\.$", "$1.00")
-    return F.coalesce(F.nullif(s, F.lit("")), F.lit("0"))
-
-
-def number_text_stages(ref: Ref) -> list[dict[str, Column]]:
-    """``clean_number_text`` as stages of plain string functions (no regex)."""
     return [
         {"t0": F.ltrim(py_strip(F.replace(ref("v"), F.lit("+"), F.lit(""))), F.lit("0"))},
         {"t1": F.when(F.startswith(ref("t0"), F.lit(".")), F.concat(F.lit("0"), ref("t0")))

@@ -84,7 +84,12 @@ class Parsed:
             path_name, region_name = self.options.extra_columns
             cols += [F.col(PATH).alias(path_name),
                      region(F.col(PATH), self.options.region_mode).alias(region_name)]
-        return self.frame.where(F.col(GOOD)).select(*cols)
+        out = self.frame.where(F.col(GOOD)).select(*cols)
+        expected = [(f.name, f.dataType) for f in self.layout.schema().fields]
+        got = [(f.name, f.dataType) for f in out.schema.fields[:len(expected)]]
+        if got != expected:  # P3: the typed table must have the layout's schema
+            raise AssertionError(f"typed schema {got} differs from the layout's {expected}")
+        return out
 
     def _error_rows(self) -> DataFrame:
         # The error array holds one slot per checked field (null = no error).
@@ -105,11 +110,6 @@ class Parsed:
             F.col("error_message").alias(n[5]), F.lit(ROW_FIXED_FLAG).alias(n[6]),
             F.lit(ROW_FIXED_TIMESTAMP).alias(n[7]))
 
-    def exceptions_with_path(self) -> DataFrame:
-        """``file_path, row_business_key, column_name`` per error."""
-        return self._error_rows().select(F.col(PATH).alias("file_path"),
-                                         F.col(KEY).alias("row_business_key"), "column_name")
-
     def width_rejects(self) -> DataFrame:
         """Lines whose length differs from the layout width (F2): ``value, file_path``."""
         return (self.frame.where(~F.col(GOOD))

@@ -36,12 +36,6 @@ def parsed_records(spark: SparkSession, sf_dir: str, region_mode: str = "two_way
                        ParseOptions(LINEITEM_TABLE, region_mode=region_mode, extra_columns=EXTRA))
 
 
-def inventory_of(parsed: Parsed) -> DataFrame:
-    """The files present in the records (the query set has no folder to list)."""
-    return (parsed.frame.select(F.col("_path").alias("file_path")).distinct()
-            .select("file_path", base_name(F.col("file_path")).alias("file_name")))
-
-
 # --- fixed-width ----------------------------------------------------------------
 
 def fw_typed_rows(spark, sf_dir):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.layout import load_layout, pick_layout_as_of, read_layout_frame
 from tessera.operators.recon import SUMMARY_COLUMNS, file_summary, marker_counts, run_counts
-from tessera.sources.text import list_files, read_dir_lines, read_marker
+from tessera.sources.text import list_files, read_dir_lines, read_lines, read_marker
 
 
 def write(path, text, mode="w", newline=None):
@@ -109,3 +109,10 @@ def test_marker_folder_numbers_each_file(spark, tmp_dir):
     rows = read_marker(spark, f"{tmp_dir}/markers", per_file=True).collect()
     got = sorted((r.file_path.split("/")[-1], r.line_number, r["count"]) for r in rows)
     assert got == [("a.txt", 1, 1), ("a.txt", 2, 2), ("b.txt", 1, 7)]
+
+
+def test_read_lines_explicit_paths(spark, tmp_dir):
+    write(f"{tmp_dir}/x/a b+c.txt", "one\ntwo\n")
+    rows = read_lines(spark, [f"{tmp_dir}/x/a b+c.txt"]).collect()
+    assert [r.value for r in rows] == ["one", "two"]
+    assert rows[0].file_path.endswith("/x/a b+c.txt")

@@ -50,6 +50,7 @@ def test_file_counts_single_aggregation(spark, tmp_dir):
 
 
 def test_mask_plans_are_narrow_and_pruned(spark):
+    spark.catalog.clearCache()  # other tests cache this input; look at the file scan itself
     cust = customer_contacts(spark, SF001)
     for df in (apply_mask_config(cust, MASK_CONFIG), keyed_mask(cust, MASK_SPEC)):
         plan = executed(df)
