@@ -109,3 +109,11 @@ def test_non_ascii_records_use_character_offsets(spark):
     got = sorted(tuple(r) for r in p.typed().collect())
     # Python slices by characters and strips Unicode whitespace (NBSP included)
     assert got == sorted([("äbc", 12, "xy"), ("abc", 12, "xy"), ("é", 7, "zz")])
+
+
+def test_dq_per_file_by_row_and_key(spark):
+    p = parsed(spark)
+    by_key = {r.file_path.split("/")[-1]: r.dq_count for r in p.dq_per_file("key").collect()}
+    by_row = {r.file_path.split("/")[-1]: r.dq_count for r in p.dq_per_file("row").collect()}
+    assert by_key == {k: v[4] for k, v in EXPECTED_SF001.items()}
+    assert by_row == {k: v[3] for k, v in EXPECTED_SF001.items()}

@@ -116,3 +116,14 @@ def test_read_lines_explicit_paths(spark, tmp_dir):
     rows = read_lines(spark, [f"{tmp_dir}/x/a b+c.txt"]).collect()
     assert [r.value for r in rows] == ["one", "two"]
     assert rows[0].file_path.endswith("/x/a b+c.txt")
+
+
+def test_summary_join_on_base_name(spark):
+    inv = spark.createDataFrame([("/d1/A.TXT", "A.TXT"), ("/d2/B.TXT", "B.TXT")], "file_path string, file_name string")
+    per_file = spark.createDataFrame([("/other/A.TXT", 10, 8, 2)], "file_path string, raw_count long, loaded_count long, dq_count long")
+    by_path = file_summary(inv, per_file, None, table_name="T", order_date="20240101", job_run_date="t").collect()
+    by_name = file_summary(inv, per_file, None, table_name="T", order_date="20240101", job_run_date="t",
+                           join_on="name").collect()
+    assert [(r.file_name, r.total_records_loaded_count) for r in by_path] == [("A.TXT", 0), ("B.TXT", 0)]
+    assert [(r.file_name, r.total_records_loaded_count, r.clean_record_count) for r in by_name] == [
+        ("A.TXT", 8, 6), ("B.TXT", 0, 0)]
