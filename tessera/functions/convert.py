@@ -231,21 +231,20 @@ def plan_date(ref: Ref, pattern: str = "YYYYMMDD", with_key: bool = True) -> Fie
     before 1582-10-15 -> default, no error.
 
     One regex pass turns a match into ``y-m-d``; the date is then built with
-    ``make_date(y, m, 1) + (d - 1)`` and rejected when that rolls into the next
-    month (e.g. 30 February), which avoids the datetime parser.
+    ``make_date`` once the day is known to exist in its month (e.g. no 30
+    February), which avoids the datetime parser.
     """
     regex, template = date_regex(pattern)
     v = ref("v")
+    y, m, d = (F.element_at(ref("parts"), i).cast("int") for i in (1, 2, 3))
     stages = [
         {"r": F.regexp_replace(v, regex, _MATCH_MARK + template)},
         {"parts": F.when(F.startswith(ref("r"), F.lit(_MATCH_MARK)) & ~F.startswith(v, F.lit(_MATCH_MARK)),
                          F.split(F.substring(ref("r"), 2, 1 << 20), "-"))},
-        {"y": F.element_at(ref("parts"), 1).cast("int"),
-         "m": F.element_at(ref("parts"), 2).cast("int"),
-         "d": F.element_at(ref("parts"), 3).cast("int")},
-        # year 0 does not exist (strptime rejects it); month is 1-12 by the regex
-        {"p0": F.when(ref("y") >= 1, F.date_add(F.make_date(ref("y"), ref("m"), F.lit(1)), ref("d") - 1))},
-        {"p": F.when(F.month(ref("p0")) == ref("m"), ref("p0"))},
+        # year 0 does not exist (strptime rejects it); the month is 1-12 by the
+        # regex; the day must exist in that month (no 30 February)
+        {"p": F.when((y >= 1) & (d <= F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1))))),
+                     F.make_date(y, m, d))},
     ]
     blank = (v == "") | (v == ZERO_DATE)
     value = (F.when(blank | ref("p").isNull() | (ref("p") < F.lit(GREGORIAN_START)), F.lit(DEFAULT_DATE))
