@@ -178,7 +178,10 @@ def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
     conversion (``convert_columns``) then adds each intermediate (cleaned text,
     regex result, parsed value) as its own column; the last projection
     assembles typed values, the business key and the error array. All of it is
-    narrow, so the chain runs as one whole-stage-codegen pipeline per task.
+    narrow (no shuffle). Up to a few dozen fields the chain runs as one
+    whole-stage-codegen pipeline per task; wider layouts carry more than
+    ``spark.sql.codegen.maxFields`` columns between stages and run as separate
+    compiled projections (see README, "Known cost").
     """
     value = F.col(value_col)
     outs = layout.output_columns
