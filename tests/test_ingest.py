@@ -117,3 +117,26 @@ def test_dq_per_file_by_row_and_key(spark):
     by_row = {r.file_path.split("/")[-1]: r.dq_count for r in p.dq_per_file("row").collect()}
     assert by_key == {k: v[4] for k, v in EXPECTED_SF001.items()}
     assert by_row == {k: v[3] for k, v in EXPECTED_SF001.items()}
+
+
+# FIXTURES §3, sf0.01: file -> (good, rejects, errors, failing rows, distinct failing keys)
+EXPECTED_SF01 = {
+    "LI.AU_A_20240101.TXT": (9782, 243, 2075, 1913, 1795),
+    "LI.AU_N_20240101.TXT": (9721, 281, 2116, 1966, 1869),
+    "LI.AU_R_20240101.TXT": (9804, 233, 2127, 1924, 1839),
+    "LI.NZ_A_20240101.TXT": (9736, 267, 2120, 1945, 1857),
+    "LI.NZ_N_20240101.TXT": (9663, 261, 2085, 1918, 1830),
+    "LI.NZ_R_20240101.TXT": (9756, 253, 2165, 1989, 1899),
+}
+ERRORS_BY_COLUMN_SF01 = {"SHIP_DATE": 3185, "QTY": 3090, "EXT_PRICE": 2529, "DISC": 3884}
+
+
+def test_per_file_counts_match_fixtures_sf01(spark):
+    from conftest import SF01
+    p = parse_lines(lineitem_records(spark, SF01), lineitem_layout(), ParseOptions(LINEITEM_TABLE))
+    rows = p.file_counts().collect()
+    got = {r.file_path.split("/")[-1]: (r.loaded_count, r.raw_count - r.loaded_count, r.dq_error_count,
+                                        r.dq_row_count, r.dq_key_count) for r in rows}
+    assert got == EXPECTED_SF01
+    by_col = {r.column_name: r["count"] for r in p.exceptions().groupBy("column_name").count().collect()}
+    assert by_col == ERRORS_BY_COLUMN_SF01
