@@ -177,13 +177,19 @@ def resolve(name: str) -> str:
     return key
 
 
-def generate(name: str, h: Column, **kwargs) -> Column:
+def check(name: str, kwargs: dict | None = None) -> str:
+    """Validate a generator name and its arguments without building anything."""
     key = resolve(name)
-    fn, allowed = GENERATORS[key]
-    unknown = set(kwargs) - allowed
+    unknown = set(kwargs or {}) - GENERATORS[key][1]
     if unknown:
         raise ValueError(f"mask function {name!r} takes no argument(s) {sorted(unknown)}")
-    return fn(h, **kwargs)
+    if "gender" in (kwargs or {}):
+        _gender_of(kwargs["gender"])
+    return key
+
+
+def generate(name: str, h: Column, **kwargs) -> Column:
+    return GENERATORS[check(name, kwargs)][0](h, **kwargs)
 
 
 def kwargs_text(kwargs: dict | None) -> str:

@@ -161,7 +161,7 @@ def validate_spec(spec: Mapping, columns: list[str]) -> None:
                 raise RuntimeError(f"Lookup column {lookup} of {name} not present in data")
         for p in (column_spec or {}).get("DataProvider") or []:
             if p.get("Function"):
-                gen.generate(str(p["Function"]), F.lit(""), **(p.get("MockKwargs") or {}))
+                gen.check(str(p["Function"]), p.get("MockKwargs") or {})
 
 
 def keyed_mask(df: DataFrame, spec: Mapping, *, salt: str = "",
