@@ -37,7 +37,8 @@ class FixedWidthJob:
     dataset: str = "dataset"
     extra_columns: tuple[str, str] | None = None   # default: dataops_file_name_path, dataops_<dataset>_region
     exception_columns: tuple[str, ...] | None = None
-    num_output_files: int | None = None
+    num_output_files: int | None = None   # fixed count: shuffles the typed rows once
+    max_records_per_file: int | None = None  # bounds file size without a shuffle
     # File counts of the exception and reject outputs (the reference writes at
     # most 10 of each); None lets the data decide, which scales with error volume.
     num_exception_files: int | None = 10
@@ -106,7 +107,8 @@ def run_fixed_width_job(spark: SparkSession, job: FixedWidthJob) -> JobResult:
         raise ValueError("stage must be persist, parquet or none")
 
     try:
-        loaded = publish.write_parquet(parsed.typed(), paths["typed"], job.num_output_files)   # K1
+        loaded = publish.write_parquet(parsed.typed(), paths["typed"], job.num_output_files,  # K1
+                                       job.max_records_per_file)
         n_exc = publish.write_parquet(parsed.exceptions(), paths["exceptions"],
                                       job.num_exception_files)                                 # K2
         exceptions_written = spark.read.parquet(paths["exceptions"])

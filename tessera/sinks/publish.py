@@ -31,10 +31,18 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def write_parquet(df: DataFrame, path: str, num_files: int | None = None) -> int:
-    """K1/K2: Parquet, overwrite; returns the number of rows written."""
+def write_parquet(df: DataFrame, path: str, num_files: int | None = None,
+                  max_records_per_file: int | None = None) -> int:
+    """K1/K2: Parquet, overwrite; returns the number of rows written.
+
+    ``num_files`` fixes the file count with a shuffle of the rows; at large
+    scale prefer ``max_records_per_file``, which bounds file size with no
+    shuffle (each task splits its output)."""
     df, obs = observed(df, "parquet_rows")
-    _sized(df, num_files).write.mode("overwrite").parquet(path)
+    w = _sized(df, num_files).write.mode("overwrite")
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", int(max_records_per_file))
+    w.parquet(path)
     return int(obs.get["rows"])
 
 

@@ -77,7 +77,7 @@ def test_job_without_marker_and_rerun_overwrites(spark, tmp_dir):
     _land(spark, tmp_dir, with_extra=False)
     job = FixedWidthJob(data_dir=f"{tmp_dir}/in", layout_dir=f"{tmp_dir}/meta", file_prefix="LI.",
                         table_name="LINEITEM_FW", run_date="20240101", output_root=f"{tmp_dir}/out",
-                        region_mode="three_way", stage="none")
+                        region_mode="three_way", stage="none", max_records_per_file=1000)
     first = run_fixed_width_job(spark, job)
     second = run_fixed_width_job(spark, job)
     assert first.counts == second.counts
@@ -86,6 +86,8 @@ def test_job_without_marker_and_rerun_overwrites(spark, tmp_dir):
     assert {r.record_length_rejection_count for r in summary} == {first.counts["rejects"]}
     # overwrite, not append, for data outputs; the manifest keeps one row per run
     assert spark.read.parquet(second.paths["typed"]).count() == first.counts["loaded"]
+    files = [f for f in os.listdir(second.paths["typed"]) if f.endswith(".parquet")]
+    assert len(files) >= first.counts["loaded"] // 1000
     assert len(spark.read.parquet(second.paths["manifest"]).collect()) == 2
 
 
