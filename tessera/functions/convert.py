@@ -89,13 +89,13 @@ Ref = Callable[[str], Column]
 
 # --- regex building blocks (Java regex and RE2 agree on all of them) -------
 _DIGITS = "[0-9]+(?:_[0-9]+)*"  # digits with single underscores between them
-_INT_RE = f"^{WS_CLASS}*-?{_DIGITS}{WS_CLASS}*$"
+INT_RE = f"^{WS_CLASS}*-?{_DIGITS}{WS_CLASS}*$"
 # Decimal(): '+' is already removed and every '_' dropped before this test.
-_DEC_RE = r"^-?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][-+]?[0-9]+)?$"
-_FLOAT_NUM_RE = (f"^{WS_CLASS}*[-+]?(?:{_DIGITS}(?:\\.(?:{_DIGITS})?)?|\\.{_DIGITS})"
+DEC_RE = r"^-?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][-+]?[0-9]+)?$"
+FLOAT_NUM_RE = (f"^{WS_CLASS}*[-+]?(?:{_DIGITS}(?:\\.(?:{_DIGITS})?)?|\\.{_DIGITS})"
                  f"(?:[eE][-+]?{_DIGITS})?{WS_CLASS}*$")
-_FLOAT_SPECIAL_RE = f"(?i)^{WS_CLASS}*([-+]?)(inf|infinity|nan){WS_CLASS}*$"
-_STRIP_NUM_CHARS = f"(?:_|{WS_CLASS})"
+FLOAT_SPECIAL_RE = f"(?i)^{WS_CLASS}*([-+]?)(inf|infinity|nan){WS_CLASS}*$"
+STRIP_NUM_CHARS = f"(?:_|{WS_CLASS})"
 
 
 def _squeeze(c: Column) -> Column:
@@ -126,7 +126,7 @@ def number_text_stages(ref: Ref) -> list[dict[str, Column]]:
 
 def plan_long(ref: Ref, with_key: bool = True) -> FieldPlan:
     stages = number_text_stages(ref) + [
-        {"p": F.when(ref("t").rlike(_INT_RE), _squeeze(ref("t")).try_cast("bigint"))}]
+        {"p": F.when(ref("t").rlike(INT_RE), _squeeze(ref("t")).try_cast("bigint"))}]
     value = F.coalesce(ref("p"), F.lit(DEFAULT_NUMBER).cast("bigint"))
     return FieldPlan(stages, Converted(value, ref("p").isNull(), ref("t"), F.lit(MSG_LONG),
                                        value.cast("string")))
@@ -136,7 +136,7 @@ def plan_decimal(ref: Ref, with_key: bool = True) -> FieldPlan:
     stages = number_text_stages(ref) + [
               # Decimal() strips whitespace first, then drops every underscore
               {"n": F.replace(py_strip(ref("t")), F.lit("_"), F.lit(""))},
-              {"p": F.when(ref("n").rlike(_DEC_RE), ref("n").try_cast(DECIMAL_TYPE))}]
+              {"p": F.when(ref("n").rlike(DEC_RE), ref("n").try_cast(DECIMAL_TYPE))}]
     key = F.lit("")
     if with_key:
         key_stages, text = decimal_text_stages(ref)
@@ -153,8 +153,8 @@ def plan_rate(ref: Ref, with_key: bool = True) -> FieldPlan:
     stages = [
         {"h": F.contains(v, F.lit("%")),
          "t": F.when(F.contains(v, F.lit("%")), F.btrim(v, F.lit("%"))).otherwise(v)},
-        {"sp": F.regexp_extract(ref("t"), _FLOAT_SPECIAL_RE, 0),
-         "num": F.when(ref("t").rlike(_FLOAT_NUM_RE), _squeeze(ref("t")).try_cast("double"))},
+        {"sp": F.regexp_extract(ref("t"), FLOAT_SPECIAL_RE, 0),
+         "num": F.when(ref("t").rlike(FLOAT_NUM_RE), _squeeze(ref("t")).try_cast("double"))},
         {"p": F.when(ref("sp") == "", ref("num"))
                .when(F.contains(F.lower(ref("sp")), F.lit("nan")), F.lit(float("nan")))
                .when(F.contains(ref("sp"), F.lit("-")), F.lit(float("-inf")))

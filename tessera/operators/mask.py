@@ -42,7 +42,7 @@ LOOKUP_NAME_SEP = "."
 LOOKUP_VALUE_SEP = "#~"
 
 
-def _phone_check_regex() -> str:
+def phone_check_regex() -> str:
     # PHONE_CHECK at the start of the value; its \s is Python's (Unicode) whitespace.
     return "^(?:" + WS_CLASS + "|[0-9])+"
 
@@ -113,7 +113,7 @@ def _provider_matches(provider: Mapping, value: Column) -> Column | None:
     if vtype == "Email":
         return value.rlike("^(?:" + EMAIL_CHECK + ")")
     if vtype == "Phone":
-        return value.rlike(_phone_check_regex())
+        return value.rlike(phone_check_regex())
     if vtype == "All":
         return F.lit(True)
     return None  # never matches

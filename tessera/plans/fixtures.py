@@ -113,7 +113,7 @@ def lineitem_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return built.select(F.inline_outer(F.array(F.struct(value.alias("value"), F.col("file_path")))))
 
 
-_CONTACT_SQL = {
+CONTACT_SQL = {
     "cust_id": "cast(c_custkey as string)",
     "full_name": "c_name",
     "gender": "case when c_custkey % 3 = 0 then 'F' when c_custkey % 3 = 1 then 'M' end",
@@ -131,4 +131,4 @@ def customer_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-string customer table with null/blank contact values, null gender and
     null contact type (as a delimited file would give)."""
     cust = table(spark, sf_dir, "customer")
-    return cust.select(*[F.expr(sql).alias(name) for name, sql in _CONTACT_SQL.items()])
+    return cust.select(*[F.expr(sql).alias(name) for name, sql in CONTACT_SQL.items()])

@@ -17,9 +17,9 @@ from ..operators import mask as mk
 from ..operators.ingest import EXCEPTION_COLUMNS
 from ..operators.recon import MARKER_COUNT_REGEX
 from . import queries as qs
-from .fixtures import _CONTACT_SQL, LINEITEM_TABLE, lineitem_layout
+from .fixtures import CONTACT_SQL, LINEITEM_TABLE, lineitem_layout
 
-CONTACT_COLUMNS = list(_CONTACT_SQL)
+CONTACT_COLUMNS = list(CONTACT_SQL)
 
 WS = "(" + " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE) + ")"
 
@@ -34,7 +34,7 @@ def strip(x: str) -> str:
 
 
 def squeeze(x: str) -> str:
-    return f"regexp_replace({x}, {q(cv._STRIP_NUM_CHARS)}, '', 'g')"
+    return f"regexp_replace({x}, {q(cv.STRIP_NUM_CHARS)}, '', 'g')"
 
 
 def clean_number(v: str) -> str:
@@ -46,21 +46,21 @@ def clean_number(v: str) -> str:
 
 
 def long_of(s: str) -> str:
-    return f"CASE WHEN regexp_matches({s}, {q(cv._INT_RE)}) THEN TRY_CAST({squeeze(s)} AS BIGINT) END"
+    return f"CASE WHEN regexp_matches({s}, {q(cv.INT_RE)}) THEN TRY_CAST({squeeze(s)} AS BIGINT) END"
 
 
 def decimal_of(s: str) -> str:
     plain = f"replace({strip(s)}, '_', '')"
-    return (f"CASE WHEN regexp_matches({plain}, {q(cv._DEC_RE)}) "
+    return (f"CASE WHEN regexp_matches({plain}, {q(cv.DEC_RE)}) "
             f"THEN TRY_CAST({plain} AS DECIMAL(38,18)) END")
 
 
 def float_of(t: str) -> str:
-    sp = q(cv._FLOAT_SPECIAL_RE)
+    sp = q(cv.FLOAT_SPECIAL_RE)
     return (f"CASE WHEN regexp_matches({t}, {sp}) THEN "
             f"(CASE WHEN lower(regexp_extract({t}, {sp}, 2)) = 'nan' THEN 'nan'::DOUBLE "
             f"WHEN regexp_extract({t}, {sp}, 1) = '-' THEN '-inf'::DOUBLE ELSE 'inf'::DOUBLE END) "
-            f"WHEN regexp_matches({t}, {q(cv._FLOAT_NUM_RE)}) THEN TRY_CAST({squeeze(t)} AS DOUBLE) END")
+            f"WHEN regexp_matches({t}, {q(cv.FLOAT_NUM_RE)}) THEN TRY_CAST({squeeze(t)} AS DOUBLE) END")
 
 
 def rate_parsed(v: str) -> str:
@@ -344,7 +344,7 @@ FROM lineitem"""
 
 def fw_date_variants_sql() -> str:
     cols = ["l_orderkey", "l_linenumber"]
-    for name, pattern in qs._DATE_VARIANTS:
+    for name, pattern in qs.DATE_VARIANTS:
         v = strip(f"text_{name}")
         p = date_parsed(v, pattern)
         cols += [f"{date_value(v, p)} AS date_{name}", f"{date_bad(v, p)} AS bad_{name}"]
@@ -389,7 +389,7 @@ FROM lineitem"""
 
 # --- masking -------------------------------------------------------------------------
 
-CUST_SQL = "SELECT " + ", ".join(f"{sql} AS {name}" for name, sql in _CONTACT_SQL.items()) + " FROM customer"
+CUST_SQL = "SELECT " + ", ".join(f"{sql} AS {name}" for name, sql in CONTACT_SQL.items()) + " FROM customer"
 
 
 def key_hash(salt: str, *parts: str, literal: tuple[bool, ...] = ()) -> str:
@@ -523,7 +523,7 @@ def _keyed_expr(column: str, spec: dict) -> tuple[str, list[str]]:
         if p["ValueType"] == "Email":
             conds.append(f"WHEN regexp_matches({column}, {q('^(?:' + mk.EMAIL_CHECK + ')')}) THEN {outs[i]}")
         elif p["ValueType"] == "Phone":
-            conds.append(f"WHEN regexp_matches({column}, {q(mk._phone_check_regex())}) THEN {outs[i]}")
+            conds.append(f"WHEN regexp_matches({column}, {q(mk.phone_check_regex())}) THEN {outs[i]}")
         elif p["ValueType"] == "All":
             conds.append(f"WHEN true THEN {outs[i]}")
     expr = (f"CASE WHEN {column} IS NULL OR {column} = '' THEN {column} ELSE "

@@ -123,13 +123,13 @@ def _date_texts(spark, sf_dir) -> DataFrame:
     )
 
 
-_DATE_VARIANTS = (("compact", "YYYYMMDD"), ("unpadded", "yyyymmdd"), ("dmy", "DD/MM/YYYY"), ("iso", "YYYY-MM-DD"))
+DATE_VARIANTS = (("compact", "YYYYMMDD"), ("unpadded", "yyyymmdd"), ("dmy", "DD/MM/YYYY"), ("iso", "YYYY-MM-DD"))
 
 
 def fw_date_variants(spark, sf_dir):
     t = _date_texts(spark, sf_dir)
     cols = [F.col("l_orderkey"), F.col("l_linenumber")]
-    for name, pattern in _DATE_VARIANTS:
+    for name, pattern in DATE_VARIANTS:
         t, c = cv.convert_one(t, py_strip(F.col(f"text_{name}")), "date", f"_{name}_", ["*"], pattern)
         cols += [c.value.alias(f"date_{name}"), c.bad.alias(f"bad_{name}")]
     return t.select(*cols)
