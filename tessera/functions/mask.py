@@ -45,7 +45,7 @@ def pick(words: tuple[str, ...], n: Column) -> Column:
     return F.element_at(word_array(words), (n % len(words) + 1).cast("int"))
 
 
-def _gender_of(gender) -> str | Column | None:
+def gender_code(gender) -> str | Column | None:
     if gender is None or isinstance(gender, Column):
         return gender
     g = str(gender).strip().lower()
@@ -58,7 +58,7 @@ def _gender_of(gender) -> str | Column | None:
 
 def first_name(h: Column, gender: Column | str | None = None) -> Column:
     """M1: null gender -> any name; ``F`` -> female; any other value -> male."""
-    g = _gender_of(gender)
+    g = gender_code(gender)
     anyone = pick(vocab.FEMALE_FIRST_NAMES + vocab.MALE_FIRST_NAMES, draw32(h, 0))
     female = pick(vocab.FEMALE_FIRST_NAMES, draw32(h, 0))
     male = pick(vocab.MALE_FIRST_NAMES, draw32(h, 0))
@@ -71,7 +71,7 @@ def first_name(h: Column, gender: Column | str | None = None) -> Column:
 
 def last_name(h: Column, gender: Column | str | None = None) -> Column:
     """M2: surnames are shared by all genders in this locale; gender is accepted."""
-    _gender_of(gender)
+    gender_code(gender)
     return pick(vocab.LAST_NAMES, draw32(h, 1))
 
 
@@ -184,7 +184,7 @@ def check(name: str, kwargs: dict | None = None) -> str:
     if unknown:
         raise ValueError(f"mask function {name!r} takes no argument(s) {sorted(unknown)}")
     if "gender" in (kwargs or {}):
-        _gender_of(kwargs["gender"])
+        gender_code(kwargs["gender"])
     return key
 
 

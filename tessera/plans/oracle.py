@@ -514,7 +514,7 @@ def _keyed_expr(column: str, spec: dict) -> tuple[str, list[str]]:
         hashes.append(f"md5(concat_ws(chr(31), {q(qs.MASK_SALT)}, {q(p['Function'])}, {q(gen.kwargs_text(kw))}, "
                       f"{q(column)}, coalesce({column}, ''), {q(mk.LOOKUP_NAME_SEP.join(lookups))}, {lvals})) AS {hname}")
         if fn == "firstname":
-            g = gen._gender_of(kw.get("gender"))
+            g = gen.gender_code(kw.get("gender"))
             outs.append(g_first(hname, fixed=g) if g else g_first(hname))
         else:
             outs.append(generator_sql(fn, hname))
