@@ -21,6 +21,19 @@ SELECT page_id, host, path, rule, coalesce(r_verdict, 'allow') AS verdict
 FROM parts LEFT JOIN (SELECT * FROM fits WHERE k = 1) USING (rn)
 """
 
+LINE_DEDUP = """
+WITH lines AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+                      generate_subscripts(string_split(text, chr(10)), 1) AS pos
+               FROM documents),
+spread AS (SELECT trim(line) AS k FROM lines WHERE trim(line) <> ''
+           GROUP BY trim(line) HAVING count(DISTINCT coalesce(source, '')) >= 10),
+judged AS (SELECT doc_id, line, pos, k IS NOT NULL AND row_number() OVER (PARTITION BY trim(line) ORDER BY doc_id, pos) > 1 AS gone
+           FROM lines LEFT JOIN spread ON trim(line) = k)
+SELECT doc_id, any_value(n) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM judged) GROUP BY doc_id
+"""
+
 
 def registry() -> dict[str, str]:
-    return {"op10_url_filter": URL_FILTER}
+    return {"op1_line_dedup": LINE_DEDUP, "op10_url_filter": URL_FILTER}
