@@ -39,7 +39,7 @@ TRAIN_LIMIT = 12_000
 THRESHOLD = 0.5
 LEXICON_VOTERS = 8
 MAX_TERMS = 300
-PREFIX_LENGTHS = (4, 5, 6)
+PREFIX_LENGTHS = (4, 5, 6, 7, 8)
 
 # General insults, in alphabetical order.
 GENERAL_TERMS = ("clown", "disgusting", "dumb", "idiot", "imbecile", "loser", "moron", "pathetic", "scum", "stupid",
@@ -125,7 +125,7 @@ def document_votes(column: pa.Array, tables, n_mined: int) -> tuple[np.ndarray,
     return features, votes
 
 
-def mine_terms(sample: DataFrame, *, least: int = 8, ratio: float = 40.0, max_terms: int = MAX_TERMS) -> Lexicon:
+def mine_terms(sample: DataFrame, *, least: int = 6, ratio: float = 40.0, max_terms: int = MAX_TERMS) -> Lexicon:
     """Terms of the ``text, label`` rows: in ``least`` toxic texts or more, and
     ``ratio`` times as common there as in clean ones. Copies count once."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
