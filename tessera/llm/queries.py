@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality, toxicity, url_filter
+from . import line_dedup, ngram_join, quality, toxicity, url_filter
 
 #: Fixed rules of the URL query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -31,9 +31,14 @@ def op8_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_ngram_join(spark, sf_dir):
+    return ngram_join.ngram_links(_table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark, sf_dir):
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op7_quality, op8_toxicity, op10_url_filter)}
+    return {f.__name__: f for f in (op1_line_dedup, op7_quality, op8_toxicity, op9_ngram_join,
+                                   op10_url_filter)}
