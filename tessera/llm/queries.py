@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, nearest, ngram_join, quality, toxicity, url_filter
+from . import decontaminate, line_dedup, nearest, ngram_join, quality, toxicity, url_filter
 
 #: Fixed rules of the URL query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -23,6 +23,10 @@ def op1_line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op2_decontaminate(spark, sf_dir):
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_nearest(spark, sf_dir):
     return nearest.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
@@ -44,5 +48,5 @@ def op10_url_filter(spark, sf_dir):
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op6_nearest, op7_quality, op8_toxicity, op9_ngram_join,
+    return {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op6_nearest, op7_quality, op8_toxicity, op9_ngram_join,
                                    op10_url_filter)}
