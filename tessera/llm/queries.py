@@ -8,11 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, nearest, ngram_join, quality, toxicity, url_filter
+from . import decontaminate, line_dedup, nearest, ngram_join, quality, sentencepieces, toxicity, url_filter
 
 #: Fixed rules of the URL query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
+#: Place of the public SentencePiece model that the query encodes with.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,6 +30,16 @@ def op2_decontaminate(spark, sf_dir):
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_sentencepiece(spark, sf_dir, model_path: str = PIECE_MODEL):
+    model = sentencepieces.read_model(model_path)
+    encoded = sentencepieces.encode_pieces(_table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    decoded = sentencepieces.decode_pieces(encoded, model)
+    return decoded.select("doc_id", F.size(F.coalesce("ids", F.array())).alias("n_tokens"),
+                          F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"),
+                          F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"))
+
+
 def op6_nearest(spark, sf_dir):
     return nearest.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
@@ -48,5 +61,5 @@ def op10_url_filter(spark, sf_dir):
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op6_nearest, op7_quality, op8_toxicity, op9_ngram_join,
+    return {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op4_sentencepiece, op6_nearest, op7_quality, op8_toxicity, op9_ngram_join,
                                    op10_url_filter)}

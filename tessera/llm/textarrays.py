@@ -104,9 +104,19 @@ class SpanHash:
     in constant time, equal for equal bytes wherever they stand."""
 
     def __init__(self, data: np.ndarray, values: np.ndarray = BYTE_VALUE):
-        n = len(data)
+        self._sum(values[data])
+
+    @classmethod
+    def of(cls, values: np.ndarray) -> SpanHash:
+        """Over symbols given by their 64-bit values."""
+        made = cls.__new__(cls)
+        made._sum(values)
+        return made
+
+    def _sum(self, values: np.ndarray) -> None:
+        n = len(values)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values[data] * _power("up", _BASE, n + 1)[:n], out=self.sums[1:])
+        np.cumsum(values * _power("up", _BASE, n + 1)[:n], out=self.sums[1:])
         self.down = _power("down", _INVERSE, n + 1)
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
