@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, nearest, ngram_join, quality, sentencepieces, toxicity, url_filter
+from . import decontaminate, html_extract, line_dedup, nearest, ngram_join, quality, sentencepieces, toxicity, url_filter
 
 #: Fixed rules of the URL query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -30,6 +30,11 @@ def op2_decontaminate(spark, sf_dir):
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_html_text(spark, sf_dir):
+    text = html_extract.extract_text(_table(spark, sf_dir, "pages"))
+    return text.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op4_sentencepiece(spark, sf_dir, model_path: str = PIECE_MODEL):
     model = sentencepieces.read_model(model_path)
     encoded = sentencepieces.encode_pieces(_table(spark, sf_dir, "documents").select("doc_id", "text"), model)
@@ -61,5 +66,5 @@ def op10_url_filter(spark, sf_dir):
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op4_sentencepiece, op6_nearest, op7_quality, op8_toxicity, op9_ngram_join,
+    return {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op3_html_text, op4_sentencepiece, op6_nearest, op7_quality, op8_toxicity, op9_ngram_join,
                                    op10_url_filter)}
