@@ -7,8 +7,10 @@ Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import quality
+from tessera.llm import decontaminate, line_dedup, ngram_join, quality, sentencepieces
+from tessera.llm.queries import PIECE_MODEL
 from tessera.session import shared_dir
 
 
@@ -19,7 +21,34 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return scored.where("predicted = 1").select(*docs.columns)
 
 
-STAGES = [("quality", quality_stage)]
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take boilerplate lines out of the texts. Every document stays."""
+    kept = line_dedup.dedup_lines(docs).drop("n_lines", "n_removed")
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near duplicates, the smallest doc_id.
+    Documents without words and rows without a doc_id are no duplicates; rows
+    that share a doc_id stay or go together."""
+    groups = ngram_join.ngram_links(docs)
+    duplicate = groups.where("group_id < doc_id").select("doc_id").distinct()
+    return docs.join(duplicate, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a benchmark item."""
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Add the piece ids, after which a text can be had back by decoding."""
+    encoded = sentencepieces.encode_pieces(docs, sentencepieces.read_model(PIECE_MODEL))
+    return encoded.withColumn("n_tokens", F.size(F.coalesce("ids", F.array())))
+
+
+STAGES = [("quality", quality_stage), ("line_dedup", line_stage), ("near_duplicates", near_duplicate_stage),
+          ("decontamination", decontamination_stage), ("sentencepiece", encoding_stage)]
 
 #: The classifier and the similarity join have no SQL form.
 ORACLE_SQL = None

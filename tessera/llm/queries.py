@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, line_dedup, nearest, ngram_join, quality, sentencepieces, toxicity, url_filter
+from . import decontaminate, html_extract, line_dedup, nearest, ngram_join, quality, sentencepieces, suffix_dedup, toxicity, url_filter
 
 #: Fixed rules of the URL query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -45,6 +45,12 @@ def op4_sentencepiece(spark, sf_dir, model_path: str = PIECE_MODEL):
                           F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"))
 
 
+def op5_suffix_dedup(spark, sf_dir):
+    kept = suffix_dedup.dedup_suffixes(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                       F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_nearest(spark, sf_dir):
     return nearest.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
@@ -66,5 +72,6 @@ def op10_url_filter(spark, sf_dir):
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op3_html_text, op4_sentencepiece, op6_nearest, op7_quality, op8_toxicity, op9_ngram_join,
-                                   op10_url_filter)}
+    found = (op1_line_dedup, op2_decontaminate, op3_html_text, op4_sentencepiece, op5_suffix_dedup, op6_nearest,
+             op7_quality, op8_toxicity, op9_ngram_join, op10_url_filter)
+    return {f.__name__: f for f in found}
