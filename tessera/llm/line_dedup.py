@@ -38,7 +38,8 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFr
     """``id, digest, site, pos, key`` for every line that is not blank."""
     text = F.col(f"`{text_col}`")
     return (docs.select(F.col(f"`{id_col}`").alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("digest"),
-                        F.coalesce(F.col(f"`{site_col}`").cast("string"), F.lit("")).alias("site"),
+                        # a sketch leaves out empty strings
+                        F.concat(F.lit("="), F.coalesce(F.col(f"`{site_col}`").cast("string"), F.lit(""))).alias("site"),
                         F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
             .where(F.trim("line") != "")
             .select("id", "digest", "site", "pos", F.unhex(F.md5(F.trim("line").cast("binary"))).alias("key")))
