@@ -17,6 +17,7 @@ instead of failing the job.
 from __future__ import annotations
 
 import datetime
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -180,41 +181,35 @@ _DIRECTIVES = {
 _REGEX_SPECIALS = set("\\.^$*+?(){}[]|")
 
 
-def strptime_format(pattern: str) -> str:
-    """Caller's date pattern (``YYYY``, ``MM``, ``DD`` tokens) -> strptime format."""
-    return pattern.upper().replace("YYYY", "%Y").replace("MM", "%m").replace("DD", "%d")
+# The tokens of a caller's date pattern (any case).
+_DATE_TOKEN = re.compile(r"(?P<Y>yyyy)|(?P<m>mm)|(?P<d>dd)|(?P<space>\s+)|(?P<other>.)", re.I | re.S)
 
 
 def date_regex(pattern: str) -> tuple[str, str]:
-    """Regex equivalent of ``strptime(v, fmt)`` and a replacement producing ``y-m-d``.
+    """Regex for texts of ``pattern`` and a replacement producing ``y-m-d``.
 
-    Follows strptime: literal characters match case-insensitively, whitespace
+    Follows Python's ``strptime``: literal characters match case-insensitively, whitespace
     runs match one or more whitespace characters, and the whole text must be
     consumed. Fields the pattern lacks take strptime's defaults (1900-01-01).
     """
-    fmt = strptime_format(pattern)
     parts: list[str] = []
     groups: dict[str, list[int]] = {}
     n = 0
-    i = 0
-    while i < len(fmt):
-        ch = fmt[i]
-        if ch == "%":
-            d = fmt[i + 1] if i + 1 < len(fmt) else ""
-            if d not in _DIRECTIVES or d in groups:
-                raise ValueError(f"unsupported date pattern {pattern!r}")
-            rx, width = _DIRECTIVES[d]
-            groups[d] = list(range(n + 1, n + 1 + width))
+    for token in _DATE_TOKEN.finditer(pattern):
+        kind, text = token.lastgroup, token[0]
+        if kind in _DIRECTIVES:
+            if kind in groups:
+                raise ValueError(f"date pattern {pattern!r} names a part twice")
+            rx, width = _DIRECTIVES[kind]
+            groups[kind] = list(range(n + 1, n + 1 + width))
             n += width
             parts.append(rx)
-            i += 2
-        elif ch in PY_WHITESPACE:
-            while i < len(fmt) and fmt[i] in PY_WHITESPACE:
-                i += 1
+        elif kind == "space":
             parts.append(WS_CLASS + "+")
+        elif text == "%":
+            raise ValueError(f"date pattern {pattern!r} holds a percent sign")
         else:
-            parts.append("\\" + ch if ch in _REGEX_SPECIALS else ch)
-            i += 1
+            parts.append("\\" + text if text in _REGEX_SPECIALS else text)
 
     def ref(d: str, default: str) -> str:
         return "".join(f"${g}" for g in groups[d]) if d in groups else default
@@ -240,7 +235,7 @@ def plan_date(ref: Ref, pattern: str = "YYYYMMDD", with_key: bool = True) -> Fie
     stages = [
         {"r": F.regexp_replace(v, regex, _MATCH_MARK + template)},
         {"parts": F.when(F.startswith(ref("r"), F.lit(_MATCH_MARK)) & ~F.startswith(v, F.lit(_MATCH_MARK)),
-                         F.split(F.substring(ref("r"), 2, 1 << 20), "-"))},
+                         F.split(F.substr(ref("r"), F.lit(2)), "-"))},
         # year 0 does not exist (strptime rejects it); the month is 1-12 by the
         # regex; the day must exist in that month (no 30 February)
         {"p": F.when((y >= 1) & (d <= F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1))))),

@@ -26,6 +26,11 @@ WS_CLASS = "[" + _regex_class_body(PY_WHITESPACE) + "]"
 """Regex character class matching one Python whitespace character."""
 
 
+def column(name: str) -> Column:
+    """The column of that very name: dots and backticks in it are no syntax."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def py_strip(c: Column) -> Column:
     """``str.strip()`` with Python's whitespace set (Spark's trim only removes spaces)."""
     return F.btrim(c, F.lit(PY_WHITESPACE))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import mask as gen
-from ..functions.text import WS_CLASS
+from ..functions.text import WS_CLASS, column
 
 # Mask types usable in a column config (M1-M14), and the meta keys they read.
 TYPES = {
@@ -49,19 +49,41 @@ def phone_check_regex() -> str:
 
 # --- validation (V1-V3) ---------------------------------------------------------
 
+class MaskConfigError(RuntimeError):
+    """All that is wrong with a mask configuration."""
+
+    def __init__(self, problems: list[str]):
+        super().__init__("mask configuration: " + "; ".join(problems))
+        self.problems = problems
+
+
+def config_problems(config: Mapping, columns: list[str]) -> list[str]:
+    """V1-V3: what is wrong with ``config`` for a table with these columns."""
+    found: list[str] = []
+    known = set(columns)
+    for target, entry in config.items():
+        entry = entry or {}
+        needed = {target} | {v for k, v in (entry.get("meta") or {}).items() if k.endswith("column_name")}
+        found += [f"{target!r} needs column {c!r}, which the table lacks" for c in sorted(needed - known, key=str)]
+        if entry.get("type") not in TYPES:
+            found.append(f"{target!r} has the unknown mask type {entry.get('type')!r}")
+        elif entry["type"] == "contact_details" and not (entry.get("meta") or {}).get(TYPES["contact_details"]):
+            found.append(f"{target!r} needs meta {TYPES['contact_details']!r}")
+    return found
+
+
 def validate_config(config: Mapping, columns: list[str]) -> None:
     """V1: every configured column exists; V2: its type is known; V3: every
     ``meta`` key ending in ``column_name`` names an existing column."""
-    for column_name, column_config in config.items():
-        if column_name not in columns:
-            raise RuntimeError(f"Column {column_name} not present in data")
-        type_ = (column_config or {}).get("type")
-        if type_ not in TYPES:
-            raise RuntimeError(f"Not a valid type: {type_}")
-        meta = column_config.get("meta") or {}
-        for key, value in meta.items():
-            if key.endswith("column_name") and value not in columns:
-                raise RuntimeError(f"Column {value} not present in data")
+    if problems := config_problems(config, columns):
+        raise MaskConfigError(problems)
+
+
+def _salted(salt: str) -> str:
+    # without a secret the masks of guessed values can be recomputed by anyone
+    if not isinstance(salt, str) or not salt:
+        raise ValueError("masking needs a salt that is not empty")
+    return salt
 
 
 # --- by type (M1-M15) -------------------------------------------------------------
@@ -72,15 +94,13 @@ def type_mask(type_name: str, h: Column, column_config: Mapping, current: Mappin
     meta = column_config.get("meta") or {}
     meta_key = TYPES[type_name]
     if type_name == "contact_details":
-        if not meta.get(meta_key):
-            raise RuntimeError("contact_details needs meta.contact_type_column_name")
         return gen.contact_details(h, current[meta[meta_key]])
     if meta_key and meta.get(meta_key):
         return gen.generate(type_name, h, gender=current[meta[meta_key]])
     return gen.generate(type_name, h)
 
 
-def apply_mask_config(df: DataFrame, config: Mapping, *, salt: str = "",
+def apply_mask_config(df: DataFrame, config: Mapping, *, salt: str,
                       key_columns: Mapping[str, list[str]] | None = None,
                       validate: bool = True) -> DataFrame:
     """Mask the configured columns in config order, in one projection.
@@ -89,9 +109,12 @@ def apply_mask_config(df: DataFrame, config: Mapping, *, salt: str = "",
     column name and the row key: by default the column's own value (so equal
     values mask equally), or the columns listed in ``key_columns[column]``.
     """
+    _salted(salt)
     if validate:
         validate_config(config, df.columns)
-    current: dict[str, Column] = {c: F.col(c) for c in df.columns}
+    if missing := {k for keys in (key_columns or {}).values() for k in keys} - set(df.columns):
+        raise MaskConfigError([f"key column {c!r} is not in the table" for c in sorted(missing)])
+    current: dict[str, Column] = {c: column(c) for c in df.columns}
     for column_name, column_config in config.items():
         type_name = column_config["type"]
         keys = (key_columns or {}).get(column_name)
@@ -101,11 +124,6 @@ def apply_mask_config(df: DataFrame, config: Mapping, *, salt: str = "",
     return df.select(*[current[c].alias(c) for c in df.columns])
 
 
-def mask_column(df: DataFrame, column_name: str, column_config: Mapping, *, salt: str = "") -> DataFrame:
-    """Mask one column (the single-column form of ``apply_mask_config``)."""
-    return apply_mask_config(df, {column_name: column_config}, salt=salt)
-
-
 # --- by key (M16-M19) ----------------------------------------------------------------
 
 def _provider_matches(provider: Mapping, value: Column) -> Column | None:
@@ -125,16 +143,16 @@ def _provider_value(provider: Mapping, column_name: str, value: Column, lookups:
     if not function:
         return value  # M19: provider without a function leaves the value
     kwargs = provider.get("MockKwargs") or {}
-    lookup_values = F.concat_ws(LOOKUP_VALUE_SEP, *[F.coalesce(F.col(c), F.lit("")) for c in lookups]) \
+    lookup_values = F.concat_ws(LOOKUP_VALUE_SEP, *[F.coalesce(column(c), F.lit("")) for c in lookups]) \
         if lookups else F.lit("")
     h = gen.key_hash(salt, str(function), gen.kwargs_text(kwargs), column_name, value,
                      LOOKUP_NAME_SEP.join(lookups), lookup_values)
     return gen.generate(str(function), h, **kwargs)
 
 
-def keyed_mask_column(column_name: str, column_spec: Mapping | None, salt: str = "") -> Column:
+def keyed_mask_column(column_name: str, column_spec: Mapping | None, salt: str) -> Column:
     """M16 + M17 + M18 for one column, from the row's original values."""
-    value = F.col(column_name)
+    value = column(column_name)
     providers = list((column_spec or {}).get("DataProvider") or [])
     if not providers:
         return value  # M17: empty provider list -> unchanged
@@ -164,14 +182,15 @@ def validate_spec(spec: Mapping, columns: list[str]) -> None:
                 gen.check(str(p["Function"]), p.get("MockKwargs") or {})
 
 
-def keyed_mask(df: DataFrame, spec: Mapping, *, salt: str = "",
+def keyed_mask(df: DataFrame, spec: Mapping, *, salt: str,
                passthrough: tuple[str, ...] = ()) -> DataFrame:
     """Mask every column named in ``spec`` (the ``MockColumns`` mapping) by key;
     other columns pass through unchanged (M19). Columns in ``passthrough`` are
     never masked (e.g. source-file bookkeeping columns)."""
+    _salted(salt)
     spec = spec.get("MockColumns", spec) if isinstance(spec, Mapping) else spec
     validate_spec(spec, df.columns)
     return df.select(*[
-        (keyed_mask_column(c, spec[c], salt) if c in spec and c not in passthrough else F.col(c)).alias(c)
+        (keyed_mask_column(c, spec[c], salt) if c in spec and c not in passthrough else column(c)).alias(c)
         for c in df.columns
     ])

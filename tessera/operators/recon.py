@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import base_name
 
+# The summary's columns, in order.
 SUMMARY_COLUMNS = ("table_name", "file_name", "order_date", "job_run_date",
                    "source_file_record_count", "record_length_rejection_count",
                    "total_records_loaded_count", "clean_record_count",
@@ -62,7 +63,7 @@ def marker_counts(lines: DataFrame, order: Column | None = None,
     return (lines.select(*keep, F.row_number().over(window).alias("line_number"),
                          F.col(value_col).alias("line_content"))
             .select(*keep, "line_number", "line_content",
-                    F.regexp_extract("line_content", MARKER_COUNT_REGEX, 1).try_cast("int").alias("count"))
+                    F.regexp_extract("line_content", MARKER_COUNT_REGEX, 1).try_cast("bigint").alias("count"))
             .orderBy(*keep, "line_number"))
 
 
@@ -136,7 +137,7 @@ def file_summary(inventory: DataFrame, per_file: DataFrame, dq_per_file: DataFra
         rejects = source - F.col("loaded")
     else:
         rows = base
-        source = F.lit(None).cast("int")
+        source = F.lit(None).cast("bigint")
         if per_file_rejects:
             rejects = F.coalesce(F.col("raw_count"), F.lit(0)) - F.col("loaded")
         else:
@@ -147,12 +148,12 @@ def file_summary(inventory: DataFrame, per_file: DataFrame, dq_per_file: DataFra
                 F.col("file_name"),
                 F.lit(iso_order_date(order_date)).alias("order_date"),
                 F.lit(job_run_date).alias("job_run_date"),
-                source.cast("int").alias("source_file_record_count"),
-                rejects.cast("int").alias("record_length_rejection_count"),
-                F.col("loaded").cast("int").alias("total_records_loaded_count"),
-                (F.col("loaded") - F.col("dq")).cast("int").alias("clean_record_count"),
-                F.col("dq").cast("int").alias("data_quality_issue_count"),
-                F.col("n_files").cast("int").alias("number_of_source_files"))
+                source.cast("bigint").alias("source_file_record_count"),
+                rejects.cast("bigint").alias("record_length_rejection_count"),
+                F.col("loaded").cast("bigint").alias("total_records_loaded_count"),
+                (F.col("loaded") - F.col("dq")).cast("bigint").alias("clean_record_count"),
+                F.col("dq").cast("bigint").alias("data_quality_issue_count"),
+                F.col("n_files").cast("bigint").alias("number_of_source_files"))
             .orderBy("file_name"))                                                      # O1
 
 

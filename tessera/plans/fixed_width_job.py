@@ -39,10 +39,10 @@ class FixedWidthJob:
     exception_columns: tuple[str, ...] | None = None
     num_output_files: int | None = None   # fixed count: shuffles the typed rows once
     max_records_per_file: int | None = None  # bounds file size without a shuffle
-    # File counts of the exception and reject outputs (the reference writes at
-    # most 10 of each); None lets the data decide, which scales with error volume.
-    num_exception_files: int | None = 10
-    num_reject_files: int | None = 10
+    # Fixed file counts of the exception and reject outputs, for small feeds: each
+    # shuffles its rows into that many tasks. None writes where the rows are.
+    num_exception_files: int | None = None
+    num_reject_files: int | None = None
     stage: str = "persist"         # persist | parquet | none
     per_file_rejects: bool = False
     distinct_by: str = "key"

@@ -293,7 +293,7 @@ def marker_cte() -> str:
     return (f"ml AS (SELECT {base_name('file_path')} AS name, "
             f"{base_name('file_path')} || ': ' || CAST(raw_count AS VARCHAR) AS line_content FROM pf),\n"
             f"mk AS (SELECT row_number() OVER (ORDER BY name) AS line_number, line_content, "
-            f"TRY_CAST(regexp_extract(line_content, {q(MARKER_COUNT_REGEX)}, 1) AS INTEGER) AS count FROM ml)")
+            f"TRY_CAST(regexp_extract(line_content, {q(MARKER_COUNT_REGEX)}, 1) AS BIGINT) AS count FROM ml)")
 
 
 def fw_marker_counts_sql() -> str:
@@ -316,11 +316,11 @@ def summary_sql(marker: bool) -> str:
         frm = "b"
     return (f"WITH {per_file_cte()},\n{marker_cte()},\n{base}\n"
             f"SELECT {q(LINEITEM_TABLE)} AS table_name, file_name, {q(order_date)} AS order_date, "
-            f"{q(qs.JOB_RUN_DATE)} AS job_run_date, CAST({src} AS INTEGER) AS source_file_record_count, "
-            f"CAST({rej} AS INTEGER) AS record_length_rejection_count, "
-            f"CAST(loaded AS INTEGER) AS total_records_loaded_count, "
-            f"CAST(loaded - dq AS INTEGER) AS clean_record_count, CAST(dq AS INTEGER) AS data_quality_issue_count, "
-            f"CAST(n_files AS INTEGER) AS number_of_source_files FROM {frm} ORDER BY file_name")
+            f"{q(qs.JOB_RUN_DATE)} AS job_run_date, CAST({src} AS BIGINT) AS source_file_record_count, "
+            f"CAST({rej} AS BIGINT) AS record_length_rejection_count, "
+            f"CAST(loaded AS BIGINT) AS total_records_loaded_count, "
+            f"CAST(loaded - dq AS BIGINT) AS clean_record_count, CAST(dq AS BIGINT) AS data_quality_issue_count, "
+            f"CAST(n_files AS BIGINT) AS number_of_source_files FROM {frm} ORDER BY file_name")
 
 
 # --- scalar-rule queries ---------------------------------------------------------------

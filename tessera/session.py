@@ -15,8 +15,8 @@ JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    When the session has none (local tests), one is created and set, so code
-    never silently falls back to a machine-local folder on a cluster.
+    When a local session has none (tests), one is created and set; on a
+    cluster that is an error, so no code falls back to a machine's own folder.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None) or ensure_checkpoint_dir(spark)
     return "/".join([root.rstrip("/"), *parts, uuid.uuid4().hex])
@@ -36,6 +36,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not root:
+        if not spark.conf.get("spark.master", sc.master).startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, root)
     sc.setCheckpointDir(root)

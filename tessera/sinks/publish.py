@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,15 +92,17 @@ def append_landing(spark: SparkSession, manifest_path: str, *, table_name: str,
 
 
 def write_delimited(df: DataFrame, path: str, file_type: str = "csv", delimiter: str = ",",
-                    partition_by: str | None = None, quote_empty: bool = True) -> None:
-    """K9: delimited text with a header row, overwrite.
+                    partition_by: str | None = None, quote_empty: bool = True, mode: str = "overwrite") -> None:
+    """K9: delimited text with a header row.
 
     ``partition_by`` writes one folder per value of that column (used for
     per-source-file output, S10/K10); ``quote_empty=False`` writes empty
     strings as nothing, like a plain CSV writer."""
     if file_type != "csv":
         raise RuntimeError(f"File type {file_type!r} is not supported; only csv is")
-    w = df.write.mode("overwrite").option("header", "true").option("sep", delimiter)
+    w = df.write.mode(mode).option("header", "true").option("sep", delimiter)
+    # a quote within a field is doubled, blanks at its ends are kept
+    w = w.option("escape", '"').option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
     if not quote_empty:
         w = w.option("emptyValue", "")
     if partition_by:
@@ -108,17 +110,11 @@ def write_delimited(df: DataFrame, path: str, file_type: str = "csv", delimiter:
     w.csv(path)
 
 
-def redated_name(name, test_date: str | None):
+def redated_name(name: Column, test_date: str | None) -> Column:
     """Replace the last ``_`` token of the stem with ``test_date`` (one dot
-    before the suffix). Works on a Column or a plain string."""
+    before the suffix)."""
     if not test_date:
         return name
-    if isinstance(name, str):
-        stem, dot, suffix = name.rpartition(".")
-        if not dot:
-            stem, suffix = name, ""
-        head = "_".join(stem.split("_")[:-1])
-        return f"{head}_{test_date}" + (f".{suffix}" if dot else "")
     has_dot = F.contains(name, F.lit("."))
     stem = F.when(has_dot, F.regexp_extract(name, r"^(.*)\.[^.]*$", 1)).otherwise(name)
     suffix = F.when(has_dot, F.regexp_extract(name, r"(\.[^.]*)$", 1)).otherwise(F.lit(""))

@@ -9,10 +9,13 @@ from pyspark.sql import SparkSession
 
 def read_document(spark: SparkSession, path: str) -> str:
     """Whole text of one small file through Spark's file systems (any scheme)."""
-    rows = spark.read.text(path, wholetext=True).collect()
-    if not rows:
+    documents = spark.read.text(path, wholetext=True)
+    files = documents.inputFiles()
+    if not files:
         raise FileNotFoundError(path)
-    return rows[0].value
+    if len(files) > 1:
+        raise ValueError(f"{path} holds {len(files)} files; a configuration is one file")
+    return documents.first().value
 
 
 def load_mask_config(spark: SparkSession, path: str) -> dict:

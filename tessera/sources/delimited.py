@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.text import base_name, decode_path
+from ..functions.text import base_name, column, decode_path
 
 SUPPORTED_FILE_TYPES = ("csv",)
+PIPE = "|"
+SOURCE_COLUMNS = ("_source_path", "_source_name")
+
+
+def _check_type(file_type: str) -> None:
+    if file_type not in SUPPORTED_FILE_TYPES:
+        raise RuntimeError(f"cannot read {file_type!r} files, only {', '.join(SUPPORTED_FILE_TYPES)}")
+
+
+def _with_source(df: DataFrame) -> DataFrame:
+    p = decode_path(F.col("_metadata.file_path"))
+    path, name = SOURCE_COLUMNS
+    return df.select("*", p.alias(path), base_name(p).alias(name))
+
+
+def _empty_text(df: DataFrame) -> DataFrame:
+    return df.select(*[F.coalesce(column(c), F.lit("")).alias(c) if t == "string" and c not in SOURCE_COLUMNS else column(c)
+                       for c, t in df.dtypes])
 
 
 def read_delimited(spark: SparkSession, path: str | list[str], file_type: str = "csv",
@@ -15,22 +37,50 @@ def read_delimited(spark: SparkSession, path: str | list[str], file_type: str =
                    empty_as_null: bool = True) -> DataFrame:
     """Header row, caller's delimiter, every column a string (no inference).
 
-    ``with_source=True`` adds ``_source_path`` and ``_source_name`` (S10);
-    ``empty_as_null=False`` reads empty fields as ``''`` like a plain CSV reader.
+    All files must have the same header; one that differs is an error, as its
+    values would land in other columns. ``with_source=True`` adds
+    ``_source_path`` and ``_source_name``; ``empty_as_null=False`` reads empty
+    fields as ``''`` like a plain CSV reader.
     """
-    if file_type not in SUPPORTED_FILE_TYPES:
-        raise RuntimeError(f"File type {file_type!r} is not supported; only csv is")
-    df = (spark.read.option("header", "true").option("sep", delimiter)
+    _check_type(file_type)
+    df = (spark.read.option("header", "true").option("sep", delimiter).option("enforceSchema", "false")
           .option("inferSchema", "false").csv(path))
-    if not empty_as_null:
-        df = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in df.columns])
     if with_source:
-        p = decode_path(F.col("_metadata.file_path"))
-        df = df.select("*", p.alias("_source_path"), base_name(p).alias("_source_name"))
-    return df
+        df = _with_source(df)
+    return df if empty_as_null else _empty_text(df)
+
 
+def pipe_headers(spark: SparkSession, directory: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a folder by their header (the columns of the first line).
+
+    One pass over the folder's lines keeps the first of every file, so only one
+    line per file reaches the driver. A file without a line has no rows.
+    """
+    lines = spark.read.text(directory)
+    first = (lines.where(F.col("_metadata.file_block_start") == 0)
+             .select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+             .groupBy("file").agg(F.min_by("value", "at").alias("line")))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for r in first.orderBy("file").collect():
+        header = tuple(next(csv.reader([r.line], delimiter=PIPE), ()))
+        found.setdefault(header, []).append(r.file)
+    return found
 
-def read_pipe_directory(spark: SparkSession, directory: str) -> DataFrame:
-    """Every pipe-delimited file of a directory (same header), with its
-    source; empty fields are ``''`` (the files carry no nulls)."""
-    return read_delimited(spark, directory, "csv", "|", with_source=True, empty_as_null=False)
+
+def read_pipe_directory(spark: SparkSession, directory: str, *, multi_line: bool = True) -> Iterator[DataFrame]:
+    """The pipe-delimited files of a folder, one DataFrame per distinct
+    header, with ``_source_path`` and ``_source_name``.
+
+    Fields may be quoted (a doubled quote stands for one), hold line breaks and
+    blanks at either end; empty fields are ``''``. A row with more or fewer
+    fields than its header is an error. ``multi_line=False`` lets Spark split
+    large files, for folders where no field holds a line break.
+    """
+    for header, files in pipe_headers(spark, directory).items():
+        if len(set(header)) < len(header) or not all(header):
+            raise ValueError(f"header {PIPE.join(header)!r} of {files[0]} has an empty or repeated name")
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        df = (spark.read.schema(schema).option("header", "true").option("sep", PIPE).option("basePath", directory)
+              .option("quote", '"').option("escape", '"').option("multiLine", str(multi_line).lower())
+              .option("mode", "FAILFAST").option("columnPruning", "false").csv(files))
+        yield _empty_text(_with_source(df))

@@ -23,8 +23,9 @@ def test_entry(spark):
     assert sum(r.total_records_loaded_count for r in rows) == 5828
 
 
-def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+def test_every_table_query_has_an_oracle():
+    assert set(ORACLES) <= set(QUERIES)
+    assert all(name in ORACLES for name in QUERIES if name.startswith(("fw_", "mask_")))
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +36,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF001)
     rows = [tuple(r) for r in df.collect()]
