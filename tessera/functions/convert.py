@@ -360,7 +360,8 @@ def python_float_text_stages(ref: Ref, d: Column) -> tuple[list[dict[str, Column
         F.substr(digits, F.lit(1), F.lit(1)),
         F.when(n > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2), n))).otherwise(F.lit("")),
         F.lit("e"), F.when(x >= 0, F.lit("+")).otherwise(F.lit("-")),
-        F.lpad(F.abs(x).cast("string"), 2, "0"),
+        # two digits at least (lpad would cut a third one off)
+        F.when(F.abs(x) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(x).cast("string"),
     )
     body = F.when(x >= 16, sci).when(x >= 0, fixed_pos).when(x >= -4, fixed_neg).otherwise(sci)
     j = ref("j")

@@ -32,6 +32,12 @@ REGION_AU, REGION_NZ = "AU", "NZ"
 # Internal column names of the parsed frame.
 GOOD, PATH, KEY, ERRORS, NERR, REJECT, VALUE = "_good", "_path", "_key", "_errors", "_n_errors", "_reject", "_value"
 
+
+def field_name(position: int) -> str:
+    """Name of a field until it is output: layout names may be anything."""
+    return f"_f{position}"
+
+
 ERROR_TYPE = T.ArrayType(T.StructType([
     T.StructField("column_name", T.StringType()),
     T.StructField("column_value", T.StringType()),
@@ -79,7 +85,7 @@ class Parsed:
     # -- outputs -------------------------------------------------------------
     def typed(self) -> DataFrame:
         """Good-width rows with typed fields, then the path and region columns."""
-        cols = [F.col(c.name) for c in self.layout.output_columns]
+        cols = [F.col(field_name(c.position)).alias(c.name) for c in self.layout.output_columns]
         if self.options.extra_columns:
             path_name, region_name = self.options.extra_columns
             cols += [F.col(PATH).alias(path_name),
@@ -92,7 +98,7 @@ class Parsed:
         return out
 
     def _error_rows(self) -> DataFrame:
-        # The error array holds one slot per checked field (null = no error).
+        # Only rows with errors have an array: one slot per checked field (null = no error).
         # ``inline_outer`` + a filter above the Generate: with plain ``inline``
         # Catalyst infers ``size(errors) > 0`` and pushes it down to the scan,
         # re-evaluating the whole conversion inside one huge filter.
@@ -196,27 +202,27 @@ def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
         date_pattern=options.date_pattern,
         key_fields={f"_f{c.position}_" for c in outs if c.is_key},
     )
-    by_name = {c.name: conv[f"_f{c.position}_"] for c in outs}
+    by_position = {c.position: conv[f"_f{c.position}_"] for c in outs}
 
-    key_parts = [F.concat(F.lit(f"{c.name}="), by_name[c.name].key_text) for c in outs if c.is_key]
+    key_parts = [F.concat(F.lit(f"{c.name}="), by_position[c.position].key_text) for c in outs if c.is_key]
     key = F.concat_ws("|", *key_parts) if key_parts else F.lit("")
 
-    checked = [c for c in outs if by_name[c.name].bad is not None]
+    checked = [c for c in outs if by_position[c.position].bad is not None]
     # One slot per checked field, null when the field is fine (no array_compact:
     # it is a lambda function and would take this projection out of codegen).
-    errors = [F.when(by_name[c.name].bad, F.struct(
+    errors = [F.when(by_position[c.position].bad, F.struct(
                   F.lit(c.name).alias("column_name"),
-                  by_name[c.name].error_text.alias("column_value"),
-                  by_name[c.name].message.alias("error_message")))
+                  by_position[c.position].error_text.alias("column_value"),
+                  by_position[c.position].message.alias("error_message")))
               for c in checked]
     error_array = F.array(*errors) if errors else F.array().cast(ERROR_TYPE)
-    n_errors = sum((by_name[c.name].bad.cast("int") for c in checked), F.lit(0))
+    n_errors = sum((by_position[c.position].bad.cast("int") for c in checked), F.lit(0))
 
     frame = staged.select(
         F.col(PATH), F.col(GOOD),
-        *[by_name[c.name].value.alias(c.name) for c in outs],
+        *[by_position[c.position].value.alias(field_name(c.position)) for c in outs],
         key.alias(KEY),
-        F.when(F.col(GOOD), error_array).alias(ERRORS),
+        F.when(F.col(GOOD) & (n_errors > 0), error_array).alias(ERRORS),
         F.when(F.col(GOOD), n_errors).otherwise(F.lit(0)).alias(NERR),
         F.when(~F.col(GOOD), F.col(VALUE)).alias(REJECT),
     )

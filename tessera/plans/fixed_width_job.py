@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.ingest import ParseOptions, Parsed, parse_lines
 from ..operators.layout import Layout, load_layout, pick_layout_as_of
 from ..operators.recon import SUMMARY_COLUMNS, file_summary, job_timestamp, marker_mismatch
-from ..session import shared_dir
+from ..session import remove_dir, shared_dir
 from ..sinks import publish
 from ..sources.text import list_files, read_dir_lines, read_marker
 
@@ -36,6 +36,7 @@ class FixedWidthJob:
     region_mode: str = "two_way"
     dataset: str = "dataset"
     extra_columns: tuple[str, str] | None = None   # default: dataops_file_name_path, dataops_<dataset>_region
+    path_columns: bool = True      # False: typed rows without the path and region columns (P7)
     exception_columns: tuple[str, ...] | None = None
     num_output_files: int | None = None   # fixed count: shuffles the typed rows once
     max_records_per_file: int | None = None  # bounds file size without a shuffle
@@ -43,7 +44,9 @@ class FixedWidthJob:
     # shuffles its rows into that many tasks. None writes where the rows are.
     num_exception_files: int | None = None
     num_reject_files: int | None = None
-    stage: str = "persist"         # persist | parquet | none
+    # parquet: parsed lines staged once under spark.checkpoint.dir and removed at the
+    # end; persist: kept on the executors; none: every output parses again
+    stage: str = "parquet"
     per_file_rejects: bool = False
     distinct_by: str = "key"
     on_marker_mismatch: str = "empty"   # empty | raise
@@ -53,6 +56,7 @@ class FixedWidthJob:
     layout_path: str | None = None # a fixed layout file instead of the dated pick (S4)
 
     def paths(self) -> dict[str, str]:
+        # The folder names 01_detail and 00_header.
         t = self.table_name.lower()
         r = self.output_root.rstrip("/")
         return {
@@ -94,59 +98,74 @@ def run_fixed_width_job(spark: SparkSession, job: FixedWidthJob) -> JobResult:
     result = JobResult(layout_path, layout, paths=paths)
 
     extra = job.extra_columns or ("dataops_file_name_path", f"dataops_{job.dataset}_region")
-    options = ParseOptions(job.table_name, job.date_pattern, job.region_mode, extra,
+    options = ParseOptions(job.table_name, job.date_pattern, job.region_mode, extra if job.path_columns else None,
                            **({"exception_columns": job.exception_columns} if job.exception_columns else {}))
     scan_prefix = None if job.scan_all_files else job.file_prefix
     lines = read_dir_lines(spark, job.data_dir, scan_prefix, job.line_sep)     # S1, S2
     parsed: Parsed = parse_lines(lines, layout, options)
-    if job.stage == "persist":
-        parsed.persist()
-    elif job.stage == "parquet":
-        parsed.stage(shared_dir(spark, "tessera-stage", job.table_name.lower()))
-    elif job.stage != "none":
-        raise ValueError("stage must be persist, parquet or none")
-
+    staged = None
     try:
-        loaded = publish.write_parquet(parsed.typed(), paths["typed"], job.num_output_files,  # K1
-                                       job.max_records_per_file)
-        n_exc = publish.write_parquet(parsed.exceptions(), paths["exceptions"],
-                                      job.num_exception_files)                                 # K2
-        exceptions_written = spark.read.parquet(paths["exceptions"])
-        # K3 (+K4): CSV copy of the exceptions, from the Parquet just written.
-        publish.write_csv_detail(exceptions_written, paths["dq_detail"], job.num_exception_files)
-        if n_exc > 0:
-            publish.write_header(spark, exceptions_written.columns, paths["dq_header"])
-        n_rej = publish.write_text(parsed.width_rejects(), paths["rejects"], job.num_reject_files)  # K5
-        publish.append_landing(spark, paths["manifest"], table_name=job.table_name,         # K7
-                               order_date=job.run_date, output_path=paths["typed"],
-                               loaded=loaded, exceptions=n_exc, rejects=n_rej)
+        if job.stage == "parquet":
+            staged = shared_dir(spark, "tessera-stage", job.table_name.lower())
+            parsed.stage(staged)
+        elif job.stage == "persist":
+            parsed.persist()
+        elif job.stage != "none":
+            raise ValueError("stage must be persist, parquet or none")
+        _publish(spark, job, result, parsed, inventory)
+    finally:
+        parsed.unpersist()
+        inventory.unpersist()
+        if staged is not None:
+            remove_dir(spark, staged)
+    return result
 
-        per_file = parsed.file_counts().cache()
-        dq = parsed.dq_per_file(job.distinct_by)
+
+def _publish(spark: SparkSession, job: FixedWidthJob, result: JobResult, parsed: Parsed, inventory: DataFrame) -> None:
+    """All outputs of the parsed lines; the landing row comes last."""
+    paths = result.paths
+    per_file = parsed.file_counts().cache()
+    try:
+        totals = per_file.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("raw_count", "loaded_count", "dq_error_count")]).first()
         marker = read_marker(spark, job.marker_path) if job.marker_path else None
         if marker is not None:
-            n_files, n_lines = marker_mismatch(inventory, marker)                        # R2
+            n_files, n_lines = marker_mismatch(inventory, marker)                            # R2
             result.marker_ok = n_files == n_lines
             if not result.marker_ok:
-                msg = (f"marker has {n_lines} lines for {n_files} files: "
-                       "daily reconciliation not possible")
+                msg = f"{n_files} files but {n_lines} marker lines: the files cannot be reconciled"
                 if job.on_marker_mismatch == "raise":
                     raise ValueError(msg)
                 log.error(msg)
-        summary = file_summary(inventory, per_file, dq, table_name=job.table_name,
-                               order_date=job.run_date,
-                               job_run_date=job.job_run_date or job_timestamp(),
-                               marker=marker, per_file_rejects=job.per_file_rejects)
-        summary = summary.select(*SUMMARY_COLUMNS).cache()
-        publish.write_csv_detail(summary.coalesce(1), paths["summary_detail"])              # K6
-        publish.write_header(spark, list(SUMMARY_COLUMNS), paths["summary_header"])       # K4
+
+        loaded = publish.write_parquet(parsed.typed(), paths["typed"], job.num_output_files,     # K1
+                                       job.max_records_per_file)
+        n_exc = publish.write_parquet(parsed.exceptions(), paths["exceptions"], job.num_exception_files)  # K2
+        if n_exc:                                                                           # F4
+            # K3 (+K4): CSV copy of the exceptions, from the Parquet just written.
+            written = spark.read.parquet(paths["exceptions"])
+            publish.write_csv_detail(written, paths["dq_detail"], job.num_exception_files)
+            publish.write_header(spark, written.columns, paths["dq_header"])
+        else:
+            remove_dir(spark, paths["dq_detail"])
+        n_rej = totals.raw_count - totals.loaded_count
+        if n_rej:
+            n_rej = publish.write_text(parsed.width_rejects(), paths["rejects"], job.num_reject_files)  # K5
+        else:
+            remove_dir(spark, paths["rejects"])
+
+        by = "dq_key_count" if job.distinct_by == "key" else "dq_row_count"
+        stats = per_file.select("file_path", "raw_count", "loaded_count", F.col(by).alias("dq_count"))
+        summary = file_summary(inventory, stats, None, table_name=job.table_name, order_date=job.run_date,
+                               job_run_date=job.job_run_date or job_timestamp(), marker=marker,
+                               per_file_rejects=job.per_file_rejects).select(*SUMMARY_COLUMNS)
         publish.write_parquet(summary.coalesce(1), paths["summary_parquet"])
-        totals = per_file.agg(F.sum("raw_count").alias("raw")).first()
-        result.counts = {"raw": int(totals.raw or 0), "loaded": loaded, "exceptions": n_exc,
-                         "rejects": n_rej, "files": inventory.count()}
-        summary.unpersist()
-        per_file.unpersist()
+        publish.write_csv_detail(spark.read.parquet(paths["summary_parquet"]).orderBy("file_name").coalesce(1),
+                                 paths["summary_detail"])                                      # K6
+        publish.write_header(spark, list(SUMMARY_COLUMNS), paths["summary_header"])           # K4
+        publish.append_landing(spark, paths["manifest"], table_name=job.table_name,             # K7
+                               order_date=job.run_date, output_path=paths["typed"],
+                               loaded=loaded, exceptions=n_exc, rejects=n_rej)
+        result.counts = {"raw": int(totals.raw_count), "loaded": loaded, "exceptions": n_exc, "rejects": n_rej,
+                         "files": inventory.count()}
     finally:
-        parsed.unpersist()
-        inventory.unpersist()
-    return result
+        per_file.unpersist()

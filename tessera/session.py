@@ -44,6 +44,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or root
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder, through whatever file system holds it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def local_session(cpus: int | str = "*", app: str = "tessera", shuffle_partitions: int = 8) -> SparkSession:
     """Local session for tests and the bench (the library itself takes any session)."""
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName(app)

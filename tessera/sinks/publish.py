@@ -38,8 +38,9 @@ def write_parquet(df: DataFrame, path: str, num_files: int | None = None,
     ``num_files`` fixes the file count with a shuffle of the rows; at large
     scale prefer ``max_records_per_file``, which bounds file size with no
     shuffle (each task splits its output)."""
-    df, obs = observed(df, "parquet_rows")
-    w = _sized(df, num_files).write.mode("overwrite")
+    # counted after the shuffle: a map task run again must not count twice
+    df, obs = observed(_sized(df, num_files), "parquet_rows")
+    w = df.write.mode("overwrite")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
     w.parquet(path)
@@ -48,8 +49,8 @@ def write_parquet(df: DataFrame, path: str, num_files: int | None = None,
 
 def write_csv_detail(df: DataFrame, path: str, num_files: int | None = None, sep: str = ",") -> int:
     """K3/K6: headerless CSV, overwrite; returns rows written."""
-    df, obs = observed(df, "csv_rows")
-    (_sized(df, num_files).write.mode("overwrite").option("header", "false")
+    df, obs = observed(_sized(df, num_files), "csv_rows")
+    (df.write.mode("overwrite").option("header", "false")
      .option("sep", sep).csv(path))
     return int(obs.get["rows"])
 
@@ -66,8 +67,8 @@ def write_header(spark: SparkSession, columns: list[str], path: str) -> None:
 
 def write_text(df: DataFrame, path: str, num_files: int | None = None) -> int:
     """K5: the ``value`` column as text lines, overwrite; returns rows written."""
-    df, obs = observed(df.select("value"), "text_rows")
-    _sized(df, num_files).write.mode("overwrite").text(path)
+    df, obs = observed(_sized(df.select("value"), num_files), "text_rows")
+    df.write.mode("overwrite").text(path)
     return int(obs.get["rows"])
 
 

@@ -91,6 +91,24 @@ def test_job_without_marker_and_rerun_overwrites(spark, tmp_dir):
     assert len(spark.read.parquet(second.paths["manifest"]).collect()) == 2
 
 
+def test_clean_run_leaves_no_empty_parts_and_no_staged_data(spark, tmp_dir):
+    _land(spark, tmp_dir, with_extra=False)
+    job = FixedWidthJob(data_dir=f"{tmp_dir}/in", layout_dir=f"{tmp_dir}/meta", file_prefix="LI.", table_name="T",
+                        run_date="20240101", output_root=f"{tmp_dir}/out", path_columns=False)
+    dirty = run_fixed_width_job(spark, job)
+    assert dirty.counts["rejects"] > 0 and os.path.isdir(dirty.paths["rejects"]) and os.path.isdir(dirty.paths["dq_detail"])
+    assert spark.read.parquet(dirty.paths["typed"]).columns == [c.name for c in dirty.layout.output_columns]
+    os.makedirs(f"{tmp_dir}/clean")
+    with open(f"{tmp_dir}/clean/LI.AU_1.TXT", "w") as f:
+        f.write("0000000001" + "01" + "20240101" + "+00001" + "00000000001.00" + "0.05  " + "A  " + "ZZZZZ" + "\n")
+    job.data_dir = f"{tmp_dir}/clean"
+    clean = run_fixed_width_job(spark, job)
+    assert clean.counts == {"raw": 1, "loaded": 1, "exceptions": 0, "rejects": 0, "files": 1}
+    assert not os.path.exists(clean.paths["rejects"]) and not os.path.exists(clean.paths["dq_detail"])
+    stage = spark.conf.get("spark.checkpoint.dir") + "/tessera-stage/t"
+    assert not os.path.isdir(stage) or os.listdir(stage) == []
+
+
 def test_job_marker_mismatch(spark, tmp_dir):
     _land(spark, tmp_dir, with_extra=False)
     with open(f"{tmp_dir}/marker.txt", "a") as f:
@@ -102,8 +120,10 @@ def test_job_marker_mismatch(spark, tmp_dir):
     assert res.marker_ok is False
     assert spark.read.parquet(res.paths["summary_parquet"]).count() == 0
     job.on_marker_mismatch = "raise"
+    landed = spark.read.parquet(res.paths["manifest"]).count()
     with pytest.raises(ValueError):
         run_fixed_width_job(spark, job)
+    assert spark.read.parquet(res.paths["manifest"]).count() == landed  # a failed run is not announced
 
 
 def test_job_no_layout(spark, tmp_dir):

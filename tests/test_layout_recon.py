@@ -127,3 +127,26 @@ def test_summary_join_on_base_name(spark):
     assert [(r.file_name, r.total_records_loaded_count) for r in by_path] == [("A.TXT", 0), ("B.TXT", 0)]
     assert [(r.file_name, r.total_records_loaded_count, r.clean_record_count) for r in by_name] == [
         ("A.TXT", 8, 6), ("B.TXT", 0, 0)]
+
+
+def test_counts_beyond_32_bits(spark):
+    big = 3_000_000_000
+    lines = spark.createDataFrame([(f"A: {big}",), ("B: 7",)], "value string")
+    marker = marker_counts(lines, order=F.col("value"))
+    assert [r["count"] for r in marker.collect()] == [big, 7]
+    inventory = spark.createDataFrame([("/a", "A"), ("/b", "B")], "file_path string, file_name string")
+    stats = spark.createDataFrame([("/a", big, big - 1, 5), ("/b", 7, 7, 0)], "file_path string, raw_count long, loaded_count long, dq_count long")
+    kw = dict(table_name="T", order_date="20240101", job_run_date="x")
+    rows = file_summary(inventory, stats, None, marker=marker, **kw).collect()
+    assert (rows[0].source_file_record_count, rows[0].record_length_rejection_count, rows[0].total_records_loaded_count) == (big, 1, big - 1)
+    alone = file_summary(inventory, stats.withColumn("loaded_count", F.lit(0).cast("long")), None, **kw).collect()
+    assert alone[0].record_length_rejection_count == big + 7
+
+
+def test_separate_failing_row_counts_are_joined(spark):
+    inventory = spark.createDataFrame([("/a", "A"), ("/b", "B"), ("/c", "C")], "file_path string, file_name string")
+    per_file = spark.createDataFrame([("/a", 5, 5), ("/b", 4, 3), ("/x", 1, 1)], "file_path string, raw_count long, loaded_count long")
+    dq = spark.createDataFrame([("/b", 2)], "file_path string, dq_count long")
+    rows = file_summary(inventory, per_file, dq, table_name="T", order_date="20240101", job_run_date="x").collect()
+    assert [(r.file_name, r.total_records_loaded_count, r.clean_record_count, r.data_quality_issue_count) for r in rows] == [
+        ("A", 5, 5, 0), ("B", 3, 1, 2), ("C", 0, 0, 0)]
