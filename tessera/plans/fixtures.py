@@ -25,6 +25,7 @@ LINEITEM_LAYOUT_CSV = """\
 8,FILLERS,STRING,5,N
 """
 LINEITEM_TABLE = "LINEITEM_FW"
+EMPTY_FILE, OTHER_FILE = "LI.AU_Z_20240101.TXT", "OTHER_20240101.TXT"
 
 
 def lineitem_layout() -> Layout:
@@ -32,46 +33,9 @@ def lineitem_layout() -> Layout:
     return Layout.from_fields([(r[1], r[2], int(r[3]), r[4]) for r in rows])
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table. ``spread=True`` redistributes it round-robin when the scan
-    gives fewer tasks than the session can run: the driver's files are single
-    row groups, so without it a CPU-heavy parse would run in one task. Inputs
-    that already split into enough tasks (many files or row groups) are left
-    alone, so no shuffle is added at scale."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if spread:
-        n = _parallelism(spark)
-        if _single_row_group(df) or _scan_tasks(df) < n:
-            df = df.repartition(n)
-    return df
-
-
-def _parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # e.g. a Spark Connect session has no SparkContext
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-
-
-def _scan_tasks(df: DataFrame) -> int:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect): rely on the row-group check
-        return 1 << 30
-
-
-def _single_row_group(df: DataFrame) -> bool:
-    # A parquet file with one row group is read by one task however it is split.
-    files = df.inputFiles()
-    if len(files) != 1:
-        return False
-    try:
-        import pyarrow.parquet as pq
-        from urllib.parse import urlparse
-        path = urlparse(files[0]).path if files[0].startswith("file:") else files[0]
-        return pq.ParquetFile(path).metadata.num_row_groups == 1
-    except Exception:  # non-local storage: rely on the partition count
-        return False
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 _RECORD_SQL = """
@@ -97,6 +61,44 @@ _PATH_SQL = """
 """
 
 
+def land_lineitem(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Write the records as text files (one folder per source file name, ``in/``)
+    and their layout (``layout/``), as a source system would land them."""
+    (lineitem_records(spark, sf_dir).select("value", F.element_at(F.split("file_path", "/"), -1).alias("src"))
+     .repartition(8).write.partitionBy("src").text(f"{root}/in"))
+    write_layout(spark, f"{root}/layout")
+
+
+def land_named(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """A landing folder as the source system leaves it: ``in/`` holds one file
+    per source file name, an empty file that is listed, and a file of another
+    feed; ``layout/`` the layout; ``marker/`` the control counts, one line per
+    listed file in name order."""
+    records = lineitem_records(spark, sf_dir).select("value", F.element_at(F.split("file_path", "/"), -1).alias("src"))
+    records.repartition("src").write.partitionBy("src").text(f"{root}/parts")
+    spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_name").coalesce(1).write.text(f"{root}/other")
+    write_layout(spark, f"{root}/layout")
+    empty = spark.range(1).select(F.lit(EMPTY_FILE).alias("src"), F.lit(0).cast("long").alias("n"))
+    counts = records.groupBy("src").agg(F.count(F.lit(1)).alias("n")).unionByName(empty)
+    (counts.orderBy("src").select(F.concat("src", F.lit(": "), F.col("n").cast("string")).alias("value"))
+     .coalesce(1).write.text(f"{root}/marker"))
+    # Spark names part files itself; a source system's names are what the job reads
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop.Path(f"{root}/in"))
+    for folder, name in [("other", OTHER_FILE), *((d.getPath().getName(), "") for d in fs.listStatus(hadoop.Path(f"{root}/parts")) if d.isDirectory())]:
+        source = f"{root}/{folder}" if name else f"{root}/parts/{folder}"
+        for part in fs.listStatus(hadoop.Path(source)):
+            if part.getPath().getName().startswith("part-"):
+                fs.rename(part.getPath(), hadoop.Path(f"{root}/in/{name or folder.partition('=')[2]}"))
+    fs.create(hadoop.Path(f"{root}/in/{EMPTY_FILE}")).close()
+
+
+def write_layout(spark: SparkSession, path: str) -> None:
+    (spark.createDataFrame([(line,) for line in LINEITEM_LAYOUT_CSV.strip().splitlines()], "value string")
+     .coalesce(1).write.text(path))
+
+
 def lineitem_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``value, file_path``: one 54-character record per lineitem row; rows with
     ``l_orderkey % 37 = 0`` are one character short (width rejects).
@@ -106,7 +108,7 @@ def lineitem_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     down with the whole record-building expression inlined into them. Real
     landing data is read as text, where ``value`` is a plain column.
     """
-    li = table(spark, sf_dir, "lineitem", spread=True)
+    li = table(spark, sf_dir, "lineitem")
     built = li.select(F.expr(_PATH_SQL).alias("file_path"), F.col("l_orderkey"),
                       F.expr(_RECORD_SQL).alias("line"))
     value = F.when(F.col("l_orderkey") % 37 == 0, F.substring("line", 1, 53)).otherwise(F.col("line"))

@@ -8,20 +8,57 @@ shares only fixed values (patterns, messages, word lists) with the Spark code.
 from __future__ import annotations
 
 import datetime
+from typing import NamedTuple
 
-from ..functions import convert as cv
 from ..functions import mask as gen
 from ..functions import vocab
-from ..functions.text import PY_WHITESPACE, WS_CLASS
 from ..operators import mask as mk
-from ..operators.ingest import EXCEPTION_COLUMNS
-from ..operators.recon import MARKER_COUNT_REGEX
 from . import queries as qs
-from .fixtures import CONTACT_SQL, LINEITEM_TABLE, lineitem_layout
+from .fixtures import CONTACT_SQL, LINEITEM_TABLE
 
 CONTACT_COLUMNS = list(CONTACT_SQL)
 
-WS = "(" + " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE) + ")"
+
+
+class Field(NamedTuple):
+    position: int
+    name: str
+    datatype: str
+    offset: int
+    length: int
+    is_key: bool
+
+
+# What the queries must give, written out here so that no wrong pattern, offset
+# or name of the library can stand on both sides of a comparison.
+FIELDS = (
+    Field(0, "ORDER_KEY", "numeric", 0, 10, True), Field(1, "LINE_NO", "numeric", 10, 2, True),
+    Field(2, "SHIP_DATE", "date", 12, 8, False), Field(3, "QTY", "snumeric", 20, 6, False),
+    Field(4, "EXT_PRICE", "amount", 26, 14, False), Field(5, "DISC", "rate", 40, 6, False),
+    Field(6, "RETURN_FLAG", "string", 46, 3, False),
+)
+RECORD_LENGTH = 54
+EXCEPTION_COLUMNS = ("file_name", "row_business_key", "table_name", "column_name", "column_value", "error_message",
+                     "row_fixed_flag", "row_fixed_timestamp")
+MSG_DATE = "Failed to parse date value as it doesn't have date value in a format YYYYMMDD"
+MSG_LONG = "Failed to cast the column to long type from source data type - NUMERIC/SNUMERIC"
+MSG_DECIMAL = "Failed to cast the column to decimal from source data type - AMOUNT"
+MSG_RATE_PCT = "Failed to cast the column to float from source data type - rate where source field is expected to be populated with %"
+MSG_RATE = "Failed to cast the column to float from source data type - rate"
+MARKER_COUNT = r":\s*([0-9]+)"
+BLANKS = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+UNDERSCORED = "[0-9]+(_[0-9]+)*"
+INTEGER = rf"^\s*-?{UNDERSCORED}\s*$"
+DECIMAL = r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$"
+FLOAT = rf"^\s*[-+]?({UNDERSCORED}(\.({UNDERSCORED})?)?|\.{UNDERSCORED})([eE][-+]?{UNDERSCORED})?\s*$"
+FLOAT_WORD = r"(?i)^\s*([-+]?)(infinity|inf|nan)\s*$"
+_M, _D = "(1[0-2]|0[1-9]|[1-9])", "(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])"
+# date pattern -> regex and the groups of year, month and day
+DATE_TEXT = {
+    "YYYYMMDD": (f"^([0-9]{{4}}){_M}{_D}$", 1, 2, 3),
+    "DD/MM/YYYY": (f"^{_D}/{_M}/([0-9]{{4}})$", 3, 2, 1),
+    "YYYY-MM-DD": (f"^([0-9]{{4}})-{_M}-{_D}$", 1, 2, 3),
+}
 
 
 def q(s: str) -> str:
@@ -30,11 +67,11 @@ def q(s: str) -> str:
 
 
 def strip(x: str) -> str:
-    return f"trim({x}, {WS})"
+    return f"trim({x}, {BLANKS})"
 
 
 def squeeze(x: str) -> str:
-    return f"regexp_replace({x}, {q(cv.STRIP_NUM_CHARS)}, '', 'g')"
+    return f"regexp_replace({x}, '[_\\s]', '', 'g')"
 
 
 def clean_number(v: str) -> str:
@@ -46,21 +83,21 @@ def clean_number(v: str) -> str:
 
 
 def long_of(s: str) -> str:
-    return f"CASE WHEN regexp_matches({s}, {q(cv.INT_RE)}) THEN TRY_CAST({squeeze(s)} AS BIGINT) END"
+    return f"CASE WHEN regexp_matches({s}, {q(INTEGER)}) THEN TRY_CAST({squeeze(s)} AS BIGINT) END"
 
 
 def decimal_of(s: str) -> str:
     plain = f"replace({strip(s)}, '_', '')"
-    return (f"CASE WHEN regexp_matches({plain}, {q(cv.DEC_RE)}) "
+    return (f"CASE WHEN regexp_matches({plain}, {q(DECIMAL)}) "
             f"THEN TRY_CAST({plain} AS DECIMAL(38,18)) END")
 
 
 def float_of(t: str) -> str:
-    sp = q(cv.FLOAT_SPECIAL_RE)
+    sp = q(FLOAT_WORD)
     return (f"CASE WHEN regexp_matches({t}, {sp}) THEN "
             f"(CASE WHEN lower(regexp_extract({t}, {sp}, 2)) = 'nan' THEN 'nan'::DOUBLE "
             f"WHEN regexp_extract({t}, {sp}, 1) = '-' THEN '-inf'::DOUBLE ELSE 'inf'::DOUBLE END) "
-            f"WHEN regexp_matches({t}, {q(cv.FLOAT_NUM_RE)}) THEN TRY_CAST({squeeze(t)} AS DOUBLE) END")
+            f"WHEN regexp_matches({t}, {q(FLOAT)}) THEN TRY_CAST({squeeze(t)} AS DOUBLE) END")
 
 
 def rate_parsed(v: str) -> str:
@@ -69,28 +106,20 @@ def rate_parsed(v: str) -> str:
 
 
 def date_parsed(v: str, pattern: str) -> str:
-    rx, template = cv.date_regex(pattern)
-    y_ref, m_ref, d_ref = template.split("-")
-
-    def part(ref: str) -> str:
-        groups = [int(g) for g in ref.split("$") if g]
-        if not ref.startswith("$"):
-            return q(ref)
-        return " || ".join(f"regexp_extract({v}, {q(rx)}, {g})" for g in groups)
-
-    y, m, d = part(y_ref), part(m_ref), part(d_ref)
-    return (f"(CASE WHEN regexp_matches({v}, {q(rx)}) AND ({y}) <> '0000' THEN "
+    rx, *groups = DATE_TEXT[pattern.upper()]
+    y, m, d = (f"regexp_extract({v}, {q(rx)}, {g})" for g in groups)
+    return (f"(CASE WHEN regexp_matches({v}, {q(rx)}) AND {y} <> '0000' THEN "
             f"TRY_CAST(printf('%04d-%02d-%02d', TRY_CAST({y} AS INTEGER), TRY_CAST({m} AS INTEGER), "
-            f"TRY_CAST({d} AS INTEGER)) AS DATE) END)")
+            f"TRY_CAST(trim({d}) AS INTEGER)) AS DATE) END)")
 
 
 def date_value(v: str, parsed: str) -> str:
-    return (f"CASE WHEN {v} IN ('', '{cv.ZERO_DATE}') OR {parsed} IS NULL "
-            f"OR {parsed} < DATE '{cv.GREGORIAN_START}' THEN DATE '{cv.DEFAULT_DATE}' ELSE {parsed} END")
+    return (f"CASE WHEN {v} IN ('', '00000000') OR {parsed} IS NULL "
+            f"OR {parsed} < DATE '1582-10-15' THEN DATE '1901-01-01' ELSE {parsed} END")
 
 
 def date_bad(v: str, parsed: str) -> str:
-    return f"(NOT ({v} IN ('', '{cv.ZERO_DATE}')) AND {parsed} IS NULL)"
+    return f"(NOT ({v} IN ('', '00000000')) AND {parsed} IS NULL)"
 
 
 def base_name(p: str) -> str:
@@ -125,12 +154,11 @@ FROM (
 
 def converted_cte(raw: str = "raw", good_only: bool = True) -> str:
     """CTEs ``f`` (stripped fields) and ``c`` (typed values, bad flags, key) over ``raw``."""
-    layout = lineitem_layout()
-    where = f"WHERE length(value) = {layout.record_length}" if good_only else ""
+    where = f"WHERE length(value) = {RECORD_LENGTH}" if good_only else ""
     fields = ", ".join(f"{strip(f'substr(value, {c.offset + 1}, {c.length})')} AS f{c.position}"
-                       for c in layout.output_columns)
+                       for c in FIELDS)
     sel, keys = [], []
-    for c in layout.output_columns:
+    for c in FIELDS:
         f = f"f{c.position}"
         if c.datatype in ("numeric", "snumeric"):
             s = clean_number(f)
@@ -145,28 +173,27 @@ def converted_cte(raw: str = "raw", good_only: bool = True) -> str:
         else:
             sel += [f"{f} AS t{c.position}"]
     return (f"f AS (SELECT file_path, {fields} FROM {raw} {where}),\n"
-            f"c AS (SELECT file_path, {', '.join(f'f{c.position}' for c in layout.output_columns)}, "
+            f"c AS (SELECT file_path, {', '.join(f'f{c.position}' for c in FIELDS)}, "
             f"{', '.join(sel)} FROM f)")
 
 
 def typed_select() -> tuple[list[str], list[tuple[str, str, str, str]], str]:
     """Typed value expressions, (name, bad, text, message) per error column, and the key."""
-    layout = lineitem_layout()
     vals, errs, key_parts = [], [], []
-    for c in layout.output_columns:
+    for c in FIELDS:
         t, p, f = f"t{c.position}", f"p{c.position}", f"f{c.position}"
         if c.datatype in ("numeric", "snumeric"):
             v = f"coalesce({p}, 0)"
-            errs.append((c.name, f"{p} IS NULL", t, q(cv.MSG_LONG)))
+            errs.append((c.name, f"{p} IS NULL", t, q(MSG_LONG)))
         elif c.datatype == "amount":
             v = f"coalesce({p}, CAST(0 AS DECIMAL(38,18)))"
-            errs.append((c.name, f"{p} IS NULL", t, q(cv.MSG_DECIMAL)))
+            errs.append((c.name, f"{p} IS NULL", t, q(MSG_DECIMAL)))
         elif c.datatype == "date":
             v = date_value(f, p)
-            errs.append((c.name, date_bad(f, p), t, q(cv.MSG_DATE)))
+            errs.append((c.name, date_bad(f, p), t, q(MSG_DATE)))
         elif c.datatype == "rate":
             v = f"CAST(coalesce({p}, 0.0) AS FLOAT)"
-            msg = f"CASE WHEN contains({f}, '%') THEN {q(cv.MSG_RATE_PCT)} ELSE {q(cv.MSG_RATE)} END"
+            msg = f"CASE WHEN contains({f}, '%') THEN {q(MSG_RATE_PCT)} ELSE {q(MSG_RATE)} END"
             errs.append((c.name, f"{p} IS NULL", t, msg))
         else:
             v = t
@@ -204,7 +231,7 @@ def fw_exceptions_sql() -> str:
 
 def fw_width_rejects_sql() -> str:
     return (f"WITH raw AS ({RAW_SQL}) SELECT value, file_path FROM raw "
-            f"WHERE length(value) <> {lineitem_layout().record_length}")
+            f"WHERE length(value) <> {RECORD_LENGTH}")
 
 
 def region_sql(three_way: bool) -> str:
@@ -218,7 +245,7 @@ def region_sql(three_way: bool) -> str:
 
 
 def per_file_cte() -> str:
-    n = lineitem_layout().record_length
+    n = RECORD_LENGTH
     return (f"{exceptions_cte()},\n"
             f"pf AS (SELECT file_path, count(*) AS raw_count, "
             f"count(*) FILTER (WHERE length(value) = {n}) AS loaded_count FROM raw GROUP BY file_path),\n"
@@ -243,7 +270,7 @@ def fw_rows_per_file_sql() -> str:
 
 
 def fw_good_per_file_sql() -> str:
-    n = lineitem_layout().record_length
+    n = RECORD_LENGTH
     return (f"WITH raw AS ({RAW_SQL}) SELECT file_path, count(*) FILTER (WHERE length(value) = {n}) "
             f"AS loaded_count FROM raw GROUP BY file_path ORDER BY 1")
 
@@ -259,13 +286,13 @@ def fw_base_name_sql() -> str:
 
 
 def fw_layout_sql() -> str:
-    layout = lineitem_layout()
-    parts = [f"SELECT value, {c.position} AS position, {q(c.name)} AS column_name, "
-             f"{q(c.datatype)} AS column_datatype, {c.offset} AS offset, {c.length} AS column_length, "
-             f"{'true' if c.is_key else 'false'} AS is_key, substr(value, {c.offset + 1}, {c.length}) AS slice "
-             f"FROM raw WHERE length(value) = {layout.record_length}"
-             for c in layout.output_columns]
-    return f"WITH raw AS ({RAW_SQL}) " + " UNION ALL ".join(parts)
+    filler = f"SELECT 7 AS position, 'FILLERS' AS column_name, 'string' AS column_datatype, 49 AS offset, 5 AS column_length, false AS is_key, " \
+             f"{RECORD_LENGTH} AS record_length, NULL AS records, NULL AS least, NULL AS most"
+    parts = [f"SELECT {c.position} AS position, {q(c.name)} AS column_name, {q(c.datatype)} AS column_datatype, {c.offset} AS offset, "
+             f"{c.length} AS column_length, {str(c.is_key).lower()} AS is_key, {RECORD_LENGTH} AS record_length, count(*) AS records, "
+             f"min(substr(value, {c.offset + 1}, {c.length})) AS least, max(substr(value, {c.offset + 1}, {c.length})) AS most "
+             f"FROM raw WHERE length(value) = {RECORD_LENGTH}" for c in FIELDS]
+    return f"WITH raw AS ({RAW_SQL}) " + " UNION ALL ".join([*parts, filler])
 
 
 def fw_layout_as_of_sql() -> str:
@@ -293,7 +320,7 @@ def marker_cte() -> str:
     return (f"ml AS (SELECT {base_name('file_path')} AS name, "
             f"{base_name('file_path')} || ': ' || CAST(raw_count AS VARCHAR) AS line_content FROM pf),\n"
             f"mk AS (SELECT row_number() OVER (ORDER BY name) AS line_number, line_content, "
-            f"TRY_CAST(regexp_extract(line_content, {q(MARKER_COUNT_REGEX)}, 1) AS BIGINT) AS count FROM ml)")
+            f"TRY_CAST(regexp_extract(line_content, {q(MARKER_COUNT)}, 1) AS BIGINT) AS count FROM ml)")
 
 
 def fw_marker_counts_sql() -> str:
@@ -383,7 +410,7 @@ FROM lineitem"""
     v = strip("text_rate")
     return (f"SELECT l_orderkey, l_linenumber, text_rate, CAST(coalesce(p, 0.0) AS FLOAT) AS rate, "
             f"p IS NULL AS bad_rate, CASE WHEN p IS NULL THEN (CASE WHEN contains(v, '%') "
-            f"THEN {q(cv.MSG_RATE_PCT)} ELSE {q(cv.MSG_RATE)} END) END AS error_message FROM "
+            f"THEN {q(MSG_RATE_PCT)} ELSE {q(MSG_RATE)} END) END AS error_message FROM "
             f"(SELECT *, {rate_parsed('v')} AS p FROM (SELECT *, {v} AS v FROM ({texts})))")
 
 
@@ -548,8 +575,69 @@ CUST_FILE_SQL = ("SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c in CONT
                  + f" FROM ({CUST_SQL})")
 
 
+SUMMARY_COLUMNS = ("table_name", "file_name", "order_date", "job_run_date", "source_file_record_count", "record_length_rejection_count",
+                   "total_records_loaded_count", "clean_record_count", "data_quality_issue_count", "number_of_source_files")
+
+
+def fw_job_summary_sql() -> str:
+    return (f"WITH {per_file_cte()},\n"
+            f"s AS (SELECT {base_name('pf.file_path')} AS file_name, raw_count, loaded_count, coalesce(dq_count, 0) AS dq_count "
+            f"FROM pf LEFT JOIN dq USING (file_path) UNION ALL SELECT 'LI.AU_Z_20240101.TXT', 0, 0, 0)\n"
+            f"SELECT {q(LINEITEM_TABLE)} AS table_name, file_name, '2024-01-01' AS order_date, {q(qs.JOB_RUN_DATE)} AS job_run_date, "
+            f"raw_count AS source_file_record_count, raw_count - loaded_count AS record_length_rejection_count, "
+            f"loaded_count AS total_records_loaded_count, loaded_count - dq_count AS clean_record_count, "
+            f"dq_count AS data_quality_issue_count, count(*) OVER () AS number_of_source_files, 1 AS csv_rows FROM s")
+
+
+def fw_job_counts_sql(columns: str) -> str:
+    return (f"WITH {per_file_cte()}, t AS (SELECT sum(loaded_count) AS loaded, sum(raw_count - loaded_count) AS rejects FROM pf) "
+            f"SELECT 'LINEITEM_FW_LANDED' AS table_name, {columns} FROM t")
+
+
+def fw_job_headers_sql() -> str:
+    rows = [(h, i, name) for h, names in (("dq_header", EXCEPTION_COLUMNS), ("summary_header", SUMMARY_COLUMNS)) for i, name in enumerate(names)]
+    return "SELECT * FROM (VALUES " + ", ".join(f"({q(h)}, {i}, {q(n)})" for h, i, n in rows) + ") AS t(header, position, name)"
+
+
+TARGET_NAMES_SQL = """
+WITH n AS (SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'CUST_' || c_custkey || '_20230101.csv' WHEN 1 THEN 'CUST' || c_custkey || '.csv'
+                  WHEN 2 THEN 'A_B_' || c_custkey WHEN 3 THEN 'x.y_' || c_custkey || '_z.tar.gz' ELSE 'plain' END AS source_name FROM customer),
+p AS (SELECT *, CASE WHEN contains(source_name, '.') THEN '.' || string_split(source_name, '.')[-1] ELSE '' END AS suffix FROM n),
+s AS (SELECT *, left(source_name, length(source_name) - length(suffix)) AS stem FROM p)
+SELECT c_custkey, source_name, array_to_string(string_split(stem, '_')[:-2], '_') || '_20240101' || suffix AS target_name FROM s
+"""
+
+
+def mask_config_from_file_sql() -> str:
+    """Later columns see the masked values of earlier ones: one level each."""
+    sql = CUST_SQL
+    for column, cfg in qs.MASK_FILE_CONFIG.items():
+        expr, h = _type_expr(column, cfg)
+        sql = f"SELECT * EXCLUDE (h_{column}) REPLACE ({expr} AS {column}) FROM (SELECT *, {h} FROM ({sql}))"
+    return sql
+
+
+def mask_csv_mixed_headers_sql() -> str:
+    note = ("CASE CAST(cust_id AS BIGINT) % 4 WHEN 0 THEN 'say \"' || segment || '\" | x' WHEN 1 THEN '  ' || segment || ' ' "
+            "WHEN 2 THEN segment || chr(10) || 'second line' ELSE '' END AS note")
+    masked = mask_keyed_sql(CUST_FILE_SQL)
+    return f"SELECT cust_id, contact_value, full_name, gender, note FROM ({masked}) JOIN (SELECT cust_id, {note} FROM ({CUST_SQL})) USING (cust_id)"
+
+
 def registry() -> dict[str, str]:
     out = {
+        "fw_job_exceptions": fw_exceptions_sql(),
+        "fw_job_exceptions_csv": fw_exceptions_sql(),
+        "fw_job_rejects": f"SELECT value FROM ({fw_width_rejects_sql()})",
+        "fw_job_summary": fw_job_summary_sql(),
+        "fw_marker_mismatch": fw_job_counts_sql("CAST(loaded AS BIGINT) AS loaded_count, 0 AS summary_rows"),
+        "fw_job_headers": fw_job_headers_sql(),
+        "fw_job_manifest": fw_job_counts_sql(
+            f"{q(qs.ORDER_DATE)} AS order_date, CAST(loaded AS BIGINT) AS loaded_count, "
+            "(SELECT count(*) FROM e) AS exception_count, CAST(rejects AS BIGINT) AS reject_count"),
+        "fw_target_names": TARGET_NAMES_SQL,
+        "mask_config_from_file": mask_config_from_file_sql(),
+        "mask_csv_mixed_headers": mask_csv_mixed_headers_sql(),
         "fw_typed_rows": fw_typed_rows_sql(),
         "fw_date_variants": fw_date_variants_sql(),
         "fw_number_clean": fw_number_clean_sql(),

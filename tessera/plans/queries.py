@@ -15,15 +15,16 @@ from pyspark.sql import functions as F
 from ..functions import convert as cv
 from ..functions.text import base_name, py_strip
 from ..operators.ingest import ParseOptions, Parsed, parse_lines
-from ..operators.layout import layout_slices, pick_layout_as_of
+from ..operators.layout import layout_slices, load_layout, pick_layout_as_of, read_layout_frame
 from ..operators.mask import apply_mask_config, keyed_mask
 from ..operators.recon import file_summary, marker_counts, run_counts
 from ..session import ensure_checkpoint_dir, shared_dir
 from .fixed_width_job import FixedWidthJob, run_fixed_width_job
-from ..sinks.publish import write_delimited
-from ..sources.delimited import read_delimited
+from ..sinks.publish import redated_name, write_delimited
+from ..sources.config import load_mask_config
+from ..sources.delimited import read_delimited, read_pipe_directory
 from .mask_job import run_keyed_mask_dir
-from .fixtures import LINEITEM_LAYOUT_CSV, LINEITEM_TABLE, customer_contacts, lineitem_layout, lineitem_records, table
+from .fixtures import LINEITEM_TABLE, customer_contacts, land_lineitem, land_named, lineitem_layout, lineitem_records, table, write_layout
 
 EXTRA = ("dataops_file_name_path", "dataops_li_region")
 ORDER_DATE = "20240101"
@@ -94,14 +95,20 @@ def fw_dq_per_file(spark, sf_dir):
 
 
 def fw_layout(spark, sf_dir):
-    lines = lineitem_records(spark, sf_dir)
-    layout = lineitem_layout()
-    good = lines.where(F.length("value") == layout.record_length)
-    return layout_slices(good, layout)
+    """S3 A8 J4 C8 on a landed layout: each field's place, and what the records
+    hold there."""
+    path = shared_dir(spark, "tessera-layout")
+    write_layout(spark, path)
+    place = read_layout_frame(spark, path)
+    layout = load_layout(spark, path)
+    good = lineitem_records(spark, sf_dir).where(F.length("value") == layout.record_length)
+    held = (layout_slices(good, layout).groupBy("position")
+            .agg(F.count(F.lit(1)).alias("records"), F.min("slice").alias("least"), F.max("slice").alias("most")))
+    return place.join(held, "position", "left")
 
 
 def _date_texts(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", spread=True)
+    li = table(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey")
     ymd = F.date_format("l_shipdate", "yyyyMMdd")
     return li.select(
@@ -136,7 +143,7 @@ def fw_date_variants(spark, sf_dir):
 
 
 def _number_texts(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", spread=True)
+    li = table(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey")
     price = F.format_string("%.2f", F.col("l_extendedprice"))
     qty = F.col("l_quantity").cast("int").cast("string")
@@ -169,7 +176,7 @@ def fw_number_clean(spark, sf_dir):
 
 
 def _rate_texts(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", spread=True)
+    li = table(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey")
     return li.select(
         "l_orderkey", "l_linenumber",
@@ -263,6 +270,13 @@ MASK_CONFIG = {
     "contact_value": {"type": "contact_details", "meta": {"contact_type_column_name": "contact_type"}},
     "segment": {"type": "city"},
 }
+MASK_FILE_CONFIG = {
+    "full_name": {"type": "lastname", "meta": {"gender_column_name": "gender"}},
+    "gender": {"type": "state"},
+    "contact_type": {"type": "street_suffix"},
+    "contact_value": {"type": "contact_details", "meta": {"contact_type_column_name": "contact_type"}},
+}
+MIXED_COLUMNS = ["cust_id", "contact_value", "full_name", "gender", "note"]
 CONTACT_COLUMNS = ["cust_id", "full_name", "gender", "contact_type", "contact_value", "segment"]
 MASK_SPEC = {"MockColumns": {
     "contact_value": {"IdLookup": ["cust_id"], "DataProvider": [
@@ -301,11 +315,7 @@ def fw_sink_roundtrip(spark, sf_dir):
     source file name), run the whole job into a fresh shared folder, and read
     the typed table back (path column left out: it names the landed files)."""
     root = shared_dir(spark, "tessera-roundtrip")
-    recs = lineitem_records(spark, sf_dir)
-    recs.withColumn("src", base_name(F.col("file_path"))).select("value", "src") \
-        .write.partitionBy("src").text(f"{root}/in")
-    spark.createDataFrame([(line,) for line in LINEITEM_LAYOUT_CSV.strip().splitlines()], "value string") \
-        .coalesce(1).write.text(f"{root}/layout")
+    land_lineitem(spark, sf_dir, root)
     job = FixedWidthJob(data_dir=f"{root}/in", layout_dir=f"{root}/layout", file_prefix="part-",
                         table_name=LINEITEM_TABLE, run_date=ORDER_DATE, output_root=f"{root}/out",
                         dataset="li", layout_path=f"{root}/layout", job_run_date=JOB_RUN_DATE)
@@ -313,6 +323,101 @@ def fw_sink_roundtrip(spark, sf_dir):
     return spark.read.parquet(result.paths["typed"]).drop("dataops_file_name_path")
 
 
+def _run_job(spark, sf_dir, **options):
+    """The whole job on a landing folder with real names, an empty file, a file
+    of another feed and control counts."""
+    root = shared_dir(spark, "tessera-job")
+    land_named(spark, sf_dir, root)
+    settings = {"marker_path": f"{root}/marker"} | options
+    return run_fixed_width_job(spark, FixedWidthJob(
+        data_dir=f"{root}/in", layout_dir=f"{root}/layout", layout_path=f"{root}/layout", file_prefix="LI.",
+        table_name=LINEITEM_TABLE, run_date=ORDER_DATE, output_root=f"{root}/out", dataset="li", job_run_date=JOB_RUN_DATE,
+        **settings))
+
+
+def fw_job_exceptions(spark, sf_dir):
+    """K2."""
+    return spark.read.parquet(_run_job(spark, sf_dir).paths["exceptions"])
+
+
+def fw_job_exceptions_csv(spark, sf_dir):
+    """K3 under K4's column names; an empty text comes back from CSV as null."""
+    paths = _run_job(spark, sf_dir).paths
+    names = [spark.read.csv(paths["dq_header"]).first()[i] for i in range(8)]
+    return spark.read.csv(paths["dq_detail"]).toDF(*names).na.fill("")
+
+
+def fw_job_rejects(spark, sf_dir):
+    """K5."""
+    return spark.read.text(_run_job(spark, sf_dir).paths["rejects"])
+
+
+def fw_job_summary(spark, sf_dir):
+    """S5 S6 W1 J2 R1 K6, with the CSV copy's row count beside the table's rows."""
+    paths = _run_job(spark, sf_dir).paths
+    copies = spark.read.csv(paths["summary_detail"]).groupBy(F.col("_c1").alias("file_name")).agg(F.count(F.lit(1)).alias("csv_rows"))
+    return spark.read.parquet(paths["summary_parquet"]).join(copies, "file_name", "left")
+
+
+def fw_marker_mismatch(spark, sf_dir):
+    """R2: control counts of another number of files give no summary rows, but
+    the data lands."""
+    marker = shared_dir(spark, "tessera-marker")
+    spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.concat("n_name", F.lit(": 1"))).coalesce(1).write.text(marker)
+    paths = _run_job(spark, sf_dir, marker_path=marker).paths
+    landed = spark.read.parquet(paths["manifest"]).select("table_name", "loaded_count")
+    rows = spark.read.parquet(paths["summary_parquet"]).groupBy(F.upper(F.concat("table_name", F.lit("_LANDED"))).alias("table_name")).count()
+    return landed.join(rows, "table_name", "left").select("table_name", "loaded_count", F.coalesce("count", F.lit(0)).alias("summary_rows"))
+
+
+def fw_job_headers(spark, sf_dir):
+    """The two header files, one row per column."""
+    paths = _run_job(spark, sf_dir).paths
+    parts = [spark.read.csv(paths[k]).select(F.posexplode(F.array("*")).alias("position", "name")).withColumn("header", F.lit(k))
+             for k in ("dq_header", "summary_header")]
+    return parts[0].unionByName(parts[1])
+
+
+def fw_job_manifest(spark, sf_dir):
+    """K7, without the time and the folder."""
+    return spark.read.parquet(_run_job(spark, sf_dir).paths["manifest"]).drop("landed_at", "output_path")
+
+
+def fw_target_names(spark, sf_dir):
+    """K10 on names with and without suffix, dots and underscores."""
+    k = F.col("c_custkey")
+    name = (F.when(k % 5 == 0, F.concat(F.lit("CUST_"), k, F.lit("_20230101.csv"))).when(k % 5 == 1, F.concat(F.lit("CUST"), k, F.lit(".csv")))
+            .when(k % 5 == 2, F.concat(F.lit("A_B_"), k)).when(k % 5 == 3, F.concat(F.lit("x.y_"), k, F.lit("_z.tar.gz"))).otherwise(F.lit("plain")))
+    named = table(spark, sf_dir, "customer").select("c_custkey", name.alias("source_name"))
+    return named.select("c_custkey", "source_name", redated_name(F.col("source_name"), ORDER_DATE).alias("target_name"))
+
+
+def mask_config_from_file(spark, sf_dir):
+    """A configuration read from disk; ``gender`` is masked after it has
+    chosen the names, ``contact_type`` before it chooses the contact."""
+    path = shared_dir(spark, "tessera-config")
+    spark.createDataFrame([(json.dumps(MASK_FILE_CONFIG),)], "value string").coalesce(1).write.text(path)
+    return apply_mask_config(customer_contacts(spark, sf_dir), load_mask_config(spark, path), salt=MASK_SALT)
+
+
+def mask_csv_mixed_headers(spark, sf_dir):
+    """Pipe files of two column orders, with quotes, line breaks and blanks
+    in a field, masked by key and read back."""
+    root = shared_dir(spark, "tessera-mixed")
+    k = F.col("cust_id").cast("long")
+    note = (F.when(k % 4 == 0, F.concat(F.lit('say "'), "segment", F.lit('" | x'))).when(k % 4 == 1, F.concat(F.lit("  "), F.col("segment"), F.lit(" ")))
+            .when(k % 4 == 2, F.concat(F.col("segment"), F.lit("\nsecond line"))).otherwise(F.lit("")))
+    rows = customer_contacts(spark, sf_dir).withColumn("note", note).na.fill("")
+    for part, columns in enumerate((MIXED_COLUMNS, MIXED_COLUMNS[::-1])):
+        write_delimited(rows.where(k % 2 == part).select(*columns), f"{root}/src/half={part}", "csv", "|", quote_empty=False)
+    spec = f"{root}/spec"
+    spark.createDataFrame([(json.dumps(MASK_SPEC),)], "value string").coalesce(1).write.text(spec)
+    run_keyed_mask_dir(spark, f"{root}/src", f"{root}/tgt", spec, salt=MASK_SALT)
+    back = read_pipe_directory(spark, f"{root}/tgt")
+    parts = [df.select(*MIXED_COLUMNS) for df in back]
+    return parts[0].unionByName(parts[1])
+
+
 def mask_csv_roundtrip(spark, sf_dir):
     """Write the customer table as pipe-delimited files (one
     folder per segment), mask the folder by key, read the masked files back."""
@@ -350,6 +455,9 @@ def registry() -> dict:
     }
     for type_name in MASK_TYPE_TARGETS:
         q[f"mask_{type_name}"] = _mask_type_query(type_name)
+    for f in (fw_job_exceptions, fw_job_exceptions_csv, fw_job_rejects, fw_job_summary, fw_marker_mismatch, fw_job_headers,
+              fw_job_manifest, fw_target_names, mask_config_from_file, mask_csv_mixed_headers):
+        q[f.__name__] = f
     q["mask_config"] = mask_config
     q["mask_keyed"] = mask_keyed
     q["mask_csv_roundtrip"] = mask_csv_roundtrip
