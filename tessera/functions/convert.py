@@ -95,6 +95,10 @@ INT_RE = f"^{WS_CLASS}*-?{_DIGITS}{WS_CLASS}*$"
 DEC_RE = r"^-?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][-+]?[0-9]+)?$"
 FLOAT_NUM_RE = (f"^{WS_CLASS}*[-+]?(?:{_DIGITS}(?:\\.(?:{_DIGITS})?)?|\\.{_DIGITS})"
                  f"(?:[eE][-+]?{_DIGITS})?{WS_CLASS}*$")
+# Plain forms, tried first: nearly every value has one, and they are cheap to test.
+PLAIN_INT_RE = "^-?[0-9]+$"
+PLAIN_FLOAT_RE = r"^[-+]?[0-9]+(?:\.[0-9]*)?$"
+PLAIN_DATE_RE = "^[0-9]{8}$"
 FLOAT_SPECIAL_RE = f"(?i)^{WS_CLASS}*([-+]?)(inf|infinity|nan){WS_CLASS}*$"
 STRIP_NUM_CHARS = f"(?:_|{WS_CLASS})"
 
@@ -114,7 +118,9 @@ def number_text_stages(ref: Ref) -> list[dict[str, Column]]:
     ``0``.
     """
     return [
-        {"t0": F.ltrim(py_strip(F.replace(ref("v"), F.lit("+"), F.lit(""))), F.lit("0"))},
+        # the text is stripped already: only a removed sign can lay bare more blanks
+        {"t0": F.ltrim(F.when(F.contains(ref("v"), F.lit("+")), py_strip(F.replace(ref("v"), F.lit("+"), F.lit(""))))
+                       .otherwise(ref("v")), F.lit("0"))},
         {"t1": F.when(F.startswith(ref("t0"), F.lit(".")), F.concat(F.lit("0"), ref("t0")))
                 .otherwise(ref("t0"))},
         # a point in last place that is also the first point gets "00"
@@ -127,7 +133,8 @@ def number_text_stages(ref: Ref) -> list[dict[str, Column]]:
 
 def plan_long(ref: Ref, with_key: bool = True) -> FieldPlan:
     stages = number_text_stages(ref) + [
-        {"p": F.when(ref("t").rlike(INT_RE), _squeeze(ref("t")).try_cast("bigint"))}]
+        {"p": F.when(ref("t").rlike(PLAIN_INT_RE), ref("t").try_cast("bigint"))
+              .when(ref("t").rlike(INT_RE), _squeeze(ref("t")).try_cast("bigint"))}]
     value = F.coalesce(ref("p"), F.lit(DEFAULT_NUMBER).cast("bigint"))
     return FieldPlan(stages, Converted(value, ref("p").isNull(), ref("t"), F.lit(MSG_LONG),
                                        value.cast("string")))
@@ -136,7 +143,8 @@ def plan_long(ref: Ref, with_key: bool = True) -> FieldPlan:
 def plan_decimal(ref: Ref, with_key: bool = True) -> FieldPlan:
     stages = number_text_stages(ref) + [
               # Decimal() strips whitespace first, then drops every underscore
-              {"n": F.replace(py_strip(ref("t")), F.lit("_"), F.lit(""))},
+              {"n": F.when(ref("t").rlike(PLAIN_FLOAT_RE), ref("t"))
+                     .otherwise(F.replace(py_strip(ref("t")), F.lit("_"), F.lit("")))},
               {"p": F.when(ref("n").rlike(DEC_RE), ref("n").try_cast(DECIMAL_TYPE))}]
     key = F.lit("")
     if with_key:
@@ -154,8 +162,9 @@ def plan_rate(ref: Ref, with_key: bool = True) -> FieldPlan:
     stages = [
         {"h": F.contains(v, F.lit("%")),
          "t": F.when(F.contains(v, F.lit("%")), F.btrim(v, F.lit("%"))).otherwise(v)},
-        {"sp": F.regexp_extract(ref("t"), FLOAT_SPECIAL_RE, 0),
-         "num": F.when(ref("t").rlike(FLOAT_NUM_RE), _squeeze(ref("t")).try_cast("double"))},
+        {"num": F.when(ref("t").rlike(PLAIN_FLOAT_RE), ref("t").try_cast("double"))
+                 .when(ref("t").rlike(FLOAT_NUM_RE), _squeeze(ref("t")).try_cast("double"))},
+        {"sp": F.when(ref("num").isNotNull(), F.lit("")).otherwise(F.regexp_extract(ref("t"), FLOAT_SPECIAL_RE, 0))},
         {"p": F.when(ref("sp") == "", ref("num"))
                .when(F.contains(F.lower(ref("sp")), F.lit("nan")), F.lit(float("nan")))
                .when(F.contains(ref("sp"), F.lit("-")), F.lit(float("-inf")))
@@ -232,13 +241,19 @@ def plan_date(ref: Ref, pattern: str = "YYYYMMDD", with_key: bool = True) -> Fie
     regex, template = date_regex(pattern)
     v = ref("v")
     y, m, d = (F.element_at(ref("parts"), i).cast("int") for i in (1, 2, 3))
+    # eight digits can only be year, month and day in full
+    compact = v.rlike(PLAIN_DATE_RE) if pattern.upper() == "YYYYMMDD" else F.lit(False)
+    year = F.substring(v, 1, 4)
+    iso = F.concat(year, F.lit("-"), F.substring(v, 5, 2), F.lit("-"), F.substring(v, 7, 2))
     stages = [
-        {"r": F.regexp_replace(v, regex, _MATCH_MARK + template)},
+        {"q": compact},
+        {"r": F.when(~ref("q"), F.regexp_replace(v, regex, _MATCH_MARK + template))},
         {"parts": F.when(F.startswith(ref("r"), F.lit(_MATCH_MARK)) & ~F.startswith(v, F.lit(_MATCH_MARK)),
                          F.split(F.substr(ref("r"), F.lit(2)), "-"))},
         # year 0 does not exist (strptime rejects it); the month is 1-12 by the
         # regex; the day must exist in that month (no 30 February)
-        {"p": F.when((y >= 1) & (d <= F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1))))),
+        {"p": F.when(ref("q"), F.when(year != "0000", iso.try_cast("date")))
+              .when((y >= 1) & (d <= F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1))))),
                      F.make_date(y, m, d))},
     ]
     blank = (v == "") | (v == ZERO_DATE)

@@ -29,6 +29,8 @@ ROW_FIXED_TIMESTAMP = ""
 REGION_AU_MARK, REGION_NZ_MARK = ".AU_", ".NZ_"
 REGION_AU, REGION_NZ = "AU", "NZ"
 
+PRINTABLE = r"^[ -~]*$"
+
 # Internal column names of the parsed frame.
 GOOD, PATH, KEY, ERRORS, NERR, REJECT, VALUE = "_good", "_path", "_key", "_errors", "_n_errors", "_reject", "_value"
 
@@ -176,6 +178,11 @@ class Parsed:
         self._persisted.clear()
 
 
+def _stripped(text: Column) -> Column:
+    """``py_strip``; in printable ASCII records a blank is the only white space."""
+    return F.when(F.col("_printable"), F.trim(text)).otherwise(py_strip(text))
+
+
 def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
                 value_col: str = "value", path_col: str = "file_path") -> Parsed:
     """Parse fixed-width lines with a short chain of projections.
@@ -192,11 +199,12 @@ def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
     value = F.col(value_col)
     outs = layout.output_columns
     fields = [(f"_f{c.position}_",
-               py_strip(field_slice(F.col(VALUE), c, F.col("_bytes"), F.col("_ascii"))), c.datatype)
+               _stripped(field_slice(F.col(VALUE), c, F.col("_bytes"), F.col("_ascii"))), c.datatype)
               for c in outs]
     staged, conv = convert_columns(
         lines.select(value.alias(VALUE), F.col(path_col).alias(PATH), value.cast("binary").alias("_bytes"),
-                     (F.octet_length(value) == F.length(value)).alias("_ascii")),
+                     (F.octet_length(value) == F.length(value)).alias("_ascii"),
+                     value.rlike(PRINTABLE).alias("_printable")),
         fields,
         keep=[F.col(VALUE), F.col(PATH), (F.length(F.col(VALUE)) == layout.record_length).alias(GOOD)],
         date_pattern=options.date_pattern,
