@@ -13,7 +13,8 @@ Two documents are linked when the Jaccard similarity of their sets of word
    large groups.
 3. The prefixes are shortened to the largest depth whose recall at the
    threshold reaches ``recall``; only pairs from different components are new
-   there. They pass the same estimate and join components.
+   there. They are compared by the same estimate where the bucket's members
+   meet (a large bucket in pairs of blocks), and join components.
 4. Within each component every pair is verified exactly on its sets of 5-gram
    hashes (64 bits). A large component is cut into blocks of ``BLOCK`` classes
    and each pair of blocks is a task of its own, so no task holds more than
@@ -118,8 +119,8 @@ def _sketch_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i in range(N_MINS):
                 mins[:, i] = np.minimum.reduceat(hashes * _FACTOR[i] + _SHIFT[i], first) >> np.uint64(32)
             yield pa.RecordBatch.from_arrays(
-                [_digest([d[some] for d in digests]), part.column("id").take(pa.array(some)), _binary(mins)],
-                ["digest", "id", "mins"])
+                [_digest([d[some] for d in digests]), part.column("id").take(pa.array(some)), _binary(mins),
+                 _binary(mins.astype(np.uint8))], ["digest", "id", "mins", "sketch"])
 
 
 def _digest_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,18 +149,45 @@ def _tree_task(depth: int):
     return run
 
 
-def _agreement(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """The ``a, b`` pairs whose signatures agree in ``least`` of their minima or more."""
-    sketch = classes.select(F.col("node").alias("a"), F.col("mins").alias("mins_a"))
+def _sketches(column: pa.Array) -> np.ndarray:
+    """One byte of every minimum: unequal minima agree in it by a chance of 1/256."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), N_MINS)
+
+
+def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The ``a, b`` pairs whose signatures agree well enough."""
+    sketch = classes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
     both = (pairs.join(sketch, "a")
-            .join(sketch.select(F.col("a").alias("b"), F.col("mins_a").alias("mins_b")), "b"))
+            .join(sketch.select(F.col("a").alias("b"), F.col("sketch_a").alias("sketch_b")), "b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, N_MINS) for c in ("mins_a", "mins_b"))
-            yield batch.filter(pa.array((x == y).mean(1) >= least)).select(["a", "b"])
-
-    return both.select("a", "b", "mins_a", "mins_b").mapInArrow(run, "a long, b long")
+            agree = (_sketches(batch.column("sketch_a")) == _sketches(batch.column("sketch_b"))).mean(1)
+            yield batch.filter(pa.array(agree >= LEAST_ESTIMATE)).select(["a", "b"])
+
+    return both.select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
+
+
+def _bridge_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Agreeing pairs of different components within each unit of a bucket."""
+    for parts in _units(batches, ("bucket", "i", "j")):
+        table = pa.Table.from_batches(parts)
+        node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
+        in_i = table.column("in_i").to_numpy(zero_copy_only=False).astype(bool)
+        inner = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        sketch = _sketches(table.column("sketch").combine_chunks())
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for at in range(0, len(node), 32):
+            some = slice(at, at + 32)
+            wanted = component[some, None] < component[None, :]
+            if not inner:
+                wanted &= in_i[some, None] != in_i[None, :]
+            x, y = np.nonzero(wanted)
+            if len(x):
+                good = (sketch[some][x] == sketch[y]).mean(1) >= LEAST_ESTIMATE
+                found.append((node[some][x[good]], node[y[good]]))
+        a, b = (np.concatenate(v) for v in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
 def _saved(df: DataFrame, name: str) -> DataFrame:
@@ -168,55 +196,61 @@ def _saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(out)
 
 
-def candidate_components(classes: DataFrame, threshold: float, recall: float) -> DataFrame:
+def candidate_components(classes: DataFrame, threshold: float, recall: float, block: int) -> DataFrame:
     """``node, component`` of the classes that may be linked to another."""
     alone = classes.select("node", "mins", F.col("node").alias("component"))
     schema = "key long, node long, component long"
     members = alone.mapInArrow(_tree_task(LONG_PREFIX), schema).select("key", "node")
     pivots = members.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     stars = members.join(pivots, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    close = connected_components(_agreement(stars, classes, LEAST_ESTIMATE))
+    close = connected_components(_agreeing(stars, classes))
 
     placed = (classes.select("node", "mins").join(close, "node", "left")
               .select("node", "mins", F.coalesce("component", "node").alias("component")))
     shorter = placed.mapInArrow(_tree_task(prefix_depth(threshold, TREES, recall)), schema)
     mixed = (shorter.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo < hi").select("key"))
-    left = shorter.join(mixed, "key")
-    right = left.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
-    pairs = left.join(right, "key").where("component < other").select(F.col("node").alias("a"), "b").distinct()
-    bridges = _agreement(pairs, classes, LEAST_ESTIMATE)
+    # the pairs of a bucket are compared where its members meet: only agreeing ones become rows
+    buckets = (shorter.join(mixed, "key").withColumnRenamed("key", "bucket")
+               .join(classes.select("node", "sketch"), "node"))
+    bridges = (_blocks(buckets, "bucket", block).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+               .mapInArrow(_bridge_task, "a long, b long").distinct())
     stars = close.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
     return connected_components(stars.unionByName(bridges))
 
 
-def _blocks(members: DataFrame, block: int) -> DataFrame:
-    """Give every class of a component to the block pairs ``(i, j)`` it takes
-    part in: ``component, i, j, node`` and whether it is of block i."""
-    sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
-    own = (members.join(sizes, "component")
+def _blocks(members: DataFrame, group: str, block: int) -> DataFrame:
+    """Give every class of a group to the block pairs ``(i, j)`` it takes part
+    in: ``group, i, j`` and whether it is of block i, with its columns."""
+    sizes = members.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    own = (members.join(sizes, group)
            .withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")))
     return (own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                    (F.col("own") <= F.col("other")).alias("in_i"), *[c for c in members.columns if c != "component"]))
+            .select(group, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                    (F.col("own") <= F.col("other")).alias("in_i"), *[c for c in members.columns if c != group]))
+
+
+def _units(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[list[pa.RecordBatch]]:
+    """The rows of each key, from batches sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names])
+        bounds = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), batch.num_rows]
+        for k, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)):
+            if lo == hi:
+                continue
+            if held and (k > 0 or any(held[-1].column(c)[0] != batch.column(c)[lo] for c in names)):
+                yield held
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield held
 
 
 def _verify_task(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            keys = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("component", "i", "j")])
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
-            bounds = [0, *cuts.tolist(), batch.num_rows]
-            for k, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)):
-                if lo == hi:
-                    continue
-                if held and (k > 0 or any(held[-1].column(c)[0] != batch.column(c)[lo] for c in ("component", "i", "j"))):
-                    yield _verify_unit(held, threshold)
-                    held = []
-                held.append(batch.slice(lo, hi - lo))
-        if held:
-            yield _verify_unit(held, threshold)
+        for parts in _units(batches, ("component", "i", "j")):
+            yield _verify_unit(parts, threshold)
     return run
 
 
@@ -279,15 +313,16 @@ def ngram_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     classes = _saved(
-        rows.mapInArrow(_sketch_task, f"digest binary, id {id_type}, mins binary")
-        .groupBy("digest").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("copies"), F.first("mins").alias("mins"))
+        rows.mapInArrow(_sketch_task, f"digest binary, id {id_type}, mins binary, sketch binary")
+        .groupBy("digest").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("copies"),
+                               F.first("mins").alias("mins"), F.first("sketch").alias("sketch"))
         .withColumn("node", F.monotonically_increasing_id()), "classes")
-    members = candidate_components(classes, threshold, recall)
+    members = candidate_components(classes, threshold, recall, block)
     # the text of one document of each class that may have links
     wanted = classes.join(members, "node").select("digest", "node", "component", "copies")
     texts = (rows.mapInArrow(_digest_task, f"digest binary, id {id_type}, text string").drop("id")
              .join(wanted, "digest").groupBy("node", "component", "copies").agg(F.min("text").alias("text")))
-    units = (_blocks(texts, block).repartition("component", "i", "j").sortWithinPartitions("component", "i", "j"))
+    units = (_blocks(texts, "component", block).repartition("component", "i", "j").sortWithinPartitions("component", "i", "j"))
     found = _saved(units.mapInArrow(_verify_task(threshold), "node long, root long, texts long, documents long"), "links")
     groups = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     sums = found.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("documents").alias("documents"))
