@@ -38,11 +38,12 @@ def op3_html_text(spark, sf_dir):
 def op4_sentencepiece(spark, sf_dir, model_path: str = PIECE_MODEL):
     model = sentencepieces.read_model(model_path)
     encoded = sentencepieces.encode_pieces(_table(spark, sf_dir, "documents").select("doc_id", "text"), model)
-    decoded = sentencepieces.decode_pieces(encoded, model)
+    texts = encoded.select("doc_id", F.sha2("text", 256).alias("text_sha256"), "ids")
+    decoded = sentencepieces.decode_pieces(texts, model)
     return decoded.select("doc_id", F.size(F.coalesce("ids", F.array())).alias("n_tokens"),
                           F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"),
-                          F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"))
+                          F.col("text_sha256").eqNullSafe(F.sha2("decoded", 256)).alias("round_trip"))
 
 
 def op5_suffix_dedup(spark, sf_dir):

@@ -48,7 +48,9 @@ from .textarrays import SpanHash, mix, slices, utf8
 
 SPACE = 0x2581
 _BITS = 22  # bitmaps over hash prefixes: half a megabyte each
-_CACHE = 1 << 22
+_CACHE = 1 << 21
+#: Text bytes encoded at once: the lattice takes some 150 bytes of memory for each.
+ENCODE_BYTES = 500_000
 
 
 class PieceTable:
@@ -124,7 +126,7 @@ class _Pairs:
 
     def stable(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a * self.size + b
-        slot = (mix(key.astype(np.uint64)) >> np.uint64(64 - 22)).astype(np.int64)
+        slot = (mix(key.astype(np.uint64)) >> np.uint64(64 - 21)).astype(np.int64)
         out = self.cache_value[slot]
         new = np.flatnonzero(self.cache_key[slot] != key)
         if len(new):
@@ -378,7 +380,7 @@ def encode_pieces(df: DataFrame, model: bytes, *, text_col: str = "text", ids_co
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, _ = _codec(model)
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text_col, ENCODE_BYTES):
                 column = part.column(text_col)
                 ids, offsets = encoder.encode(*utf8(column))
                 null = np.append(column.is_null().to_numpy(zero_copy_only=False), False)
@@ -395,8 +397,8 @@ def decode_pieces(df: DataFrame, model: bytes, *, ids_col: str = "ids", text_col
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, decoder = _codec(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
                 column = part.column(ids_col)
                 lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
                 ids = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)  # skips null lists
