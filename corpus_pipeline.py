@@ -28,11 +28,11 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates, the smallest doc_id.
+    """Keep one document of each class of near duplicates, the smallest doc_id.
     Documents without words and rows without a doc_id are no duplicates; rows
     that share a doc_id stay or go together."""
-    groups = ngram_join.ngram_links(docs)
-    duplicate = groups.where("group_id < doc_id").select("doc_id").distinct()
+    classes = ngram_join.ngram_links(docs)
+    duplicate = classes.where("class_id < doc_id").select("doc_id").distinct()
     return docs.join(duplicate, "doc_id", "left_anti").select(*docs.columns)
 
 

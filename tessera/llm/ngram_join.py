@@ -3,16 +3,16 @@
 Two documents are linked when the Jaccard similarity of their sets of word
 5-grams is 0.8 or more. The steps:
 
-1. Documents with the same words in the same order form a *class*; one
-   signature of ``N_MINS`` minima is kept per class.
-2. ``TREES`` prefix trees are laid over the signatures; a tree orders some of
+1. Documents with the same words in the same order are *copies*; one signature
+   of ``N_MINS`` minima is kept for each such class of copies.
+2. Prefix trees are laid over the signatures; a tree orders some of
    the minima, and two classes meet in it at depth d when their first d values
-   agree. The search starts with long prefixes, where only close texts meet:
-   every bucket links its members to its smallest one, signature estimates
+   agree. The search starts with long prefixes in ``LONG_TREES`` trees, where only
+   close texts meet: every bucket links its members to its smallest one, signature estimates
    discard chance meetings, and the components of these links contract the
    large groups.
-3. The prefixes are shortened to the largest depth whose recall at the
-   threshold reaches ``recall``; only pairs from different components are new
+3. In all ``TREES`` trees the prefixes are shortened to the largest depth whose
+   recall at the threshold reaches ``recall``; only pairs from different components are new
    there. They are compared by the same estimate where the bucket's members
    meet (a large bucket in pairs of blocks), and join components.
 4. Within each component every pair is verified exactly on its sets of 5-gram
@@ -20,12 +20,12 @@ Two documents are linked when the Jaccard similarity of their sets of word
    and each pair of blocks is a task of its own, so no task holds more than
    two blocks and no pair is ever a row.
 
-The result has one row per document, with the number of links and the group
-(connected component of verified links); pairs are never listed.
+The result has one row per document, with the number of links and the class of
+near duplicates (connected component of verified links); pairs are never listed.
 
 Words are separated by ASCII white space. Defined results: a text of one to
 four words has one n-gram, the whole; a text without words (null, empty, blank)
-has no links, is no copy of another, and is a group of its own. Repeated rows
+has no links, is no copy of another, and is a class of its own. Repeated rows
 and repeated doc_ids are copies or documents like any other row; a null doc_id
 stays null. An empty table gives an empty result. Only the id and text columns
 are read.
@@ -49,6 +49,8 @@ WORDS = 5
 THRESHOLD = 0.8
 N_MINS = 128
 TREES = 32
+#: The first search: few trees and long prefixes, for the closest texts only.
+LONG_TREES = 8
 LONG_PREFIX = 14
 RECALL = 0.999
 BLOCK = 512
@@ -130,20 +132,20 @@ def _digest_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([_digest(digests), *part.columns], ["digest", *part.schema.names])
 
 
-def _tree_task(depth: int):
+def _tree_task(depth: int, trees: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
                 n = part.num_rows
                 mins = np.frombuffer(b"".join(part.column("mins").to_pylist()), np.uint32).reshape(n, N_MINS).astype(np.uint64)
-                keys = np.empty((n, TREES), np.uint64)
-                for t in range(TREES):
+                keys = np.empty((n, trees), np.uint64)
+                for t in range(trees):
                     key = np.full(n, t + 1, np.uint64)
                     for i in _TREE_ORDER[t, :depth]:
                         key = mix(key ^ mix(mins[:, i] + np.uint64(1)))
                     keys[:, t] = key
-                again = pa.array(np.repeat(np.arange(n), TREES))
+                again = pa.array(np.repeat(np.arange(n), trees))
                 yield pa.RecordBatch.from_arrays([pa.array(signed(keys.ravel())), part.column("node").take(again), part.column("component").take(again)],
                                                  ["key", "node", "component"])
     return run
@@ -169,15 +171,17 @@ def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _bridge_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Agreeing pairs of different components within each unit of a bucket."""
+    """Components that agreeing pairs of a unit of a bucket join, each with the
+    smallest that it hangs together with there."""
     for parts in _units(batches, ("bucket", "i", "j")):
         table = pa.Table.from_batches(parts)
-        node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
+        component = table.column("component").to_numpy()
         in_i = table.column("in_i").to_numpy(zero_copy_only=False).astype(bool)
         inner = table.column("i")[0].as_py() == table.column("j")[0].as_py()
         sketch = _sketches(table.column("sketch").combine_chunks())
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for at in range(0, len(node), 32):
+        names, place = np.unique(component, return_inverse=True)
+        linked = np.zeros((len(names), len(names)), bool)
+        for at in range(0, len(component), 32):
             some = slice(at, at + 32)
             wanted = component[some, None] < component[None, :]
             if not inner:
@@ -185,9 +189,22 @@ def _bridge_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, y = np.nonzero(wanted)
             if len(x):
                 good = (sketch[some][x] == sketch[y]).mean(1) >= LEAST_ESTIMATE
-                found.append((node[some][x[good]], node[y[good]]))
-        a, b = (np.concatenate(v) for v in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                x, y = place[some][x[good]], place[y[good]]
+                linked[x, y] = linked[y, x] = True
+        root = _smallest_linked(linked)
+        moved = root != np.arange(len(names))
+        yield pa.RecordBatch.from_arrays([pa.array(names[root[moved]]), pa.array(names[moved])], ["a", "b"])
+
+
+def _smallest_linked(linked: np.ndarray) -> np.ndarray:
+    """Per row of a symmetric link matrix the smallest row it hangs together with."""
+    label = np.arange(len(linked))
+    while True:
+        spread = np.minimum(label, np.where(linked, label[None, :], len(linked)).min(1, initial=len(linked)))
+        spread = spread[spread]
+        if (spread == label).all():
+            return label
+        label = spread
 
 
 def _saved(df: DataFrame, name: str) -> DataFrame:
@@ -200,14 +217,14 @@ def candidate_components(classes: DataFrame, threshold: float, recall: float, bl
     """``node, component`` of the classes that may be linked to another."""
     alone = classes.select("node", "mins", F.col("node").alias("component"))
     schema = "key long, node long, component long"
-    members = alone.mapInArrow(_tree_task(LONG_PREFIX), schema).select("key", "node")
+    members = alone.mapInArrow(_tree_task(LONG_PREFIX, LONG_TREES), schema).select("key", "node")
     pivots = members.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     stars = members.join(pivots, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
     close = connected_components(_agreeing(stars, classes))
 
     placed = (classes.select("node", "mins").join(close, "node", "left")
-              .select("node", "mins", F.coalesce("component", "node").alias("component")))
-    shorter = placed.mapInArrow(_tree_task(prefix_depth(threshold, TREES, recall)), schema)
+              .select("node", "mins", F.coalesce("component", "node").alias("component"), F.col("component").isNotNull().alias("close")))
+    shorter = placed.select("node", "mins", "component").mapInArrow(_tree_task(prefix_depth(threshold, TREES, recall), TREES), schema)
     mixed = (shorter.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo < hi").select("key"))
     # the pairs of a bucket are compared where its members meet: only agreeing ones become rows
@@ -215,8 +232,10 @@ def candidate_components(classes: DataFrame, threshold: float, recall: float, bl
                .join(classes.select("node", "sketch"), "node"))
     bridges = (_blocks(buckets, "bucket", block).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
                .mapInArrow(_bridge_task, "a long, b long").distinct())
-    stars = close.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
-    return connected_components(stars.unionByName(bridges))
+    merged = connected_components(bridges).select(F.col("node").alias("component"), F.col("component").alias("merged"))
+    return (placed.select("node", "component", "close").join(merged, "component", "left")
+            .where(F.col("close") | F.col("merged").isNotNull())
+            .select("node", F.coalesce("merged", "component").alias("component")))
 
 
 def _blocks(members: DataFrame, group: str, block: int) -> DataFrame:
@@ -256,7 +275,7 @@ def _verify_task(threshold: float):
 
 def _verify_unit(parts: list[pa.RecordBatch], threshold: float) -> pa.RecordBatch:
     """Links of one block pair: per class its linked classes and documents, and
-    the smallest class it hangs together with."""
+    one class that it hangs together with."""
     table = pa.Table.from_batches(parts)
     n = table.num_rows
     node = table.column("node").to_numpy()
@@ -289,15 +308,7 @@ def _verify_unit(parts: list[pa.RecordBatch], threshold: float) -> pa.RecordBatc
     np.fill_diagonal(linked, False)
     if not inner:  # pairs within a block belong to that block's own unit
         linked &= in_i[:, None] != in_i[None, :]
-    root = np.arange(n)
-    smallest = np.argsort(np.argsort(node))
-    label = smallest.copy()
-    while True:  # smallest label among linked classes, until it settles
-        spread = np.minimum(label, np.where(linked, label[None, :], n).min(1, initial=n))
-        if (spread == label).all():
-            break
-        label = spread
-    root = np.sort(node)[label]
+    root = node[_smallest_linked(linked)]
     some = linked.any(1)
     return pa.RecordBatch.from_arrays(
         [pa.array(node[some]), pa.array(root[some]), pa.array(linked.sum(1)[some].astype(np.int64)),
@@ -306,15 +317,16 @@ def _verify_unit(parts: list[pa.RecordBatch], threshold: float) -> pa.RecordBatc
 
 def ngram_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                 recall: float = RECALL, block: int = BLOCK) -> DataFrame:
-    """Per document: ``id_col``, ``class_id`` (smallest id of its copies),
-    ``group_id`` (smallest id of its group), ``n_copies`` (documents with the
-    same words, itself included), ``n_similar_texts`` (other classes linked)
-    and ``n_links`` (other documents linked, copies included)."""
+    """Per document: ``id_col``, ``class_id`` (smallest id of the documents that
+    links connect with it), ``n_links`` (other documents linked, copies
+    included), ``n_similar_texts`` (other texts linked), ``copy_id`` (smallest id
+    of the documents with the same words) and ``n_copies`` (their number, itself
+    included)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     classes = _saved(
         rows.mapInArrow(_sketch_task, f"digest binary, id {id_type}, mins binary, sketch binary")
-        .groupBy("digest").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("copies"),
+        .groupBy("digest").agg(F.min("id").alias("copy_id"), F.count(F.lit(1)).alias("copies"),
                                F.first("mins").alias("mins"), F.first("sketch").alias("sketch"))
         .withColumn("node", F.monotonically_increasing_id()), "classes")
     members = candidate_components(classes, threshold, recall, block)
@@ -326,15 +338,15 @@ def ngram_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     found = _saved(units.mapInArrow(_verify_task(threshold), "node long, root long, texts long, documents long"), "links")
     groups = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     sums = found.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("documents").alias("documents"))
-    slim = classes.select("digest", "node", "class_id", "copies")
+    slim = classes.select("digest", "node", "copy_id", "copies")
     grouped = (slim.join(groups, "node", "left").join(sums, "node", "left")
                .withColumn("component", F.coalesce("component", "node")))
-    smallest = grouped.groupBy("component").agg(F.min("class_id").alias("group_id"))
-    per_class = grouped.join(smallest, "component").select("digest", "class_id", "group_id", "copies", "texts", "documents")
+    smallest = grouped.groupBy("component").agg(F.min("copy_id").alias("class_id"))
+    per_class = grouped.join(smallest, "component").select("digest", "copy_id", "class_id", "copies", "texts", "documents")
     ids = rows.mapInArrow(_digest_task, f"digest binary, id {id_type}, text string").select("digest", "id")
     return (ids.join(per_class, "digest", "left")
             .select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"),
-                    F.coalesce("group_id", "id").alias("group_id"),
-                    F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"),
+                    (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("documents", F.lit(0))).cast("long").alias("n_links"),
                     F.coalesce("texts", F.lit(0)).cast("long").alias("n_similar_texts"),
-                    (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("documents", F.lit(0))).cast("long").alias("n_links")))
+                    F.coalesce("copy_id", "id").alias("copy_id"),
+                    F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies")))

@@ -14,7 +14,7 @@ def shingles(text):
 
 
 def brute(rows, threshold):
-    """Per row: links, and the smallest id of its group."""
+    """Per row: links, and the smallest id of its class."""
     sets = [shingles(t) for _, t in rows]
     links, root = collections.Counter(), list(range(len(rows)))
 
@@ -44,7 +44,7 @@ def test_matches_brute_force(spark, block):
         texts.append(t)
     texts += [texts[3], texts[3], texts[5], ["a"], ["a"], [], []]
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
-    got = sorted((r.doc_id, r.n_links, r.group_id) for r in
+    got = sorted((r.doc_id, r.n_links, r.class_id) for r in
                  ngram_links(spark.createDataFrame(rows, "doc_id long, text string"), block=block).collect())
     assert got == brute(rows, 0.8)
 
@@ -56,11 +56,11 @@ def test_edges(spark):
     by = collections.defaultdict(list)
     for r in rows:
         by[r.doc_id].append(r)
-    assert by[1][0].n_copies == 4 and by[1][0].n_links == 3 and by[1][0].class_id == 1
-    assert [r.group_id for r in by[2]] == [1, 1]
+    assert by[1][0].n_copies == 4 and by[1][0].n_links == 3 and by[1][0].copy_id == 1
+    assert [r.class_id for r in by[2]] == [1, 1]
     for i in (3, 4, 5, 8, 12):
-        assert (by[i][0].n_links, by[i][0].group_id) == (0, i)
-    assert by[6][0].n_similar_texts == 1 and by[7][0].group_id == 6
+        assert (by[i][0].n_links, by[i][0].class_id) == (0, i)
+    assert by[6][0].n_similar_texts == 1 and by[7][0].class_id == 6
     assert by[10][0].n_links == by[11][0].n_links == 1
     assert ngram_links(empty(spark)).count() == 0
 
