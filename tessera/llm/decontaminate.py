@@ -15,6 +15,12 @@ and at every word of every document, so that edits in one part of an item
 leave other keys whole. A key that meets one of an item's keys is a candidate,
 and each candidate window is verified exactly by dynamic programming.
 
+A walk of up to ``STEPS`` words needs an item that is longer. Items of fewer
+than ``SHORT_WORDS`` words are cut into one part more than edits are allowed:
+whatever the edits, one part stands whole in the document, and its words are
+the key. So no short item is missed (up to 64-bit hashes); of longer ones with
+all edits that are allowed the walks find 0.995.
+
 A document position costs a few array operations per repetition: positions
 whose first sampled word is no item's are dropped at once, and only the rest
 walk on.
@@ -23,9 +29,9 @@ The items are the query set. They are held by every task, in slices of at most
 ``ITEM_SLICE_BYTES`` of text; a larger benchmark makes more passes over the
 documents, not larger tasks.
 
-Defined results: null or empty documents and items match nothing; an item of
-fewer than ``LEAST_WORDS`` words is searched for exactly (no edits fit within
-its allowance); repeated documents and repeated items give repeated rows; equal
+Defined results: null or empty documents and items match nothing; an item whose
+allowance has room for no edit (fewer than 5 words) is searched for exactly;
+repeated documents and repeated items give repeated rows; equal
 distances take the smallest start. Empty tables give an
 empty result. Only the id and text columns are read.
 """
@@ -47,7 +53,7 @@ MAX_EDITS = 0.2
 REPETITIONS = 8
 SAMPLES = 4
 STEPS = 20
-LEAST_WORDS = 5
+SHORT_WORDS = 24
 ANCHOR_EVERY = 6
 ITEM_SLICE_BYTES = 4_000_000
 
@@ -113,6 +119,33 @@ def _keys(h: np.ndarray, at: np.ndarray, repetition: int, wanted: np.ndarray | N
     return index, key
 
 
+def _part_keys(h: np.ndarray, at: np.ndarray, length: int, wanted: np.ndarray | None):
+    """Like ``_keys``, for the next ``length`` words of every place."""
+    index = np.arange(len(at)) if wanted is None else np.flatnonzero(wanted[h[at] >> np.uint64(48)])
+    at = at[index]
+    key = np.full(len(at), length, np.uint64)
+    for step in range(length):
+        key = mix(key ^ h[at + step])
+    return index, key
+
+
+@dataclass
+class _Search:
+    """Keys of one kind: of a walk's repetition, or of parts of one length."""
+
+    length: int  # of parts; 0: a walk
+    repetition: int
+    keys: np.ndarray  # sorted
+    item: np.ndarray
+    anchor: np.ndarray  # word of the item at which the key begins
+    wanted: np.ndarray
+
+    def of(self, h: np.ndarray, at: np.ndarray):
+        if self.length:
+            return _part_keys(h, at, self.length, self.wanted)
+        return _keys(h, at, self.repetition, self.wanted)
+
+
 @dataclass
 class _Items:
     """One slice of the benchmark, ready to be searched for."""
@@ -120,11 +153,14 @@ class _Items:
     ids: list
     hashes: list[np.ndarray]
     edits: np.ndarray
-    keys: list[np.ndarray]  # per repetition, sorted
-    entry: list[np.ndarray]  # per repetition: row of ``item`` and ``anchor``
-    wanted: list[np.ndarray]
-    item: np.ndarray
-    anchor: np.ndarray
+    searches: list[_Search]
+
+
+def _parts(n: int, edits: int) -> list[tuple[int, int]]:
+    """First word and length of ``edits + 1`` parts of ``n`` words. ``STEPS``
+    words of a longer part are enough (and stay within a row's end marks)."""
+    cuts = [k * n // (edits + 1) for k in range(edits + 2)]
+    return [(a, min(b - a, STEPS)) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def prepare_items(ids: list, texts: list[str], max_edits: float = MAX_EDITS) -> _Items:
@@ -132,49 +168,50 @@ def prepare_items(ids: list, texts: list[str], max_edits: float = MAX_EDITS) ->
     h, row = word_hashes(data, offsets)
     count = np.bincount(row, minlength=len(ids))
     begin = np.concatenate([[0], np.cumsum(count)])
-    item, anchor = [], []
-    for i, n in enumerate(count.tolist()):
-        # an anchor needs some words behind it, or keys would be made of the end mark
-        last = max(n - max(LEAST_WORDS, STEPS // 2 + 2), 0)
-        places = range(0, last + 1, ANCHOR_EVERY) if n else ()
-        item += [i] * len(places)
-        anchor += places
-    item, anchor = np.array(item, np.int64), np.array(anchor, np.int64)
+    edits = np.floor(max_edits * count + 1e-9).astype(int)
+    walked, parts = [], {}
+    for i, (n, e) in enumerate(zip(count.tolist(), edits.tolist(), strict=True)):
+        if n >= SHORT_WORDS:
+            # an anchor needs some words behind it, or keys would be made of the end mark
+            walked += [(i, place) for place in range(0, n - STEPS // 2 - 1, ANCHOR_EVERY)]
+        elif n:
+            for place, length in _parts(n, e):
+                parts.setdefault(length, []).append((i, place))
     padded, place = _padded(h, row)
-    start = place[begin[item] + anchor] if len(item) else np.zeros(0, np.int64)
-    out = _Items(ids, [h[a:b] for a, b in zip(begin, begin[1:], strict=False)], np.floor(max_edits * count + 1e-9).astype(int),
-                 [], [], [], item, anchor)
-    for r in range(REPETITIONS if len(item) else 0):
-        # items end at their last word, windows of documents go on: a walk that
-        # leaves an item's end never meets, other anchors and repetitions do
-        _, key = _keys(padded, start, r, None)
-        order = np.argsort(key, kind="stable")
-        out.keys.append(key[order])
-        out.entry.append(order)
+    out = _Items(ids, [h[a:b] for a, b in zip(begin, begin[1:], strict=False)], edits, [])
+    # items end at their last word, windows of documents go on: a walk that
+    # leaves an item's end never meets, other anchors and repetitions do
+    for length, repetition, entries in [*((0, r, walked) for r in range(REPETITIONS) if walked),
+                                        *((length, 0, entries) for length, entries in sorted(parts.items()))]:
+        item, anchor = np.array(entries, np.int64).T
+        start = place[begin[item] + anchor]
+        first = start if length else _walk(padded, start, repetition, 0, int(_SAMPLED[repetition][0]))
         wanted = np.zeros(1 << 16, bool)
-        wanted[padded[_walk(padded, start, r, 0, int(_SAMPLED[r][0]))] >> np.uint64(48)] = True
-        out.wanted.append(wanted)
+        wanted[padded[first] >> np.uint64(48)] = True
+        _, key = _part_keys(padded, start, length, None) if length else _keys(padded, start, repetition, None)
+        order = np.argsort(key, kind="stable")
+        out.searches.append(_Search(length, repetition, key[order], item[order], anchor[order], wanted))
     return out
 
 
 def candidates(h: np.ndarray, row: np.ndarray, items: _Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(item, row, diagonal)``: the document word at which the item would start."""
-    if not len(h) or not items.keys:
+    if not len(h) or not items.searches:
         none = np.zeros(0, np.int64)
         return none, none, none
     padded, start = _padded(h, row)
     found = []
-    for r, (keys, entry, wanted) in enumerate(zip(items.keys, items.entry, items.wanted, strict=True)):
-        index, key = _keys(padded, start, r, wanted)
-        lo, hi = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+    for search in items.searches:
+        index, key = search.of(padded, start)
+        lo, hi = np.searchsorted(search.keys, key, "left"), np.searchsorted(search.keys, key, "right")
         hit = np.flatnonzero(hi > lo)
         times = (hi - lo)[hit]
         within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        e = entry[np.repeat(lo[hit], times) + within]
-        at = np.repeat(index[hit], times)
+        entry = np.repeat(lo[hit], times) + within
+        item, at = search.item[entry], np.repeat(index[hit], times)
         # neighbouring diagonals are verified as one: its window covers them all
-        step = np.maximum(items.edits[items.item[e]], 1)
-        found.append(np.column_stack([items.item[e], row[at], (at - items.anchor[e]) // step * step]))
+        step = np.maximum(items.edits[item], 1)
+        found.append(np.column_stack([item, row[at], (at - search.anchor[entry]) // step * step]))
     all_found = np.unique(np.concatenate(found), axis=0)
     return all_found[:, 0], all_found[:, 1], all_found[:, 2]
 

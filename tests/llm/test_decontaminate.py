@@ -69,3 +69,31 @@ def test_edges(spark):
     assert D.leaks(empty(spark), b).count() == 0
     assert D.without_leaks(d, b.where("item_id > 99")).count() == d.count()
     assert D.leaks(d, b.where("item_id > 99")).count() == 0
+
+
+def test_short_items_are_found_whole_and_with_all_allowed_edits(spark):
+    rng = random.Random(11)
+    text = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    items = [(n * 10 + k, text(n)) for n in range(1, 24) for k in range(4)]
+    rows, truth = [], set()
+    for i, (k, item) in enumerate(items * 2):
+        edited = list(item)
+        for _ in range(int(0.2 * len(item)) if i < len(items) else 0):
+            p = rng.randrange(len(edited))
+            edited[p:p + 1] = rng.choice([[], ["zzz"], [edited[p], "yyy"]])
+        words = text(30) + edited + text(40)
+        rows.append((i, " ".join(words)))
+        truth |= {(i, j, distance(other, words)) for j, other in items if distance(other, words) <= int(0.2 * len(other))}
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    b = spark.createDataFrame([(k, " ".join(w)) for k, w in items], ITEM_SCHEMA)
+    assert {(r.doc_id, r.item_id, r.distance) for r in D.leaks(d, b).collect()} == truth
+    assert D.without_leaks(d, b).count() == 0
+
+
+def test_one_word_item_gives_its_exact_rows(spark):
+    b = spark.createDataFrame([(1, "a little longer and a second line of the very same text"), (2, None), (3, ""),
+                               (4, "a second line of the very same text, a LITTLE longer!"), (5, "one")], ITEM_SCHEMA)
+    got = sorted((r.doc_id or 0, r.item_id, r.distance, r.item_words) for r in D.leaks(docs(spark), b).collect())
+    prose = [(4, 0, 11), (5, 0, 1)]  # begins with "One"
+    assert got == sorted((i, *hit) for i, hits in ((1, prose), (2, prose), (2, prose), (0, prose), (10, prose[1:]), (11, prose[1:]),
+                                                   (12, prose[1:])) for hit in hits)
