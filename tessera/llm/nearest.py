@@ -6,9 +6,13 @@ the bucket of that table. A query also probes its ``PROBES`` nearest axes of
 each table. Candidates met in a bucket are ranked by their exact inner product
 in double precision; the best of every query are merged over the buckets.
 
-Nearness is the largest inner product. If lengths differ, candidates get one
-more coordinate that makes all lengths equal (and queries a zero there), so the
-nearest axis follows the inner product.
+Nearness is the largest inner product. Candidates are told apart by length, in
+bands of at most ``BAND_RATIO`` between the shortest and the longest. If lengths
+in a band differ, its candidates get one more coordinate that makes them equal
+(and queries a zero there), so the nearest axis follows the inner product. Every
+band has its own buckets, and a query probes all bands. A band of up to about
+``WHOLE_ROWS`` different vectors is not hashed: every query is compared with all
+of it.
 
 Equal vectors form one class with its ``k + 1`` smallest ids, which is all that
 a result of ``k`` can need of them: a vector copied many times is hashed and
@@ -26,6 +30,7 @@ valid vectors gives an empty result. Only the id and vector columns are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +43,14 @@ from ..session import shared_dir
 K = 20
 TABLES = 16
 PROBES = 8
+BAND_RATIO = 1.1
+WHOLE_ROWS = 512
 BUCKET_ROWS = 4096
+QUERY_ROWS = 16384
 BLOCK_ROWS = 1024
 _SEED = 977
+#: The bucket of all bands that are compared whole.
+_WHOLE = -1
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -92,19 +102,41 @@ def _lifted(x: np.ndarray, longest: float, query: bool) -> np.ndarray:
     return np.column_stack([x, rest])
 
 
-def _bucket_task(dim: int, tables: int, probes: int, longest: float | None, query: bool):
+def _bucket_task(dim: int, tables: int, probes: int, bands: dict[int, float | None], query: bool):
+    """``bands``: the hashed ones, each with the length its candidates are lifted to, or none."""
+    width = 4 * (dim + 1)  # more than the number of signed axes
+    base = {band: n * tables * width for n, band in enumerate(bands)}
+
+    def hashed(x: np.ndarray) -> np.ndarray:
+        return np.concatenate([t * width + _axes(x, t, probes) for t in range(tables)], axis=1)
+
+    def buckets(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        x = _matrix(part.column("vec"), dim)
+        every = np.arange(len(x))
+        if query:
+            yield every, np.full((len(x), 1), _WHOLE)
+            # a query's axes are those of all bands that are lifted, whatever the length
+            axes = {lifted: hashed(_lifted(x, 0.0, True) if lifted else x) for lifted in {v is not None for v in bands.values()}}
+            for band, longest in bands.items():
+                yield every, base[band] + axes[longest is not None]
+            return
+        mine = part.column("band").to_numpy()
+        for band in np.unique(mine).tolist():
+            at = np.flatnonzero(mine == band)
+            if band not in bands:
+                yield at, np.full((len(at), 1), _WHOLE)
+            else:
+                longest = bands[band]
+                yield at, base[band] + hashed(x[at] if longest is None else _lifted(x[at], longest, False))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                x = _matrix(part.column("vec"), dim)
-                if longest is not None:
-                    x = _lifted(x, longest, query)
-                width = 4 * x.shape[1]  # more than the number of signed axes
-                found = np.concatenate([t * width + _axes(x, t, probes) for t in range(tables)], axis=1)
-                again = pa.array(np.repeat(np.arange(len(x)), found.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(found.ravel().astype(np.int64)), *(c.take(again) for c in part.columns)],
-                                                 ["bucket", *part.schema.names])
+            for start in range(0, batch.num_rows, 2048):
+                part = batch.slice(start, 2048)
+                for at, found in buckets(part):
+                    again = pa.array(np.repeat(at, found.shape[1]))
+                    yield pa.RecordBatch.from_arrays([pa.array(found.ravel().astype(np.int64)), part.column("id").take(again),
+                                                      part.column("vec").take(again)], ["bucket", "id", "vec"])
     return run
 
 
@@ -175,6 +207,23 @@ def _compare(best: _Best, q: np.ndarray, q_id: np.ndarray, part: pa.RecordBatch,
             best.add(np.repeat(some_id, near.shape[1]), c_id[near].ravel(), score.ravel())
 
 
+def _ranked(candidates: DataFrame, probing: DataFrame, sizes: DataFrame, dim: int, keep: int, query_salts: int) -> DataFrame:
+    """``query, cand, score`` of the best met in each task. A hot bucket's
+    candidates are salted; all queries meet the whole bands' bucket, so there
+    they are salted too."""
+    queries = F.when(F.col("bucket") == _WHOLE, F.lit(query_salts)).otherwise(F.lit(1))
+    salted = F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")
+    dealt = F.pmod(F.xxhash64("id"), queries).cast("int")
+    candidates = (candidates.join(sizes, "bucket")
+                  .select("bucket", F.explode(F.transform(F.sequence(F.lit(0), queries - 1), lambda q: salted * queries + q)).alias("salt"),
+                          F.lit(1).alias("is_candidate"), "id", "vec"))
+    probing = (probing.join(sizes, "bucket")
+               .select("bucket", F.explode(F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda c: c * queries + dealt)).alias("salt"),
+                       F.lit(0).alias("is_candidate"), "id", "vec"))
+    return (candidates.unionByName(probing).repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "is_candidate")
+            .mapInArrow(_rank_task(dim, keep), "query long, cand long, score double").distinct())
+
+
 def nearest_neighbours(df: DataFrame, is_query: Column, *, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K,
                        tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest found for every
@@ -184,32 +233,30 @@ def nearest_neighbours(df: DataFrame, is_query: Column, *, id_col: str = "vec_id
     (df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vec_col}`").alias("vec"))
        .mapInArrow(_valid_task, "id long, vec binary, dim int, length double").write.parquet(out))
     valid = spark.read.parquet(out)
-    shape = valid.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.min("length").alias("lo"), F.max("length").alias("hi"))
+    shape = valid.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("hi"))
     common = shape.orderBy(F.desc("n"), "dim").first()
     dim = common["dim"] if common else 1
-    longest = common["hi"] if common and common["lo"] < 0.999 * common["hi"] else None
-    rows = valid.where(F.col("dim") == dim).select("id", "vec").withColumn("is_query", F.coalesce(is_query, F.lit(False)))
+    band = F.floor((F.lit(math.log(common["hi"]) if common else 0.0) - F.log("length")) / F.lit(math.log(BAND_RATIO))).cast("int")
+    rows = (valid.where(F.col("dim") == dim).select("id", "vec", "length", band.alias("band"))
+            .withColumn("is_query", F.coalesce(is_query, F.lit(False))))
+    spread = rows.groupBy("band").agg(F.approx_count_distinct("vec").alias("n"), F.min("length").alias("lo"), F.max("length").alias("hi"),
+                                      F.count(F.when(F.col("is_query"), 1)).alias("asked")).orderBy("band").collect()
+    bands = {r["band"]: r["hi"] if r["lo"] < 0.999 * r["hi"] else None for r in spread if r["n"] > WHOLE_ROWS}
+    query_salts = sum(r["asked"] for r in spread) // QUERY_ROWS + 1
 
     first = Window.partitionBy("vec").orderBy("id")
     classes = (rows.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= k + 1)
-               .groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids")))
+               .groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids"), F.min("band").alias("band")))
     classes = classes.withColumn("class", F.element_at("ids", 1))
     asked = rows.where("is_query").select("vec").distinct().join(classes.select("vec", "class"), "vec")
 
-    vectors = classes.select(F.col("class").alias("id"), "vec")
-    candidates = vectors.mapInArrow(_bucket_task(dim, tables, 1, longest, False), "bucket long, id long, vec binary")
-    sizes = (vectors.mapInArrow(_bucket_task(dim, tables, 1, longest, False), "bucket long, id long, vec binary")
+    vectors = classes.select(F.col("class").alias("id"), "vec", "band")
+    candidates = vectors.mapInArrow(_bucket_task(dim, tables, 1, bands, False), "bucket long, id long, vec binary")
+    sizes = (vectors.mapInArrow(_bucket_task(dim, tables, 1, bands, False), "bucket long, id long, vec binary")
              .groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).cast("int").alias("salts")))
-    candidates = (candidates.join(sizes, "bucket")
-                  .select("bucket", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"),
-                          F.lit(1).alias("is_candidate"), "id", "vec"))
     probing = (asked.select(F.col("class").alias("id"), "vec")
-               .mapInArrow(_bucket_task(dim, tables, probes, longest, True), "bucket long, id long, vec binary")
-               .join(sizes, "bucket")
-               .select("bucket", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-                       F.lit(0).alias("is_candidate"), "id", "vec"))
-    found = (candidates.unionByName(probing).repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "is_candidate")
-             .mapInArrow(_rank_task(dim, k + 1), "query long, cand long, score double").distinct())
+               .mapInArrow(_bucket_task(dim, tables, probes, bands, True), "bucket long, id long, vec binary"))
+    found = _ranked(candidates, probing, sizes, dim, k + 1, query_salts)
     ranked = Window.partitionBy("query").orderBy(F.desc("score"), "cand")
     near = found.withColumn("rn", F.row_number().over(ranked)).where(F.col("rn") <= k + 1)
     # rows of the found classes, best first; k + 1 of them always leave k beside the query's own

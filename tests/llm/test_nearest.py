@@ -56,3 +56,19 @@ def test_copies_ties_and_invalid_vectors(spark):
     twice = nearest_neighbours(frame(spark, [0, 0, 7], [a, a, a]), F.col("id") % 20 == 0, k=5).collect()
     assert sorted((r.query_id, r["rank"], r.vec_id) for r in twice) == [(0, 1, 0), (0, 1, 0), (0, 2, 7), (0, 2, 7)]
     assert nearest_neighbours(frame(spark, [], []), F.col("id") % 20 == 0).count() == 0
+
+
+def test_recall_with_a_few_long_vectors(spark):
+    x = np.random.default_rng(3).normal(size=(1200, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[[5, 600]] *= [[10.0], [2.0]]
+    assert recall(spark, list(range(1200)), x) >= 0.9
+
+
+def test_recall_with_skewed_lengths(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, 64))
+    x *= (rng.lognormal(size=1500) / np.linalg.norm(x, axis=1))[:, None]
+    assert recall(spark, list(range(1500)), x) >= 0.9
+    x = x[:1100] * (rng.uniform(0.9, 1, 1100) / np.linalg.norm(x[:1100], axis=1))[:, None]  # one hashed band, lifted
+    assert recall(spark, list(range(1100)), x) >= 0.9
