@@ -12,7 +12,8 @@ in a band differ, its candidates get one more coordinate that makes them equal
 (and queries a zero there), so the nearest axis follows the inner product. Every
 band has its own buckets, and a query probes all bands. A band of up to about
 ``WHOLE_ROWS`` different vectors is not hashed: every query is compared with all
-of it.
+of it. So is a query with all vectors if the buckets give it no more than
+``k`` different ones (its own among them): it gets its exact neighbours.
 
 Equal vectors form one class with its ``k + 1`` smallest ids, which is all that
 a result of ``k`` can need of them: a vector copied many times is hashed and
@@ -224,6 +225,11 @@ def _ranked(candidates: DataFrame, probing: DataFrame, sizes: DataFrame, dim: in
             .mapInArrow(_rank_task(dim, keep), "query long, cand long, score double").distinct())
 
 
+def _nearest(found: DataFrame, keep: int) -> DataFrame:
+    ranked = Window.partitionBy("query").orderBy(F.desc("score"), "cand")
+    return found.withColumn("rn", F.row_number().over(ranked)).where(F.col("rn") <= keep)
+
+
 def nearest_neighbours(df: DataFrame, is_query: Column, *, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K,
                        tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest found for every
@@ -257,8 +263,20 @@ def nearest_neighbours(df: DataFrame, is_query: Column, *, id_col: str = "vec_id
     probing = (asked.select(F.col("class").alias("id"), "vec")
                .mapInArrow(_bucket_task(dim, tables, probes, bands, True), "bucket long, id long, vec binary"))
     found = _ranked(candidates, probing, sizes, dim, k + 1, query_salts)
-    ranked = Window.partitionBy("query").orderBy(F.desc("score"), "cand")
-    near = found.withColumn("rn", F.row_number().over(ranked)).where(F.col("rn") <= k + 1)
+    near = _nearest(found, k + 1)
+    if bands:  # whole bands alone leave no candidate out
+        met = shared_dir(spark, "nearest", "met")
+        near.write.parquet(met)
+        near = spark.read.parquet(met)
+        enough = near.groupBy("query").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > k).select(F.col("query").alias("class"))
+        short = asked.join(enough, "class", "left_anti").select(F.col("class").alias("id"), "vec")
+        n_short = short.count()
+        if n_short:
+            whole = F.lit(_WHOLE).cast("long").alias("bucket")
+            salts = vectors.select(whole).groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).cast("int").alias("salts"))
+            exact = _nearest(_ranked(vectors.select(whole, "id", "vec"), short.select(whole, "id", "vec"), salts, dim, k + 1,
+                                     n_short // QUERY_ROWS + 1), k + 1)
+            near = near.join(short.select(F.col("id").alias("query")), "query", "left_anti").unionByName(exact)
     # rows of the found classes, best first; k + 1 of them always leave k beside the query's own
     listed = (near.join(classes.select(F.col("class").alias("cand"), "ids"), "cand")
               .select("query", "score", F.explode("ids").alias("vec_id"))

@@ -72,3 +72,22 @@ def test_recall_with_skewed_lengths(spark):
     assert recall(spark, list(range(1500)), x) >= 0.9
     x = x[:1100] * (rng.uniform(0.9, 1, 1100) / np.linalg.norm(x[:1100], axis=1))[:, None]  # one hashed band, lifted
     assert recall(spark, list(range(1100)), x) >= 0.9
+
+
+def test_small_tables_and_far_queries_get_all_their_rows(spark):
+    for n in (10, 20, 40):
+        x = np.random.default_rng(n).normal(size=(n, 64))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        rows = nearest_neighbours(frame(spark, list(range(n)), x), F.col("id") % 20 == 0).collect()
+        for q in range(0, n, 20):
+            assert [r.vec_id for r in sorted(rows, key=lambda r: r["rank"]) if r.query_id == q] == exact(list(range(n)), x, q, 20)
+    # queries opposite to all others: no bucket is shared
+    ids = list(range(700))
+    x = np.random.default_rng(6).normal(size=(700, 64)) * 0.02
+    x[:, 0] += 1
+    x[::350] *= -1
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = nearest_neighbours(frame(spark, ids, x), F.col("id").isin(0, 350, 20)).collect()
+    for q in (0, 350):
+        assert [r.vec_id for r in sorted(rows, key=lambda r: r["rank"]) if r.query_id == q] == exact(ids, x, q, 20)
+    assert sum(r.query_id == 20 for r in rows) == 20
