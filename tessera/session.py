@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
@@ -17,9 +17,39 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
     When a local session has none (tests), one is created and set; on a
     cluster that is an error, so no code falls back to a machine's own folder.
+    All folders of an application lie under one, named by its id, which the
+    driver's file system client deletes when the application ends.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None) or ensure_checkpoint_dir(spark)
-    return "/".join([root.rstrip("/"), *parts, uuid.uuid4().hex])
+    return "/".join([_application_dir(spark, root.rstrip("/")), *parts, uuid.uuid4().hex])
+
+
+_to_delete: set[str] = set()
+
+
+def _application_dir(spark: SparkSession, root: str) -> str:
+    """The application's own folder; made, and marked for deletion at its end,
+    on first use. (A killed driver leaves it behind under its id.)"""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no file system client here
+        return root
+    path = f"{root}/tessera-{sc.applicationId}"
+    if path not in _to_delete:
+        hadoop = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs = hadoop.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(hadoop)
+        fs.deleteOnExit(hadoop)
+        _to_delete.add(path)
+    return path
+
+
+def saved(df: DataFrame, *parts: str) -> DataFrame:
+    """``df`` written to a fresh shared folder and read back: its lineage ends
+    at files that a lost executor doesn't take along."""
+    out = shared_dir(df.sparkSession, *parts)
+    df.write.parquet(out)
+    return df.sparkSession.read.parquet(out)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

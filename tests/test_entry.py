@@ -5,7 +5,7 @@ import sys
 import duckdb
 import pytest
 
-from conftest import SF001
+from paths import SF001
 
 sys.path.insert(0, __file__.rsplit("/tests/", 1)[0] + "/tools")
 import __spark_entry__ as se  # noqa: E402

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from tessera.operators.ingest import EXCEPTION_COLUMNS, ParseOptions, parse_lines
 from tessera.operators.layout import Layout, layout_slices
 from tessera.plans.fixtures import LINEITEM_TABLE, lineitem_layout, lineitem_records
@@ -132,7 +132,7 @@ ERRORS_BY_COLUMN_SF01 = {"SHIP_DATE": 3185, "QTY": 3090, "EXT_PRICE": 2529, "DIS
 
 
 def test_per_file_counts_match_fixtures_sf01(spark):
-    from conftest import SF01
+    from paths import SF01
     p = parse_lines(lineitem_records(spark, SF01), lineitem_layout(), ParseOptions(LINEITEM_TABLE))
     rows = p.file_counts().collect()
     got = {r.file_path.split("/")[-1]: (r.loaded_count, r.raw_count - r.loaded_count, r.dq_error_count,

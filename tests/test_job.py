@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from conftest import SF001
+from paths import SF001
 from tessera.plans.fixed_width_job import FixedWidthJob, run_fixed_width_job
 from tessera.plans.fixtures import LINEITEM_LAYOUT_CSV, lineitem_records
 from test_ingest import EXPECTED_SF001

@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from tessera.functions import vocab
 from tessera.operators.mask import TYPES, apply_mask_config, keyed_mask, validate_config
 from tessera.plans.fixtures import customer_contacts

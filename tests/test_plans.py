@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from tessera.operators.ingest import ParseOptions, parse_lines
 from tessera.operators.mask import apply_mask_config, keyed_mask
 from tessera.plans.fixtures import LINEITEM_LAYOUT_CSV, customer_contacts, lineitem_layout
