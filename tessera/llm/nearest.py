@@ -49,6 +49,7 @@ WHOLE_ROWS = 512
 BUCKET_ROWS = 4096
 QUERY_ROWS = 16384
 BLOCK_ROWS = 1024
+PAIR_ROWS = 65536
 _SEED = 977
 #: The bucket of all bands that are compared whole.
 _WHOLE = -1
@@ -199,13 +200,27 @@ def _compare(best: _Best, q: np.ndarray, q_id: np.ndarray, part: pa.RecordBatch,
         c, c_id = _matrix(block.column("vec"), dim), block.column("id").to_numpy()
         for lo in range(0, len(q), BLOCK_ROWS):
             some, some_id = q[lo:lo + BLOCK_ROWS], q_id[lo:lo + BLOCK_ROWS]
-            if len(c) > keep:
-                # fast products choose; some places more than are kept absorb their rounding
-                near = np.argpartition(-(some @ c.T), min(keep + 4, len(c) - 1), axis=1)[:, :keep + 4]
-            else:
-                near = np.broadcast_to(np.arange(len(c)), (len(some), len(c)))
-            score = np.einsum("ij,ikj->ik", some, c[near])  # one fixed order of summation
-            best.add(np.repeat(some_id, near.shape[1]), c_id[near].ravel(), score.ravel())
+            at_q, at_c = _at_least(some, c, keep)
+            best.add(some_id[at_q], c_id[at_c], _products(some, c, at_q, at_c))
+
+
+def _at_least(q: np.ndarray, c: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs ``(row of q, row of c)`` of every candidate that reaches its query's
+    ``keep``-th best product, ties of any number included. The products are
+    fast ones, so the edge is lowered by a bound on their rounding."""
+    fast = q @ c.T
+    if len(c) <= keep:
+        return tuple(x.ravel() for x in np.indices(fast.shape))
+    edge = -np.partition(-fast, keep - 1, axis=1)[:, keep - 1]
+    longest = np.sqrt((c * c).sum(1).max())
+    rounding = 4 * q.shape[1] * np.finfo(float).eps * np.sqrt((q * q).sum(1)) * longest
+    return np.nonzero(fast >= (edge - rounding)[:, None])
+
+
+def _products(q: np.ndarray, c: np.ndarray, at_q: np.ndarray, at_c: np.ndarray) -> np.ndarray:
+    """Inner products of the pairs, each summed in one fixed order."""
+    parts = [np.einsum("ij,ij->i", q[at_q[lo:lo + PAIR_ROWS]], c[at_c[lo:lo + PAIR_ROWS]]) for lo in range(0, len(at_q), PAIR_ROWS)]
+    return np.concatenate(parts) if parts else np.zeros(0)
 
 
 def _ranked(candidates: DataFrame, probing: DataFrame, sizes: DataFrame, dim: int, keep: int, query_salts: int) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, line_dedup, nearest, ngram_join, quality, sentencepieces, suffix_dedup, toxicity, url_filter
+from . import collocations, decontaminate, html_extract, line_dedup, nearest, ngram_join, prefix_trie, quality, quality_rules, sentencepieces, suffix_dedup, toxicity, url_filter
 
 #: Fixed rules of the URL query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -72,7 +72,36 @@ def op10_url_filter(spark, sf_dir):
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_quality_rules(spark, sf_dir):
+    judged = quality_rules.filter_quality(_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def _rebuilt(conversations: DataFrame) -> DataFrame:
+    """Every conversation with its first h turns taken from the first of its
+    five neighbours."""
+    of = prefix_trie.conversation_turns(conversations)
+    donor = of.select(F.col("conv_id").alias("donor"), *(F.slice(c, 1, 8).alias(f"d_{c}") for c in ("turns", "bytes")))
+    c = F.col("conv_id")
+    mine = of.withColumn("h", (F.crc32(c.cast("string").cast("binary")) % 9).cast("int"))
+    joined = mine.join(donor, c - c % 5 == F.col("donor"), "left")
+
+    def turns(name: str):
+        given = F.slice(F.coalesce(F.col(f"d_{name}"), F.slice(name, 1, 0)), F.lit(1), F.col("h"))
+        return F.concat(given, F.slice(name, F.col("h") + 1, F.size(name))).alias(name)
+
+    return joined.select("conv_id", turns("turns"), turns("bytes"))
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie_nodes(_rebuilt(_table(spark, sf_dir, "conversations")))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_line_dedup, op2_decontaminate, op3_html_text, op4_sentencepiece, op5_suffix_dedup, op6_nearest,
-             op7_quality, op8_toxicity, op9_ngram_join, op10_url_filter)
+             op7_quality, op8_toxicity, op9_ngram_join, op10_url_filter, op11_quality_rules, op12_collocations, op13_prefix_trie)
     return {f.__name__: f for f in found}

@@ -91,3 +91,19 @@ def test_small_tables_and_far_queries_get_all_their_rows(spark):
     for q in (0, 350):
         assert [r.vec_id for r in sorted(rows, key=lambda r: r["rank"]) if r.query_id == q] == exact(ids, x, q, 20)
     assert sum(r.query_id == 20 for r in rows) == 20
+
+
+def test_ties_of_different_vectors_go_to_the_smaller_id(spark):
+    rng = np.random.default_rng(8)
+    # below WHOLE_ROWS: compared whole; above: hashed, but few enough directions to meet
+    for n, dim in ((400, 10), (1400, 12)):
+        x = rng.choice([-1.0, 1.0], (n, dim))
+        x = np.unique(x, axis=0) if n == 400 else x
+        ids = rng.permutation(len(x) * 3)[:len(x)].tolist()
+        rows = nearest_neighbours(frame(spark, ids, x), F.col("id") % 20 == 0).collect()
+        got = {}
+        for r in rows:
+            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+        asked = [i for i in ids if i % 20 == 0]
+        same = [[v for _, v in sorted(got[i])] == exact(ids, x, ids.index(i), 20) for i in asked]
+        assert all(same) if n == 400 else np.mean(same) >= 0.9
