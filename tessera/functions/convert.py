@@ -302,6 +302,46 @@ def convert_columns(df: DataFrame, fields: list[tuple[str, Column, str]], keep:
     return cur, {prefix: plan.result for prefix, plan in plans.items()}
 
 
+def field_kind(datatype: str) -> str:
+    """Datatypes of one kind are converted alike: ``numeric`` and ``snumeric``
+    are, and every unknown name is a string."""
+    t = str(datatype).strip().lower()
+    return "numeric" if t == "snumeric" else t if t in SPARK_TYPES else "string"
+
+
+def convert_list(texts: Column, kind: str, date_pattern: str = "YYYYMMDD", with_key: bool = False) -> Column:
+    """The staged conversion of many fields of one kind, as one expression.
+
+    ``texts`` is the array of their stripped texts. Every stage is a
+    ``transform`` that adds its intermediates to the element's struct, so the
+    plan has the size of one field however many there are. Elements of the
+    result: ``value, bad, error_text, message, key_text``; the texts are null
+    unless the value is an error or a key.
+    """
+    def plan(element: Column) -> FieldPlan:
+        return plan_field(kind, element.getField, date_pattern, with_key)
+
+    stages = [list(stage) for stage in plan(F.lit(None)).stages]
+    names, current = ["v"], F.transform(texts, lambda v: F.struct(v.alias("v")))
+    def stage(k: int, before: tuple[str, ...]) -> Callable[[Column], Column]:
+        def step(s: Column) -> Column:
+            return F.struct(*(s.getField(n).alias(n) for n in before), *(e.alias(n) for n, e in plan(s).stages[k].items()))
+        return step
+
+    for k, added in enumerate(stages):
+        current = F.transform(current, stage(k, tuple(names)))
+        names += added
+
+    def finish(s: Column) -> Column:
+        c = plan(s).result
+        bad = F.lit(False) if c.bad is None else c.bad
+        text, message = (F.lit(None).cast("string") if x is None or c.bad is None else F.when(bad, x) for x in (c.error_text, c.message))
+        return F.struct(c.value.alias("value"), bad.alias("bad"), text.alias("error_text"), message.alias("message"),
+                        (c.key_text if with_key else F.lit(None).cast("string")).alias("key_text"))
+
+    return F.transform(current, finish)
+
+
 def convert_one(df: DataFrame, text: Column, datatype: str, prefix: str, keep: list,
                 date_pattern: str = "YYYYMMDD", with_key: bool = False) -> tuple[DataFrame, Converted]:
     staged, conv = convert_columns(df, [(prefix, text, datatype)], keep, date_pattern,

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.convert import convert_columns
+from ..functions.convert import convert_columns, convert_list, field_kind
 from ..functions.text import base_name, py_strip
 from .layout import Layout, field_slice
 
@@ -35,6 +35,10 @@ PRINTABLE = r"^[ -~]*$"
 GOOD, PATH, KEY, ERRORS, NERR, REJECT, VALUE = "_good", "_path", "_key", "_errors", "_n_errors", "_reject", "_value"
 
 
+#: From here on lists are faster than a column per intermediate (README, "Measured").
+WIDE_FROM = 40
+
+
 def field_name(position: int) -> str:
     """Name of a field until it is output: layout names may be anything."""
     return f"_f{position}"
@@ -57,6 +61,9 @@ class ParseOptions:
     # Names of the two trailing output columns (path, region); None drops both.
     extra_columns: tuple[str, str] | None = ("dataops_file_name_path", "dataops_region")
     exception_columns: tuple[str, ...] = EXCEPTION_COLUMNS
+    # Layouts with this many output fields or more are converted as one list per
+    # datatype: the plan then grows with the datatypes, not with the fields.
+    wide_from: int = WIDE_FROM
 
     def __post_init__(self):
         if self.region_mode not in ("two_way", "three_way", "off"):
@@ -82,12 +89,13 @@ class Parsed:
     frame: DataFrame
     layout: Layout
     options: ParseOptions
+    fields: dict[int, Column]  # the typed value of each output field, by position
     _persisted: list = field(default_factory=list)
 
     # -- outputs -------------------------------------------------------------
     def typed(self) -> DataFrame:
         """Good-width rows with typed fields, then the path and region columns."""
-        cols = [F.col(field_name(c.position)).alias(c.name) for c in self.layout.output_columns]
+        cols = [self.fields[c.position].alias(c.name) for c in self.layout.output_columns]
         if self.options.extra_columns:
             path_name, region_name = self.options.extra_columns
             cols += [F.col(PATH).alias(path_name),
@@ -191,20 +199,23 @@ def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
     conversion (``convert_columns``) then adds each intermediate (cleaned text,
     regex result, parsed value) as its own column; the last projection
     assembles typed values, the business key and the error array. All of it is
-    narrow (no shuffle). Up to a few dozen fields the chain runs as one
-    whole-stage-codegen pipeline per task; wider layouts carry more than
-    ``spark.sql.codegen.maxFields`` columns between stages and run as separate
-    compiled projections (see README, "Known cost").
+    narrow (no shuffle). The chain runs as one whole-stage-codegen pipeline per
+    task. Layouts of ``options.wide_from`` fields or more would carry several
+    hundred columns between the stages; their fields are converted as lists, one
+    for each datatype (``_parse_wide``), with equal results.
     """
     value = F.col(value_col)
     outs = layout.output_columns
+    prepared = lines.select(value.alias(VALUE), F.col(path_col).alias(PATH), value.cast("binary").alias("_bytes"),
+                            (F.octet_length(value) == F.length(value)).alias("_ascii"),
+                            value.rlike(PRINTABLE).alias("_printable"))
+    if len(outs) >= options.wide_from:
+        return _parse_wide(prepared, layout, options)
     fields = [(f"_f{c.position}_",
                _stripped(field_slice(F.col(VALUE), c, F.col("_bytes"), F.col("_ascii"))), c.datatype)
               for c in outs]
     staged, conv = convert_columns(
-        lines.select(value.alias(VALUE), F.col(path_col).alias(PATH), value.cast("binary").alias("_bytes"),
-                     (F.octet_length(value) == F.length(value)).alias("_ascii"),
-                     value.rlike(PRINTABLE).alias("_printable")),
+        prepared,
         fields,
         keep=[F.col(VALUE), F.col(PATH), (F.length(F.col(VALUE)) == layout.record_length).alias(GOOD)],
         date_pattern=options.date_pattern,
@@ -234,4 +245,49 @@ def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
         F.when(F.col(GOOD), n_errors).otherwise(F.lit(0)).alias(NERR),
         F.when(~F.col(GOOD), F.col(VALUE)).alias(REJECT),
     )
-    return Parsed(frame, layout, options)
+    return Parsed(frame, layout, options, {c.position: F.col(field_name(c.position)) for c in outs})
+
+
+def _parse_wide(prepared: DataFrame, layout: Layout, options: ParseOptions) -> Parsed:
+    """The parse of layouts with many fields: fields of one datatype are cut,
+    stripped and converted as an array, by one expression whatever their number.
+
+    The parsed frame holds one array of values per datatype; a field's value is
+    its element. Errors are gathered from the arrays' failing elements only.
+    """
+    outs = layout.output_columns
+    groups: dict[tuple[str, bool], list] = {}
+    for c in outs:
+        groups.setdefault((field_kind(c.datatype), c.is_key), []).append(c)
+
+    def texts(members: list) -> Column:
+        places = F.array(*(F.struct(F.lit(c.offset + 1).alias("at"), F.lit(c.length).alias("size")) for c in members))
+        return F.transform(places, lambda p: _stripped(
+            F.when(F.col("_ascii"), F.substring(F.col("_bytes"), p.getField("at"), p.getField("size")).cast("string"))
+            .otherwise(F.substring(F.col(VALUE), p.getField("at"), p.getField("size")))))
+
+    def failing(name: str, members: list) -> Column:
+        names = F.array(*(F.lit(c.name) for c in members))
+        slots = F.transform(F.col(name), lambda s, i: F.when(s.getField("bad"), F.struct(
+            F.get(names, i).alias("column_name"), s.getField("error_text").alias("column_value"), s.getField("message").alias("error_message"))))
+        return F.filter(slots, lambda s: s.isNotNull())
+
+    lists = {f"_list{k}": (kind, is_key, members) for k, ((kind, is_key), members) in enumerate(groups.items())}
+    good = F.length(F.col(VALUE)) == layout.record_length
+    converted = prepared.select("*", good.alias(GOOD)).select(
+        PATH, GOOD, VALUE, *(F.when(F.col(GOOD), convert_list(texts(members), kind, options.date_pattern, is_key)).alias(name)
+                             for name, (kind, is_key, members) in lists.items()))
+    checked = [failing(name, members) for name, (kind, _, members) in lists.items() if kind != "string"]
+    place = {c.position: (name, i) for name, (_, _, members) in lists.items() for i, c in enumerate(members)}
+    keys = [F.concat(F.lit(f"{c.name}="), F.get(F.col(place[c.position][0]), F.lit(place[c.position][1])).getField("key_text"))
+            for c in outs if c.is_key]
+    found = converted.select("*", (F.concat(*checked) if checked else F.array().cast(ERROR_TYPE)).alias("_found"))
+    n_errors = F.size("_found")
+    frame = found.select(
+        PATH, GOOD, *(F.col(name).getField("value").alias(f"{name}_values") for name in lists),
+        (F.concat_ws("|", *keys) if keys else F.lit("")).alias(KEY),
+        F.when(F.col(GOOD) & (n_errors > 0), F.col("_found")).alias(ERRORS),
+        F.when(F.col(GOOD), n_errors).otherwise(F.lit(0)).alias(NERR),
+        F.when(~F.col(GOOD), F.col(VALUE)).alias(REJECT))
+    values = {position: F.get(F.col(f"{name}_values"), F.lit(i)) for position, (name, i) in place.items()}
+    return Parsed(frame, layout, options, values)

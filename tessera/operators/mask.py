@@ -40,6 +40,7 @@ PHONE_CHECK = r"[\s0-9]+"
 # Separators used when the reference joins lookup names and lookup values.
 LOOKUP_NAME_SEP = "."
 LOOKUP_VALUE_SEP = "#~"
+SEP_KEY = "/"
 
 
 def phone_check_regex() -> str:
@@ -147,7 +148,9 @@ def _provider_value(provider: Mapping, column_name: str, value: Column, lookups:
         if lookups else F.lit("")
     h = gen.key_hash(salt, str(function), gen.kwargs_text(kwargs), column_name, value,
                      LOOKUP_NAME_SEP.join(lookups), lookup_values)
-    return gen.generate(str(function), h, **kwargs)
+    # one permutation per column and arguments: equal numbers of other rows stay equal
+    key = SEP_KEY.join((salt, str(function), gen.kwargs_text(kwargs), column_name))
+    return gen.generate_from(str(function), h, value, key, **kwargs)
 
 
 def keyed_mask_column(column_name: str, column_spec: Mapping | None, salt: str) -> Column:

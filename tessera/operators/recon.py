@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name
+from .numbering import number_rows, number_split_lines
 
 # The summary's columns, in order.
 SUMMARY_COLUMNS = ("table_name", "file_name", "order_date", "job_run_date",
@@ -23,6 +24,8 @@ SUMMARY_COLUMNS = ("table_name", "file_name", "order_date", "job_run_date",
 # Fixed value: the marker count is the digits after the first colon of a line.
 MARKER_COUNT_REGEX = r":\s*(\d+)"
 
+FILES_PER_BLOCK = 10_000
+
 
 def run_counts(per_file: DataFrame, inventory: DataFrame | None = None) -> DataFrame:
     """A1 + A2 + A6 as one row, aggregated from per-file rows.
@@ -52,19 +55,41 @@ def marker_counts(lines: DataFrame, order: Column | None = None,
                   value_col: str = "value", per_file: str | None = None) -> DataFrame:
     """S6 + W1 + O2: number marker lines and read the count after ``:``.
 
-    ``order`` defaults to the read order of the lines. With ``per_file`` (a
-    path column) the numbering restarts in every marker file and that column
-    is kept. Returns ``line_number, line_content, count`` (count null when a
-    line has no digits).
+    ``lines`` come from ``numbering.read_split_lines`` and are numbered within
+    their file (``per_file``, its path column, is kept), or, if no file is
+    named, through all files in the order of their paths; any other rows are
+    numbered by ``order``. Returns ``line_number, line_content, count`` (count
+    null when a line has no digits). No step sorts or holds all lines in a task.
+    """
+    if order is not None:
+        numbered = number_rows(lines, [order])
+    else:
+        numbered = number_split_lines(lines)
+        if per_file is None:
+            files = lines.groupBy("file_path").agg(F.count(F.lit(1)).alias("_lines"))
+            # one row per marker file: running totals over the files before it
+            placed = number_rows(files, [F.col("file_path")], "_place")
+            numbered = numbered.join(_lines_before(placed), "file_path").withColumn("line_number", F.col("line_number") + F.col("_lines_before"))
+    keep = [] if per_file is None else [F.col("file_path").alias(per_file)]
+    return (numbered.select(*keep, "line_number", F.col(value_col).alias("line_content"))
+            .select("*", F.regexp_extract("line_content", MARKER_COUNT_REGEX, 1).try_cast("bigint").alias("count"))
+            .orderBy(*([] if per_file is None else [per_file]), "line_number"))
+
+
+def _lines_before(files: DataFrame) -> DataFrame:
+    """``file_path, _lines_before``: lines of the files of smaller ``_place``.
+
+    Files are taken in blocks of places; a block's total is added to all later
+    blocks, a file's lines to the later files of its block.
     """
-    order = order if order is not None else F.monotonically_increasing_id()
-    window = Window.orderBy(order) if per_file is None else Window.partitionBy(per_file).orderBy(order)
-    keep = [] if per_file is None else [F.col(per_file)]
-    return (lines.select(*keep, F.row_number().over(window).alias("line_number"),
-                         F.col(value_col).alias("line_content"))
-            .select(*keep, "line_number", "line_content",
-                    F.regexp_extract("line_content", MARKER_COUNT_REGEX, 1).try_cast("bigint").alias("count"))
-            .orderBy(*keep, "line_number"))
+    block = F.floor(F.col("_place") / FILES_PER_BLOCK)
+    files = files.withColumn("_block", block)
+    within = Window.partitionBy("_block").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    totals = files.groupBy("_block").agg(F.sum("_lines").alias("_total"))
+    upto = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # one row per FILES_PER_BLOCK marker files
+    starts = totals.select("_block", F.coalesce(F.sum("_total").over(upto), F.lit(0)).alias("_start"))
+    return (files.withColumn("_own", F.coalesce(F.sum("_lines").over(within), F.lit(0))).join(starts, "_block")
+            .select("file_path", (F.col("_start") + F.col("_own")).alias("_lines_before")))
 
 
 def iso_order_date(order_date: str) -> str:

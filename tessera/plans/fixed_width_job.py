@@ -17,7 +17,7 @@ from ..operators.ingest import ParseOptions, Parsed, parse_lines
 from ..operators.layout import Layout, load_layout, pick_layout_as_of
 from ..operators.recon import SUMMARY_COLUMNS, file_summary, job_timestamp, marker_mismatch
 from ..session import remove_dir, shared_dir
-from ..sinks import publish
+from ..sinks import publish, runs
 from ..sources.text import list_files, read_dir_lines, read_marker
 
 log = logging.getLogger(__name__)
@@ -30,7 +30,7 @@ class FixedWidthJob:
     file_prefix: str               # data files start with this (e.g. "LI.")
     table_name: str                # processed table name (outputs use lower case)
     run_date: str                  # YYYYMMDD: picks the layout, stamps the summary
-    output_root: str               # every output goes under this folder
+    output_root: str               # every output goes under this folder, each run in its own
     marker_path: str | None = None # control counts; None -> no-marker summary (R3)
     date_pattern: str = "YYYYMMDD"
     region_mode: str = "two_way"
@@ -54,21 +54,27 @@ class FixedWidthJob:
     scan_all_files: bool = False   # True: scan the whole folder like the reference
     line_sep: str | None = None
     layout_path: str | None = None # a fixed layout file instead of the dated pick (S4)
+    keep_runs: int = 2             # announced runs whose folders stay
 
-    def paths(self) -> dict[str, str]:
+    def runs_dir(self) -> str:
+        return f"{self.output_root.rstrip('/')}/runs/{self.table_name.lower()}"
+
+    def paths(self, run: int) -> dict[str, str]:
+        """Where a run's outputs are; headers and manifest are shared by all runs."""
         # The folder names 01_detail and 00_header.
         t = self.table_name.lower()
-        r = self.output_root.rstrip("/")
+        shared = self.output_root.rstrip("/")
+        r = f"{self.runs_dir()}/{run}"
         return {
             "typed": f"{r}/processed/{t}",
             "exceptions": f"{r}/exceptions/{t}",
             "dq_detail": f"{r}/dq/01_detail/{t}",
-            "dq_header": f"{r}/dq/00_header",
+            "dq_header": f"{shared}/dq/00_header",
             "rejects": f"{r}/rejects/{t}",
             "summary_detail": f"{r}/summary/01_detail/{t}",
-            "summary_header": f"{r}/summary/00_header",
+            "summary_header": f"{shared}/summary/00_header",
             "summary_parquet": f"{r}/audit/{t}",
-            "manifest": f"{r}/landed",
+            "manifest": f"{shared}/landed",
         }
 
 
@@ -79,6 +85,13 @@ class JobResult:
     counts: dict[str, int] = field(default_factory=dict)
     paths: dict[str, str] = field(default_factory=dict)
     marker_ok: bool | None = None
+    run: int | None = None
+
+
+def current_paths(spark: SparkSession, job: FixedWidthJob) -> dict[str, str] | None:
+    """Where the outputs of the last announced run are (K7); None before the first."""
+    run = runs.current_run(spark, job.paths(0)["manifest"], job.table_name)
+    return None if run is None else job.paths(run)
 
 
 def resolve_layout(spark: SparkSession, job: FixedWidthJob) -> str:
@@ -91,11 +104,13 @@ def resolve_layout(spark: SparkSession, job: FixedWidthJob) -> str:
 
 
 def run_fixed_width_job(spark: SparkSession, job: FixedWidthJob) -> JobResult:
-    paths = job.paths()
+    """Run the job into a new run folder and announce it; a failure at any step
+    leaves ``current_paths`` with the run before."""
     inventory = list_files(spark, job.data_dir, job.file_prefix).cache()          # S5
     layout_path = job.layout_path or resolve_layout(spark, job)                 # S4
     layout = load_layout(spark, layout_path)                                    # S3
-    result = JobResult(layout_path, layout, paths=paths)
+    run = runs.claim_run(spark, job.runs_dir())
+    result = JobResult(layout_path, layout, paths=job.paths(run), run=run)
 
     extra = job.extra_columns or ("dataops_file_name_path", f"dataops_{job.dataset}_region")
     options = ParseOptions(job.table_name, job.date_pattern, job.region_mode, extra if job.path_columns else None,
@@ -145,13 +160,9 @@ def _publish(spark: SparkSession, job: FixedWidthJob, result: JobResult, parsed:
             written = spark.read.parquet(paths["exceptions"])
             publish.write_csv_detail(written, paths["dq_detail"], job.num_exception_files)
             publish.write_header(spark, written.columns, paths["dq_header"])
-        else:
-            remove_dir(spark, paths["dq_detail"])
         n_rej = totals.raw_count - totals.loaded_count
         if n_rej:
             n_rej = publish.write_text(parsed.width_rejects(), paths["rejects"], job.num_reject_files)  # K5
-        else:
-            remove_dir(spark, paths["rejects"])
 
         by = "dq_key_count" if job.distinct_by == "key" else "dq_row_count"
         stats = per_file.select("file_path", "raw_count", "loaded_count", F.col(by).alias("dq_count"))
@@ -162,9 +173,9 @@ def _publish(spark: SparkSession, job: FixedWidthJob, result: JobResult, parsed:
         publish.write_csv_detail(spark.read.parquet(paths["summary_parquet"]).orderBy("file_name").coalesce(1),
                                  paths["summary_detail"])                                      # K6
         publish.write_header(spark, list(SUMMARY_COLUMNS), paths["summary_header"])           # K4
-        publish.append_landing(spark, paths["manifest"], table_name=job.table_name,             # K7
-                               order_date=job.run_date, output_path=paths["typed"],
-                               loaded=loaded, exceptions=n_exc, rejects=n_rej)
+        runs.announce(spark, paths["manifest"], table_name=job.table_name, order_date=job.run_date,   # K7, K8
+                      run=result.run, output_path=paths["typed"], loaded=loaded, exceptions=n_exc, rejects=n_rej)
+        runs.prune_runs(spark, job.runs_dir(), runs.announced_runs(spark, paths["manifest"], job.table_name), job.keep_runs)
         result.counts = {"raw": int(totals.raw_count), "loaded": loaded, "exceptions": n_exc, "rejects": n_rej,
                          "files": inventory.count()}
     finally:

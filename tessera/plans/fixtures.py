@@ -28,6 +28,35 @@ LINEITEM_TABLE = "LINEITEM_FW"
 EMPTY_FILE, OTHER_FILE = "LI.AU_Z_20240101.TXT", "OTHER_20240101.TXT"
 
 
+#: Copies of the record's fields side by side in ``wide_records`` (56 output fields).
+WIDE_COPIES = 8
+
+
+def wide_layout() -> Layout:
+    """``lineitem_layout`` eight times over, the names numbered; the first copy has the keys."""
+    rows = [line.split(",") for line in LINEITEM_LAYOUT_CSV.strip().splitlines()]
+    return Layout.from_fields([(r[1] if r[1] == "FILLERS" else f"{r[1]}-{k}", r[2], int(r[3]), r[4] if k == 0 else "N")
+                               for k in range(WIDE_COPIES) for r in rows])
+
+
+def wide_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record eight times over in one line; short ones stay one character short."""
+    lines = lineitem_records(spark, sf_dir)
+    whole = F.rpad("value", 54, "Z")
+    line = F.when(F.length("value") < 54, F.concat(F.repeat(whole, WIDE_COPIES - 1), "value")).otherwise(F.repeat("value", WIDE_COPIES))
+    return lines.select(line.alias("value"), "file_path")
+
+
+def clean_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of orders whose number makes no defect."""
+    order = F.substring("value", 1, 10).cast("bigint")
+    defects = [order % n != 0 for n in (13, 17, 41, 19, 23, 29, 31, 37)]
+    sound = defects[0]
+    for d in defects[1:]:
+        sound &= d
+    return lineitem_records(spark, sf_dir).where(sound)
+
+
 def lineitem_layout() -> Layout:
     rows = [line.split(",") for line in LINEITEM_LAYOUT_CSV.strip().splitlines()]
     return Layout.from_fields([(r[1], r[2], int(r[3]), r[4]) for r in rows])

@@ -8,6 +8,7 @@ shares only fixed values (patterns, messages, word lists) with the Spark code.
 from __future__ import annotations
 
 import datetime
+import math
 from typing import NamedTuple
 
 from ..functions import mask as gen
@@ -575,6 +576,141 @@ CUST_FILE_SQL = ("SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c in CONT
                  + f" FROM ({CUST_SQL})")
 
 
+# --- functions of keyed masking with arguments ----------------------------------------
+
+def _later(h: str, i: int) -> str:
+    """The i-th 32-bit number of a key's hash and the digests after it."""
+    digest = h if i < 4 else f"md5({h} || ':{i // 4}')"
+    return f"('0x' || substr({digest}, {1 + 8 * (i % 4)}, 8))::BIGINT"
+
+
+def _char(chars: str, h: str, i: int) -> str:
+    return f"substr({q(chars)}, CAST({_later(h, i)} % {len(chars)} + 1 AS INTEGER), 1)"
+
+
+DIGITS, SMALL, CAPITALS = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _digits(h: str, *places: int) -> str:
+    return " || ".join(_char(DIGITS, h, i) for i in places)
+
+
+def mask_function_sqls() -> dict[str, str]:
+    """One query each, the templates and argument texts written out."""
+    h = "h"
+    anyone = vocab.FEMALE_FIRST_NAMES + vocab.MALE_FIRST_NAMES
+    first = pick(anyone, draw32("md5(h || '/0')", 0))
+    domains = ("corp.example", "mail.corp.example", "post.example")
+    cases = {
+        "mask_phone_template": ("contact_value", "phone_number", '{"mask":"+61 4## ### ###"}',
+                                f"'+61 4' || {_digits(h, 1, 2)} || ' ' || {_digits(h, 4, 5, 6)} || ' ' || {_digits(h, 8, 9, 10)}"),
+        "mask_mail_domains": ("contact_value", "email", '{"domains":["corp.example","@mail.corp.example","post.example"]}',
+                              f"lower({pick(anyone, draw32(h, 0))}) || '.' || lower({pick(vocab.LAST_NAMES, draw32(h, 1))}) || "
+                              f"CAST({draw32(h, 2)} % 100 AS VARCHAR) || '@' || {pick(domains, draw32(h, 3))}"),
+        "mask_full_name": ("full_name", "full_name", '{"gender":"female","reverse":true}',
+                           f"{pick(vocab.LAST_NAMES, draw32(h, 1))} || ', ' || {pick(vocab.FEMALE_FIRST_NAMES, draw32(h, 0))}"),
+        "mask_address": ("segment", "address", "{}",
+                         f"CAST({draw32(h, 2)} % 1400 + 1 AS VARCHAR) || ' ' || {pick(vocab.STREET_NAMES, draw32(h, 3))} || ' ' || "
+                         f"{pick(vocab.STREET_SUFFIXES, draw32('md5(h)', 2))}"),
+        "mask_user_name": ("full_name", "user_name", '{"mask":"{firstname}_[a|bc|d][7-12]"}',
+                           f"lower({first} || '_' || {pick(('a', 'bc', 'd'), _later(h, 2))} || CAST(7 + {_later(h, 3)} % 6 AS VARCHAR))"),
+        "mask_code_template": ("contact_value", "template", r'{"template":"@@-####-??\\#"}',
+                               f"{_char(CAPITALS, h, 0)} || {_char(CAPITALS, h, 1)} || '-' || {_digits(h, 3, 4, 5, 6)} || '-' || "
+                               f"{_char(SMALL, h, 8)} || {_char(SMALL, h, 9)} || '#'"),
+    }
+    out = {}
+    for name, (column, function, arguments, value) in cases.items():
+        key = f"md5(concat_ws(chr(31), {q(qs.MASK_SALT)}, {q(function)}, {q(arguments)}, {q(column)}, coalesce({column}, ''), '', ''))"
+        out[name] = (f"SELECT cust_id, CASE WHEN {column} IS NULL OR {column} = '' THEN {column} ELSE {value} END AS masked "
+                     f"FROM (SELECT *, {key} AS h FROM ({CUST_SQL}))")
+    return out
+
+
+def mask_distinct_number_sql() -> str:
+    """Four half rounds over two digits, and again for a number beyond the range."""
+    start, size = 1000000000100000, 1200000000000000 - 1000000000100000 + 1
+    width = math.isqrt(size - 1) + 1
+    height = -(-size // width)
+    key = f"{qs.MASK_SALT}/distinct_number/{{}}/cust_id"
+
+    def drawn(k: int, digit: str, base: int) -> str:
+        return f"(('0x' || substr(md5({q(f'{key}:{k}:')} || {digit}), 1, 15))::BIGINT % {base})"
+
+    def passed(x: str, source: str) -> str:
+        sql = f"SELECT *, {x} // {width} AS l, {x} % {width} AS r FROM ({source})"
+        for k in range(4):
+            change = f"(r + {drawn(k, 'l', width)}) % {width} AS r" if k % 2 else f"(l + {drawn(k, 'r', height)}) % {height} AS l"
+            sql = f"SELECT * REPLACE ({change}) FROM ({sql})"
+        return f"SELECT * EXCLUDE (l, r), l * {width} + r AS y FROM ({sql})"
+
+    one = passed("x", f"SELECT cust_id, CAST(cust_id AS BIGINT) AS x FROM ({CUST_SQL})")
+    two = passed("x", f"SELECT cust_id, y AS first, y AS x FROM ({one})")
+    return f"SELECT cust_id, CAST({start} + CASE WHEN first < {size} THEN first ELSE y END AS VARCHAR) AS masked FROM ({two})"
+
+
+CONFIG_PROBLEMS_SQL = """
+WITH e AS (SELECT s_name AS t, CASE s_suppkey % 3 WHEN 0 THEN 'city' WHEN 1 THEN 'contact_details' ELSE 'kind' || (s_suppkey % 5) END AS type,
+                  CASE s_suppkey % 4 WHEN 1 THEN 'contact_type' WHEN 2 THEN 'no_' || s_suppkey END AS meta FROM supplier)
+SELECT '''' || t || ''' needs column ''' || t || ''', which the table lacks' AS problem FROM e
+UNION ALL SELECT '''' || t || ''' needs column ''' || meta || ''', which the table lacks' FROM e WHERE meta <> 'contact_type'
+UNION ALL SELECT '''' || t || ''' has the unknown mask type ''' || type || '''' FROM e WHERE type LIKE 'kind%'
+UNION ALL SELECT '''' || t || ''' needs meta ''contact_type_column_name''' FROM e WHERE type = 'contact_details' AND meta IS NULL
+"""
+
+
+# --- fixed-width: wide layouts, switches, runs, marker numbers ---------------------------
+
+CLEAN = " AND ".join(f"CAST(substr(value, 1, 10) AS BIGINT) % {n} <> 0" for n in (13, 17, 41, 19, 23, 29, 31, 37))
+CLEAN_RAW = f"SELECT * FROM ({RAW_SQL}) WHERE {CLEAN}"
+COPIES = 8
+
+
+def fw_wide_rows_sql() -> str:
+    columns = [f"{c.name} AS {c.name}_{k}" for k in range(COPIES) for c in FIELDS]
+    return f"SELECT {', '.join(columns)}, dataops_file_name_path, dataops_li_region FROM ({fw_typed_rows_sql()})"
+
+
+def fw_wide_exceptions_sql() -> str:
+    key = "replace(replace(row_business_key, 'ORDER_KEY=', 'ORDER_KEY_0='), 'LINE_NO=', 'LINE_NO_0=')"
+    return (f"SELECT * EXCLUDE (k) REPLACE ({key} AS row_business_key, column_name || '_' || k AS column_name) "
+            f"FROM ({fw_exceptions_sql()}), range({COPIES}) AS t(k)")
+
+
+def fw_exception_names_sql() -> str:
+    names = ("src_file", "row_key", "tbl", "col", "val", "msg", "fixed", "fixed_at")
+    return f"SELECT {', '.join(f'{a} AS {b}' for a, b in zip(EXCEPTION_COLUMNS, names, strict=True))} FROM ({fw_exceptions_sql()})"
+
+
+def fw_join_counts_sql() -> str:
+    both = f"{RAW_SQL} UNION ALL SELECT replace(file_path, '/LI.', '/LI.CLEAN.') AS file_path, value FROM ({CLEAN_RAW})"
+    return (f"WITH {per_file_cte().replace(RAW_SQL, both)},\n"
+            f"s AS (SELECT {base_name('pf.file_path')} AS file_name, raw_count, loaded_count, coalesce(dq_count, 0) AS dq FROM pf LEFT JOIN dq USING (file_path) "
+            f"UNION ALL SELECT {base_name('file_path')} || '.EMPTY', 0, 0, 0 FROM pf)\n"
+            f"SELECT {q(LINEITEM_TABLE)} AS table_name, file_name, '2024-01-01' AS order_date, {q(qs.JOB_RUN_DATE)} AS job_run_date, "
+            f"CAST(NULL AS BIGINT) AS source_file_record_count, raw_count - loaded_count AS record_length_rejection_count, "
+            f"loaded_count AS total_records_loaded_count, loaded_count - dq AS clean_record_count, dq AS data_quality_issue_count, "
+            f"count(*) OVER () AS number_of_source_files FROM s")
+
+
+MARKER_NUMBERS_SQL = rf"""
+WITH m AS (SELECT c_nationkey AS nation, c_custkey,
+                  'F' || c_custkey || CASE WHEN c_custkey % 7 = 0 THEN ' none' ELSE ': ' || (c_custkey * 3) END AS line_content
+           FROM customer WHERE c_custkey % 25 >= c_nationkey)
+SELECT nation, row_number() OVER (PARTITION BY nation ORDER BY c_custkey) AS line_number, line_content,
+       TRY_CAST(regexp_extract(line_content, '{MARKER_COUNT}', 1) AS BIGINT) AS count FROM m
+"""
+
+
+def fw_clean_feed_sql() -> str:
+    return (f"SELECT count(*) AS loaded_count, 0 AS exception_count, 0 AS reject_count, 0 AS exception_rows, false AS has_dq_detail, "
+            f"false AS has_dq_header, false AS has_rejects FROM ({CLEAN_RAW})")
+
+
+def fw_second_run_sql() -> str:
+    return (f"SELECT 1 AS run, (SELECT count(*) FROM ({fw_typed_rows_sql()})) AS typed_rows, (SELECT count(*) FROM ({fw_exceptions_sql()})) AS exception_rows "
+            f"UNION ALL SELECT 2, (SELECT count(*) FROM ({CLEAN_RAW})), 0")
+
+
 SUMMARY_COLUMNS = ("table_name", "file_name", "order_date", "job_run_date", "source_file_record_count", "record_length_rejection_count",
                    "total_records_loaded_count", "clean_record_count", "data_quality_issue_count", "number_of_source_files")
 
@@ -626,6 +762,17 @@ def mask_csv_mixed_headers_sql() -> str:
 
 def registry() -> dict[str, str]:
     out = {
+        **mask_function_sqls(),
+        "mask_distinct_number": mask_distinct_number_sql(),
+        "mask_config_problems": CONFIG_PROBLEMS_SQL,
+        "fw_wide_rows": fw_wide_rows_sql(),
+        "fw_wide_exceptions": fw_wide_exceptions_sql(),
+        "fw_no_path_columns": f"SELECT * EXCLUDE (dataops_file_name_path, dataops_li_region) FROM ({fw_typed_rows_sql()})",
+        "fw_exception_names": fw_exception_names_sql(),
+        "fw_join_counts": fw_join_counts_sql(),
+        "fw_marker_numbers": MARKER_NUMBERS_SQL,
+        "fw_clean_feed": fw_clean_feed_sql(),
+        "fw_second_run": fw_second_run_sql(),
         "fw_job_exceptions": fw_exceptions_sql(),
         "fw_job_exceptions_csv": fw_exceptions_sql(),
         "fw_job_rejects": f"SELECT value FROM ({fw_width_rejects_sql()})",
@@ -634,7 +781,7 @@ def registry() -> dict[str, str]:
         "fw_job_headers": fw_job_headers_sql(),
         "fw_job_manifest": fw_job_counts_sql(
             f"{q(qs.ORDER_DATE)} AS order_date, CAST(loaded AS BIGINT) AS loaded_count, "
-            "(SELECT count(*) FROM e) AS exception_count, CAST(rejects AS BIGINT) AS reject_count"),
+            "(SELECT count(*) FROM e) AS exception_count, CAST(rejects AS BIGINT) AS reject_count, CAST(1 AS BIGINT) AS run"),
         "fw_target_names": TARGET_NAMES_SQL,
         "mask_config_from_file": mask_config_from_file_sql(),
         "mask_csv_mixed_headers": mask_csv_mixed_headers_sql(),

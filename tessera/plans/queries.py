@@ -16,15 +16,17 @@ from ..functions import convert as cv
 from ..functions.text import base_name, py_strip
 from ..operators.ingest import ParseOptions, Parsed, parse_lines
 from ..operators.layout import layout_slices, load_layout, pick_layout_as_of, read_layout_frame
-from ..operators.mask import apply_mask_config, keyed_mask
+from ..operators.mask import apply_mask_config, config_problems, keyed_mask
 from ..operators.recon import file_summary, marker_counts, run_counts
 from ..session import ensure_checkpoint_dir, shared_dir
-from .fixed_width_job import FixedWidthJob, run_fixed_width_job
+from .fixed_width_job import FixedWidthJob, current_paths, run_fixed_width_job
 from ..sinks.publish import redated_name, write_delimited
 from ..sources.config import load_mask_config
 from ..sources.delimited import read_delimited, read_pipe_directory
+from ..sources.text import read_marker
 from .mask_job import run_keyed_mask_dir
-from .fixtures import LINEITEM_TABLE, customer_contacts, land_lineitem, land_named, lineitem_layout, lineitem_records, table, write_layout
+from .fixtures import (LINEITEM_TABLE, clean_records, customer_contacts, land_lineitem, land_named, lineitem_layout, lineitem_records,
+                       table, wide_layout, wide_records, write_layout)
 
 EXTRA = ("dataops_file_name_path", "dataops_li_region")
 ORDER_DATE = "20240101"
@@ -243,6 +245,61 @@ def fw_summary_no_marker(spark, sf_dir):
                         order_date=ORDER_DATE, job_run_date=JOB_RUN_DATE)
 
 
+def _wide(spark, sf_dir) -> Parsed:
+    return parse_lines(wide_records(spark, sf_dir), wide_layout(), ParseOptions(LINEITEM_TABLE, extra_columns=EXTRA))
+
+
+def fw_wide_rows(spark, sf_dir):
+    """P1 P3 C1-C7 on a layout of 56 fields, converted as one list per datatype."""
+    return _wide(spark, sf_dir).typed()
+
+
+def fw_wide_exceptions(spark, sf_dir):
+    """D1-D4 of the same records."""
+    return _wide(spark, sf_dir).exceptions()
+
+
+def fw_no_path_columns(spark, sf_dir):
+    """P7 switched off: the typed rows without path and region."""
+    return parse_lines(lineitem_records(spark, sf_dir), lineitem_layout(), ParseOptions(LINEITEM_TABLE, extra_columns=None)).typed()
+
+
+EXCEPTION_NAMES = ("src_file", "row_key", "tbl", "col", "val", "msg", "fixed", "fixed_at")
+
+
+def fw_exception_names(spark, sf_dir):
+    """The eight exception columns under other names."""
+    options = ParseOptions(LINEITEM_TABLE, extra_columns=EXTRA, exception_columns=EXCEPTION_NAMES)
+    return parse_lines(lineitem_records(spark, sf_dir), lineitem_layout(), options).exceptions()
+
+
+def fw_join_counts(spark, sf_dir):
+    """Loaded and failing rows as two tables; files without failing rows
+    (those of every third order here) and listed files without rows count 0."""
+    lines = lineitem_records(spark, sf_dir)
+    clean = clean_records(spark, sf_dir).withColumn("file_path", F.replace("file_path", F.lit("/LI."), F.lit("/LI.CLEAN.")))
+    parsed = parse_lines(lines.unionByName(clean), lineitem_layout(), ParseOptions(LINEITEM_TABLE, extra_columns=EXTRA))
+    counts = parsed.file_counts().select("file_path", "raw_count", "loaded_count")
+    listed = counts.select("file_path").unionByName(counts.select(F.concat("file_path", F.lit(".EMPTY")).alias("file_path")))
+    inventory = listed.select("file_path", base_name(F.col("file_path")).alias("file_name"))
+    return file_summary(inventory, counts, parsed.dq_per_file(), table_name=LINEITEM_TABLE, order_date=ORDER_DATE, job_run_date=JOB_RUN_DATE,
+                        per_file_rejects=True)
+
+
+def fw_marker_numbers(spark, sf_dir):
+    """Line numbers within every file of a folder of markers of unequal
+    length, one file per customer nation."""
+    root = shared_dir(spark, "tessera-markers")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    lines = customers.where("c_custkey % 25 >= c_nationkey").select("c_nationkey", "c_custkey", F.concat(
+        F.lit("F"), "c_custkey", F.when(F.col("c_custkey") % 7 == 0, F.lit(" none")).otherwise(F.concat(F.lit(": "), F.col("c_custkey") * 3))).alias("value"))
+    (lines.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").select("c_nationkey", "value")
+     .write.partitionBy("c_nationkey").text(root))
+    numbered = read_marker(spark, root, per_file=True)
+    nation = F.regexp_extract("file_path", "c_nationkey=([0-9]+)/", 1).cast("int")
+    return numbered.select(nation.alias("nation"), "line_number", "line_content", "count")
+
+
 # --- masking ----------------------------------------------------------------------
 
 MASK_TYPE_TARGETS = {
@@ -308,6 +365,45 @@ def mask_keyed(spark, sf_dir):
     return keyed_mask(customer_contacts(spark, sf_dir), MASK_SPEC, salt=MASK_SALT)
 
 
+# One column masked by each: column, function, arguments.
+MASK_FUNCTIONS = {
+    "mask_phone_template": ("contact_value", "phone_number", {"mask": "+61 4## ### ###"}),
+    "mask_mail_domains": ("contact_value", "email", {"domains": ["corp.example", "@mail.corp.example", "post.example"]}),
+    "mask_full_name": ("full_name", "full_name", {"gender": "female", "reverse": True}),
+    "mask_address": ("segment", "address", {}),
+    "mask_user_name": ("full_name", "user_name", {"mask": "{firstname}_[a|bc|d][7-12]"}),
+    "mask_code_template": ("contact_value", "template", {"template": r"@@-####-??\#"}),
+    "mask_distinct_number": ("cust_id", "distinct_number", {}),
+}
+
+
+def _mask_function_query(name):
+    column, function, kwargs = MASK_FUNCTIONS[name]
+    spec = {column: {"DataProvider": [{"ValueType": "All", "Function": function, "MockKwargs": kwargs}]}}
+
+    def q(spark, sf_dir):
+        rows = customer_contacts(spark, sf_dir).withColumn("row_id", F.col("cust_id"))
+        return keyed_mask(rows, spec, salt=MASK_SALT).select(F.col("row_id").alias("cust_id"), F.col(column).alias("masked"))
+    q.__name__ = name
+    return q
+
+
+def mask_config_problems(spark, sf_dir):
+    """V1-V3: a configuration with one entry per supplier, read from disk, and
+    all that is wrong with it for the contact table."""
+    k = F.col("s_suppkey")
+    entry = F.struct(
+        F.when(k % 3 == 0, F.lit("city")).when(k % 3 == 1, F.lit("contact_details")).otherwise(F.concat(F.lit("kind"), k % 5)).alias("type"),
+        F.when(k % 4 == 1, F.struct(F.lit("contact_type").alias("contact_type_column_name")))
+         .when(k % 4 == 2, F.struct(F.concat(F.lit("no_"), k).alias("contact_type_column_name"))).alias("meta"))
+    path = shared_dir(spark, "tessera-config")
+    pairs = table(spark, sf_dir, "supplier").select(F.concat(F.lit('"'), "s_name", F.lit('": '), F.to_json(entry)).alias("pair"))
+    (pairs.groupBy().agg(F.array_sort(F.collect_list("pair")).alias("pairs"))
+     .select(F.concat(F.lit("{"), F.array_join("pairs", ", "), F.lit("}"))).write.text(path))
+    columns = customer_contacts(spark, sf_dir).columns
+    return spark.createDataFrame([(p,) for p in config_problems(load_mask_config(spark, path), columns)], "problem string")
+
+
 # --- write-and-read-back ---------------------------------------------------------------
 
 def fw_sink_roundtrip(spark, sf_dir):
@@ -383,6 +479,46 @@ def fw_job_manifest(spark, sf_dir):
     return spark.read.parquet(_run_job(spark, sf_dir).paths["manifest"]).drop("landed_at", "output_path")
 
 
+def fw_clean_feed(spark, sf_dir):
+    """a feed without errors and rejects: what was loaded, and which of the
+    outputs for errors and rejects were written."""
+    root = shared_dir(spark, "tessera-clean")
+    (clean_records(spark, sf_dir).select("value", F.element_at(F.split("file_path", "/"), -1).alias("src"))
+     .write.partitionBy("src").text(f"{root}/in"))
+    write_layout(spark, f"{root}/layout")
+    result = run_fixed_width_job(spark, FixedWidthJob(
+        data_dir=f"{root}/in", layout_dir=f"{root}/layout", layout_path=f"{root}/layout", file_prefix="part-", table_name=LINEITEM_TABLE,
+        run_date=ORDER_DATE, output_root=f"{root}/out", dataset="li", job_run_date=JOB_RUN_DATE))
+    there = [F.lit(_exists(spark, result.paths[k])).alias(f"has_{k}") for k in ("dq_detail", "dq_header", "rejects")]
+    manifest = spark.read.parquet(result.paths["manifest"]).select("loaded_count", "exception_count", "reject_count")
+    return manifest.select("*", F.lit(spark.read.parquet(result.paths["exceptions"]).count()).alias("exception_rows"), *there)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def fw_second_run(spark, sf_dir):
+    """K8: a run over the records, then one over the clean ones only; readers
+    are turned from the first run's rows to the second's."""
+    root = shared_dir(spark, "tessera-second")
+    land_lineitem(spark, sf_dir, root)
+    (clean_records(spark, sf_dir).select("value", F.element_at(F.split("file_path", "/"), -1).alias("src"))
+     .write.partitionBy("src").text(f"{root}/second"))
+    settings = dict(layout_dir=f"{root}/layout", layout_path=f"{root}/layout", file_prefix="part-", table_name=LINEITEM_TABLE,
+                    run_date=ORDER_DATE, output_root=f"{root}/out", dataset="li", job_run_date=JOB_RUN_DATE)
+    counts = []
+    for folder in ("in", "second"):
+        job = FixedWidthJob(data_dir=f"{root}/{folder}", **settings)
+        run = run_fixed_width_job(spark, job).run
+        current = current_paths(spark, job)
+        rows = [spark.read.parquet(current[k]).agg(F.count(F.lit(1)).alias("n")) for k in ("typed", "exceptions")]
+        counts.append(rows[0].select(F.lit(run).cast("long").alias("run"), F.col("n").alias("typed_rows")).withColumn("_one", F.lit(1))
+                      .join(rows[1].select(F.col("n").alias("exception_rows"), F.lit(1).alias("_one")), "_one").drop("_one"))
+    return counts[0].unionByName(counts[1])
+
+
 def fw_target_names(spark, sf_dir):
     """K10 on names with and without suffix, dots and underscores."""
     k = F.col("c_custkey")
@@ -455,7 +591,10 @@ def registry() -> dict:
     }
     for type_name in MASK_TYPE_TARGETS:
         q[f"mask_{type_name}"] = _mask_type_query(type_name)
-    for f in (fw_job_exceptions, fw_job_exceptions_csv, fw_job_rejects, fw_job_summary, fw_marker_mismatch, fw_job_headers,
+    for name in MASK_FUNCTIONS:
+        q[name] = _mask_function_query(name)
+    for f in (fw_wide_rows, fw_wide_exceptions, fw_no_path_columns, fw_exception_names, fw_join_counts, fw_marker_numbers, fw_clean_feed,
+              fw_second_run, mask_config_problems, fw_job_exceptions, fw_job_exceptions_csv, fw_job_rejects, fw_job_summary, fw_marker_mismatch, fw_job_headers,
               fw_job_manifest, fw_target_names, mask_config_from_file, mask_csv_mixed_headers):
         q[f.__name__] = f
     q["mask_config"] = mask_config

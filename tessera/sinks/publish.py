@@ -1,14 +1,12 @@
-"""Typed table, exceptions, headers, width rejects, summary, landing manifest, delimited output.
+"""Typed table, exceptions, headers, width rejects, summary, delimited output.
 
-Every write uses ``overwrite`` (K8: a new run replaces the previous run's
-files, including when it has no rows), except the shared header files, which
-are written once (``ignore``), and the landing manifest, which is appended.
+A run writes into its own folder (``runs.py``; K8: readers are turned to the new
+run as a whole, also when it has no rows), the shared header files are written
+once (``ignore``). Within a folder, a write replaces what is there.
 """
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,18 +78,10 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("exception_count", T.LongType()),
     T.StructField("reject_count", T.LongType()),
     T.StructField("landed_at", T.StringType()),
+    T.StructField("run", T.LongType()),
 ])
 
 
-def append_landing(spark: SparkSession, manifest_path: str, *, table_name: str, order_date: str,
-                   output_path: str, loaded: int, exceptions: int, rejects: int,
-                   landed_at: str | None = None) -> None:
-    """K7: record that ``<TABLE>`` landed, after its data was written."""
-    landed_at = landed_at or datetime.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
-    row = [(f"{table_name.upper()}_LANDED", order_date, output_path, loaded, exceptions, rejects, landed_at)]
-    spark.createDataFrame(row, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(manifest_path)
-
-
 def write_delimited(df: DataFrame, path: str, file_type: str = "csv", delimiter: str = ",",
                     partition_by: str | None = None, quote_empty: bool = True, mode: str = "overwrite") -> None:
     """K9: delimited text with a header row.

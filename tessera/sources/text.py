@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import base_name, decode_path
+from ..operators.numbering import read_split_lines
 from ..operators.recon import marker_counts
 
 INVENTORY_SCHEMA = T.StructType([T.StructField("file_path", T.StringType()),
@@ -72,13 +73,8 @@ def list_files(spark: SparkSession, path: str, file_prefix: str | None = None) -
 def read_marker(spark: SparkSession, path: str, per_file: bool = False) -> DataFrame:
     """S6 + W1: ``line_number, line_content, count`` of a control-count file.
 
-    A marker holds one short line per source file; numbering uses one ordered
-    window over the file's lines in read order. ``per_file=True`` reads a
-    folder of markers and numbers each file's lines separately (``file_path``
-    kept).
+    Lines are numbered by their place in the file, whatever splits Spark reads
+    it in; the files of a folder follow each other in the order of their paths.
+    ``per_file=True`` numbers each file's lines separately (``file_path`` kept).
     """
-    lines = spark.read.text(path)
-    if per_file:
-        lines = lines.select("value", decode_path(F.col("_metadata.file_path")).alias("file_path"))
-        return marker_counts(lines, per_file="file_path")
-    return marker_counts(lines)
+    return marker_counts(read_split_lines(spark, path), per_file="file_path" if per_file else None)

@@ -105,7 +105,7 @@ def test_clean_run_leaves_no_empty_parts_and_no_staged_data(spark, tmp_dir):
     clean = run_fixed_width_job(spark, job)
     assert clean.counts == {"raw": 1, "loaded": 1, "exceptions": 0, "rejects": 0, "files": 1}
     assert not os.path.exists(clean.paths["rejects"]) and not os.path.exists(clean.paths["dq_detail"])
-    stage = spark.conf.get("spark.checkpoint.dir") + "/tessera-stage/t"
+    stage = f"{spark.conf.get('spark.checkpoint.dir')}/tessera-{spark.sparkContext.applicationId}/tessera-stage/t"
     assert not os.path.isdir(stage) or os.listdir(stage) == []
 
 
@@ -132,3 +132,60 @@ def test_job_no_layout(spark, tmp_dir):
                         table_name="T", run_date="20200101", output_root=f"{tmp_dir}/out")
     with pytest.raises(FileNotFoundError):
         run_fixed_width_job(spark, job)
+
+
+STEPS = ["write_parquet", "write_csv_detail", "write_header", "write_text", "announce"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_failed_run_leaves_the_last_one_readable(spark, tmp_dir, monkeypatch, step):
+    from tessera.plans import fixed_width_job as fwj
+    _land(spark, tmp_dir)
+    job = FixedWidthJob(data_dir=f"{tmp_dir}/in", layout_dir=f"{tmp_dir}/meta", file_prefix="LI.", table_name="T",
+                        run_date="20240101", output_root=f"{tmp_dir}/out", marker_path=f"{tmp_dir}/marker.txt")
+    assert fwj.current_paths(spark, job) is None
+    good = run_fixed_width_job(spark, job)
+
+    def contents():
+        p = fwj.current_paths(spark, job)
+        return [sorted(map(str, spark.read.parquet(p[k]).collect())) for k in ("typed", "exceptions", "summary_parquet")] + [
+            sorted(map(str, spark.read.text(p[k]).collect())) for k in ("dq_detail", "rejects", "summary_detail", "dq_header")]
+
+    before = contents()
+    with open(f"{tmp_dir}/in/LI.AU_A_20240101.TXT", "a") as f:
+        f.write("x" * 54 + "\n" + "short\n")
+    where = fwj.runs if step == "announce" else fwj.publish
+    real = getattr(where, step)
+    calls = []
+
+    def failing(*args, **kwargs):
+        calls.append(1)
+        if len(calls) > failing.after:
+            raise OSError("disk full")
+        return real(*args, **kwargs)
+
+    for failing.after in range(3):  # the first call, the second, ...
+        calls.clear()
+        monkeypatch.setattr(where, step, failing)
+        try:
+            run_fixed_width_job(spark, job)
+        except OSError:
+            assert contents() == before
+            assert fwj.current_paths(spark, job) == good.paths
+        else:
+            break  # fewer calls than that: the run got through
+        finally:
+            monkeypatch.setattr(where, step, real)
+    last = run_fixed_width_job(spark, job)
+    assert last.run > good.run and fwj.current_paths(spark, job) == last.paths
+    assert contents() != before and last.counts["rejects"] > good.counts["rejects"]
+
+
+def test_old_runs_are_pruned_and_numbers_are_claimed_once(spark, tmp_dir):
+    from tessera.sinks import runs
+    folder = f"{tmp_dir}/runs/t"
+    assert [runs.claim_run(spark, folder) for _ in range(5)] == [1, 2, 3, 4, 5]
+    assert runs.prune_runs(spark, folder, [], 2) == []
+    assert runs.prune_runs(spark, folder, [1, 3, 4], 2) == [1, 2]
+    assert sorted(os.listdir(folder)) == ["3", "4", "5"]
+    assert runs.claim_run(spark, folder) == 6
