@@ -21,13 +21,14 @@ whatever the edits, one part stands whole in the document, and its words are
 the key. So no short item is missed (up to 64-bit hashes); of longer ones with
 all edits that are allowed the walks find 0.995.
 
-A document position costs a few array operations per repetition: positions
-whose first sampled word is no item's are dropped at once, and only the rest
-walk on.
-
-The items are the query set. They are held by every task, in slices of at most
-``ITEM_SLICE_BYTES`` of text; a larger benchmark makes more passes over the
-documents, not larger tasks.
+*Joins.* The items' keys are a table. Documents are searched with two bit maps
+of fixed size, of the first words of keys and of the keys themselves; a document
+position costs a few array operations per repetition, and positions whose first
+sampled word is no item's are dropped at once. Documents whose keys pass are
+joined with the items by key, and verified where their words are. Keys and items
+that many documents share are salted over ``SALTS`` tasks. The benchmark may have
+any size: what grows with it are joined tables (and the share of documents that
+pass), not what tasks or the driver hold.
 
 Defined results: null or empty documents and items match nothing; an item whose
 allowance has room for no edit (fewer than 5 words) is searched for exactly;
@@ -39,15 +40,15 @@ empty result. Only the id and text columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
-from .textarrays import SpanHash, mix, slices, utf8, words
+from ..session import saved
+from .placebits import has_place, place_bits
+from .textarrays import SpanHash, mix, signed, slices, utf8, words
 
 MAX_EDITS = 0.2
 REPETITIONS = 8
@@ -55,7 +56,8 @@ SAMPLES = 4
 STEPS = 20
 SHORT_WORDS = 24
 ANCHOR_EVERY = 6
-ITEM_SLICE_BYTES = 4_000_000
+FILTER_BITS = 28
+SALTS = 16
 
 _random = np.random.default_rng(1803)
 _WALK = _random.integers(1, 1 << 63, (REPETITIONS, STEPS), dtype=np.uint64) | np.uint64(1)
@@ -129,91 +131,51 @@ def _part_keys(h: np.ndarray, at: np.ndarray, length: int, wanted: np.ndarray |
     return index, key
 
 
-@dataclass
-class _Search:
-    """Keys of one kind: of a walk's repetition, or of parts of one length."""
+def _parts(n: int, edits: int) -> list[tuple[int, int]]:
+    """First word and length of ``edits + 1`` parts of ``n`` words. ``STEPS``
+    words of a longer part are enough (and stay within a row's end marks)."""
+    cuts = [k * n // (edits + 1) for k in range(edits + 2)]
+    return [(a, min(b - a, STEPS)) for a, b in zip(cuts, cuts[1:], strict=False)]
+
 
-    length: int  # of parts; 0: a walk
-    repetition: int
-    keys: np.ndarray  # sorted
-    item: np.ndarray
-    anchor: np.ndarray  # word of the item at which the key begins
-    wanted: np.ndarray
+def allowed_edits(n_words: np.ndarray, max_edits: float) -> np.ndarray:
+    return np.floor(max_edits * n_words + 1e-9).astype(np.int64)
 
-    def of(self, h: np.ndarray, at: np.ndarray):
-        if self.length:
-            return _part_keys(h, at, self.length, self.wanted)
-        return _keys(h, at, self.repetition, self.wanted)
 
+# A search is the repetition of a walk, or the length of parts above all repetitions.
 
-@dataclass
-class _Items:
-    """One slice of the benchmark, ready to be searched for."""
+def _is_part(search: int) -> bool:
+    return search >= REPETITIONS
 
-    ids: list
-    hashes: list[np.ndarray]
-    edits: np.ndarray
-    searches: list[_Search]
 
+def _first_words(h: np.ndarray, at: np.ndarray, search: int) -> np.ndarray:
+    """Top 16 bits of the first word that a key of the search takes."""
+    first = at if _is_part(search) else _walk(h, at, search, 0, int(_SAMPLED[search][0]))
+    return (h[first] >> np.uint64(48)).astype(np.int64)
 
-def _parts(n: int, edits: int) -> list[tuple[int, int]]:
-    """First word and length of ``edits + 1`` parts of ``n`` words. ``STEPS``
-    words of a longer part are enough (and stay within a row's end marks)."""
-    cuts = [k * n // (edits + 1) for k in range(edits + 2)]
-    return [(a, min(b - a, STEPS)) for a, b in zip(cuts, cuts[1:], strict=False)]
 
+def _search(h: np.ndarray, at: np.ndarray, search: int, wanted: np.ndarray | None):
+    """``(kept starts' indices, keys)`` of one search."""
+    return _part_keys(h, at, search - REPETITIONS, wanted) if _is_part(search) else _keys(h, at, search, wanted)
 
-def prepare_items(ids: list, texts: list[str], max_edits: float = MAX_EDITS) -> _Items:
-    data, offsets = utf8(pa.array(texts, pa.string()))
-    h, row = word_hashes(data, offsets)
-    count = np.bincount(row, minlength=len(ids))
-    begin = np.concatenate([[0], np.cumsum(count)])
-    edits = np.floor(max_edits * count + 1e-9).astype(int)
+
+def key_place(key: np.ndarray, search: int) -> np.ndarray:
+    return (mix(key + np.uint64(search)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def item_anchors(n_words: np.ndarray, edits: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+    """``(item, word)`` from which keys are taken, by search."""
     walked, parts = [], {}
-    for i, (n, e) in enumerate(zip(count.tolist(), edits.tolist(), strict=True)):
+    for i, (n, e) in enumerate(zip(n_words.tolist(), edits.tolist(), strict=True)):
         if n >= SHORT_WORDS:
             # an anchor needs some words behind it, or keys would be made of the end mark
             walked += [(i, place) for place in range(0, n - STEPS // 2 - 1, ANCHOR_EVERY)]
         elif n:
             for place, length in _parts(n, e):
-                parts.setdefault(length, []).append((i, place))
-    padded, place = _padded(h, row)
-    out = _Items(ids, [h[a:b] for a, b in zip(begin, begin[1:], strict=False)], edits, [])
+                parts.setdefault(REPETITIONS + length, []).append((i, place))
     # items end at their last word, windows of documents go on: a walk that
     # leaves an item's end never meets, other anchors and repetitions do
-    for length, repetition, entries in [*((0, r, walked) for r in range(REPETITIONS) if walked),
-                                        *((length, 0, entries) for length, entries in sorted(parts.items()))]:
-        item, anchor = np.array(entries, np.int64).T
-        start = place[begin[item] + anchor]
-        first = start if length else _walk(padded, start, repetition, 0, int(_SAMPLED[repetition][0]))
-        wanted = np.zeros(1 << 16, bool)
-        wanted[padded[first] >> np.uint64(48)] = True
-        _, key = _part_keys(padded, start, length, None) if length else _keys(padded, start, repetition, None)
-        order = np.argsort(key, kind="stable")
-        out.searches.append(_Search(length, repetition, key[order], item[order], anchor[order], wanted))
-    return out
-
-
-def candidates(h: np.ndarray, row: np.ndarray, items: _Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(item, row, diagonal)``: the document word at which the item would start."""
-    if not len(h) or not items.searches:
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    padded, start = _padded(h, row)
-    found = []
-    for search in items.searches:
-        index, key = search.of(padded, start)
-        lo, hi = np.searchsorted(search.keys, key, "left"), np.searchsorted(search.keys, key, "right")
-        hit = np.flatnonzero(hi > lo)
-        times = (hi - lo)[hit]
-        within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        entry = np.repeat(lo[hit], times) + within
-        item, at = search.item[entry], np.repeat(index[hit], times)
-        # neighbouring diagonals are verified as one: its window covers them all
-        step = np.maximum(items.edits[item], 1)
-        found.append(np.column_stack([item, row[at], (at - search.anchor[entry]) // step * step]))
-    all_found = np.unique(np.concatenate(found), axis=0)
-    return all_found[:, 0], all_found[:, 1], all_found[:, 2]
+    return {**({r: walked for r in range(REPETITIONS)} if walked else {}), **parts}
 
 
 def edit_windows(pattern: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -236,106 +198,196 @@ def edit_windows(pattern: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray,
     return best >> np.int64(32), best & (big - 1), end
 
 
-def find_leaks(h: np.ndarray, row: np.ndarray, items: _Items):
-    """``(row, item, distance, start)`` of every item within its allowance, per
-    row the best place; ``start`` counts the row's words from 0."""
-    item, doc, diagonal = candidates(h, row, items)
-    first = np.searchsorted(row, doc, "left")
-    last = np.searchsorted(row, doc, "right")
-    out = []
-    for i in np.unique(item).tolist():
-        mine = np.flatnonzero(item == i)
-        pattern, allowed = items.hashes[i], int(items.edits[i])
-        width = len(pattern) + 6 * max(allowed, 1) + 2
-        known = np.sort(pattern)
-        for at in range(0, len(mine), 512):
-            some = mine[at:at + 512]
-            place = (diagonal[some] - 2 * max(allowed, 1))[:, None] + np.arange(width)
-            inside = (place >= first[some][:, None]) & (place < last[some][:, None])
-            windows = np.where(inside, h[np.clip(place, 0, len(h) - 1)], _END)
-            # a run within the allowance shares all but ``allowed`` of the item's words
-            shared = (known[np.minimum(np.searchsorted(known, windows), len(known) - 1)] == windows).sum(1)
-            enough = shared >= len(pattern) - allowed
-            some, place, windows = some[enough], place[enough], windows[enough]
-            if not len(some):
-                continue
-            distance, begin, _ = edit_windows(pattern, windows)
-            ok = distance <= allowed
-            start = np.maximum(place[np.arange(len(some)), np.minimum(begin, width - 1)] - first[some], 0)
-            out.append(np.column_stack([doc[some], np.full(len(some), i), distance, start])[ok])
-    if not out:
-        return np.zeros((0, 4), np.int64)
-    rows = np.concatenate(out)
-    rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))]
-    new = np.ones(len(rows), bool)
-    new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(1)
-    return rows[new]
-
-
-def _item_slices(benchmark: DataFrame, id_col: str, text_col: str):
-    """The benchmark, ``ITEM_SLICE_BYTES`` of text at a time: stored with a
-    running slice number, then read slice by slice."""
-    spark = benchmark.sparkSession
-    out = shared_dir(spark, "decontaminate", "items")
-    (benchmark.select(F.col(f"`{id_col}`").alias("item_id"), F.col(f"`{text_col}`").alias("text"))
-     .where("text is not null")
-     .withColumn("slice", F.pmod(F.xxhash64("item_id", "text"), F.lit(1 << 20))).write.parquet(out))
-    stored = spark.read.parquet(out)
-    total = stored.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = int(total // ITEM_SLICE_BYTES) + 1
-    for k in range(parts):
-        rows = stored.where(F.pmod("slice", F.lit(parts)) == k).select("item_id", "text").orderBy("item_id", "text").collect()
-        if rows:
-            yield [r["item_id"] for r in rows], [r["text"] for r in rows]
-
-
-def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-          item_id_col: str = "item_id", item_text_col: str = "text", max_edits: float = MAX_EDITS) -> DataFrame:
-    """``id_col, item_id, distance, item_words, start_word`` for every document
-    row and item that it holds."""
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    item_type = benchmark.schema[item_id_col].dataType.simpleString()
-    schema = (f"id {rows.schema['id'].dataType.simpleString()}, item_id {item_type}, distance int, item_words int, start_word int")
-    found = None
-    for ids, texts in _item_slices(benchmark, item_id_col, item_text_col):
-        part = rows.mapInArrow(_leak_task(ids, texts, max_edits), schema)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = docs.sparkSession.createDataFrame([], schema)
-    return found.withColumnRenamed("id", id_col)
-
-
-def _leak_task(ids: list, texts: list[str], max_edits: float):
+def best_match(h: np.ndarray, pattern: np.ndarray, allowed: int, diagonals: np.ndarray) -> tuple[int, int] | None:
+    """``(distance, start)`` of the best run of the words ``h`` within
+    ``allowed`` edits of ``pattern``, near the ``diagonals`` at which the
+    pattern would start; None if there is none."""
+    width = len(pattern) + 6 * max(allowed, 1) + 2
+    known = np.sort(pattern)
+    best = None
+    for at in range(0, len(diagonals), 512):
+        place = (diagonals[at:at + 512] - 2 * max(allowed, 1))[:, None] + np.arange(width)
+        inside = (place >= 0) & (place < len(h))
+        windows = np.where(inside, h[np.clip(place, 0, len(h) - 1)], _END)
+        # a run within the allowance shares all but ``allowed`` of the item's words
+        shared = (known[np.minimum(np.searchsorted(known, windows), len(known) - 1)] == windows).sum(1)
+        enough = shared >= len(pattern) - allowed
+        if not enough.any():
+            continue
+        distance, begin, _ = edit_windows(pattern, windows[enough])
+        start = np.maximum(place[enough][np.arange(len(begin)), np.minimum(begin, width - 1)], 0)
+        found = min(zip(distance.tolist(), start.tolist(), strict=True))
+        if found[0] <= allowed and (best is None or found < best):
+            best = found
+    return best
+
+
+# --- Spark steps --------------------------------------------------------------
+
+def _item_task(max_edits: float):
+    """Word hashes of the items."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = prepare_items(ids, texts, max_edits)
-        n_words = np.array([len(x) for x in items.hashes], np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
-                rows = find_leaks(*word_hashes(*utf8(part.column("text"))), items)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id").take(pa.array(rows[:, 0])), pa.array([ids[i] for i in rows[:, 1]], pa.array(ids[:1]).type),
-                     *(pa.array(x.astype(np.int32)) for x in (rows[:, 2], n_words[rows[:, 1]], rows[:, 3]))],
-                    ["id", "item_id", "distance", "item_words", "start_word"])
+                h, row = word_hashes(*utf8(part.column("text")))
+                n = np.bincount(row, minlength=part.num_rows)
+                end = np.cumsum(n)
+                made = [h[b - c:b].tobytes() for b, c in zip(end.tolist(), n.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("item_id"), pa.array(made, pa.binary()), pa.array(n.astype(np.int32)),
+                                                  pa.array(allowed_edits(n, max_edits).astype(np.int32))], ["item_id", "words", "n_words", "edits"])
     return run
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                  max_edits: float = MAX_EDITS) -> DataFrame:
-    """The rows of ``docs`` whose text holds no benchmark item, all columns kept.
-    The judgement is made where the row is, so no id has to be unique."""
-    kept = docs
-    for ids, texts in _item_slices(benchmark, "item_id", "text"):
-        kept = kept.mapInArrow(_clean_task(ids, texts, text_col, max_edits), docs.schema)
-    return kept
+def _item_keys_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All keys of the items, with the item's word at which each begins."""
+    for batch in batches:
+        n, edits, item = (batch.column(c).to_numpy() for c in ("n_words", "edits", "item"))
+        h = np.frombuffer(b"".join(batch.column("words").to_pylist()), np.uint64)
+        padded, place = _padded(h, np.repeat(np.arange(len(n)), n))
+        begin = np.concatenate([[0], np.cumsum(n)])
+        for search, entries in item_anchors(n, edits).items():
+            who, anchor = np.array(entries, np.int64).T
+            start = place[begin[who] + anchor]
+            _, key = _search(padded, start, search, None)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(key), search, np.int32)), pa.array(signed(key)), pa.array(key_place(key, search)), pa.array(_first_words(padded, start, search)),
+                 pa.array(item[who]), pa.array(anchor.astype(np.int32)), pa.array(edits[who])], ["search", "key", "place", "first", "item", "anchor", "edits"])
+
+
+class _Benchmark:
+    """The items and their keys as tables, and the bit maps for the documents."""
+
+    def __init__(self, benchmark: DataFrame, id_col: str, text_col: str, max_edits: float):
+        read = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text is not null")
+        self.id_type = read.schema["item_id"].dataType.simpleString()
+        made = read.mapInArrow(_item_task(max_edits), f"item_id {self.id_type}, words binary, n_words int, edits int").where("n_words > 0")
+        # numbered in a table of their own, so that numbers stay
+        self.items = saved(saved(made, "decontaminate", "items").withColumn("item", F.monotonically_increasing_id()), "decontaminate", "numbered")
+        self.keys = saved(self.items.select("item", "words", "n_words", "edits").mapInArrow(
+            _item_keys_task, "search int, key long, place long, first long, item long, anchor int, edits int"), "decontaminate", "keys")
+        self.wanted: dict[int, np.ndarray] = {}
+        for r in self.keys.select("search", "first").distinct().toLocalIterator():  # at most 2 ** 16 of each search
+            self.wanted.setdefault(r["search"], np.zeros(1 << 16, bool))[r["first"]] = True
+        self.places = place_bits(self.keys, FILTER_BITS) if self.wanted else None
+
+
+def _hits(h: np.ndarray, row: np.ndarray, wanted: dict[int, np.ndarray], places: np.ndarray):
+    """``(row, place, search, key)`` of the document words whose keys pass the
+    bit maps, by row."""
+    padded, start = _padded(h, row)
+    found = []
+    for search, first in sorted(wanted.items()):
+        index, key = _search(padded, start, search, first)
+        passed = has_place(places, key_place(key, search))
+        index, key = index[passed], key[passed]
+        found.append((row[index], index, np.full(len(index), search, np.int32), key))
+    at, index, search, key = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(at, kind="stable")
+    return at[order], index[order], search[order], key[order]
+
 
+HIT = "array<struct<search: int, key: long, at: int>>"
+
+
+def _document_task(wanted: dict[int, np.ndarray], places: np.ndarray, hit: bool):
+    """Rows whose keys pass, with their words' hashes and hits; or, of the
+    others, the rows alone."""
+    kind = pa.list_(pa.struct([("search", pa.int32()), ("key", pa.int64()), ("at", pa.int32())]))
 
-def _clean_task(ids: list, texts: list[str], text_col: str, max_edits: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = prepare_items(ids, texts, max_edits)
         for batch in batches:
-            for part in slices(batch, text_col):
-                rows = find_leaks(*word_hashes(*utf8(part.column(text_col))), items)
-                clean = np.ones(part.num_rows, bool)
-                clean[rows[:, 0]] = False
-                yield part.filter(pa.array(clean))
+            for part in slices(batch, "text"):
+                h, row = word_hashes(*utf8(part.column("text")))
+                n = np.bincount(row, minlength=part.num_rows)
+                begin = np.concatenate([[0], np.cumsum(n)])
+                at, index, search, key = _hits(h, row, wanted, places) if len(h) else (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
+                some, first = np.unique(at, return_index=True)
+                if not hit:
+                    clean = np.ones(part.num_rows, bool)
+                    clean[some] = False
+                    yield pa.RecordBatch.from_arrays([part.column("row").filter(pa.array(clean))], ["row"])
+                    continue
+                rows = pa.array(some)
+                parts = pa.StructArray.from_arrays([pa.array(search.astype(np.int32)), pa.array(signed(key)), pa.array((index - begin[at]).astype(np.int32))],
+                                                   ["search", "key", "at"])
+                hits = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)).astype(np.int32)), parts).cast(kind)
+                hashes = pa.array([h[begin[i]:begin[i + 1]].tobytes() for i in some.tolist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("row").take(rows), hashes, hits], ["row", "words", "hits"])
     return run
+
+
+def _verify_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at, item, distance, n_words, start = [], [], [], [], []
+        for i, (raw, candidates) in enumerate(zip(batch.column("words").to_pylist(), batch.column("items").to_pylist(), strict=True)):
+            h = np.frombuffer(raw, np.uint64)
+            for c in candidates:
+                pattern = np.frombuffer(c["pattern"], np.uint64)
+                if best := best_match(h, pattern, c["edits"], np.unique(np.array(c["diagonals"], np.int64))):
+                    at.append(i)
+                    item.append(c["item"])
+                    distance.append(best[0])
+                    n_words.append(len(pattern))
+                    start.append(best[1])
+        yield pa.RecordBatch.from_arrays([batch.column("uid").take(pa.array(at, pa.int64())), pa.array(item, pa.int64()),
+                                          *(pa.array(x, pa.int32()) for x in (distance, n_words, start))],
+                                         ["uid", "item", "distance", "item_words", "start_word"])
+
+
+def _matches(found: DataFrame, bench: _Benchmark) -> DataFrame:
+    """``uid, item, distance, item_words, start_word`` of the documents
+    ``uid, words, hits``."""
+    salt = F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int").alias("salt")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    hits = found.select("uid", salt, F.explode("hits").alias("hit")).select("uid", "salt", "hit.search", "hit.key", "hit.at")
+    keys = bench.keys.select("search", "key", "item", "anchor", "edits", salts)
+    step = F.greatest("edits", F.lit(1))
+    # neighbouring diagonals are verified as one: its window covers them all
+    diagonal = F.floor((F.col("at") - F.col("anchor")) / step) * step
+    met = (hits.join(keys, ["search", "key", "salt"]).select("uid", "salt", "item", diagonal.cast("int").alias("diagonal"))
+           .groupBy("uid", "salt", "item").agg(F.collect_set("diagonal").alias("diagonals")))  # of one document and item
+    items = bench.items.select("item", F.col("words").alias("pattern"), "edits", salts)
+    wanted = (met.join(items, ["item", "salt"]).groupBy("uid")
+              .agg(F.collect_list(F.struct("item", "pattern", "edits", "diagonals")).alias("items")))  # of one document
+    return (found.select("uid", "words").join(wanted, "uid")
+            .mapInArrow(_verify_task, "uid long, item long, distance int, item_words int, start_word int"))
+
+
+def _found(rows: DataFrame, bench: _Benchmark) -> DataFrame:
+    """The rows (``row, text``) whose keys pass: ``row, words, hits, uid``."""
+    kind = rows.schema["row"].dataType.simpleString()
+    passed = rows.mapInArrow(_document_task(bench.wanted, bench.places, True), f"row {kind}, words binary, hits {HIT}")
+    return saved(saved(passed, "decontaminate", "passed").withColumn("uid", F.monotonically_increasing_id()), "decontaminate", "found")
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+          item_id_col: str = "item_id", item_text_col: str = "text", max_edits: float = MAX_EDITS) -> DataFrame:
+    """``id_col, item_id, distance, item_words, start_word`` for every document
+    row and item that it holds."""
+    bench = _Benchmark(benchmark, item_id_col, item_text_col, max_edits)
+    rows = docs.select(F.struct(F.col(f"`{id_col}`").alias("id")).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    if not bench.wanted:
+        id_type = docs.schema[id_col].dataType.simpleString()
+        return docs.sparkSession.createDataFrame([], f"`{id_col}` {id_type}, item_id {bench.id_type}, distance int, item_words int, start_word int")
+    found = _found(rows, bench)
+    # a common item is in many documents: its id is joined by salted keys, too
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    return (_matches(found, bench).join(found.select("uid", F.col("row.id").alias("id")), "uid")
+            .withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int"))
+            .join(bench.items.select("item", "item_id", salts), ["item", "salt"])
+            .select(F.col("id").alias(id_col), "item_id", "distance", "item_words", "start_word"))
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                  max_edits: float = MAX_EDITS) -> DataFrame:
+    """The rows of ``docs`` whose text holds no benchmark item, all columns kept.
+    Rows are numbered for the purpose, so no id has to be unique."""
+    bench = _Benchmark(benchmark, "item_id", "text", max_edits)
+    if not bench.wanted:
+        return docs
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    found = _found(rows, bench)
+    leaking = _matches(found, bench).select("uid").distinct()
+    kind = rows.schema["row"].dataType.simpleString()
+    others = rows.mapInArrow(_document_task(bench.wanted, bench.places, False), f"row {kind}")
+    return others.unionByName(found.join(leaking, "uid", "left_anti").select("row")).select("row.*")
