@@ -7,13 +7,13 @@
    whose class, id or role names a menu, sidebar, notice, advert, comment
    section and so on), or *open* (anything else).
 2. *Host suffix array.* The words of all blocks outside the main zone form the
-   page's stream; the streams of a host are sorted by their suffixes, as far as
-   ``MIN_RUN`` words (a suffix array cut at that depth: more order is not
-   needed to know which runs of ``MIN_RUN`` words recur, and every longer
-   repeat is a chain of such runs). Each task sorts the suffixes of its own
-   pages, and a run's distinct pages are counted over all tasks by its hash, so
-   a host that holds a third of all pages is spread like any other. Pages with
-   equal streams are copies and count once.
+   page's stream. A task concatenates the streams of its pages and sorts all
+   their suffixes by rank doubling, as far as ``MIN_RUN`` words (more order is not
+   needed to know which runs of ``MIN_RUN`` words recur, and every longer repeat is
+   a chain of such runs). Neighbours of equal beginning are a run; its distinct
+   pages are counted over all tasks by a digest of host and words, so a host that
+   holds a third of all pages is spread like any other. Pages with equal streams
+   are copies and count once.
 3. *Remove.* Open blocks covered by runs that stand on ``MIN_PAGES`` distinct
    pages or more are removed; of others the words that such runs within the
    block cover, and the unique runs stay. Furniture goes
@@ -40,9 +40,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import saved
 from .textarrays import SpanHash, mix, signed, slices, utf8, words
 from .url_filter import host_and_path
 
@@ -186,56 +187,70 @@ def _digest(stream: str) -> bytes:
     return hashlib.blake2b(stream.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def _runs(streams: list[str], hosts: list[str], min_run: int):
-    """Hash of every run of ``min_run`` words with its host, its stream and its
-    place there."""
+def _stream_words(streams: list[str]):
+    """Hash, row and place within its row of every word."""
     data, offsets = utf8(pa.array(streams, pa.string()))
     start, end, row = words(data, offsets)
-    h = SpanHash(data)(start, end)
     count = np.bincount(row, minlength=len(streams))
     first = np.concatenate([[0], np.cumsum(count)])[:-1]
-    place = np.arange(len(h)) - first[row]
-    run = np.flatnonzero(place + min_run <= count[row])
-    text, offset = utf8(pa.array(hosts, pa.string()))
-    host = SpanHash(text)(offset[:-1], offset[1:])
-    key = host[row[run]]
+    return SpanHash(data)(start, end), row, np.arange(len(row)) - first[row]
+
+
+def suffix_array(word: np.ndarray, row: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes of all streams sorted by their first ``depth`` words, and
+    every suffix's rank in that order (equal for equal beginnings; a stream's
+    end comes before any word). Ranks of doubling lengths: a suffix's rank by
+    2k words is that by k words, and then that of the suffix k words on."""
+    n = len(word)
+
+    def paired(rank: np.ndarray, step: int) -> np.ndarray:
+        later = np.zeros(n, np.int64)
+        if n > step:
+            later[:-step] = np.where(row[step:] == row[:-step], rank[step:] + 1, 0)
+        return np.unique(rank * (n + 1) + later, return_inverse=True)[1]
+
+    rank = np.unique(word, return_inverse=True)[1].astype(np.int64)
+    known = 1
+    while known < depth:
+        step = min(known, depth - known)  # the last step overlaps
+        rank = paired(rank, step)
+        known += step
+    return np.argsort(rank, kind="stable"), rank
+
+
+def _run_keys(word: np.ndarray, host: np.ndarray, at: np.ndarray, min_run: int) -> np.ndarray:
+    """Digest of a host's run of words, equal in all tasks."""
+    key = host
     for k in range(min_run):
-        key = mix(key ^ h[run + k])
-    return key, row[run], place[run]
+        key = mix(key ^ word[at + k])
+    return key
 
 
-def _suffix_groups(key: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """The suffixes sorted by their first words: of every run, one entry per stream."""
-    order = np.lexsort((row, key))
-    new = np.ones(len(order), bool)
-    new[1:] = (key[order][1:] != key[order][:-1]) | (row[order][1:] != row[order][:-1])
-    return order[new]
+def _host_hashes(hosts: list[str]) -> np.ndarray:
+    text, offset = utf8(pa.array(hosts, pa.string()))
+    return SpanHash(text)(offset[:-1], offset[1:])
 
 
-def _pages(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list, list[str]]]:
-    for part in slices(batch, "html"):
-        hosts = part.column("host").to_pylist()
-        yield part, [page_blocks(x) if x else [] for x in part.column("html").to_pylist()], hosts
+def _whole_runs(row: np.ndarray, place: np.ndarray, n_rows: int, min_run: int) -> np.ndarray:
+    """Words that ``min_run`` words of their stream begin with."""
+    return place + min_run <= np.bincount(row, minlength=n_rows)[row]
 
 
 def _run_task(min_run: int):
+    """Every run of each stream, once: the suffix array's groups of equal
+    beginnings, of each group one member per stream."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, blocks, hosts in _pages(batch):
-                made = {}  # equal streams of a host count once
-                for b, host in zip(blocks, hosts, strict=True):
-                    stream, is_open = _stream(b)
-                    if stream:
-                        made[host, _digest(stream)] = (stream, is_open)
-                if not made:
-                    continue
-                key, row, place = _runs([s for s, _ in made.values()], [h for h, _ in made], min_run)
-                digest = pa.array([d for _, d in made], pa.binary())
-                is_open = pa.array([o for _, o in made.values()])
-                groups = _suffix_groups(key, row)
-                rows = pa.array(row[groups])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(key[groups])), digest.take(rows), is_open.take(rows)], ["run", "stream", "is_open"])
+            hosts, streams = batch.column("host").to_pylist(), batch.column("words").to_pylist()
+            word, row, place = _stream_words(streams)
+            order, rank = suffix_array(word, row, min_run)
+            order = order[_whole_runs(row, place, len(streams), min_run)[order]]
+            order = order[np.lexsort((row[order], rank[order]))]
+            new = np.ones(len(order), bool)
+            new[1:] = (rank[order][1:] != rank[order][:-1]) | (row[order][1:] != row[order][:-1])
+            at = order[new]
+            key = _run_keys(word, _host_hashes(hosts)[row[at]], at, min_run)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(key)), batch.column("stream").take(pa.array(row[at]))], ["run", "stream"])
     return run
 
 
@@ -244,34 +259,24 @@ def _open_run_task(min_run: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, streams = batch.column("host").to_pylist(), batch.column("words").to_pylist()
-            key, row, place = _runs(streams, hosts, min_run)
-            again = pa.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(key)), batch.column("host").take(again), batch.column("stream").take(again),
-                                              pa.array(place.astype(np.int32))], ["run", "host", "stream", "place"])
+            word, row, place = _stream_words(streams)
+            at = np.flatnonzero(_whole_runs(row, place, len(streams), min_run))
+            again = pa.array(row[at])
+            yield pa.RecordBatch.from_arrays([pa.array(signed(_run_keys(word, _host_hashes(hosts)[row[at]], at, min_run))), batch.column("host").take(again),
+                                              batch.column("stream").take(again), pa.array(place[at].astype(np.int32))], ["run", "host", "stream", "place"])
     return run
 
 
-def _blocks_task(with_open: bool):
-    """Pages without open blocks: their text at once. The others: their blocks."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, blocks, _ in _pages(batch):
-                streams = [_stream(b) for b in blocks]
-                mine = [i for i, (_, is_open) in enumerate(streams) if is_open == with_open]
-                at = pa.array(mine, pa.int64())
-                same = [part.column("id").take(at), part.column("url").take(at)]
-                if with_open:
-                    yield pa.RecordBatch.from_arrays(
-                        [*same, part.column("host").take(at), pa.array([_digest(streams[i][0]) for i in mine], pa.binary()),
-                         pa.array([streams[i][0] for i in mine], pa.string()),
-                         pa.array([[t for t, _ in blocks[i]] for i in mine], pa.list_(pa.string())),
-                         pa.array([[z for _, z in blocks[i]] for i in mine], pa.list_(pa.int32()))],
-                        ["id", "url", "host", "stream", "words", "blocks", "zones"])
-                else:
-                    yield pa.RecordBatch.from_arrays(
-                        [*same, pa.array(["\n".join(t for t, z in blocks[i] if z == MAIN) for i in mine], pa.string())],
-                        ["id", "url", "text"])
-    return run
+def _parse_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every page's blocks, and the digest of its stream (null: no words outside the main zone)."""
+    for batch in batches:
+        for part in slices(batch, "html"):
+            blocks = [page_blocks(x) if x else [] for x in part.column("html").to_pylist()]
+            streams = [_stream(b) for b in blocks]
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in ("id", "url", "host")), pa.array([_digest(s) if s else None for s, _ in streams], pa.binary()),
+                 pa.array([is_open for _, is_open in streams]), pa.array([[t for t, _ in b] for b in blocks], pa.list_(pa.string())),
+                 pa.array([[z for _, z in b] for b in blocks], pa.list_(pa.int32()))], ["id", "url", "host", "stream", "is_open", "blocks", "zones"])
 
 
 def _remove_task(min_run: int):
@@ -320,16 +325,22 @@ def extract_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "u
     rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").alias("url"),
                         host_and_path(F.col(f"`{url_col}`"))[0].alias("host"), F.col(f"`{html_col}`").alias("html"))
     id_type = rows.schema["id"].dataType.simpleString()
-    repeated = (rows.mapInArrow(_run_task(min_run), "run long, stream binary, is_open boolean").select("run", "stream").distinct()
+    parsed = saved(rows.mapInArrow(_parse_task, f"id {id_type}, url string, host string, stream binary, is_open boolean, "
+                                                "blocks array<string>, zones array<int>"), "html_extract", "blocks")
+
+    def joined(of_main: bool, separator: str) -> Column:
+        return F.array_join(F.filter("blocks", lambda b, i: (F.get("zones", i) == MAIN) == F.lit(of_main)), separator)
+
+    streams = parsed.where("stream is not null").select("host", "stream", "is_open", joined(False, " ").alias("words"))
+    # equal streams of a host are copies: a run counts once for them
+    repeated = (streams.mapInArrow(_run_task(min_run), "run long, stream binary").distinct()
                 .groupBy("run").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages).select("run"))
-    plain = rows.mapInArrow(_blocks_task(False), f"id {id_type}, url string, text string")
-    mixed = rows.mapInArrow(_blocks_task(True), f"id {id_type}, url string, host string, stream binary, words string, "
-                                                "blocks array<string>, zones array<int>")
-    # equal streams of a host are covered alike: each is judged once
-    covered = (mixed.select("host", "stream", "words").dropDuplicates(["host", "stream"])
+    plain = parsed.where("not is_open").select("id", "url", joined(True, "\n").alias("text"))
+    # ... and are covered alike: each is judged once
+    covered = (streams.where("is_open").dropDuplicates(["host", "stream"])
                .mapInArrow(_open_run_task(min_run), "run long, host string, stream binary, place int")
                .join(repeated, "run", "left_semi")
                .groupBy("host", "stream").agg(F.collect_list("place").alias("places")))  # at most one page's words
-    cleaned = (mixed.join(covered, ["host", "stream"], "left").select("id", "url", "blocks", "zones", "places")
+    cleaned = (parsed.where("is_open").join(covered, ["host", "stream"], "left").select("id", "url", "blocks", "zones", "places")
                .mapInArrow(_remove_task(min_run), f"id {id_type}, url string, text string"))
     return plain.unionByName(cleaned).withColumnRenamed("id", id_col)

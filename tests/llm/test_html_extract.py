@@ -1,4 +1,8 @@
-from tessera.llm.html_extract import extract_text, page_blocks
+import random
+
+import numpy as np
+
+from tessera.llm.html_extract import extract_text, page_blocks, suffix_array
 
 SCHEMA = "page_id long, url string, html string, text string, host string"
 
@@ -61,3 +65,52 @@ def test_repeated_runs_decide_a_table_without_article_or_main(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)
     got = {r.page_id: r.text.strip() for r in extract_text(pages).collect()}
     assert got == expected
+
+
+def test_suffix_array_sorts_like_lists_of_words():
+    rng = random.Random(4)
+    for depth in (1, 2, 3, 5, 8, 13):
+        streams = [[rng.randrange(3) for _ in range(rng.randrange(0, 30))] for _ in range(12)]
+        word = np.array([w for s in streams for w in s], np.uint64)
+        row = np.repeat(np.arange(12), [len(s) for s in streams])
+        suffixes = [tuple(s[i:i + depth]) for s in streams for i in range(len(s))]
+        order, rank = suffix_array(word, row, depth)
+        assert [suffixes[i] for i in order] == sorted(suffixes)
+        distinct = sorted(set(suffixes))
+        assert rank.tolist() == [distinct.index(x) for x in suffixes]
+
+
+def brute(pages, min_run=8, min_pages=3):
+    """Open pages without the words that repeated runs cover (one block a page)."""
+    where = {}
+    for i, (host, text) in enumerate(pages):
+        w = text.split()
+        for k in range(len(w) - min_run + 1):
+            where.setdefault((host, *w[k:k + min_run]), set()).add(text)
+    out = []
+    for host, text in pages:
+        w = text.split()
+        gone = [False] * len(w)
+        for k in range(len(w) - min_run + 1):
+            if len(where[(host, *w[k:k + min_run])]) >= min_pages:
+                gone[k:k + min_run] = [True] * min_run
+        out.append(" ".join(x for x, g in zip(w, gone, strict=True) if not g))
+    return out
+
+
+def test_repeated_runs_match_brute_force(spark):
+    rng = random.Random(9)
+    shared = [[f"s{k}x{i}" for i in range(rng.randrange(6, 25))] for k in range(12)]
+    pages = []
+    for k in range(200):
+        w = [f"own{rng.randrange(60)}" for _ in range(rng.randrange(0, 12))]
+        for _ in range(rng.randrange(0, 4)):
+            part = rng.choice(shared)
+            cut = rng.randrange(len(part))
+            w += part[cut:] if rng.random() < 0.3 else part
+        pages.append((f"h{rng.randrange(3)}.example", " ".join(w)))
+    pages += [pages[0]] * 5 + [("h0.example", " ".join(f"long{i % 997}" for i in range(20_000)))]
+    df = spark.createDataFrame([(i, f"http://{h}/{i}", f"<body><p>{t}</p></body>") for i, (h, t) in enumerate(pages)],
+                               "page_id long, url string, html string").repartition(9)
+    got = {r.page_id: r.text for r in extract_text(df).collect()}
+    assert [got[i] for i in range(len(pages))] == brute(pages)
