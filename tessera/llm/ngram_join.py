@@ -11,10 +11,17 @@ Two documents are linked when the Jaccard similarity of their sets of word
    close texts meet: every bucket links its members to its smallest one, signature estimates
    discard chance meetings, and the components of these links contract the
    large groups.
-3. In all ``TREES`` trees the prefixes are shortened to the largest depth whose
-   recall at the threshold reaches ``recall``; only pairs from different components are new
-   there. They are compared by the same estimate where the bucket's members
-   meet (a large bucket in pairs of blocks), and join components.
+3. In all ``TREES`` trees the signatures are sorted by their values in the
+   tree's order, which makes them a prefix trie: members of a node are
+   neighbours, and the common prefix of neighbours tells at which depth they
+   part. A task holds whole subtries, below the shortest prefix that is needed;
+   from the longest prefixes on it shortens them step by step, compares the
+   members that meet at a depth for the first time and are not yet of one
+   component, by the same estimate, and joins components (a large subtrie in
+   pairs of blocks). The shortest prefix is the longest one whose recall at the
+   threshold reaches ``recall``, measured by drawing the minima that a pair
+   agrees in and following them through the trees as they are (``prefix_recall``:
+   the trees share minima, so they are not independent).
 4. Within each component every pair is verified exactly on its sets of 5-gram
    hashes (64 bits). A large component is cut into blocks of ``BLOCK`` classes
    and each pair of blocks is a task of its own, so no task holds more than
@@ -33,15 +40,15 @@ are read.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import saved
 from .components import connected_components
 from .textarrays import SpanHash, mix, signed, slices, utf8, words
 
@@ -52,6 +59,8 @@ TREES = 32
 #: The first search: few trees and long prefixes, for the closest texts only.
 LONG_TREES = 8
 LONG_PREFIX = 14
+#: Values behind the shortest prefix that order a subtrie.
+BELOW = 8
 RECALL = 0.999
 BLOCK = 512
 #: Pairs whose signatures agree less are not verified: over five standard
@@ -65,10 +74,24 @@ _PLACE = _random.integers(1, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
 _TREE_ORDER = np.array([_random.permutation(N_MINS) for _ in range(TREES)])
 
 
+@cache
+def prefix_recall(threshold: float, trees: int, draws: int = 100_000) -> tuple[float, ...]:
+    """Share of pairs of similarity ``threshold`` that meet in one of the trees
+    at depth 0, 1, ... ``LONG_PREFIX``."""
+    random = np.random.default_rng(99)
+    deepest = np.zeros(draws, np.int64)
+    for lo in range(0, draws, 10_000):
+        agree = random.random((len(deepest[lo:lo + 10_000]), N_MINS)) < threshold
+        for t in range(trees):
+            path = agree[:, _TREE_ORDER[t, :LONG_PREFIX]]
+            deepest[lo:lo + 10_000] = np.maximum(deepest[lo:lo + 10_000], np.where(path.all(1), LONG_PREFIX, path.argmin(1)))
+    return tuple(float((deepest >= d).mean()) for d in range(LONG_PREFIX + 1))
+
+
 def prefix_depth(threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL) -> int:
     """The longest prefix at which ``trees`` trees find a pair of similarity
     ``threshold`` with probability ``recall``."""
-    return max(1, int(math.log(1 - (1 - recall) ** (1 / trees)) / math.log(threshold)))
+    return max(d for d, r in enumerate(prefix_recall(threshold, trees)) if r >= recall or d <= 1)
 
 
 def document_shingles(data: np.ndarray, offsets: np.ndarray):
@@ -133,21 +156,25 @@ def _digest_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tree_task(depth: int, trees: int):
+    """Per tree the key of a prefix of ``depth`` values, and a byte of each of
+    the ``BELOW`` values that follow it: their order is that of the trie."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
                 n = part.num_rows
                 mins = np.frombuffer(b"".join(part.column("mins").to_pylist()), np.uint32).reshape(n, N_MINS).astype(np.uint64)
-                keys = np.empty((n, trees), np.uint64)
+                keys, below = np.empty((n, trees), np.uint64), np.zeros((n, trees), np.uint64)
                 for t in range(trees):
                     key = np.full(n, t + 1, np.uint64)
                     for i in _TREE_ORDER[t, :depth]:
                         key = mix(key ^ mix(mins[:, i] + np.uint64(1)))
                     keys[:, t] = key
+                    for i in _TREE_ORDER[t, depth:depth + BELOW]:
+                        below[:, t] = (below[:, t] << np.uint64(8)) | (mix(mins[:, i] + np.uint64(3)) >> np.uint64(56))
                 again = pa.array(np.repeat(np.arange(n), trees))
-                yield pa.RecordBatch.from_arrays([pa.array(signed(keys.ravel())), part.column("node").take(again), part.column("component").take(again)],
-                                                 ["key", "node", "component"])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(keys.ravel())), pa.array(signed(below.ravel())), part.column("node").take(again),
+                                                  part.column("component").take(again)], ["key", "below", "node", "component"])
     return run
 
 
@@ -171,29 +198,62 @@ def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _bridge_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Components that agreeing pairs of a unit of a bucket join, each with the
-    smallest that it hangs together with there."""
+    """Components that agreeing pairs of a subtrie join, each with the smallest
+    that it hangs together with there (rows come sorted by the trie's order)."""
     for parts in _units(batches, ("bucket", "i", "j")):
         table = pa.Table.from_batches(parts)
-        component = table.column("component").to_numpy()
-        in_i = table.column("in_i").to_numpy(zero_copy_only=False).astype(bool)
-        inner = table.column("i")[0].as_py() == table.column("j")[0].as_py()
-        sketch = _sketches(table.column("sketch").combine_chunks())
-        names, place = np.unique(component, return_inverse=True)
-        linked = np.zeros((len(names), len(names)), bool)
-        for at in range(0, len(component), 32):
-            some = slice(at, at + 32)
-            wanted = component[some, None] < component[None, :]
-            if not inner:
-                wanted &= in_i[some, None] != in_i[None, :]
-            x, y = np.nonzero(wanted)
-            if len(x):
-                good = (sketch[some][x] == sketch[y]).mean(1) >= LEAST_ESTIMATE
-                x, y = place[some][x[good]], place[y[good]]
-                linked[x, y] = linked[y, x] = True
-        root = _smallest_linked(linked)
-        moved = root != np.arange(len(names))
-        yield pa.RecordBatch.from_arrays([pa.array(names[root[moved]]), pa.array(names[moved])], ["a", "b"])
+        block = None
+        if table.column("i")[0].as_py() != table.column("j")[0].as_py():
+            block = table.column("in_i").to_numpy(zero_copy_only=False).astype(bool)  # pairs within a block are that block's own
+        names, component = np.unique(table.column("component").to_numpy(), return_inverse=True)
+        if len(names) > 1:
+            label = joined_components(table.column("below").to_numpy().view(np.uint64), component, _sketches(table.column("sketch").combine_chunks()), block)
+            moved = label != np.arange(len(names))
+            yield pa.RecordBatch.from_arrays([pa.array(names[label[moved]]), pa.array(names[moved])], ["a", "b"])
+
+
+def common_levels(below: np.ndarray) -> np.ndarray:
+    """Levels below the subtrie's top that each member shares with the next."""
+    differ = below[1:] ^ below[:-1]
+    return sum((differ >> np.uint64(8 * (BELOW - k)) == 0).astype(np.int64) for k in range(1, BELOW + 1))
+
+
+def joined_components(below: np.ndarray, component: np.ndarray, sketch: np.ndarray, block: np.ndarray | None) -> np.ndarray:
+    """For every component (0, 1, ...) the smallest that it hangs together with.
+
+    From the longest common prefix of neighbours to the shortest, the trie's
+    nodes at that depth are runs of members, made of the runs one level below;
+    members of different runs meet there for the first time.
+    """
+    label = np.arange(int(component.max()) + 1)
+    shared = common_levels(below)
+    for level in np.unique(shared)[::-1].tolist():
+        node = np.concatenate([[0], np.cumsum(shared < level)])
+        child = np.concatenate([[0], np.cumsum(shared <= level)])
+        cut = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+        for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(node)], strict=True):
+            if hi - lo < 2 or child[lo] == child[hi - 1]:
+                continue
+            mine, place = np.unique(label[component[lo:hi]], return_inverse=True)
+            if len(mine) < 2:
+                continue
+            linked = np.zeros((len(mine), len(mine)), bool)
+            for at in range(lo, hi, 32):
+                some = slice(at, min(at + 32, hi))
+                wanted = (place[some.start - lo:some.stop - lo, None] != place[None, :]) & (child[some, None] < child[None, lo:hi])
+                if block is not None:
+                    wanted &= block[some, None] != block[None, lo:hi]
+                x, y = np.nonzero(wanted)
+                if len(x):
+                    good = (sketch[some][x] == sketch[lo:hi][y]).mean(1) >= LEAST_ESTIMATE
+                    x, y = place[some.start - lo:some.stop - lo][x[good]], place[y[good]]
+                    linked[x, y] = linked[y, x] = True
+            root = mine[_smallest_linked(linked)]
+            if (root != mine).any():
+                moved = np.arange(len(label))
+                moved[mine] = root
+                label = moved[label]
+    return label
 
 
 def _smallest_linked(linked: np.ndarray) -> np.ndarray:
@@ -207,16 +267,10 @@ def _smallest_linked(linked: np.ndarray) -> np.ndarray:
         label = spread
 
 
-def _saved(df: DataFrame, name: str) -> DataFrame:
-    out = shared_dir(df.sparkSession, "ngram_join", name)
-    df.write.parquet(out)
-    return df.sparkSession.read.parquet(out)
-
-
 def candidate_components(classes: DataFrame, threshold: float, recall: float, block: int) -> DataFrame:
     """``node, component`` of the classes that may be linked to another."""
     alone = classes.select("node", "mins", F.col("node").alias("component"))
-    schema = "key long, node long, component long"
+    schema = "key long, below long, node long, component long"
     members = alone.mapInArrow(_tree_task(LONG_PREFIX, LONG_TREES), schema).select("key", "node")
     pivots = members.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     stars = members.join(pivots, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
@@ -227,10 +281,10 @@ def candidate_components(classes: DataFrame, threshold: float, recall: float, bl
     shorter = placed.select("node", "mins", "component").mapInArrow(_tree_task(prefix_depth(threshold, TREES, recall), TREES), schema)
     mixed = (shorter.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo < hi").select("key"))
-    # the pairs of a bucket are compared where its members meet: only agreeing ones become rows
+    # the pairs of a subtrie are compared where its members meet: only agreeing ones become rows
     buckets = (shorter.join(mixed, "key").withColumnRenamed("key", "bucket")
                .join(classes.select("node", "sketch"), "node"))
-    bridges = (_blocks(buckets, "bucket", block).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    bridges = (_blocks(buckets, "bucket", block).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "below")
                .mapInArrow(_bridge_task, "a long, b long").distinct())
     merged = connected_components(bridges).select(F.col("node").alias("component"), F.col("component").alias("merged"))
     return (placed.select("node", "component", "close").join(merged, "component", "left")
@@ -324,18 +378,18 @@ def ngram_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     included)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    classes = _saved(
+    classes = saved(
         rows.mapInArrow(_sketch_task, f"digest binary, id {id_type}, mins binary, sketch binary")
         .groupBy("digest").agg(F.min("id").alias("copy_id"), F.count(F.lit(1)).alias("copies"),
                                F.first("mins").alias("mins"), F.first("sketch").alias("sketch"))
-        .withColumn("node", F.monotonically_increasing_id()), "classes")
+        .withColumn("node", F.monotonically_increasing_id()), "ngram_join", "classes")
     members = candidate_components(classes, threshold, recall, block)
     # the text of one document of each class that may have links
     wanted = classes.join(members, "node").select("digest", "node", "component", "copies")
     texts = (rows.mapInArrow(_digest_task, f"digest binary, id {id_type}, text string").drop("id")
              .join(wanted, "digest").groupBy("node", "component", "copies").agg(F.min("text").alias("text")))
     units = (_blocks(texts, "component", block).repartition("component", "i", "j").sortWithinPartitions("component", "i", "j"))
-    found = _saved(units.mapInArrow(_verify_task(threshold), "node long, root long, texts long, documents long"), "links")
+    found = saved(units.mapInArrow(_verify_task(threshold), "node long, root long, texts long, documents long"), "ngram_join", "links")
     groups = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     sums = found.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("documents").alias("documents"))
     slim = classes.select("digest", "node", "copy_id", "copies")

@@ -1,11 +1,12 @@
 import collections
 import random
 
+import numpy as np
 import pytest
 from edges import docs, empty
 
 from tessera.llm.components import connected_components
-from tessera.llm.ngram_join import ngram_links, prefix_depth
+from tessera.llm.ngram_join import BELOW, LEAST_ESTIMATE, N_MINS, common_levels, joined_components, ngram_links, prefix_depth, prefix_recall
 
 
 def shingles(text):
@@ -66,8 +67,31 @@ def test_edges(spark):
 
 
 def test_depth_and_components(spark):
+    recall = prefix_recall(0.8, 32)
     d = prefix_depth()
-    assert 1 - (1 - 0.8 ** d) ** 32 >= 0.999 > 1 - (1 - 0.8 ** (d + 1)) ** 32
+    assert recall[d] >= 0.999 > recall[d + 1] and list(recall) == sorted(recall, reverse=True)
+    # the trees share minima, so they find less than as many independent ones
+    assert all(r <= 1 - (1 - 0.8 ** k) ** 32 + 0.002 for k, r in enumerate(recall))
     edges = spark.createDataFrame([(1, 2), (2, 3), (9, 3), (4, 5), (7, 7), (5, 4)] + [(100 + i, 101 + i) for i in range(40)], "a long, b long")
     got = {r.node: r.component for r in connected_components(edges).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 9: 1, 4: 4, 5: 4, **{100 + i: 100 for i in range(41)}}
+
+
+def test_tries_join_what_all_pairs_would():
+    rng = np.random.default_rng(3)
+    for trial in range(60):
+        n = int(rng.integers(2, 40))
+        below = np.sort(rng.integers(0, 3, (n, BELOW)).astype(np.uint64) @ (np.uint64(256) ** np.arange(BELOW, dtype=np.uint64)[::-1]))
+        component = np.unique(rng.integers(0, n, n), return_inverse=True)[1]
+        sketch = rng.integers(0, 2, (n, N_MINS)).astype(np.uint8)
+        sketch[rng.integers(0, n, n // 2)] = sketch[0]
+        block = rng.random(n) < 0.5 if trial % 2 else None
+        label = joined_components(below, component, sketch, block)
+        want = list(range(component.max() + 1))
+        for _ in range(n):
+            for i in range(n):
+                for j in range(n):
+                    if (sketch[i] == sketch[j]).mean() >= LEAST_ESTIMATE and (block is None or block[i] != block[j]):
+                        want[component[i]] = want[component[j]] = min(want[component[i]], want[component[j]])
+        assert label.tolist() == want
+    assert common_levels(np.array([0x0102030405060708, 0x0102030405060708, 0x0102030405060709, 0x0202030405060709], np.uint64)).tolist() == [8, 7, 0]
