@@ -2,21 +2,25 @@
 
 1. *Lexicon.* Words and word beginnings that stand in toxic training texts far
    more often than in clean ones are mined from at most ``train_limit``
-   labelled rows (see ``labelled.py``) and joined with a short general list.
-2. *Voters.* The terms are dealt into lexicon voters; pattern voters look at
-   the number, variety and density of terms. A voter fires or abstains.
+   labelled rows (see ``labelled.py``) and joined with a short list of insults.
+2. *Voters.* The terms are dealt into lexicon voters. Pattern voters know no
+   term: they look at address in the second person, capitals, runs of ``!`` and
+   ``?``, stretched letters, and letters replaced by signs. A voter fires or
+   abstains.
 3. *Label model.* Every document's votes are counted by pattern in Spark (at
    most ``2 ** voters`` counts reach the driver). A two-class generative model
    is fitted to these counts by expectation maximisation: each voter's firing
    rate per class, and the correlation of every two voters within a class,
-   which discounts voters that repeat each other.
+   which discounts voters that repeat each other. The labelled training rows
+   count in their own class, so that no pattern common among clean texts
+   becomes the class of its own.
 4. *Classifier.* A logistic regression learns the label model's posteriors
    from document features, and is calibrated on the labelled training rows.
 
 A score needs nothing but the text. Defined results: a null or empty text is
 scored from all-zero features; repeated rows give repeated rows; an empty table
-gives an empty result; without labels the general list and the label model
-alone decide. Extra columns of the input are kept by ``score_toxicity`` unless
+gives an empty result; without labels the list of insults and the label
+model alone decide. Extra columns of the input are kept by ``score_toxicity`` unless
 named like its result columns, which replace them.
 """
 
@@ -41,8 +45,8 @@ LEXICON_VOTERS = 8
 MAX_TERMS = 300
 PREFIX_LENGTHS = (4, 5, 6, 7, 8)
 
-# General insults, in alphabetical order.
-GENERAL_TERMS = ("clown", "disgusting", "dumb", "idiot", "imbecile", "loser", "moron", "pathetic", "scum", "stupid",
+# Insults, in alphabetical order.
+LISTED_TERMS = ("clown", "disgusting", "dumb", "idiot", "imbecile", "loser", "moron", "pathetic", "scum", "stupid",
                  "trash", "worthless")
 
 #: White space, ASCII punctuation and digits separate words.
@@ -51,8 +55,16 @@ SEPARATOR[:65] = True
 SEPARATOR[91:97] = True
 SEPARATOR[123:128] = True
 
-FEATURES = (*(f"voter_{i}" for i in range(LEXICON_VOTERS + 1)), "log_hits", "terms", "density", "any", "two", "three")
-VOTERS = (*(f"lexicon_{i}" for i in range(LEXICON_VOTERS)), "general", "two_terms", "three_hits")
+# Words of the second person (English, German, French, Spanish), in alphabetical order.
+SECOND_PERSON = ("dein", "deine", "dich", "dir", "du", "toi", "ton", "tu", "tus", "tú", "u", "you", "your", "yours")
+
+PATTERNS = ("second_person", "capitals", "exclaims", "stretched", "signs_for_letters")
+FEATURES = (*(f"voter_{i}" for i in range(LEXICON_VOTERS + 1)), "log_hits", "terms", "density", "any", "two", "three", *PATTERNS)
+VOTERS = (*(f"lexicon_{i}" for i in range(LEXICON_VOTERS)), "listed", *PATTERNS)
+_CAPITAL, _LETTER, _SIGN = np.zeros((3, 256), bool)
+_CAPITAL[65:91] = True
+_LETTER[65:91] = _LETTER[97:123] = True
+_SIGN[list(b"#$%*@")] = True
 
 
 @dataclass(frozen=True)
@@ -121,8 +133,42 @@ def document_votes(column: pa.Array, tables, n_mined: int) -> tuple[np.ndarray,
     distinct = np.bincount(pairs >> 20, minlength=n)
     features = np.column_stack([np.log1p(per_voter), np.log1p(hits), np.minimum(distinct, 5), np.minimum(100 * hits / np.maximum(n_words, 1), 5),
                                 hits > 0, hits > 1, hits > 2]).astype(float)
-    votes = np.column_stack([per_voter > 0, distinct > 1, hits > 2])
-    return features, votes
+    patterns = pattern_votes(column)
+    return np.column_stack([features, patterns]), np.column_stack([per_voter > 0, patterns])
+
+
+def pattern_votes(column: pa.Array) -> np.ndarray:
+    """``(rows, PATTERNS)``: which pattern voters fire. None knows a term."""
+    data, offsets = utf8(column.cast(pa.string()))
+    n = len(offsets) - 1
+    row = np.repeat(np.arange(n), np.diff(offsets))
+
+    def per_row(flags: np.ndarray) -> np.ndarray:
+        return np.bincount(row[np.flatnonzero(flags)], minlength=n)
+
+    def following(k: int) -> np.ndarray:
+        """The k-th byte after each, 0 beyond its text."""
+        out = np.zeros(len(data), np.uint8)
+        if len(data) > k:
+            out[:-k] = np.where(row[k:] == row[:-k], data[k:], 0)
+        return out
+
+    start, end, of = words(data, offsets, SEPARATOR)
+    n_words = np.bincount(of, minlength=n)
+    spoken, at = utf8(pa.array(SECOND_PERSON))
+    known = np.sort(SpanHash(spoken)(at[:-1], at[1:]))
+    low = data | np.where(_CAPITAL[data], 32, 0).astype(np.uint8)
+    h = SpanHash(low)(start, end)
+    second = np.bincount(of[known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h], minlength=n)
+    capitals = np.concatenate([[0], np.cumsum(_CAPITAL[data], dtype=np.int64)])
+    shouted = np.bincount(of[(end - start >= 4) & (capitals[end] - capitals[start] == end - start)], minlength=n)
+    one, two, three = following(1), following(2), following(3)
+    mark = lambda x: (x == 33) | (x == 63)
+    letter, sign = _LETTER[data], _SIGN[one]
+    return np.column_stack([
+        (second >= 2) & (50 * second >= n_words), (shouted >= 3) & (10 * shouted >= 3 * n_words),
+        per_row(mark(data) & mark(one)) >= 2, per_row(letter & (data == one) & (data == two) & (data == three)) > 0,
+        per_row(letter & sign & (_LETTER[two] | _SIGN[two] & _LETTER[three])) > 0])
 
 
 def mine_terms(sample: DataFrame, *, least: int = 6, ratio: float = 40.0, max_terms: int = MAX_TERMS) -> Lexicon:
@@ -190,15 +236,16 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def fit_label_model(votes: np.ndarray, counts: np.ndarray, rounds: int = 60) -> LabelModel:
-    """Expectation maximisation over the counted vote patterns."""
+def fit_label_model(votes: np.ndarray, counts: np.ndarray, known: np.ndarray | None = None, rounds: int = 60) -> LabelModel:
+    """Expectation maximisation over the counted vote patterns; ``known`` has
+    the counts of labelled rows by class and pattern, which stay in their class."""
     m = votes.shape[1]
     v, c = votes.astype(float), counts.astype(float)
     fires = np.array([np.full(m, 0.01), np.full(m, 0.5)])
     model = LabelModel(0.1, fires, np.full(m, 2.0 / m))
     for _ in range(rounds if c.sum() else 0):
         p = model.posterior(votes)
-        mass = [(c * (1 - p)), (c * p)]
+        mass = [(c * (1 - p)), (c * p)] if known is None else [c * (1 - p) + known[0], c * p + known[1]]
         total = [max(x.sum(), 1e-9) for x in mass]
         # add-one smoothing towards "fires for toxic, rarely for clean"
         fires = np.array([(mass[0] @ v + 0.01) / (total[0] + 1), (mass[1] @ v + 0.5) / (total[1] + 1)])
@@ -247,7 +294,7 @@ class ToxicityModel:
 def train_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", train_limit: int = TRAIN_LIMIT) -> ToxicityModel:
     sample = training_texts(docs, labels, label, train_limit)
     mined = mine_terms(sample)
-    lexicon = Lexicon(mined.terms + GENERAL_TERMS)
+    lexicon = Lexicon(mined.terms + LISTED_TERMS)
     tables, n_mined = lexicon.tables(), len(mined.terms)
     bits = 1 << np.arange(len(VOTERS))
 
@@ -270,13 +317,18 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
     seen = (docs.select("text").mapInArrow(patterns, "pattern long, n long")
             .groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect())
     voted = lambda p: ((np.asarray(p, np.int64).reshape(-1, 1) >> np.arange(len(VOTERS))) & 1).astype(bool)
-    model = fit_label_model(voted([r["pattern"] for r in seen]), np.array([r["n"] for r in seen], float))
-
     rows = sample.mapInArrow(features, "label int, pattern long, x array<double>").toPandas()
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), len(FEATURES))
     y = rows["label"].to_numpy(float)
     order = np.lexsort([*x.T, y])
-    x, y, posterior = x[order], y[order], model.posterior(voted(rows["pattern"].to_numpy()[order]))
+    x, y, pattern = x[order], y[order], rows["pattern"].to_numpy(np.int64)[order]
+
+    counts = {r["pattern"]: r["n"] for r in seen}
+    every = np.array(sorted({*counts, *pattern.tolist()}), np.int64)
+    known = np.zeros((2, len(every)))
+    np.add.at(known, (y.astype(int), np.searchsorted(every, pattern)), 1)
+    model = fit_label_model(voted(every), np.array([counts.get(int(k), 0) for k in every], float), known)
+    posterior = model.posterior(voted(pattern))
     weights = fit_logistic(x, posterior)
     slope, shift = 1.0, 0.0
     if 0 < y.sum() < len(y):
