@@ -11,9 +11,7 @@ import datetime
 import math
 from typing import NamedTuple
 
-from ..functions import mask as gen
 from ..functions import vocab
-from ..operators import mask as mk
 from . import queries as qs
 from .fixtures import CONTACT_SQL, LINEITEM_TABLE
 
@@ -502,10 +500,21 @@ def generator_sql(type_name: str, h: str, meta_col: str | None = None) -> str:
     raise ValueError(type_name)
 
 
+# What the masking must go by, written out here as well.
+META_KEYS = {"firstname": "gender_column_name", "lastname": "gender_column_name", "contact_details": "contact_type_column_name"}
+EMAIL_SHAPE, PHONE_SHAPE = r"^[^@]+@[^@]+\.[^@]+", r"^[\s0-9]+"
+LOOKUP_SEP = "#~"
+# column -> per provider: shape, function, arguments as text, gender; then the lookup columns and their joined names
+KEYED = {
+    "contact_value": ((("Email", "email", "{}", None), ("Phone", "phone_number", "{}", None), ("All", "firstname", "{}", None)), ("cust_id",), "cust_id"),
+    "full_name": ((("All", "firstname", '{"gender":"female"}', "F"),), ("gender",), "gender"),
+}
+
+
 def _type_expr(column: str, cfg: dict) -> str:
     type_name = cfg["type"]
     meta = cfg.get("meta") or {}
-    meta_col = meta.get(mk.TYPES[type_name]) if mk.TYPES[type_name] else None
+    meta_col = meta.get(META_KEYS.get(type_name))
     h = key_hash(qs.MASK_SALT, type_name, column, column, literal=(True, True, False))
     return generator_sql(type_name, f"h_{column}", meta_col), f"{h} AS h_{column}"
 
@@ -527,44 +536,25 @@ def mask_config_sql() -> str:
     return f"SELECT {sel} FROM (SELECT *, {', '.join(hashes)} FROM ({CUST_SQL}))"
 
 
-def _keyed_expr(column: str, spec: dict) -> tuple[str, list[str]]:
-    providers = spec.get("DataProvider") or []
-    if not providers:
-        return column, []
-    lookups = spec.get("IdLookup") or []
-    lvals = f"concat_ws({q(mk.LOOKUP_VALUE_SEP)}, {', '.join(f"coalesce({c}, '')" for c in lookups)})" \
-        if lookups else "''"
-    hashes, outs = [], []
-    for i, p in enumerate(providers):
-        fn = gen.resolve(p["Function"])
-        kw = p.get("MockKwargs") or {}
-        hname = f"h_{column}_{i}"
-        hashes.append(f"md5(concat_ws(chr(31), {q(qs.MASK_SALT)}, {q(p['Function'])}, {q(gen.kwargs_text(kw))}, "
-                      f"{q(column)}, coalesce({column}, ''), {q(mk.LOOKUP_NAME_SEP.join(lookups))}, {lvals})) AS {hname}")
-        if fn == "firstname":
-            g = gen.gender_code(kw.get("gender"))
-            outs.append(g_first(hname, fixed=g) if g else g_first(hname))
-        else:
-            outs.append(generator_sql(fn, hname))
-    conds = []
-    for i, p in enumerate(providers):
-        if p["ValueType"] == "Email":
-            conds.append(f"WHEN regexp_matches({column}, {q('^(?:' + mk.EMAIL_CHECK + ')')}) THEN {outs[i]}")
-        elif p["ValueType"] == "Phone":
-            conds.append(f"WHEN regexp_matches({column}, {q(mk.phone_check_regex())}) THEN {outs[i]}")
-        elif p["ValueType"] == "All":
-            conds.append(f"WHEN true THEN {outs[i]}")
-    expr = (f"CASE WHEN {column} IS NULL OR {column} = '' THEN {column} ELSE "
-            f"(CASE {' '.join(conds)} ELSE {outs[-1]} END) END")
-    return expr, hashes
+def _keyed_expr(column: str) -> tuple[str, list[str]]:
+    providers, lookups, names = KEYED[column]
+    values = f"concat_ws({q(LOOKUP_SEP)}, {', '.join(f"coalesce({c}, '')" for c in lookups)})"
+    hashes, cases = [], []
+    for i, (shape, function, arguments, gender) in enumerate(providers):
+        h = f"h_{column}_{i}"
+        hashes.append(f"md5(concat_ws(chr(31), {q(qs.MASK_SALT)}, {q(function)}, {q(arguments)}, {q(column)}, coalesce({column}, ''), "
+                      f"{q(names)}, {values})) AS {h}")
+        out = g_first(h, fixed=gender) if function == "firstname" else generator_sql(function, h)
+        test = {"Email": f"regexp_matches({column}, {q(EMAIL_SHAPE)})", "Phone": f"regexp_matches({column}, {q(PHONE_SHAPE)})", "All": "true"}[shape]
+        cases.append(f"WHEN {test} THEN {out}")
+    return f"CASE WHEN {column} IS NULL OR {column} = '' THEN {column} ELSE (CASE {' '.join(cases)} END) END", hashes
 
 
 def mask_keyed_sql(source: str | None = None) -> str:
-    spec = qs.MASK_SPEC["MockColumns"]
     source = source or CUST_SQL
     exprs, hashes = {}, []
-    for column, s in spec.items():
-        e, h = _keyed_expr(column, s)
+    for column in KEYED:
+        e, h = _keyed_expr(column)
         exprs[column] = e
         hashes += h
     sel = ", ".join(f"{exprs.get(c, c)} AS {c}" for c in CONTACT_COLUMNS)

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,10 +23,28 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     All folders of an application lie under one, named by its id, which the
     driver's file system client deletes when the application ends.
     """
+    if scopes := _scopes.get():
+        return "/".join([scopes[-1], *parts, uuid.uuid4().hex])
     root = spark.conf.get(CHECKPOINT_KEY, None) or ensure_checkpoint_dir(spark)
     return "/".join([_application_dir(spark, root.rstrip("/")), *parts, uuid.uuid4().hex])
 
 
+_scopes: ContextVar[tuple[str, ...]] = ContextVar("tessera_scopes", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Within it, shared folders are made below one, which is removed at the
+    end, after a failure too. Results have to be written elsewhere by then."""
+    path = shared_dir(spark, "scratch")
+    token = _scopes.set((*_scopes.get(), path))
+    try:
+        yield path
+    finally:
+        _scopes.reset(token)
+        remove_dir(spark, path)
+
+
 _to_delete: set[str] = set()
 
 
