@@ -73,3 +73,33 @@ def test_label_model_finds_the_good_voters():
     model = toxicity.fit_label_model(patterns, counts)
     assert ((model.posterior(votes) > 0.5) == y).mean() > 0.95
     assert model.weight[4] < 0.8 < model.weight[0]
+
+
+def test_flattened_traversal_matches_a_plain_walk():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(800, 6))
+    y = (x[:, 0] * x[:, 1] + x[:, 2] > 0).astype(float)
+    model = quality.fit_forest(x, y, trees=25, depth=4)
+
+    def leaf(node, row):
+        while model.left[node] != node:
+            node = model.left[node] if row[model.feature[node]] <= model.threshold[node] else model.right[node]
+        return model.value[node]
+
+    rows = np.concatenate([x[:150], rng.normal(size=(50, 6)) * 5, np.zeros((1, 6))])
+    want = [model.base + sum(leaf(int(r), row) for r in model.roots) for row in rows]
+    assert np.allclose(model.margins(rows), want)
+    assert len({int(model.left[r] != r) for r in model.roots}) >= 1 and model.depth == 4
+
+
+def test_pattern_voters_know_no_term():
+    import pyarrow as pa
+    cases = {"second_person": "You should keep your word to me", "capitals": "THIS WILL NEVER STAND here", "exclaims": "what!! no?! yes",
+             "stretched": "that is sooooo bad", "signs_for_letters": "what a f**l he is"}
+    names = list(toxicity.PATTERNS)
+    fired = toxicity.pattern_votes(pa.array([*cases.values(), "A plain line of prose. It says nothing!", "", None, "a*b c$ 100% #tag"]))
+    for k, name in enumerate(cases):
+        assert fired[k, names.index(name)], name
+    assert not fired[len(cases)].any() and not fired[len(cases) + 1:len(cases) + 3].any()
+    # no pattern crosses from one text into the next
+    assert not toxicity.pattern_votes(pa.array(["ooo", "ooo", "!", "!", "x*", "y"])).any()

@@ -97,3 +97,48 @@ def test_one_word_item_gives_its_exact_rows(spark):
     prose = [(4, 0, 11), (5, 0, 1)]  # begins with "One"
     assert got == sorted((i, *hit) for i, hits in ((1, prose), (2, prose), (2, prose), (0, prose), (10, prose[1:]), (11, prose[1:]),
                                                    (12, prose[1:])) for hit in hits)
+
+
+def places(a, b):
+    """Smallest distance of ``a`` to any run of ``b``, and the smallest start of such a run."""
+    best = None
+    for s in range(len(b) + 1):
+        row = list(range(len(a) + 1))  # distances of the beginnings of a to the run so far
+        least = row[-1]
+        for w in b[s:]:
+            new = [row[0] + 1]
+            for i, x in enumerate(a, 1):
+                new.append(min(row[i - 1] + (x != w), row[i] + 1, new[i - 1] + 1))
+            row = new
+            least = min(least, row[-1])
+        if best is None or least < best[0]:
+            best = (least, s)
+    return best
+
+
+def test_all_columns_match_brute_force(spark):
+    rng = random.Random(21)
+    text = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    items = [(n * 10 + k, text(n)) for n in (1, 3, 5, 8, 14, 23, 24, 31) for k in range(2)]
+    items.append((999, items[5][1]))  # a repeated item
+    rows = []
+    for i in range(70):
+        words = text(rng.randrange(0, 25))
+        for _ in range(rng.randrange(0, 3)):
+            edited = list(rng.choice(items)[1])
+            for _ in range(rng.randrange(0, 1 + int(0.2 * len(edited)))):
+                p = rng.randrange(len(edited))
+                edited[p:p + 1] = rng.choice([[], ["zzz"], [edited[p], "yyy"]])
+            words += edited + text(rng.randrange(0, 20))
+        rows.append((i, words))
+    rows += [(3, rows[3][1]), (3, text(4) + items[0][1])]  # a repeated row, another with its id
+    want = []
+    for i, words in rows:
+        for k, item in items:
+            d, start = places(item, words)
+            if d <= int(0.2 * len(item)):
+                want.append((i, k, d, len(item), start))
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").repartition(6)
+    b = spark.createDataFrame([(k, " ".join(w)) for k, w in items], ITEM_SCHEMA)
+    got = sorted(tuple(r) for r in D.leaks(d, b).collect())
+    assert got == sorted(want) and len(got) > 50
