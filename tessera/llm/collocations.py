@@ -51,9 +51,12 @@ TRIGGER = 32
 FILTER_BITS = 28
 PAGE_BITS = 18
 #: Keys that a task gathers before it sends their counts.
-GATHERED = 4_000_000
-SLICE_BYTES = 6_000_000
+GATHERED = 3_000_000
+#: Different phrases that a task gathers before it sends their counts.
+HELD_ROWS = 500_000
+SLICE_BYTES = 4_000_000
 SALTS = 16
+TOP_GROUPS = 64
 
 _U = np.uint64
 SPACE, BREAK = 32, 10
@@ -243,29 +246,43 @@ def _texts_task(bitmap: np.ndarray):
     def passes(place: np.ndarray) -> np.ndarray:
         return (bitmap[place >> np.uint32(3)] >> (np.uint32(7) - (place & np.uint32(7))).astype(np.uint8)) & 1 == 1
 
+    def phrases(part: pa.RecordBatch) -> Iterator[pa.Table]:
+        p = Phrases(part)
+        # a pair that this chunk doesn't own may end a triple that it does
+        every = np.flatnonzero(p.joined)
+        common = np.zeros(len(p.start) + 1, bool)
+        common[every] = passes(p.places(2, every))
+        one, two, three = (p.first[k] for k in (1, 2, 3))
+        for size, at in ((1, one[passes(p.places(1, one))]), (2, two[common[two]]), (3, three[common[three] & common[three + 1]])):
+            yield pa.table({"lang": p.langs.take(pa.array(p.lang_of_row[p.row[at]])).dictionary_encode(), "size": np.full(len(at), size, np.int32),
+                            "phrase": strings(p.data, p.start[at], p.end[at + size - 1]), "f": p.weights(at)})
+
+    def summed(tables: list[pa.Table]) -> pa.Table:
+        return (pa.concat_tables(tables).unify_dictionaries().group_by(["lang", "size", "phrase"]).aggregate([("f", "sum")])
+                .rename_columns(["lang", "size", "phrase", "f"]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        rows = 0
         for batch in batches:
             for part in slices(batch, "chunk", SLICE_BYTES):
-                p = Phrases(part)
-                one, two = p.first[1], p.first[2]
-                # a pair that this chunk doesn't own may end a triple that it does
-                every = np.flatnonzero(p.joined)
-                common = np.zeros(len(p.start) + 1, bool)
-                common[every] = passes(p.places(2, every))
-                three = p.first[3]
-                kept = {1: one[passes(p.places(1, one))], 2: two[common[two]], 3: three[common[three] & common[three + 1]]}
-                for size, at in kept.items():
-                    if not len(at):
-                        continue
-                    table = pa.table({"lang": pa.array(p.lang_of_row[p.row[at]]), "phrase": strings(p.data, p.start[at], p.end[at + size - 1]),
-                                      "n": pa.array(p.weights(at))})
-                    summed = table.group_by(["lang", "phrase"]).aggregate([("n", "sum")]).combine_chunks()
-                    for b in summed.to_batches():
-                        yield pa.RecordBatch.from_arrays([p.langs.take(b.column("lang")), pa.array(np.full(b.num_rows, size, np.int32)),
-                                                          b.column("phrase"), b.column("n_sum")], ["lang", "size", "phrase", "f"])
+                held.append(summed(list(phrases(part))))
+                rows += held[-1].num_rows
+                if rows > HELD_ROWS:  # what recurs in later slices is summed before it is sent
+                    total = summed(held)
+                    held, rows = [total], total.num_rows
+                    if rows > HELD_ROWS // 2:
+                        yield from _plain(total)
+                        held, rows = [], 0
+        if held:
+            yield from _plain(summed(held))
     return run
 
 
+def _plain(table: pa.Table) -> list[pa.RecordBatch]:
+    return table.set_column(0, "lang", table.column("lang").cast(pa.string())).combine_chunks().to_batches()
+
+
 def phrase_counts(dictionary: DataFrame, least: int = LEAST) -> DataFrame:
     """``lang, size, phrase, f`` of the phrases of up to three words that occur
     ``least`` times or more."""
@@ -316,7 +333,16 @@ def collocations(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     three = cut.select("lang", "phrase", "a", F.when(first, F.col("l1")).otherwise(F.col("l2")).alias("l"),
                        F.when(first, F.col("r1")).otherwise(F.col("r2")).alias("r"), F.least("s1", "s2").alias("score"))
 
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    # row_number with a bound: every task sends on its own first rows of a language only
-    ranked = two.select(*three.columns).unionByName(three).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    ranked = _first(two.select(*three.columns).unionByName(three), top)
     return ranked.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+
+
+def _first(phrases: DataFrame, top: int) -> DataFrame:
+    """The first ``top`` phrases of each language, with their ``rank``: first of
+    ``TOP_GROUPS`` groups of its phrases, then of those that are left. So a
+    language's last task reads ``TOP_GROUPS * top`` rows at most."""
+    order = (F.desc("score"), F.desc("a"), "phrase")
+    in_group = F.row_number().over(Window.partitionBy("lang", "group").orderBy(*order))
+    grouped = phrases.withColumn("group", F.pmod(F.xxhash64("phrase"), F.lit(TOP_GROUPS)))
+    some = grouped.withColumn("rank", in_group).where(F.col("rank") <= top).drop("rank", "group")
+    return some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
