@@ -23,6 +23,8 @@ SUMMARY_COLUMNS = ("table_name", "file_name", "order_date", "job_run_date",
 
 # Fixed value: the marker count is the digits after the first colon of a line.
 MARKER_COUNT_REGEX = r":\s*(\d+)"
+#: The file a marker line speaks of: all before its first colon.
+MARKER_NAME_REGEX = r"^([^:]*)"
 
 FILES_PER_BLOCK = 10_000
 
@@ -92,6 +94,29 @@ def _lines_before(files: DataFrame) -> DataFrame:
             .select("file_path", (F.col("_start") + F.col("_own")).alias("_lines_before")))
 
 
+def marker_by_name(marker: DataFrame) -> DataFrame:
+    """J3 by name: the files that marker lines (``line_number, line_content,
+    count``) speak of: ``file_name`` (what stands before the colon, without
+    blanks and folders), ``n_lines``, ``first_line``, ``source_count`` (null
+    unless the file has just one line)."""
+    name = base_name(F.trim(F.regexp_extract("line_content", MARKER_NAME_REGEX, 1)))
+    return (marker.select(name.alias("file_name"), "line_number", "count").groupBy("file_name")
+            .agg(F.count(F.lit(1)).alias("n_lines"), F.min("line_number").alias("first_line"), F.max("count").alias("only"))
+            .select("file_name", "n_lines", "first_line", F.when(F.col("n_lines") == 1, F.col("only")).alias("source_count")))
+
+
+def marker_problems(inventory: DataFrame, marker: DataFrame) -> DataFrame:
+    """What keeps files and marker lines from being matched by name:
+    ``file_name, problem, n_files, n_lines``, one row per name with a problem."""
+    files = inventory.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_files"))
+    both = files.join(marker_by_name(marker), "file_name", "full").select(
+        "file_name", F.coalesce("n_files", F.lit(0)).alias("n_files"), F.coalesce("n_lines", F.lit(0)).alias("n_lines"), "source_count")
+    problem = (F.when(F.col("n_files") == 0, F.lit("no such file")).when(F.col("n_lines") == 0, F.lit("no marker line"))
+               .when(F.col("n_lines") > 1, F.lit("several marker lines")).when(F.col("n_files") > 1, F.lit("several files"))
+               .when(F.col("source_count").isNull(), F.lit("no count")))
+    return both.select("file_name", problem.alias("problem"), "n_files", "n_lines").where("problem is not null")
+
+
 def iso_order_date(order_date: str) -> str:
     """P10: ``YYYYMMDD`` -> ``YYYY-MM-DD`` (validated)."""
     return datetime.datetime.strptime(order_date, "%Y%m%d").strftime("%Y-%m-%d")
@@ -112,7 +137,7 @@ def file_summary(inventory: DataFrame, per_file: DataFrame, dq_per_file: DataFra
                  table_name: str, order_date: str, job_run_date: str,
                  marker: DataFrame | None = None,
                  per_file_rejects: bool = False,
-                 join_on: str = "path") -> DataFrame:
+                 join_on: str = "path", match: str = "order") -> DataFrame:
     """One row per listed file, sorted by file name.
 
     * J1: loaded counts left-join failing-row counts (missing -> 0); pass
@@ -123,6 +148,9 @@ def file_summary(inventory: DataFrame, per_file: DataFrame, dq_per_file: DataFra
     * With ``marker`` (``line_number, count``): J3 matches the n-th file by name
       with the n-th marker line; R2 returns no rows when the number of marker
       lines differs from the number of files (see ``marker_mismatch``).
+    * ``match='name'`` matches marker lines by the file name they begin with
+      instead, in whatever order they stand. A file without a line of its own
+      has null counts; ``marker_problems`` reports it, and lines without a file.
     * Without a marker (R3) the source count is null and the rejection count is
       the run's total width rejects on every row (``per_file_rejects=True``
       gives each file its own).
@@ -133,6 +161,8 @@ def file_summary(inventory: DataFrame, per_file: DataFrame, dq_per_file: DataFra
     key = "file_path" if join_on == "path" else "file_name"
     if join_on not in ("path", "name"):
         raise ValueError("join_on must be 'path' or 'name'")
+    if match not in ("order", "name"):
+        raise ValueError("match must be 'order' or 'name'")
 
     def keyed(df: DataFrame) -> DataFrame:
         return df if key == "file_path" else df.withColumn("file_name", base_name(F.col("file_path"))).drop("file_path")
@@ -150,7 +180,12 @@ def file_summary(inventory: DataFrame, per_file: DataFrame, dq_per_file: DataFra
     everything = Window.partitionBy()
     base = base.withColumn("n_files", F.count(F.lit(1)).over(everything))
 
-    if marker is not None:
+    if marker is not None and match == "name":
+        rows = (base.withColumn("n_same", F.count(F.lit(1)).over(Window.partitionBy("file_name")))
+                .join(marker_by_name(marker), "file_name", "left"))
+        source = F.when(F.col("n_same") == 1, F.col("source_count"))
+        rejects = source - F.col("loaded")
+    elif marker is not None:
         ordered = base.withColumn(                                                     # W2
             "ordinal", F.row_number().over(Window.orderBy("file_name", "file_path")))
         m = marker.select(F.col("line_number"), F.col("count").alias("source_count"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ingest import ParseOptions, Parsed, parse_lines
 from ..operators.layout import Layout, load_layout, pick_layout_as_of
-from ..operators.recon import SUMMARY_COLUMNS, file_summary, job_timestamp, marker_mismatch
+from ..operators.recon import SUMMARY_COLUMNS, file_summary, job_timestamp, marker_mismatch, marker_problems
 from ..session import remove_dir, shared_dir
 from ..sinks import publish, runs
 from ..sources.text import list_files, read_dir_lines, read_marker
@@ -50,6 +50,7 @@ class FixedWidthJob:
     per_file_rejects: bool = False
     distinct_by: str = "key"
     on_marker_mismatch: str = "empty"   # empty | raise
+    marker_match: str = "order"   # order: n-th line, n-th file by name | name: the name a line begins with
     job_run_date: str | None = None
     scan_all_files: bool = False   # True: scan the whole folder like the reference
     line_sep: str | None = None
@@ -144,10 +145,13 @@ def _publish(spark: SparkSession, job: FixedWidthJob, result: JobResult, parsed:
         totals = per_file.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("raw_count", "loaded_count", "dq_error_count")]).first()
         marker = read_marker(spark, job.marker_path) if job.marker_path else None
         if marker is not None:
-            n_files, n_lines = marker_mismatch(inventory, marker)                            # R2
-            result.marker_ok = n_files == n_lines
+            if job.marker_match == "name":
+                n_wrong = marker_problems(inventory, marker).count()
+                result.marker_ok, msg = n_wrong == 0, f"{n_wrong} names have no single file and marker line"
+            else:
+                n_files, n_lines = marker_mismatch(inventory, marker)                        # R2
+                result.marker_ok, msg = n_files == n_lines, f"{n_files} files but {n_lines} marker lines: the files cannot be reconciled"
             if not result.marker_ok:
-                msg = f"{n_files} files but {n_lines} marker lines: the files cannot be reconciled"
                 if job.on_marker_mismatch == "raise":
                     raise ValueError(msg)
                 log.error(msg)
@@ -168,7 +172,7 @@ def _publish(spark: SparkSession, job: FixedWidthJob, result: JobResult, parsed:
         stats = per_file.select("file_path", "raw_count", "loaded_count", F.col(by).alias("dq_count"))
         summary = file_summary(inventory, stats, None, table_name=job.table_name, order_date=job.run_date,
                                job_run_date=job.job_run_date or job_timestamp(), marker=marker,
-                               per_file_rejects=job.per_file_rejects).select(*SUMMARY_COLUMNS)
+                               per_file_rejects=job.per_file_rejects, match=job.marker_match).select(*SUMMARY_COLUMNS)
         publish.write_parquet(summary.coalesce(1), paths["summary_parquet"])
         publish.write_csv_detail(spark.read.parquet(paths["summary_parquet"]).orderBy("file_name").coalesce(1),
                                  paths["summary_detail"])                                      # K6

@@ -691,6 +691,23 @@ SELECT nation, row_number() OVER (PARTITION BY nation ORDER BY c_custkey) AS lin
 """
 
 
+def fw_summary_by_name_sql() -> str:
+    name = base_name("pf.file_path")
+    source = (f"CASE WHEN {name} LIKE '%NZ_R_20240101.TXT' OR {name} LIKE '%NZ_A_20240101.TXT' THEN NULL ELSE raw_count END")
+    return (f"WITH {per_file_cte()}\nSELECT {q(LINEITEM_TABLE)} AS table_name, {name} AS file_name, '2024-01-01' AS order_date, "
+            f"{q(qs.JOB_RUN_DATE)} AS job_run_date, {source} AS source_file_record_count, {source} - loaded_count AS record_length_rejection_count, "
+            f"loaded_count AS total_records_loaded_count, loaded_count - coalesce(dq_count, 0) AS clean_record_count, "
+            f"coalesce(dq_count, 0) AS data_quality_issue_count, count(*) OVER () AS number_of_source_files FROM pf LEFT JOIN dq USING (file_path)")
+
+
+def fw_marker_problems_sql() -> str:
+    name = base_name("file_path")
+    return (f"WITH f AS (SELECT DISTINCT {name} AS file_name FROM ({RAW_SQL})) "
+            "SELECT file_name, 'no marker line' AS problem, 1 AS n_files, 0 AS n_lines FROM f WHERE file_name LIKE '%NZ_R_20240101.TXT' "
+            "UNION ALL SELECT file_name, 'several marker lines', 1, 2 FROM f WHERE file_name LIKE '%NZ_A_20240101.TXT' "
+            "UNION ALL SELECT 'LI.LOST.TXT', 'no such file', 0, 1 FROM f WHERE file_name LIKE '%NZ_R_20240101.TXT'")
+
+
 def fw_clean_feed_sql() -> str:
     return (f"SELECT count(*) AS loaded_count, 0 AS exception_count, 0 AS reject_count, 0 AS exception_rows, false AS has_dq_detail, "
             f"false AS has_dq_header, false AS has_rejects FROM ({CLEAN_RAW})")
@@ -761,6 +778,8 @@ def registry() -> dict[str, str]:
         "fw_exception_names": fw_exception_names_sql(),
         "fw_join_counts": fw_join_counts_sql(),
         "fw_marker_numbers": MARKER_NUMBERS_SQL,
+        "fw_summary_by_name": fw_summary_by_name_sql(),
+        "fw_marker_problems": fw_marker_problems_sql(),
         "fw_clean_feed": fw_clean_feed_sql(),
         "fw_second_run": fw_second_run_sql(),
         "fw_job_exceptions": fw_exceptions_sql(),

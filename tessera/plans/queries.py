@@ -17,7 +17,7 @@ from ..functions.text import base_name, py_strip
 from ..operators.ingest import ParseOptions, Parsed, parse_lines
 from ..operators.layout import layout_slices, load_layout, pick_layout_as_of, read_layout_frame
 from ..operators.mask import apply_mask_config, config_problems, keyed_mask
-from ..operators.recon import file_summary, marker_counts, run_counts
+from ..operators.recon import file_summary, marker_counts, marker_problems, run_counts
 from ..session import ensure_checkpoint_dir, shared_dir
 from .fixed_width_job import FixedWidthJob, current_paths, run_fixed_width_job
 from ..sinks.publish import redated_name, write_delimited
@@ -239,6 +239,30 @@ def fw_summary_marker(spark, sf_dir):
                         order_date=ORDER_DATE, job_run_date=JOB_RUN_DATE, marker=marker)
 
 
+def _shuffled_marker(stats: DataFrame) -> DataFrame:
+    """Control counts in another order than the files', with folders before the
+    names; a file without a line, a line without a file, and a file with two."""
+    name = base_name(F.col("file_path"))
+    line = F.concat(F.lit("landing/"), name, F.lit(" : "), F.col("raw_count").cast("string"))
+    lines = (stats.where(~F.endswith(name, F.lit("NZ_R_20240101.TXT"))).select(line.alias("value"))
+             .unionByName(stats.where(F.endswith(name, F.lit("NZ_A_20240101.TXT"))).select(F.concat(name, F.lit(": 1")).alias("value")))
+             .unionByName(stats.where(F.endswith(name, F.lit("NZ_R_20240101.TXT"))).select(F.lit("LI.LOST.TXT: 7").alias("value"))))
+    return marker_counts(lines, order=F.md5("value"))
+
+
+def fw_summary_by_name(spark, sf_dir):
+    """J3 by name: a shuffled marker with lines that match no file, and none or two for some."""
+    stats = per_file_stats(spark, sf_dir)
+    return file_summary(_stats_inventory(stats), stats, None, table_name=LINEITEM_TABLE, order_date=ORDER_DATE, job_run_date=JOB_RUN_DATE,
+                        marker=_shuffled_marker(stats), match="name")
+
+
+def fw_marker_problems(spark, sf_dir):
+    """J3 by name: what of that marker can't be matched."""
+    stats = per_file_stats(spark, sf_dir)
+    return marker_problems(_stats_inventory(stats), _shuffled_marker(stats))
+
+
 def fw_summary_no_marker(spark, sf_dir):
     stats = per_file_stats(spark, sf_dir)
     return file_summary(_stats_inventory(stats), stats, None, table_name=LINEITEM_TABLE,
@@ -593,7 +617,7 @@ def registry() -> dict:
         q[f"mask_{type_name}"] = _mask_type_query(type_name)
     for name in MASK_FUNCTIONS:
         q[name] = _mask_function_query(name)
-    for f in (fw_wide_rows, fw_wide_exceptions, fw_no_path_columns, fw_exception_names, fw_join_counts, fw_marker_numbers, fw_clean_feed,
+    for f in (fw_wide_rows, fw_wide_exceptions, fw_no_path_columns, fw_exception_names, fw_join_counts, fw_marker_numbers, fw_summary_by_name, fw_marker_problems, fw_clean_feed,
               fw_second_run, mask_config_problems, fw_job_exceptions, fw_job_exceptions_csv, fw_job_rejects, fw_job_summary, fw_marker_mismatch, fw_job_headers,
               fw_job_manifest, fw_target_names, mask_config_from_file, mask_csv_mixed_headers):
         q[f.__name__] = f

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators.layout import load_layout, pick_layout_as_of, read_layout_frame
-from tessera.operators.recon import SUMMARY_COLUMNS, file_summary, marker_counts, run_counts
+from tessera.operators.recon import SUMMARY_COLUMNS, file_summary, marker_counts, marker_problems, run_counts
 from tessera.sources.text import list_files, read_dir_lines, read_lines, read_marker
 
 
@@ -150,3 +150,18 @@ def test_separate_failing_row_counts_are_joined(spark):
     rows = file_summary(inventory, per_file, dq, table_name="T", order_date="20240101", job_run_date="x").collect()
     assert [(r.file_name, r.total_records_loaded_count, r.clean_record_count, r.data_quality_issue_count) for r in rows] == [
         ("A", 5, 5, 0), ("B", 3, 1, 2), ("C", 0, 0, 0)]
+
+
+def test_marker_by_name_takes_any_order_and_reports_the_rest(spark):
+    inv = spark.createDataFrame([("/a/x", "x"), ("/a/y", "y"), ("/a/z", "z"), ("/b/z", "z"), ("/a/w", "w"), ("/a/v", "v")], "file_path string, file_name string")
+    stats = spark.createDataFrame([(f"/a/{n}", 10, 8, 1) for n in "xyzwv"], "file_path string, raw_count long, loaded_count long, dq_count long")
+    lines = ["v : 10", "gone: 4", "/in/y:11", "x: none", "z: 10", "w: 1", "w: 2", " : 5"]
+    marker = marker_counts(spark.createDataFrame([(x, k) for k, x in enumerate(lines)], "value string, o int"), order=F.col("o"))
+    rows = file_summary(inv, stats, None, table_name="T", order_date="20240101", job_run_date="t", marker=marker, match="name").collect()
+    got = sorted((r.file_name, r.source_file_record_count, r.record_length_rejection_count) for r in rows if r.source_file_record_count is not None)
+    assert got == [("v", 10, 2), ("y", 11, 3)] and len(rows) == 6
+    problems = {r.file_name: (r.problem, r.n_files, r.n_lines) for r in marker_problems(inv, marker).collect()}
+    assert problems == {"": ("no such file", 0, 1), "gone": ("no such file", 0, 1), "x": ("no count", 1, 1), "z": ("several files", 2, 1),
+                        "w": ("several marker lines", 1, 2)}
+    with pytest.raises(ValueError):
+        file_summary(inv, stats, None, table_name="T", order_date="20240101", job_run_date="t", marker=marker, match="line")
