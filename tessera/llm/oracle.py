@@ -52,7 +52,7 @@ counts AS (SELECT rn, doc_id, lang, source, len(ws)::BIGINT AS n_words, length(r
                   coalesce(covered.n, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0)::BIGINT AS n_lines
            FROM d JOIN ws USING (rn) LEFT JOIN covered USING (rn) LEFT JOIN repeated USING (rn)),
 stats AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
-measures(measure, room, both_sides) AS (VALUES (0, 10000, true), (1, 1000, false), (2, 3000, false), (3, 2000, false)),
+measures(measure, room, both_sides) AS (VALUES (0, 10000, true), (1, 1000, false), (2, 3000, false), (3, 3000, false)),
 ratios AS (SELECT rn, lang, source, measure, room, both_sides, base_failed,
                   CASE measure WHEN 0 THEN 10000 * word_chars // greatest(n_words, 1) WHEN 1 THEN 10000 * n_symbols // greatest(n_words, 1)
                                WHEN 2 THEN 10000 * n_dup_lines // greatest(n_lines, 1) ELSE 10000 * n_repeat_words // greatest(n_words, 1) END AS r

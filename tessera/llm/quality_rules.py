@@ -68,7 +68,7 @@ MEASURES = (
     Measure("word_length", "word_chars", "n_words", 10_000, True),
     Measure("symbols", "n_symbols", "n_words", 1_000),
     Measure("dup_lines", "n_dup_lines", "n_lines", 3_000),
-    Measure("repeats", "n_repeat_words", "n_words", 2_000),
+    Measure("repeats", "n_repeat_words", "n_words", 3_000),
 )
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 RESULTS = (*COUNTS, "base_failed", "kept")

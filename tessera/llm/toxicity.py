@@ -141,16 +141,16 @@ def pattern_votes(column: pa.Array) -> np.ndarray:
     """``(rows, PATTERNS)``: which pattern voters fire. None knows a term."""
     data, offsets = utf8(column.cast(pa.string()))
     n = len(offsets) - 1
-    row = np.repeat(np.arange(n), np.diff(offsets))
 
     def per_row(flags: np.ndarray) -> np.ndarray:
-        return np.bincount(row[np.flatnonzero(flags)], minlength=n)
+        return np.bincount(np.searchsorted(offsets, np.flatnonzero(flags), side="right") - 1, minlength=n)
 
     def following(k: int) -> np.ndarray:
         """The k-th byte after each, 0 beyond its text."""
         out = np.zeros(len(data), np.uint8)
-        if len(data) > k:
-            out[:-k] = np.where(row[k:] == row[:-k], data[k:], 0)
+        out[:max(len(data) - k, 0)] = data[k:]
+        for j in range(1, k + 1):
+            out[np.maximum(offsets[1:] - j, 0)[offsets[1:] >= j]] = 0
         return out
 
     start, end, of = words(data, offsets, SEPARATOR)
