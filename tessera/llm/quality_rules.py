@@ -214,10 +214,11 @@ def thresholds(stats: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 def filter_quality(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
                    min_docs: int = MIN_DOCS, broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
     """``docs`` without its text, with ``COUNTS``, ``base_failed`` and ``kept``."""
-    keep = [c for c in docs.columns if c != text_col and c not in RESULTS]
-    read = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{lang_col}`").alias("lang_"), F.col(f"`{source_col}`").alias("source_"),
-                       F.col(f"`{text_col}`").alias("text__"))
-    stats = saved(text_statistics(read, text_col="text__", keep=(*keep, "lang_", "source_")), "quality_rules", "statistics")
+    # the columns that stay are one, out of the way of the names used here
+    kept = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col and c not in RESULTS))
+    read = docs.select(kept.alias("row"), F.col(f"`{lang_col}`").alias("lang_"), F.col(f"`{source_col}`").alias("source_"),
+                       F.col(f"`{text_col}`").alias("text"))
+    stats = saved(text_statistics(read, keep=("row", "lang_", "source_")), "quality_rules", "statistics")
     limits = thresholds(stats, min_docs).select(F.col("lang_").alias("l"), F.col("source_").alias("s"), "fences")
     same = F.col("lang_").eqNullSafe(F.col("l")) & F.col("source_").eqNullSafe(F.col("s"))
     if limits.limit(broadcast_groups + 1).count() <= broadcast_groups:  # a proven bound
@@ -230,4 +231,4 @@ def filter_quality(docs: DataFrame, *, text_col: str = "text", lang_col: str = "
     for k, m in enumerate(MEASURES):
         fence = F.element_at("fences", k + 1)
         within &= (ratio(m) >= fence["low"]) & (ratio(m) <= fence["high"])
-    return joined.select(*(F.col(f"`{c}`") for c in keep), *COUNTS, base_failed().alias("base_failed"), (~base_failed() & F.coalesce(within, F.lit(False))).alias("kept"))
+    return joined.select("row.*", *COUNTS, base_failed().alias("base_failed"), (~base_failed() & F.coalesce(within, F.lit(False))).alias("kept"))

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 from edges import LONG, PROSE, docs, empty
+from pyspark.sql import functions as F
 
 from tessera.llm import quality_rules as Q
 from tessera.llm.textarrays import utf8
@@ -102,6 +103,8 @@ def test_edges(spark):
     assert sorted((r.doc_id or 0, *(r[c] for c in Q.COUNTS)) for r in rows) == want
     assert all(r.base_failed and not r.kept for r in rows if r.n_words < 50)
     assert Q.filter_quality(empty(spark)).count() == 0
+    clash = d.select("*", *(F.lit(1).alias(c) for c in ("lang_", "source_", "l", "s", "row", "fences", "salt", "salt_", "text_", "text__", "docs", "n")))
+    assert clash.count() == Q.filter_quality(clash).where("lang_ + source_ + l + s + row + fences + salt + salt_ + text_ + text__ + docs + n = 12").count()
     short = spark.createDataFrame([(1, "few words", "en", "a")], "doc_id long, text string, lang string, source string")
     assert [(r.base_failed, r.kept) for r in Q.filter_quality(short).collect()] == [(True, False)]
     assert np.array_equal(Q.text_counts(np.zeros(0, np.uint8), np.zeros(1, np.int64)), np.zeros((0, 6)))
