@@ -21,14 +21,18 @@ whatever the edits, one part stands whole in the document, and its words are
 the key. So no short item is missed (up to 64-bit hashes); of longer ones with
 all edits that are allowed the walks find 0.995.
 
-*Joins.* The items' keys are a table. Documents are searched with two bit maps
-of fixed size, of the first words of keys and of the keys themselves; a document
-position costs a few array operations per repetition, and positions whose first
-sampled word is no item's are dropped at once. Documents whose keys pass are
-joined with the items by key, and verified where their words are. Keys and items
-that many documents share are salted over ``SALTS`` tasks. The benchmark may have
-any size: what grows with it are joined tables (and the share of documents that
-pass), not what tasks or the driver hold.
+*Small and large benchmarks.* The items' keys are a table. If the benchmark has
+no more than ``BROADCAST_WORDS`` words (its size is counted first), tasks get the
+keys and verify where the documents are, as in a broadcast join. A larger one is
+joined: documents are searched with two bit maps of fixed size, of the first
+words of keys and of the keys themselves, those that pass are joined with the
+items by key, and the pairs are verified after a join with the items' words.
+Keys and items that many documents share are salted over ``SALTS`` tasks. Both ways
+try the same keys and give the same rows.
+
+A document position costs a few array operations per repetition: positions
+whose first sampled word is no item's are dropped at once, and only the rest
+walk on.
 
 Defined results: null or empty documents and items match nothing; an item whose
 allowance has room for no edit (fewer than 5 words) is searched for exactly;
@@ -43,8 +47,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import saved
 from .placebits import has_place, place_bits
@@ -56,6 +62,7 @@ SAMPLES = 4
 STEPS = 20
 SHORT_WORDS = 24
 ANCHOR_EVERY = 6
+BROADCAST_WORDS = 500_000
 FILTER_BITS = 28
 SALTS = 16
 
@@ -198,28 +205,95 @@ def edit_windows(pattern: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray,
     return best >> np.int64(32), best & (big - 1), end
 
 
-def best_match(h: np.ndarray, pattern: np.ndarray, allowed: int, diagonals: np.ndarray) -> tuple[int, int] | None:
-    """``(distance, start)`` of the best run of the words ``h`` within
-    ``allowed`` edits of ``pattern``, near the ``diagonals`` at which the
-    pattern would start; None if there is none."""
-    width = len(pattern) + 6 * max(allowed, 1) + 2
-    known = np.sort(pattern)
-    best = None
-    for at in range(0, len(diagonals), 512):
-        place = (diagonals[at:at + 512] - 2 * max(allowed, 1))[:, None] + np.arange(width)
-        inside = (place >= 0) & (place < len(h))
-        windows = np.where(inside, h[np.clip(place, 0, len(h) - 1)], _END)
-        # a run within the allowance shares all but ``allowed`` of the item's words
-        shared = (known[np.minimum(np.searchsorted(known, windows), len(known) - 1)] == windows).sum(1)
-        enough = shared >= len(pattern) - allowed
-        if not enough.any():
-            continue
-        distance, begin, _ = edit_windows(pattern, windows[enough])
-        start = np.maximum(place[enough][np.arange(len(begin)), np.minimum(begin, width - 1)], 0)
-        found = min(zip(distance.tolist(), start.tolist(), strict=True))
-        if found[0] <= allowed and (best is None or found < best):
-            best = found
-    return best
+class Patterns:
+    """Items by number: word hashes, allowance."""
+
+    def __init__(self, hashes: list[np.ndarray], edits: np.ndarray):
+        self.hashes, self.edits = hashes, edits
+
+    def verified(self, h: np.ndarray, row: np.ndarray, doc: np.ndarray, item: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
+        """``(row, item, distance, start)`` of the candidates within their
+        allowance, per row and item the best place. Candidates are rows, items
+        and the place in ``h`` at which the item would start; ``start`` counts
+        the row's words from 0."""
+        if not len(item):
+            return np.zeros((0, 4), np.int64)
+        first, last = np.searchsorted(row, doc, "left"), np.searchsorted(row, doc, "right")
+        out = []
+        order = np.argsort(item, kind="stable")
+        cut = np.flatnonzero(np.append(True, item[order][1:] != item[order][:-1]))
+        for lo, hi in zip(cut, [*cut[1:], len(item)], strict=True):
+            mine = order[lo:hi]
+            i = int(item[mine[0]])
+            pattern, allowed = self.hashes[i], int(self.edits[i])
+            width = len(pattern) + 6 * max(allowed, 1) + 2
+            known = np.sort(pattern)
+            for at in range(0, len(mine), 512):
+                some = mine[at:at + 512]
+                place = (diagonal[some] - 2 * max(allowed, 1))[:, None] + np.arange(width)
+                inside = (place >= first[some][:, None]) & (place < last[some][:, None])
+                windows = np.where(inside, h[np.clip(place, 0, len(h) - 1)], _END)
+                # a run within the allowance shares all but ``allowed`` of the item's words
+                shared = (known[np.minimum(np.searchsorted(known, windows), len(known) - 1)] == windows).sum(1)
+                enough = shared >= len(pattern) - allowed
+                some, place, windows = some[enough], place[enough], windows[enough]
+                if not len(some):
+                    continue
+                distance, begin, _ = edit_windows(pattern, windows)
+                ok = distance <= allowed
+                start = np.maximum(place[np.arange(len(some)), np.minimum(begin, width - 1)] - first[some], 0)
+                out.append(np.column_stack([doc[some], np.full(len(some), i), distance, start])[ok])
+        if not out:
+            return np.zeros((0, 4), np.int64)
+        rows = np.concatenate(out)
+        rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))]
+        new = np.ones(len(rows), bool)
+        new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(1)
+        return rows[new]
+
+
+def diagonals(at: np.ndarray, anchor: np.ndarray, edits: np.ndarray) -> np.ndarray:
+    """Where the item would start; neighbouring ones are verified as one, whose
+    window covers them all."""
+    step = np.maximum(edits, 1)
+    return (at - anchor) // step * step
+
+
+class _Held:
+    """A small benchmark, ready to be searched for: per search its sorted keys
+    and what they stand for."""
+
+    def __init__(self, hashes: list[np.ndarray], max_edits: float):
+        n = np.array([len(x) for x in hashes], np.int64)
+        self.patterns = Patterns(hashes, allowed_edits(n, max_edits))
+        padded, place = _padded(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), np.repeat(np.arange(len(n)), n))
+        begin = np.concatenate([[0], np.cumsum(n)])
+        self.searches = []
+        for search, entries in item_anchors(n, self.patterns.edits).items():
+            item, anchor = np.array(entries, np.int64).T
+            start = place[begin[item] + anchor]
+            wanted = np.zeros(1 << 16, bool)
+            wanted[_first_words(padded, start, search)] = True
+            _, key = _search(padded, start, search, None)
+            order = np.argsort(key, kind="stable")
+            self.searches.append((search, key[order], item[order], anchor[order], wanted))
+
+    def leaks(self, h: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """``(row, item, distance, start)`` of the documents' words."""
+        if not len(h) or not self.searches:
+            return np.zeros((0, 4), np.int64)
+        padded, start = _padded(h, row)
+        found = []
+        for search, keys, item, anchor, wanted in self.searches:
+            index, key = _search(padded, start, search, wanted)
+            lo, hi = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+            hit = np.flatnonzero(hi > lo)
+            times = (hi - lo)[hit]
+            entry = np.repeat(lo[hit], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            at = np.repeat(index[hit], times)
+            found.append(np.column_stack([item[entry], row[at], diagonals(at, anchor[entry], self.patterns.edits[item[entry]])]))
+        item, doc, diagonal = np.unique(np.concatenate(found), axis=0).T
+        return self.patterns.verified(h, row, doc, item, diagonal)
 
 
 # --- Spark steps --------------------------------------------------------------
@@ -255,20 +329,56 @@ def _item_keys_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 class _Benchmark:
-    """The items and their keys as tables, and the bit maps for the documents."""
+    """The items as a table; if they are few, their hashes and ids too."""
 
-    def __init__(self, benchmark: DataFrame, id_col: str, text_col: str, max_edits: float):
+    def __init__(self, benchmark: DataFrame, id_col: str, text_col: str, max_edits: float, broadcast_words: int):
         read = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text is not null")
         self.id_type = read.schema["item_id"].dataType.simpleString()
-        made = read.mapInArrow(_item_task(max_edits), f"item_id {self.id_type}, words binary, n_words int, edits int").where("n_words > 0")
+        self.max_edits = max_edits
+        made = saved(read.mapInArrow(_item_task(max_edits), f"item_id {self.id_type}, words binary, n_words int, edits int").where("n_words > 0"),
+                     "decontaminate", "items")
+        self.n_words = made.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n")).first()["n"]
+        self.small = self.n_words <= broadcast_words
+        if self.small:
+            rows = made.select("item_id", "words").orderBy("item_id", "words").collect()
+            self.ids = [r["item_id"] for r in rows]
+            self.hashes = [np.frombuffer(r["words"], np.uint64) for r in rows]
+            return
         # numbered in a table of their own, so that numbers stay
-        self.items = saved(saved(made, "decontaminate", "items").withColumn("item", F.monotonically_increasing_id()), "decontaminate", "numbered")
+        self.items = saved(made.withColumn("item", F.monotonically_increasing_id()), "decontaminate", "numbered")
         self.keys = saved(self.items.select("item", "words", "n_words", "edits").mapInArrow(
             _item_keys_task, "search int, key long, place long, first long, item long, anchor int, edits int"), "decontaminate", "keys")
         self.wanted: dict[int, np.ndarray] = {}
         for r in self.keys.select("search", "first").distinct().toLocalIterator():  # at most 2 ** 16 of each search
             self.wanted.setdefault(r["search"], np.zeros(1 << 16, bool))[r["first"]] = True
-        self.places = place_bits(self.keys, FILTER_BITS) if self.wanted else None
+        self.places = place_bits(self.keys, FILTER_BITS)
+
+
+def _leak_task(ids: list, hashes: list[np.ndarray], max_edits: float, id_type: pa.DataType):
+    """The leaks of every row (``row, text``), from a small benchmark."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Held(hashes, max_edits)
+        n_words = np.array([len(x) for x in hashes], np.int64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                rows = held.leaks(*word_hashes(*utf8(part.column("text"))))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(pa.array(rows[:, 0])), pa.array([ids[i] for i in rows[:, 1]], id_type),
+                     *(pa.array(x.astype(np.int32)) for x in (rows[:, 2], n_words[rows[:, 1]], rows[:, 3]))],
+                    ["id", "item_id", "distance", "item_words", "start_word"])
+    return run
+
+
+def _clean_task(hashes: list[np.ndarray], max_edits: float):
+    """The rows without leaks, from a small benchmark."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Held(hashes, max_edits)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                clean = np.ones(part.num_rows, bool)
+                clean[held.leaks(*word_hashes(*utf8(part.column("text"))))[:, 0]] = False
+                yield pa.RecordBatch.from_arrays([part.column("row").filter(pa.array(clean))], ["row"])
+    return run
 
 
 def _hits(h: np.ndarray, row: np.ndarray, wanted: dict[int, np.ndarray], places: np.ndarray):
@@ -289,12 +399,21 @@ def _hits(h: np.ndarray, row: np.ndarray, wanted: dict[int, np.ndarray], places:
 HIT = "array<struct<search: int, key: long, at: int>>"
 
 
-def _document_task(wanted: dict[int, np.ndarray], places: np.ndarray, hit: bool):
-    """Rows whose keys pass, with their words' hashes and hits; or, of the
-    others, the rows alone."""
+def _near(at: np.ndarray, n: int, reach: int) -> np.ndarray:
+    """Which of ``n`` words lie within ``reach`` of the places ``at``."""
+    change = np.zeros(n + 1, np.int64)
+    np.add.at(change, np.maximum(at - reach, 0), 1)
+    np.add.at(change, np.minimum(at + reach + 1, n), -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def _document_task(wanted: dict[int, np.ndarray], places: np.ndarray, reach: int, hit: bool):
+    """Rows whose keys pass, numbered, with their words' hashes and hits; or, of
+    the others, the rows alone. Words out of reach of all hits are left blank."""
     kind = pa.list_(pa.struct([("search", pa.int32()), ("key", pa.int64()), ("at", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, "text"):
                 h, row = word_hashes(*utf8(part.column("text")))
@@ -311,26 +430,36 @@ def _document_task(wanted: dict[int, np.ndarray], places: np.ndarray, hit: bool)
                 parts = pa.StructArray.from_arrays([pa.array(search.astype(np.int32)), pa.array(signed(key)), pa.array((index - begin[at]).astype(np.int32))],
                                                    ["search", "key", "at"])
                 hits = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)).astype(np.int32)), parts).cast(kind)
-                hashes = pa.array([h[begin[i]:begin[i + 1]].tobytes() for i in some.tolist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("row").take(rows), hashes, hits], ["row", "words", "hits"])
+                kept = np.where(_near(index, len(h), reach), h, _END)
+                hashes = pa.array([kept[begin[i]:begin[i + 1]].tobytes() for i in some.tolist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("row").take(rows), hashes, hits, pa.array(uid + np.arange(len(some)))],
+                                                 ["row", "words", "hits", "uid"])
+                uid += len(some)
     return run
 
 
 def _verify_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at, item, distance, n_words, start = [], [], [], [], []
-        for i, (raw, candidates) in enumerate(zip(batch.column("words").to_pylist(), batch.column("items").to_pylist(), strict=True)):
-            h = np.frombuffer(raw, np.uint64)
+        raw = batch.column("words").to_pylist()
+        row = np.repeat(np.arange(len(raw)), [len(x) // 8 for x in raw])
+        begin = np.concatenate([[0], np.cumsum([len(x) // 8 for x in raw])])
+        number: dict[int, int] = {}
+        hashes, edits, doc, item, diagonal = [], [], [], [], []
+        for i, candidates in enumerate(batch.column("items").to_pylist()):
             for c in candidates:
-                pattern = np.frombuffer(c["pattern"], np.uint64)
-                if best := best_match(h, pattern, c["edits"], np.unique(np.array(c["diagonals"], np.int64))):
-                    at.append(i)
-                    item.append(c["item"])
-                    distance.append(best[0])
-                    n_words.append(len(pattern))
-                    start.append(best[1])
-        yield pa.RecordBatch.from_arrays([batch.column("uid").take(pa.array(at, pa.int64())), pa.array(item, pa.int64()),
-                                          *(pa.array(x, pa.int32()) for x in (distance, n_words, start))],
+                k = number.setdefault(c["item"], len(number))
+                if k == len(hashes):
+                    hashes.append(np.frombuffer(c["pattern"], np.uint64))
+                    edits.append(c["edits"])
+                doc += [i] * len(c["diagonals"])
+                item += [k] * len(c["diagonals"])
+                diagonal += [d + int(begin[i]) for d in c["diagonals"]]
+        h = np.frombuffer(b"".join(raw), np.uint64)
+        rows = Patterns(hashes, np.array(edits, np.int64)).verified(h, row, *(np.array(x, np.int64) for x in (doc, item, diagonal)))
+        names = np.array(list(number), np.int64)
+        n_words = np.array([len(x) for x in hashes], np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("uid").take(pa.array(rows[:, 0])), pa.array(names[rows[:, 1]]),
+                                          *(pa.array(x.astype(np.int32)) for x in (rows[:, 2], n_words[rows[:, 1]], rows[:, 3]))],
                                          ["uid", "item", "distance", "item_words", "start_word"])
 
 
@@ -353,23 +482,32 @@ def _matches(found: DataFrame, bench: _Benchmark) -> DataFrame:
             .mapInArrow(_verify_task, "uid long, item long, distance int, item_words int, start_word int"))
 
 
-def _found(rows: DataFrame, bench: _Benchmark) -> DataFrame:
-    """The rows (``row, text``) whose keys pass: ``row, words, hits, uid``."""
+def _found(rows: DataFrame, bench: _Benchmark) -> tuple[DataFrame, DataFrame]:
+    """The rows (``row, text``) whose keys pass (``row, words, hits, uid``), and
+    the others (``row``)."""
     kind = rows.schema["row"].dataType.simpleString()
-    passed = rows.mapInArrow(_document_task(bench.wanted, bench.places, True), f"row {kind}, words binary, hits {HIT}")
-    return saved(saved(passed, "decontaminate", "passed").withColumn("uid", F.monotonically_increasing_id()), "decontaminate", "found")
+    longest = bench.items.agg(F.max("n_words")).first()[0]
+    reach = longest + 8 * int(allowed_edits(np.array([longest]), bench.max_edits)[0]) + 8  # no window goes further
+
+    def task(hit: bool):
+        return _document_task(bench.wanted, bench.places, reach, hit)
+
+    return (saved(rows.mapInArrow(task(True), f"row {kind}, words binary, hits {HIT}, uid long"), "decontaminate", "found"),
+            rows.mapInArrow(task(False), f"row {kind}"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-          item_id_col: str = "item_id", item_text_col: str = "text", max_edits: float = MAX_EDITS) -> DataFrame:
+          item_id_col: str = "item_id", item_text_col: str = "text", max_edits: float = MAX_EDITS,
+          broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
     """``id_col, item_id, distance, item_words, start_word`` for every document
     row and item that it holds."""
-    bench = _Benchmark(benchmark, item_id_col, item_text_col, max_edits)
-    rows = docs.select(F.struct(F.col(f"`{id_col}`").alias("id")).alias("row"), F.col(f"`{text_col}`").alias("text"))
-    if not bench.wanted:
-        id_type = docs.schema[id_col].dataType.simpleString()
-        return docs.sparkSession.createDataFrame([], f"`{id_col}` {id_type}, item_id {bench.id_type}, distance int, item_words int, start_word int")
-    found = _found(rows, bench)
+    bench = _Benchmark(benchmark, item_id_col, item_text_col, max_edits, broadcast_words)
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    if bench.small:
+        schema = f"id {rows.schema['id'].dataType.simpleString()}, item_id {bench.id_type}, distance int, item_words int, start_word int"
+        id_type = to_arrow_type(benchmark.schema[item_id_col].dataType)
+        return rows.mapInArrow(_leak_task(bench.ids, bench.hashes, max_edits, id_type), schema).withColumnRenamed("id", id_col)
+    found, _ = _found(rows.select(F.struct("id").alias("row"), "text"), bench)
     # a common item is in many documents: its id is joined by salted keys, too
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     return (_matches(found, bench).join(found.select("uid", F.col("row.id").alias("id")), "uid")
@@ -379,15 +517,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                  max_edits: float = MAX_EDITS) -> DataFrame:
+                  max_edits: float = MAX_EDITS, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark item, all columns kept.
-    Rows are numbered for the purpose, so no id has to be unique."""
-    bench = _Benchmark(benchmark, "item_id", "text", max_edits)
-    if not bench.wanted:
-        return docs
+    The judgement is made row by row, so no id has to be unique."""
+    bench = _Benchmark(benchmark, "item_id", "text", max_edits, broadcast_words)
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{text_col}`").alias("text"))
-    found = _found(rows, bench)
+    if bench.small:
+        kind = rows.schema["row"].dataType.simpleString()
+        return rows.mapInArrow(_clean_task(bench.hashes, max_edits), f"row {kind}").select("row.*")
+    found, others = _found(rows, bench)
     leaking = _matches(found, bench).select("uid").distinct()
-    kind = rows.schema["row"].dataType.simpleString()
-    others = rows.mapInArrow(_document_task(bench.wanted, bench.places, False), f"row {kind}")
     return others.unionByName(found.join(leaking, "uid", "left_anti").select("row")).select("row.*")

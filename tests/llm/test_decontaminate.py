@@ -64,8 +64,11 @@ def test_edges(spark):
     got = sorted((r.doc_id is None, r.doc_id or 0, r.item_id, r.distance) for r in D.leaks(d, b).collect())
     assert got == [(False, 1, 4, 0), (False, 2, 4, 0), (False, 2, 4, 0), (False, 10, 5, 0), (False, 11, 5, 0), (False, 12, 5, 0),
                    (True, 0, 4, 0)] or [g for g in got if g[2] == 4] == [(False, 1, 4, 0), (False, 2, 4, 0), (False, 2, 4, 0), (True, 0, 4, 0)]
-    clean = D.without_leaks(d, b)
-    assert clean.columns == d.columns
+    assert sorted(map(repr, D.leaks(d, b, broadcast_words=0).collect())) == sorted(map(repr, D.leaks(d, b).collect()))
+    for words in (D.BROADCAST_WORDS, 0):
+        clean = D.without_leaks(d, b, broadcast_words=words)
+        assert clean.columns == d.columns
+        assert D.leaks(empty(spark), b, broadcast_words=words).count() == 0 == D.without_leaks(empty(spark), b, broadcast_words=words).count()
     assert D.leaks(empty(spark), b).count() == 0
     assert D.without_leaks(d, b.where("item_id > 99")).count() == d.count()
     assert D.leaks(d, b.where("item_id > 99")).count() == 0
@@ -140,5 +143,10 @@ def test_all_columns_match_brute_force(spark):
                 want.append((i, k, d, len(item), start))
     d = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").repartition(6)
     b = spark.createDataFrame([(k, " ".join(w)) for k, w in items], ITEM_SCHEMA)
-    got = sorted(tuple(r) for r in D.leaks(d, b).collect())
-    assert got == sorted(want) and len(got) > 50
+    for words in (D.BROADCAST_WORDS, 0):  # held by tasks, joined
+        got = sorted(tuple(r) for r in D.leaks(d, b, broadcast_words=words).collect())
+        assert got == sorted(want) and len(got) > 50
+        clean = D.without_leaks(d, b, broadcast_words=words)
+        assert clean.columns == d.columns
+        texts = {" ".join(w) for i, w in rows if any(places(item, w)[0] <= int(0.2 * len(item)) for _, item in items)}
+        assert sorted(r.text for r in clean.collect()) == sorted(" ".join(w) for _, w in rows if " ".join(w) not in texts)
