@@ -164,7 +164,7 @@ def test_a_failed_run_leaves_the_last_one_readable(spark, tmp_dir, monkeypatch,
             raise OSError("disk full")
         return real(*args, **kwargs)
 
-    for failing.after in range(3):  # the first call, the second, ...
+    for failing.after in range(3 if step == "write_parquet" else 1):  # the first call, the second, ...
         calls.clear()
         monkeypatch.setattr(where, step, failing)
         try:

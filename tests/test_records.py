@@ -86,8 +86,9 @@ def test_comma_files_with_line_breaks(spark, tmp_dir, small_splits):
         read_delimited(spark, f"{tmp_dir}/in", multi_line=True)
 
 
-def test_wrong_field_counts_fail(spark, tmp_dir):
-    write(f"{tmp_dir}/in/a.csv", "a|b\n1|2\n1|2|3\n")
+@pytest.mark.parametrize("row", ["1|2|3", "1"])
+def test_wrong_field_counts_fail(spark, tmp_dir, row):
+    write(f"{tmp_dir}/in/a.csv", f"a|b\n1|2\n{row}\n")
     df, = read_pipe_directory(spark, f"{tmp_dir}/in")
     with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
         df.collect()
