@@ -200,10 +200,10 @@ def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def _bridge_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Components that agreeing pairs of a subtrie join, each with the smallest
     that it hangs together with there (rows come sorted by the trie's order)."""
-    for parts in _units(batches, ("bucket", "i", "j")):
+    for parts in _units(batches, ("bucket", "kind", "i", "j")):
         table = pa.Table.from_batches(parts)
         block = None
-        if table.column("i")[0].as_py() != table.column("j")[0].as_py():
+        if table.column("kind")[0].as_py() == 0 or table.column("i")[0].as_py() != table.column("j")[0].as_py():
             block = table.column("in_i").to_numpy(zero_copy_only=False).astype(bool)  # pairs within a block are that block's own
         names, component = np.unique(table.column("component").to_numpy(), return_inverse=True)
         if len(names) > 1:
@@ -282,9 +282,9 @@ def candidate_components(classes: DataFrame, threshold: float, recall: float, bl
     mixed = (shorter.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo < hi").select("key"))
     # the pairs of a subtrie are compared where its members meet: only agreeing ones become rows
-    buckets = (shorter.join(mixed, "key").withColumnRenamed("key", "bucket")
-               .join(classes.select("node", "sketch"), "node"))
-    bridges = (_blocks(buckets, "bucket", block).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "below")
+    subtries = saved(shorter.join(mixed, "key").withColumnRenamed("key", "bucket"), "ngram_join", "subtries")
+    bridges = (_meetings(subtries, block).join(classes.select("node", "sketch"), "node")
+               .repartition("bucket", "kind", "i", "j").sortWithinPartitions("bucket", "kind", "i", "j", "below")
                .mapInArrow(_bridge_task, "a long, b long").distinct())
     merged = connected_components(bridges).select(F.col("node").alias("component"), F.col("component").alias("merged"))
     return (placed.select("node", "component", "close").join(merged, "component", "left")
@@ -292,6 +292,32 @@ def candidate_components(classes: DataFrame, threshold: float, recall: float, bl
             .select("node", F.coalesce("merged", "component").alias("component")))
 
 
+def _meetings(members: DataFrame, block: int) -> DataFrame:
+    """Deal the members of each ``bucket`` to the units ``(kind, i, j)`` in which
+    those of different components meet. The members of a bucket's largest
+    component need not meet each other: their blocks ``i`` meet the others'
+    blocks ``j`` (kind 0), whose pairs of blocks are units, too (kind 1)."""
+    sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = (sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
+             .select("bucket", F.col("top.component").alias("major"), F.ceil(F.col("top.n") / block).cast("int").alias("majors"),
+                     F.ceil((F.col("all") - F.col("top.n")) / block).cast("int").alias("minors")))
+    columns = [c for c in members.columns if c != "bucket"]
+    dealt = members.join(sizes, "bucket").withColumn("is_major", F.col("component") == F.col("major"))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("is_major"), F.col("majors")).otherwise(F.col("minors"))).cast("int")
+    dealt = dealt.withColumn("own", own)
+
+    def upto(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    major = dealt.where("is_major").withColumn("j", upto("minors")).select("bucket", F.lit(0).alias("kind"), F.col("own").alias("i"), "j", F.lit(True).alias("in_i"), *columns)
+    minor = dealt.where("not is_major")
+    facing = minor.withColumn("i", upto("majors")).select("bucket", F.lit(0).alias("kind"), "i", F.col("own").alias("j"), F.lit(False).alias("in_i"), *columns)
+    among = minor.withColumn("other", upto("minors")).select(
+        "bucket", F.lit(1).alias("kind"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        (F.col("own") <= F.col("other")).alias("in_i"), *columns)
+    return major.unionByName(facing).unionByName(among)
+
+
 def _blocks(members: DataFrame, group: str, block: int) -> DataFrame:
     """Give every class of a group to the block pairs ``(i, j)`` it takes part
     in: ``group, i, j`` and whether it is of block i, with its columns."""
