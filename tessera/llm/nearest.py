@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
+from .hotkeys import join_counted
 
 K = 20
 TABLES = 16
@@ -297,8 +298,10 @@ def nearest_neighbours(df: DataFrame, is_query: Column, *, id_col: str = "vec_id
               .select("query", "score", F.explode("ids").alias("vec_id"))
               .groupBy("query").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("down"), "vec_id"))), 1, k + 1)
                                     .alias("near")))
-    queries = (rows.where("is_query").select("id", "vec").join(classes.select("vec", F.col("class").alias("query")), "vec")
-               .select("id", "query").join(listed, "query"))
+    # a vector may stand in a third of all queries
+    asking = rows.where("is_query").select("id", "vec")
+    counted = asking.groupBy("vec").agg(F.count(F.lit(1)).alias("n")).join(classes.select("vec", F.col("class").alias("query")), "vec")
+    queries = join_counted(asking, counted.join(listed, "query"), ["vec"], "n", sum(r["asked"] for r in spread), F.xxhash64("id")).select("id", "query", "near")
     own = F.array_position(F.transform("near", lambda x: x["vec_id"]), F.col("id")) - 1
     return (queries.withColumn("own", own)
             .withColumn("near", F.slice(F.filter("near", lambda x, i: i != F.col("own")), 1, k))
