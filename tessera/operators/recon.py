@@ -54,20 +54,20 @@ def run_counts(per_file: DataFrame, inventory: DataFrame | None = None) -> DataF
 
 
 def marker_counts(lines: DataFrame, order: Column | None = None,
-                  value_col: str = "value", per_file: str | None = None) -> DataFrame:
+                  value_col: str = "value", per_file: str | None = None, single_file: bool = False) -> DataFrame:
     """S6 + W1 + O2: number marker lines and read the count after ``:``.
 
     ``lines`` come from ``numbering.read_split_lines`` and are numbered within
     their file (``per_file``, its path column, is kept), or, if no file is
-    named, through all files in the order of their paths; any other rows are
-    numbered by ``order``. Returns ``line_number, line_content, count`` (count
+    named, through all files in the order of their paths (``single_file``: there
+    is one); any other rows are numbered by ``order``. Returns ``line_number, line_content, count`` (count
     null when a line has no digits). No step sorts or holds all lines in a task.
     """
     if order is not None:
         numbered = number_rows(lines, [order])
     else:
         numbered = number_split_lines(lines)
-        if per_file is None:
+        if per_file is None and not single_file:
             files = lines.groupBy("file_path").agg(F.count(F.lit(1)).alias("_lines"))
             # one row per marker file: running totals over the files before it
             placed = number_rows(files, [F.col("file_path")], "_place")

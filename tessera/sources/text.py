@@ -77,4 +77,5 @@ def read_marker(spark: SparkSession, path: str, per_file: bool = False) -> DataF
     it in; the files of a folder follow each other in the order of their paths.
     ``per_file=True`` numbers each file's lines separately (``file_path`` kept).
     """
-    return marker_counts(read_split_lines(spark, path), per_file="file_path" if per_file else None)
+    single = len(spark.read.text(path).inputFiles()) == 1
+    return marker_counts(read_split_lines(spark, path), per_file="file_path" if per_file else None, single_file=single)
