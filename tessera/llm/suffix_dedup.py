@@ -15,8 +15,10 @@ are repeated. Of each class one run goes on, as the comparand of the other
 classes of its anchor, so a text copied a thousand times is handled once.
 
 *Interval expansion.* The classes of whole anchors are concatenated in blocks
-of ``BLOCK_BYTES``. A block's suffixes are sorted as deep as needed and give
-its Burrows-Wheeler transform; breadth-first backward extension of intervals
+of ``BLOCK_BYTES``. Of a block only the strings whose deeper anchor (``NARROW`` of
+``LENGTH`` bytes) recurs in it go on: equal strings share that anchor too. The
+suffixes left are sorted as deep as needed and give the block's Burrows-Wheeler
+transform; breadth-first backward extension of intervals
 derives the longest common prefixes in increasing order, and stops at
 ``LENGTH``: the prefixes still open then are the repeated strings.
 
@@ -24,11 +26,13 @@ derives the longest common prefixes in increasing order, and stops at
 third of all texts, with other text around it each time) is never gathered: its
 classes get deeper anchors, which tell most of them apart, level by level up to
 ``LENGTH`` itself, where equal anchors are equal strings and a count decides.
+Joins of runs salt the keys of many rows (``hotkeys.py``), so the rows of one
+passage are spread over tasks.
 
 Defined results: null counts as empty; texts shorter than ``LENGTH`` stay
 whole; rows with equal text, repeated rows included, are copies of each other
-(so all go, also the first). Rows are told apart by id and a hash of the text;
-a null id is an id like any other. An empty table gives an empty result. Only
+(so all go, also the first). Rows are told apart by id and a digest of the text
+(128 bits); a null id is an id like any other. An empty table gives an empty result. Only
 the id and text columns are read.
 """
 
@@ -41,13 +45,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import saved
+from .hotkeys import join_counted
 from .textarrays import BYTE_VALUE_2, SpanHash, mix, signed, slices, utf8
 
 LENGTH = 400
 DEPTHS = (128, 280, 340, 370, 385, 393, 397, 400)
 HOT_CLASSES = 1000
-BLOCK_BYTES = 1_000_000
+BLOCK_BYTES = 500_000
+RUN_BYTES = 1_000_000
+NARROW = 0.9
 
 
 def depths_for(length: int) -> tuple[int, ...]:
@@ -103,27 +110,32 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, depth: int, length: int):
 
 def sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffix order by the first ``depth`` symbols at least, by rank doubling.
-    ``text`` holds integers below 512 and ends with its only 0."""
+    ``text`` holds integers below 512 and ends with its only 0. Only suffixes
+    whose rank is shared are sorted again."""
     n = len(text)
     padded = np.concatenate([text.astype(np.uint64), np.zeros(7, np.uint64)])
     key = np.zeros(n, np.uint64)
     for k in range(7):  # nine bits a symbol: bytes and the end marks
         key = (key << np.uint64(9)) | padded[k:n + k]
-    _, rank = np.unique(key, return_inverse=True)
+    order = np.argsort(key)
+    place, of_key = np.arange(n), key[order]  # a group's rank is the place of its first member
+    rank = np.empty(n, np.int64)
     known = 7
-    order = None
-    while known < depth:
-        behind = np.zeros(n, np.int64)
-        behind[:n - known] = rank[known:] + 1 if known < n else 0
-        pair = rank * (n + 1) + behind
-        order = np.argsort(pair, kind="stable")
-        new = np.ones(n, np.int64)
-        new[0] = 0
-        new[1:] = pair[order][1:] != pair[order][:-1]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
+    while True:
+        new = np.ones(len(place), bool)
+        new[1:] = of_key[1:] != of_key[:-1]
+        rank[order[place]] = place[np.maximum.accumulate(np.where(new, np.arange(len(place)), 0))]
+        shared = ~new
+        shared[:-1] |= ~new[1:]
+        place = place[shared]
+        if known >= depth or not len(place):
+            return order
+        some = order[place]
+        # a suffix that shares its rank is longer than ``known``: the end mark is unique
+        of_key = rank[some] * n + rank[some + known]
+        by = np.argsort(of_key)
+        order[place], of_key = some[by], of_key[by]
         known *= 2
-    return np.argsort(rank, kind="stable") if order is None else order
 
 
 def open_prefixes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -182,23 +194,38 @@ def repeated_starts(parts: list[np.ndarray], length: int) -> list[np.ndarray]:
     return [np.flatnonzero(found[b:b + max(s - length + 1, 0)]) for b, s in zip(begin.tolist(), sizes.tolist(), strict=True)]
 
 
+def narrowed(parts: list[np.ndarray], length: int) -> list[tuple[int, int, int]]:
+    """``(part, first, last)`` runs of string starts that may be repeated: those
+    whose deep anchor stands in another run too."""
+    offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    row, start, count, anchor, _ = anchor_runs(np.concatenate(parts), offsets, max(1, int(length * NARROW)), length)
+    _, which, times = np.unique(anchor, return_inverse=True, return_counts=True)
+    kept = times[which] > 1
+    out: list[list[int]] = []
+    for r, a, b in zip(row[kept].tolist(), start[kept].tolist(), (start + count - 1)[kept].tolist(), strict=True):
+        if out and out[-1][0] == r and out[-1][2] == a - 1:
+            out[-1][2] = b  # neighbouring runs are one span
+        else:
+            out.append([r, a, b])
+    return [tuple(x) for x in out]
+
+
 # --- Spark steps --------------------------------------------------------------
 
-def _row_hash(text: Column) -> Column:
-    return F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF))
+def _text_key(text: Column) -> Column:
+    return F.unhex(F.md5(text))
 
 
-def _run_task(depth: int, length: int, only_anchor: bool):
+def _run_task(depth: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", RUN_BYTES):
                 row, start, count, anchor, content = anchor_runs(*utf8(part.column("text")), depth, length)
-                made = [pa.array(signed(anchor))]
-                if not only_anchor:
-                    at = pa.array(row)
-                    made += [pa.array(signed(content)), part.column("id").take(at), part.column("h").take(at),
-                             pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(made, ["anchor", "content", "id", "h", "start", "count"][:len(made)])
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(anchor)), pa.array(signed(content)), part.column("id").take(at), part.column("t").take(at),
+                     pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))], ["anchor", "content", "id", "t", "start", "count"])
+            pa.default_memory_pool().release_unused()
     return run
 
 
@@ -245,10 +272,14 @@ def _deeper_task(depth: int, length: int):
 def _expand_task(length: int):
     """Interval expansion over blocks of whole anchors (rows come sorted by unit)."""
     def block(held: list) -> pa.RecordBatch:
-        starts = repeated_starts([np.frombuffer(h[3], np.uint8) for h in held], length)
+        texts = [np.frombuffer(h[3], np.uint8) for h in held]
+        some = narrowed(texts, length)
+        starts = repeated_starts([texts[r][a:b + length] for r, a, b in some], length) if some else []
         out: list[tuple] = []
-        for (anchor, content, off, _), s in zip(held, starts, strict=True):
+        for (r, a, _), s in zip(some, starts, strict=True):
             if len(s):
+                anchor, content, off, _ = held[r]
+                s = s + a
                 cut = np.flatnonzero(np.diff(s) > 1)
                 out += [(anchor, content, off + int(a), off + int(b)) for a, b in zip(s[np.append(0, cut + 1)], s[np.append(cut, len(s) - 1)], strict=True)]
         columns = list(zip(*out, strict=True)) or [()] * 4
@@ -270,46 +301,40 @@ def _expand_task(length: int):
     return run
 
 
-def _saved(df: DataFrame, name: str) -> DataFrame:
-    out = shared_dir(df.sparkSession, "suffix_dedup", name)
-    df.write.parquet(out)
-    return df.sparkSession.read.parquet(out)
-
-
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    return docs.select(F.col(f"`{id_col}`").alias("id"), _row_hash(text).alias("h"), text.alias("text"))
+    return docs.select(F.col(f"`{id_col}`").alias("id"), _text_key(text).alias("t"), text.alias("text"))
 
 
 def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                    hot_classes: int = HOT_CLASSES) -> DataFrame:
-    """``id, h, spans``: for every text with repeated strings the array of
+    """``id, t, spans``: for every text with repeated strings the array of
     ``(first, last)`` starts of such strings (they may touch or overlap)."""
     depths = DEPTHS if length == LENGTH else depths_for(length)
     rows = _rows(docs, id_col, text_col)
     long = rows.where(F.octet_length("text") >= length)
     id_type = rows.schema["id"].dataType.simpleString()
-    again = (long.mapInArrow(_run_task(depths[0], length, True), "anchor long")
-             .groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))
-    runs = _saved(long.mapInArrow(_run_task(depths[0], length, False),
-                                  f"anchor long, content long, id {id_type}, h long, start int, count int")
-                  .join(again, "anchor"), "runs")
-    classes = _saved(runs.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), F.min("count").alias("count"),
-                                                           F.min(F.struct("id", "h", "start")).alias("one")), "classes")
-    several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
-    wanted = (classes.join(several, "anchor")
-              .groupBy(F.col("one.id").alias("w_id"), F.col("one.h").alias("w_h"))
+    runs = saved(long.mapInArrow(_run_task(depths[0], length), f"anchor long, content long, id {id_type}, t binary, start int, count int"),
+                 "suffix_dedup", "runs")
+    n_runs = runs.count()
+    classes = saved(runs.groupBy("anchor", "content")
+                    .agg(F.count(F.lit(1)).alias("n"), F.min("count").alias("count"), F.min(F.struct("id", "t", "start")).alias("one")),
+                    "suffix_dedup", "classes")
+    several = saved(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1"), "suffix_dedup", "several")
+    wanted = (join_counted(classes, several, ["anchor"], "classes", n_runs, F.col("content"))
+              .groupBy(F.col("one.id").alias("w_id"), F.col("one.t").alias("w_t"))
               .agg(F.collect_list(F.struct("anchor", "content", "classes", F.col("one.start").alias("start"), "count")).alias("runs")))
-    spans = _saved(long.join(wanted, long["id"].eqNullSafe(wanted["w_id"]) & (long["h"] == wanted["w_h"])).select("text", "runs")
-                   .mapInArrow(_cut_task(length), "anchor long, content long, unit long, classes long, off int, bytes binary")
-                   .dropDuplicates(["anchor", "content"]), "spans")
+    spans = saved(long.join(wanted, long["id"].eqNullSafe(wanted["w_id"]) & (long["t"] == wanted["w_t"])).select("text", "runs")
+                  .mapInArrow(_cut_task(length), "anchor long, content long, unit long, classes long, off int, bytes binary")
+                  .dropDuplicates(["anchor", "content"]), "suffix_dedup", "spans")
     found = _compared(spans, depths[1:], length, hot_classes)
-    whole = classes.where("n > 1").select("anchor", "content", F.lit(0).alias("first"), (F.col("count") - 1).alias("last"))
-    part = found.join(classes.where("n > 1").select("anchor", "content"), ["anchor", "content"], "left_anti")
-    marks = whole.unionByName(part).groupBy("anchor", "content").agg(F.collect_list(F.struct("first", "last")).alias("marks"))
-    return (runs.join(marks, ["anchor", "content"])
-            .select("id", "h", "start", F.explode("marks").alias("mark"))
-            .groupBy("id", "h")
+    copied = classes.where("n > 1").select("anchor", "content", "n", F.lit(0).alias("first"), (F.col("count") - 1).alias("last"))
+    part = found.join(copied.select("anchor", "content"), ["anchor", "content"], "left_anti").withColumn("n", F.lit(1).cast("long"))
+    marks = saved(copied.unionByName(part).groupBy("anchor", "content").agg(F.max("n").alias("n"), F.collect_list(F.struct("first", "last")).alias("marks")),
+                  "suffix_dedup", "marks")
+    return (join_counted(runs, marks, ["anchor", "content"], "n", n_runs, F.xxhash64("t", "start"))
+            .select("id", "t", "start", F.explode("marks").alias("mark"))
+            .groupBy("id", "t")
             .agg(F.collect_list(F.struct((F.col("start") + F.col("mark.first")).alias("first"),
                                          (F.col("start") + F.col("mark.last")).alias("last"))).alias("spans")))
 
@@ -324,16 +349,17 @@ def _compared(spans: DataFrame, depths: tuple[int, ...], length: int, hot_classe
     hot = spans.where(F.col("classes") > hot_classes)
     if not depths or not hot.limit(1).count():
         return found
-    deeper = _saved(hot.mapInArrow(_deeper_task(depths[0], length),
-                                   "anchor long, content long, unit long, sub long, off int, count int, bytes binary"), "deeper")
-    subs = deeper.groupBy("unit", "sub").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("anchor", "content", "off")).alias("one"))
-    copies = (deeper.join(subs.where("n > 1").select("unit", "sub"), ["unit", "sub"], "left_semi")
+    deeper = saved(hot.mapInArrow(_deeper_task(depths[0], length),
+                                  "anchor long, content long, unit long, sub long, off int, count int, bytes binary"), "suffix_dedup", "deeper")
+    subs = saved(deeper.groupBy("unit", "sub").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("anchor", "content", "off")).alias("one")),
+                 "suffix_dedup", "subs")
+    copies = (deeper.drop("bytes").join(subs.where("n > 1").select("unit", "sub"), ["unit", "sub"], "left_semi")
               .select("anchor", "content", F.col("off").alias("first"), (F.col("off") + F.col("count") - 1).alias("last")))
     several = subs.groupBy("unit").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
-    ones = subs.join(several, "unit").select("unit", "sub", "classes", F.col("one.anchor").alias("anchor"),
-                                             F.col("one.content").alias("content"), F.col("one.off").alias("off"))
-    following = _saved(deeper.join(ones, ["unit", "sub", "anchor", "content", "off"])
-                       .select("anchor", "content", "unit", "classes", "off", "bytes"), "spans")
+    ones = (subs.join(several, "unit")
+            .select("unit", "sub", "classes", F.col("one.anchor").alias("anchor"), F.col("one.content").alias("content"), F.col("one.off").alias("off")))
+    following = saved(deeper.join(ones, ["unit", "sub", "anchor", "content", "off"])
+                      .select("anchor", "content", "unit", "classes", "off", "bytes"), "suffix_dedup", "spans")
     return found.unionByName(copies).unionByName(_compared(following, depths[1:], length, hot_classes))
 
 
@@ -343,8 +369,8 @@ def dedup_suffixes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     ``kept`` (the remaining bytes, concatenated) of every row."""
     rows = _rows(docs, id_col, text_col)
     spans = repeated_spans(docs, id_col=id_col, text_col=text_col, length=length, hot_classes=hot_classes)
-    spans = spans.select(F.col("id").alias("s_id"), F.col("h").alias("s_h"), "spans")
-    joined = rows.join(spans, rows["id"].eqNullSafe(spans["s_id"]) & (rows["h"] == spans["s_h"]), "left").select("id", "text", "spans")
+    spans = spans.select(F.col("id").alias("s_id"), F.col("t").alias("s_t"), "spans")
+    joined = rows.join(spans, rows["id"].eqNullSafe(spans["s_id"]) & (rows["t"] == spans["s_t"]), "left").select("id", "text", "spans")
     kind = rows.schema["id"].dataType.simpleString()
     return (joined.mapInArrow(_remove_task(length), f"id {kind}, n_bytes long, removed array<struct<start: int, end: int>>, kept binary")
             .withColumnRenamed("id", id_col))

@@ -60,3 +60,12 @@ def test_edges(spark):
     want = sorted((r[0] or 0, hashlib.sha256(k).hexdigest()) for r, (k, _) in zip(d.collect(), brute(texts, 400), strict=True))
     assert sorted((r.doc_id or 0, hashlib.sha256(r.kept).hexdigest()) for r in rows) == want
     assert S.dedup_suffixes(empty(spark)).count() == 0
+
+
+def test_whole_table_matches_brute_force(spark):
+    rows = S.dedup_suffixes(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).collect()
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()
+    want = brute([r.text for r in d], 400)
+    got = {r.doc_id: (bytes(r.kept), [(s.start, s.end) for s in r.removed]) for r in rows}
+    assert len(got) == len(d) and sum(bool(spans) for _, spans in want) > 5
+    assert all(got[r.doc_id] == w for r, w in zip(d, want, strict=True))
