@@ -22,8 +22,8 @@ occurrence is counted once. Counting takes two passes over the dictionary:
    only let too much through, so counts are exact at any size of corpus.
 
 *Scores.* Everything after that are joins and aggregations of the phrases with
-``least`` occurrences or more. Parts are joined by salted keys, since a common
-word begins or ends many phrases. Products are decimals of 38 digits.
+``least`` occurrences or more. Common words begin or end many phrases: parts of
+high counts are joined by salted keys. Products are decimals of 38 digits.
 
 Defined results: a null text is empty; a null language is ``und``; repeated
 rows count again; texts without words and empty tables add nothing. Very long
@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import saved
+from .hotkeys import HOT_ROWS, MAX_HOT
 from .textarrays import SpanHash, mix, slices, utf8, words
 
 LEAST = 10
@@ -51,11 +52,11 @@ TRIGGER = 32
 FILTER_BITS = 28
 PAGE_BITS = 18
 #: Keys that a task gathers before it sends their counts.
-GATHERED = 3_000_000
+GATHERED = 1_500_000
 #: Different phrases that a task gathers before it sends their counts.
-HELD_ROWS = 500_000
-SLICE_BYTES = 4_000_000
-SALTS = 16
+HELD_ROWS = 400_000
+SLICE_BYTES = 1_500_000
+PARSE_BYTES = 1_000_000
 TOP_GROUPS = 64
 
 _U = np.uint64
@@ -125,7 +126,7 @@ def chunk_bounds(flat: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.n
 def _parse_task(trigger: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PARSE_BYTES):
                 flat, start, end, row, breaks = normal_form(*utf8(part.column("text")))
                 first, last, closing = chunk_bounds(flat, start, end, row, breaks, trigger)
                 if len(first):
@@ -274,6 +275,7 @@ def _texts_task(bitmap: np.ndarray):
                     if rows > HELD_ROWS // 2:
                         yield from _plain(total)
                         held, rows = [], 0
+                    pa.default_memory_pool().release_unused()
         if held:
             yield from _plain(summed(held))
     return run
@@ -297,12 +299,15 @@ def _word(k: int) -> Column:
     return F.element_at(F.split("phrase", " "), k)
 
 
-def _with_count(phrases: DataFrame, part: Column, counts: DataFrame, name: str) -> DataFrame:
-    """``name``: the count of ``part``. A common part is in many phrases, so the
-    counts are repeated over ``SALTS`` keys."""
-    salted = counts.select(F.col("lang"), F.col("phrase").alias("part"), F.col("f").alias(name),
-                           F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    return (phrases.withColumn("part", part).withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int"))
+def _with_count(phrases: DataFrame, part: Column, counts: DataFrame, name: str, crowd: int) -> DataFrame:
+    """``name``: the count of ``part``. A part with a count of ``crowd`` or more
+    may be in very many phrases: these are salted, by as many salts as the count
+    holds crowds. There are at most ``MAX_HOT`` such parts, which are broadcast."""
+    keyed = counts.select("lang", F.col("phrase").alias("part"), F.col("f").alias(name), (F.expr(f"f div {crowd}") + 1).cast("int").alias("salts"))
+    crowded = keyed.where("salts > 1").select("lang", "part", "salts")
+    salted = keyed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    mine = F.pmod(F.xxhash64("phrase"), F.coalesce("salts", F.lit(1))).cast("int")
+    return (phrases.withColumn("part", part).join(F.broadcast(crowded), ["lang", "part"], "left").withColumn("salt", mine).drop("salts")
             .join(salted, ["lang", "part", "salt"]).drop("part", "salt"))
 
 
@@ -317,17 +322,23 @@ def collocations(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     of two and three words."""
     dictionary = saved(parse(docs, text_col=text_col, lang_col=lang_col, trigger=trigger), "collocations", "dictionary")
     total = dictionary.groupBy("lang").agg(F.sum(F.col("owned") * F.col("freq")).alias("n"))
+    # phrases with one first (or last) word occur least times each, and apart from each other
+    n_words = total.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    crowd = max(HOT_ROWS * least, n_words // MAX_HOT)
     counts = saved(phrase_counts(dictionary, least), "collocations", "counts")
     of = {k: counts.where(F.col("size") == k).select("lang", "phrase", "f") for k in (1, 2, 3)}
     one, two, three = of[1], *(of[k].withColumnRenamed("f", "a") for k in (2, 3))
 
-    two = _with_count(_with_count(two, _word(1), one, "l"), _word(2), one, "r").withColumn("score", _score("l", "r"))
+    def counted(phrases: DataFrame, part: Column, of: DataFrame, name: str) -> DataFrame:
+        return _with_count(phrases, part, of, name, crowd)
+
+    two = counted(counted(two, _word(1), one, "l"), _word(2), one, "r").withColumn("score", _score("l", "r"))
     longer = (three.select("lang", F.explode(F.array(F.concat_ws(" ", _word(1), _word(2)), F.concat_ws(" ", _word(2), _word(3)))).alias("phrase"), "a")
               .groupBy("lang", "phrase").agg(F.max("a").alias("longer")))
     two = two.join(longer, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("longer") < cover * F.col("a"), F.lit(True))).drop("longer")
 
-    cut = _with_count(_with_count(three, _word(1), one, "l1"), F.concat_ws(" ", _word(2), _word(3)), of[2], "r1")
-    cut = _with_count(_with_count(cut, F.concat_ws(" ", _word(1), _word(2)), of[2], "l2"), _word(3), one, "r2")
+    cut = counted(counted(three, _word(1), one, "l1"), F.concat_ws(" ", _word(2), _word(3)), of[2], "r1")
+    cut = counted(counted(cut, F.concat_ws(" ", _word(1), _word(2)), of[2], "l2"), _word(3), one, "r2")
     cut = cut.withColumn("s1", _score("l1", "r1")).withColumn("s2", _score("l2", "r2"))
     first = F.col("s1") <= F.col("s2")
     three = cut.select("lang", "phrase", "a", F.when(first, F.col("l1")).otherwise(F.col("l2")).alias("l"),

@@ -72,6 +72,13 @@ def test_least_and_top(spark):
     assert sorted(tuple(r) for r in C.collocations(frame(spark, rows * 3), least=300).collect()) == brute(rows * 3, 300)
 
 
+def test_crowded_parts_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(C, "HOT_ROWS", 1)
+    monkeypatch.setattr(C, "MAX_HOT", 10**6)
+    rows = corpus(5, 60)
+    assert sorted(tuple(r) for r in C.collocations(frame(spark, rows), least=3).collect()) == brute(rows, 3)
+
+
 def test_large_products_stay_exact(spark):
     f = 3_000_000_019
     df = spark.createDataFrame([(f, f + 10**9, 7 * 10**12)], "a long, l long, r long")
