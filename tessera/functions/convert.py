@@ -342,6 +342,42 @@ def convert_list(texts: Column, kind: str, date_pattern: str = "YYYYMMDD", with_
     return F.transform(current, finish)
 
 
+# Forms that quick_value settles; \z: a line break at the end is no plain form.
+QUICK_INT_RE = r"^[-+]?[0-9]{1,18}\z"
+QUICK_DECIMAL_RE = r"^[-+]?[0-9]{1,20}(?:\.[0-9]{1,18})?\z"
+QUICK_RATE_RE = r"^[-+]?[0-9]+(?:\.[0-9]*)?%?\z"
+QUICK_DATE_RE = r"^[0-9]{8}\z"
+
+
+def has_quick_value(kind: str, date_pattern: str, is_key: bool) -> bool:
+    """Whether ``quick_value`` serves fields of this kind. Keys must have the
+    text of their value, which amounts and rates don't."""
+    if kind == "date":
+        return date_pattern.upper() == "YYYYMMDD"
+    return not (is_key and kind in ("amount", "rate"))
+
+
+def quick_value(kind: str, v: Column) -> Column:
+    """The converted value of a stripped text in plain form, equal to that of
+    ``plan_field``; null where the text needs the whole conversion, always so
+    if it is an error."""
+    if kind == "numeric":
+        return F.when(v.rlike(QUICK_INT_RE), v.try_cast("bigint")).when(v == "", F.lit(DEFAULT_NUMBER).cast("bigint"))
+    if kind == "amount":
+        return F.when(v.rlike(QUICK_DECIMAL_RE), v.try_cast(DECIMAL_TYPE)).when(v == "", F.lit(DEFAULT_NUMBER).cast(DECIMAL_TYPE))
+    if kind == "rate":
+        number = F.btrim(v, F.lit("%")).try_cast("double") / F.when(F.contains(v, F.lit("%")), F.lit(100.0)).otherwise(F.lit(1.0))
+        return F.when(v.rlike(QUICK_RATE_RE), number.cast("float"))
+    if kind == "date":
+        year = F.substring(v, 1, 4)
+        day = F.concat(year, F.lit("-"), F.substring(v, 5, 2), F.lit("-"), F.substring(v, 7, 2)).try_cast("date")
+        start = GREGORIAN_START.strftime("%Y%m%d")
+        return (F.when((v == "") | (v == ZERO_DATE), F.lit(DEFAULT_DATE))
+                .when(v.rlike(QUICK_DATE_RE) & (year != "0000"),
+                      F.when(v >= start, day).when(day.isNotNull(), F.lit(DEFAULT_DATE))))
+    return v
+
+
 def convert_one(df: DataFrame, text: Column, datatype: str, prefix: str, keep: list,
                 date_pattern: str = "YYYYMMDD", with_key: bool = False) -> tuple[DataFrame, Converted]:
     staged, conv = convert_columns(df, [(prefix, text, datatype)], keep, date_pattern,

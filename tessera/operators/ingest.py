@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.convert import convert_columns, convert_list, field_kind
+from ..functions.convert import convert_columns, convert_list, field_kind, has_quick_value, quick_value, spark_type
 from ..functions.text import base_name, py_strip
 from .layout import Layout, field_slice
 
@@ -249,16 +249,24 @@ def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
 
 
 def _parse_wide(prepared: DataFrame, layout: Layout, options: ParseOptions) -> Parsed:
-    """The parse of layouts with many fields: fields of one datatype are cut,
-    stripped and converted as an array, by one expression whatever their number.
+    """The parse by lists: fields of one datatype make an array, whatever their number.
+
+    Nearly every text has a plain form, which one short expression per field
+    settles (``quick_value``). Texts that it leaves open, and all texts of
+    records that are not printable ASCII, go through the whole conversion
+    (``convert_list``) as a list of the open ones. The projections hold lambda
+    functions, so Spark compiles them expression by expression: no generated
+    method passes the size up to which the JIT compiles.
 
     The parsed frame holds one array of values per datatype; a field's value is
-    its element. Errors are gathered from the arrays' failing elements only.
+    its element. Errors can only be among the texts left open.
     """
     outs = layout.output_columns
     groups: dict[tuple[str, bool], list] = {}
     for c in outs:
         groups.setdefault((field_kind(c.datatype), c.is_key), []).append(c)
+    lists = {f"_list{k}": (kind, is_key, members) for k, ((kind, is_key), members) in enumerate(groups.items())}
+    quick = {name: has_quick_value(kind, options.date_pattern, is_key) for name, (kind, is_key, _) in lists.items()}
 
     def texts(members: list) -> Column:
         places = F.array(*(F.struct(F.lit(c.offset + 1).alias("at"), F.lit(c.length).alias("size")) for c in members))
@@ -266,25 +274,68 @@ def _parse_wide(prepared: DataFrame, layout: Layout, options: ParseOptions) -> P
             F.when(F.col("_ascii"), F.substring(F.col("_bytes"), p.getField("at"), p.getField("size")).cast("string"))
             .otherwise(F.substring(F.col(VALUE), p.getField("at"), p.getField("size")))))
 
-    def failing(name: str, members: list) -> Column:
-        names = F.array(*(F.lit(c.name) for c in members))
-        slots = F.transform(F.col(name), lambda s, i: F.when(s.getField("bad"), F.struct(
-            F.get(names, i).alias("column_name"), s.getField("error_text").alias("column_value"), s.getField("message").alias("error_message"))))
-        return F.filter(slots, lambda s: s.isNotNull())
+    def text_name(c) -> str:
+        return f"_text{c.position}"
+
+    def placed(array: Column) -> Column:
+        return F.transform(array, lambda v, i: F.struct(i.alias("at"), v.alias("v")))
 
-    lists = {f"_list{k}": (kind, is_key, members) for k, ((kind, is_key), members) in enumerate(groups.items())}
     good = F.length(F.col(VALUE)) == layout.record_length
-    converted = prepared.select("*", good.alias(GOOD)).select(
-        PATH, GOOD, VALUE, *(F.when(F.col(GOOD), convert_list(texts(members), kind, options.date_pattern, is_key)).alias(name)
-                             for name, (kind, is_key, members) in lists.items()))
+    cut = prepared.select("*", good.alias(GOOD)).select(
+        PATH, GOOD, VALUE, (F.col(GOOD) & F.col("_printable")).alias("_plain"),
+        *(F.when(F.col(GOOD) & F.col("_printable"),
+                 F.trim(F.substring(F.col("_bytes"), F.lit(c.offset + 1), F.lit(c.length)).cast("string"))).alias(text_name(c))
+          for name, (_, _, members) in lists.items() if quick[name] for c in members),
+        *(F.when(F.col(GOOD) & ~F.col("_printable") if quick[name] else F.col(GOOD), texts(members)).alias(f"{name}_texts")
+          for name, (_, _, members) in lists.items()))
+    tried = cut.select(
+        "*", *((F.when(F.col("_plain"), F.array(*(quick_value(kind, F.col(text_name(c))) for c in members)))
+                if quick[name] else F.lit(None).cast(T.ArrayType(spark_type(kind)))).alias(f"{name}_quick")
+               for name, (kind, _, members) in lists.items()),
+        *(placed(F.col(f"{name}_texts")).alias(f"{name}_all") for name in lists))
+
+    def still_open(name: str, members: list) -> Column:
+        if not quick[name]:
+            return F.col(f"{name}_all")
+        values = F.col(f"{name}_quick")
+        some = F.filter(placed(F.array(*(F.col(text_name(c)) for c in members))), lambda s: F.get(values, s.getField("at")).isNull())
+        return F.coalesce(F.col(f"{name}_all"), F.when(F.exists(values, lambda x: x.isNull()), some))
+
+    opened = tried.select(PATH, GOOD, VALUE, *(f"{name}_quick" for name in lists),
+                          *(still_open(name, members).alias(f"{name}_open") for name, (_, _, members) in lists.items()))
+
+    def done(name: str, kind: str, is_key: bool) -> Column:
+        rest = F.col(f"{name}_open")
+        return F.when(rest.isNotNull(), convert_list(F.transform(rest, lambda s: s.getField("v")), kind, options.date_pattern, is_key))
+
+    converted = opened.select("*", *(done(name, kind, is_key).alias(f"{name}_done") for name, (kind, is_key, _) in lists.items()))
+
+    def values_of(name: str) -> Column:
+        values, rest, made = (F.col(f"{name}_{part}") for part in ("quick", "open", "done"))
+        at, value = rest.getField("at"), made.getField("value")
+        merged = F.transform(values, lambda x, i: F.coalesce(x, F.get(value, (F.array_position(at, i) - 1).cast("int"))))
+        return F.when(rest.isNull(), values).otherwise(F.coalesce(merged, value))
+
+    def failing(name: str, members: list) -> Column:
+        names, at = F.array(*(F.lit(c.name) for c in members)), F.col(f"{name}_open").getField("at")
+        slots = F.transform(F.col(f"{name}_done"), lambda s, i: F.when(s.getField("bad"), F.struct(
+            F.get(names, F.get(at, i)).alias("column_name"), s.getField("error_text").alias("column_value"), s.getField("message").alias("error_message"))))
+        return F.coalesce(F.filter(slots, lambda s: s.isNotNull()), F.array().cast(ERROR_TYPE))
+
     checked = [failing(name, members) for name, (kind, _, members) in lists.items() if kind != "string"]
     place = {c.position: (name, i) for name, (_, _, members) in lists.items() for i, c in enumerate(members)}
-    keys = [F.concat(F.lit(f"{c.name}="), F.get(F.col(place[c.position][0]), F.lit(place[c.position][1])).getField("key_text"))
-            for c in outs if c.is_key]
-    found = converted.select("*", (F.concat(*checked) if checked else F.array().cast(ERROR_TYPE)).alias("_found"))
+    found = converted.select("*", *(values_of(name).alias(f"{name}_values") for name in lists),
+                             (F.concat(*checked) if checked else F.array().cast(ERROR_TYPE)).alias("_found"))
+
+    def key_text(c) -> Column:
+        name, i = place[c.position]
+        # where there is a quick form, the key's text is that of the value
+        return F.get(F.col(f"{name}_values"), F.lit(i)).cast("string") if quick[name] else F.get(F.col(f"{name}_done"), F.lit(i)).getField("key_text")
+
+    keys = [F.concat(F.lit(f"{c.name}="), key_text(c)) for c in outs if c.is_key]
     n_errors = F.size("_found")
     frame = found.select(
-        PATH, GOOD, *(F.col(name).getField("value").alias(f"{name}_values") for name in lists),
+        PATH, GOOD, *(f"{name}_values" for name in lists),
         (F.concat_ws("|", *keys) if keys else F.lit("")).alias(KEY),
         F.when(F.col(GOOD) & (n_errors > 0), F.col("_found")).alias(ERRORS),
         F.when(F.col(GOOD), n_errors).otherwise(F.lit(0)).alias(NERR),
