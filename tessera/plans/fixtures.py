@@ -8,6 +8,9 @@ their source table; nothing here is a fixed small input.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,11 +93,36 @@ _PATH_SQL = """
 """
 
 
+#: Files that a landing task keeps open: rows beyond that many are sorted first.
+OPEN_FILES = 64
+
+
+@contextmanager
+def _open_writers(spark: SparkSession) -> Iterator[None]:
+    """Within it, a write by folders keeps the files of a task open instead of
+    sorting the task's rows by folder, which takes memory for all of them."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def land_sources(spark: SparkSession, records: DataFrame, path: str) -> None:
+    """Write ``value, file_path`` as text files, one folder per source file name.
+
+    Records are dealt by their text, so tasks are as many as their size asks for."""
+    rows = records.select("value", F.element_at(F.split("file_path", "/"), -1).alias("src")).repartition("value")
+    with _open_writers(spark):
+        rows.write.partitionBy("src").text(path)
+
+
 def land_lineitem(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Write the records as text files (one folder per source file name, ``in/``)
     and their layout (``layout/``), as a source system would land them."""
-    (lineitem_records(spark, sf_dir).select("value", F.element_at(F.split("file_path", "/"), -1).alias("src"))
-     .repartition(8).write.partitionBy("src").text(f"{root}/in"))
+    land_sources(spark, lineitem_records(spark, sf_dir), f"{root}/in")
     write_layout(spark, f"{root}/layout")
 
 
@@ -104,11 +132,13 @@ def land_named(spark: SparkSession, sf_dir: str, root: str) -> None:
     feed; ``layout/`` the layout; ``marker/`` the control counts, one line per
     listed file in name order."""
     records = lineitem_records(spark, sf_dir).select("value", F.element_at(F.split("file_path", "/"), -1).alias("src"))
-    records.repartition("src").write.partitionBy("src").text(f"{root}/parts")
+    with _open_writers(spark):
+        records.repartition("src").write.partitionBy("src").text(f"{root}/parts")
     spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_name").coalesce(1).write.text(f"{root}/other")
     write_layout(spark, f"{root}/layout")
     empty = spark.range(1).select(F.lit(EMPTY_FILE).alias("src"), F.lit(0).cast("long").alias("n"))
-    counts = records.groupBy("src").agg(F.count(F.lit(1)).alias("n")).unionByName(empty)
+    landed = spark.read.schema("value string, src string").text(f"{root}/parts")
+    counts = landed.groupBy("src").agg(F.count(F.lit(1)).alias("n")).unionByName(empty)
     (counts.orderBy("src").select(F.concat("src", F.lit(": "), F.col("n").cast("string")).alias("value"))
      .coalesce(1).write.text(f"{root}/marker"))
     # Spark names part files itself; a source system's names are what the job reads
