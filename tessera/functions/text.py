@@ -47,6 +47,8 @@ def decode_path(path: Column) -> Column:
     index's listing (``file:/x``).
 
     A plain url_decode would turn a literal ``+`` into a space, so protect it first.
+    Paths without a percent sign are not decoded: this runs once per record.
     """
-    uri = F.regexp_replace(path, "^file:/(?!/)", "file:///")
-    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    short = F.startswith(path, F.lit("file:/")) & ~F.startswith(path, F.lit("file://"))
+    uri = F.when(short, F.concat(F.lit("file:///"), F.substr(path, F.lit(len("file:/") + 1)))).otherwise(path)
+    return F.when(F.contains(uri, F.lit("%")), F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))).otherwise(uri)

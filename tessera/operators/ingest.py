@@ -10,15 +10,18 @@ and one conversion pass feed all of them.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import add, or_
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.convert import convert_columns, convert_list, field_kind, has_quick_value, quick_value, spark_type
+from ..functions.convert import convert_list, field_kind, has_quick_value, quick_value, spark_type
 from ..functions.text import base_name, py_strip
-from .layout import Layout, field_slice
+from ..session import saved
+from .layout import Layout
 
 # Exception table column names (in order), the "fixed" flag
 # and timestamp written on every exception row, and the region markers.
@@ -91,6 +94,7 @@ class Parsed:
     options: ParseOptions
     fields: dict[int, Column]  # the typed value of each output field, by position
     _persisted: list = field(default_factory=list)
+    _counts: DataFrame | None = None  # what save_counts saved
 
     # -- outputs -------------------------------------------------------------
     def typed(self) -> DataFrame:
@@ -138,6 +142,8 @@ class Parsed:
         With a single distinct aggregate Spark aggregates by (file, key) first
         and by file second, both with map-side partial aggregation, so a file
         holding a third of all rows is still spread over many tasks."""
+        if self._counts is not None:
+            return self._counts
         n_err = F.col(NERR)
         return (self.frame.groupBy(F.col(PATH).alias("file_path"))
                 .agg(F.count(F.lit(1)).alias("raw_count"),
@@ -146,6 +152,12 @@ class Parsed:
                      F.count_if(n_err > 0).alias("dq_row_count"),
                      F.count_distinct(F.when(n_err > 0, F.col(KEY))).alias("dq_key_count")))
 
+    def save_counts(self) -> "Parsed":
+        """Aggregate ``file_counts`` once, into a shared folder (one row per file):
+        every count asked for afterwards reads that and parses nothing."""
+        self._counts = saved(self.file_counts(), "file-counts")
+        return self
+
     def summary_counts(self, distinct_by: str = "key") -> DataFrame:
         """``file_path, raw_count, loaded_count, dq_count`` from one aggregation
         (the input of ``recon.file_summary`` with ``dq_per_file=None``)."""
@@ -195,59 +207,100 @@ def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
                 value_col: str = "value", path_col: str = "file_path") -> Parsed:
     """Parse fixed-width lines with a short chain of projections.
 
-    The first projection cuts and strips every field once; the staged
-    conversion (``convert_columns``) then adds each intermediate (cleaned text,
-    regex result, parsed value) as its own column; the last projection
-    assembles typed values, the business key and the error array. All of it is
-    narrow (no shuffle). The chain runs as one whole-stage-codegen pipeline per
-    task. Layouts of ``options.wide_from`` fields or more would carry several
-    hundred columns between the stages; their fields are converted as lists, one
-    for each datatype (``_parse_wide``), with equal results.
+    Nearly every text has a plain form, which one short expression per field
+    settles (``quick_value``). Only the texts that it leaves open, and all texts
+    of records that are not printable ASCII, go through the whole conversion
+    (``convert_list``). The first projections cut and strip every field and try
+    the plain forms; a record's open texts are then put into one list for each
+    datatype, null in the places of settled ones, and records without any skip
+    the conversion. The last projection assembles typed values, the business key
+    and the array of errors. All of it is narrow (no shuffle).
+
+    No projection holds a whole conversion as columns: their code passed the
+    size up to which the JIT compiles a method. Layouts of ``options.wide_from``
+    fields or more would carry several hundred columns between the projections;
+    their values are lists throughout (``_parse_wide``), with equal results.
     """
     value = F.col(value_col)
     outs = layout.output_columns
     prepared = lines.select(value.alias(VALUE), F.col(path_col).alias(PATH), value.cast("binary").alias("_bytes"),
                             (F.octet_length(value) == F.length(value)).alias("_ascii"),
-                            value.rlike(PRINTABLE).alias("_printable"))
+                            value.rlike(PRINTABLE).alias("_printable"),
+                            (F.length(value) == layout.record_length).alias(GOOD))
     if len(outs) >= options.wide_from:
         return _parse_wide(prepared, layout, options)
-    fields = [(f"_f{c.position}_",
-               _stripped(field_slice(F.col(VALUE), c, F.col("_bytes"), F.col("_ascii"))), c.datatype)
-              for c in outs]
-    staged, conv = convert_columns(
-        prepared,
-        fields,
-        keep=[F.col(VALUE), F.col(PATH), (F.length(F.col(VALUE)) == layout.record_length).alias(GOOD)],
-        date_pattern=options.date_pattern,
-        key_fields={f"_f{c.position}_" for c in outs if c.is_key},
-    )
-    by_position = {c.position: conv[f"_f{c.position}_"] for c in outs}
-
-    key_parts = [F.concat(F.lit(f"{c.name}="), by_position[c.position].key_text) for c in outs if c.is_key]
-    key = F.concat_ws("|", *key_parts) if key_parts else F.lit("")
-
-    checked = [c for c in outs if by_position[c.position].bad is not None]
-    # One slot per checked field, null when the field is fine (no array_compact:
-    # it is a lambda function and would take this projection out of codegen).
-    errors = [F.when(by_position[c.position].bad, F.struct(
-                  F.lit(c.name).alias("column_name"),
-                  by_position[c.position].error_text.alias("column_value"),
-                  by_position[c.position].message.alias("error_message")))
-              for c in checked]
-    error_array = F.array(*errors) if errors else F.array().cast(ERROR_TYPE)
-    n_errors = sum((by_position[c.position].bad.cast("int") for c in checked), F.lit(0))
-
-    frame = staged.select(
-        F.col(PATH), F.col(GOOD),
-        *[by_position[c.position].value.alias(field_name(c.position)) for c in outs],
-        key.alias(KEY),
-        F.when(F.col(GOOD) & (n_errors > 0), error_array).alias(ERRORS),
-        F.when(F.col(GOOD), n_errors).otherwise(F.lit(0)).alias(NERR),
-        F.when(~F.col(GOOD), F.col(VALUE)).alias(REJECT),
-    )
+    lists = _lists(outs)
+    kinds = {c.position: (name, i, kind, is_key) for name, (kind, is_key, members) in lists.items() for i, c in enumerate(members)}
+
+    def text(c) -> Column:
+        return F.col(f"_text{c.position}")
+
+    def quick(c) -> Column:
+        return F.col(f"_quick{c.position}")
+
+    cut = prepared.select(PATH, GOOD, VALUE, "_bytes", "_ascii", "_printable", (F.col(GOOD) & F.col("_printable")).alias("_plain"),
+                          *(F.when(F.col(GOOD) & F.col("_printable"), _plain_text(c)).alias(f"_text{c.position}") for c in outs))
+    tried = cut.select("*", *(
+        (quick_value(kind, text(c)) if has_quick_value(kind, options.date_pattern, is_key) else F.lit(None).cast(spark_type(kind))).alias(f"_quick{c.position}")
+        for c in outs for _, _, kind, is_key in (kinds[c.position],)))
+
+    def still_open(members: list) -> Column:
+        some = reduce(or_, (quick(c).isNull() for c in members))
+        return (F.when(F.col("_plain") & some, F.array(*(F.when(quick(c).isNull(), text(c)) for c in members)))
+                .when(F.col(GOOD) & ~F.col("_printable"), _texts(members)))
+
+    kept = [PATH, GOOD, VALUE, *(f"_quick{c.position}" for c in outs)]
+    # of a null list, the conversion is null
+    converted = tried.select(*kept, *(convert_list(still_open(members), kind, options.date_pattern, is_key).alias(f"{name}_done")
+                                      for name, (kind, is_key, members) in lists.items()))
+
+    def done(c, part: str) -> Column:
+        name, i, _, _ = kinds[c.position]
+        return F.get(F.col(f"{name}_done"), F.lit(i)).getField(part)
+
+    def bad(c) -> Column:  # a settled text is no error
+        return quick(c).isNull() & F.coalesce(done(c, "bad"), F.lit(False))
+
+    checked = [c for c in outs if kinds[c.position][2] != "string"]
+    found = converted.select(
+        PATH, GOOD, *(F.coalesce(quick(c), done(c, "value")).alias(field_name(c.position)) for c in outs),
+        # where there is a quick form, the key's text is that of the value
+        *(F.coalesce(quick(c).cast("string"), done(c, "key_text")).alias(f"_key{c.position}") for c in outs if c.is_key),
+        # one slot per checked field, null when the field is fine
+        *(F.when(bad(c), F.struct(F.lit(c.name).alias("column_name"), done(c, "error_text").alias("column_value"),
+                                  done(c, "message").alias("error_message"))).alias(f"_error{c.position}") for c in checked),
+        F.when(F.col(GOOD), reduce(add, (bad(c).cast("int") for c in checked), F.lit(0))).otherwise(F.lit(0)).alias(NERR),
+        F.when(~F.col(GOOD), F.col(VALUE)).alias(REJECT))
+    keys = [F.concat(F.lit(f"{c.name}="), F.col(f"_key{c.position}")) for c in outs if c.is_key]
+    errors = F.array(*(F.col(f"_error{c.position}") for c in checked)) if checked else F.array().cast(ERROR_TYPE)
+    frame = found.select(
+        PATH, GOOD, *(field_name(c.position) for c in outs),
+        (F.concat_ws("|", *keys) if keys else F.lit("")).alias(KEY),
+        F.when(F.col(NERR) > 0, errors).alias(ERRORS), NERR, REJECT)
     return Parsed(frame, layout, options, {c.position: F.col(field_name(c.position)) for c in outs})
 
 
+def _lists(fields) -> dict[str, tuple[str, bool, list]]:
+    """Fields that are converted alike, each group under a name: ``kind, is_key, fields``."""
+    groups: dict[tuple[str, bool], list] = {}
+    for c in fields:
+        groups.setdefault((field_kind(c.datatype), c.is_key), []).append(c)
+    return {f"_list{k}": (kind, is_key, members) for k, ((kind, is_key), members) in enumerate(groups.items())}
+
+
+def _plain_text(c) -> Column:
+    """A field's stripped text in a printable ASCII record."""
+    return F.trim(F.substring(F.col("_bytes"), F.lit(c.offset + 1), F.lit(c.length)).cast("string"))
+
+
+def _texts(members: list) -> Column:
+    """The stripped texts of fields, in whatever record."""
+    places = F.array(*(F.struct(F.lit(c.offset + 1).alias("at"), F.lit(c.length).alias("size")) for c in members))
+    return F.transform(places, lambda p: _stripped(
+        F.when(F.col("_ascii"), F.substring(F.col("_bytes"), p.getField("at"), p.getField("size")).cast("string"))
+        .otherwise(F.substring(F.col(VALUE), p.getField("at"), p.getField("size")))))
+
+
 def _parse_wide(prepared: DataFrame, layout: Layout, options: ParseOptions) -> Parsed:
     """The parse by lists: fields of one datatype make an array, whatever their number.
 
@@ -262,31 +315,21 @@ def _parse_wide(prepared: DataFrame, layout: Layout, options: ParseOptions) -> P
     its element. Errors can only be among the texts left open.
     """
     outs = layout.output_columns
-    groups: dict[tuple[str, bool], list] = {}
-    for c in outs:
-        groups.setdefault((field_kind(c.datatype), c.is_key), []).append(c)
-    lists = {f"_list{k}": (kind, is_key, members) for k, ((kind, is_key), members) in enumerate(groups.items())}
+    lists = _lists(outs)
     quick = {name: has_quick_value(kind, options.date_pattern, is_key) for name, (kind, is_key, _) in lists.items()}
 
-    def texts(members: list) -> Column:
-        places = F.array(*(F.struct(F.lit(c.offset + 1).alias("at"), F.lit(c.length).alias("size")) for c in members))
-        return F.transform(places, lambda p: _stripped(
-            F.when(F.col("_ascii"), F.substring(F.col("_bytes"), p.getField("at"), p.getField("size")).cast("string"))
-            .otherwise(F.substring(F.col(VALUE), p.getField("at"), p.getField("size")))))
-
     def text_name(c) -> str:
         return f"_text{c.position}"
 
     def placed(array: Column) -> Column:
         return F.transform(array, lambda v, i: F.struct(i.alias("at"), v.alias("v")))
 
-    good = F.length(F.col(VALUE)) == layout.record_length
-    cut = prepared.select("*", good.alias(GOOD)).select(
+    cut = prepared.select(
         PATH, GOOD, VALUE, (F.col(GOOD) & F.col("_printable")).alias("_plain"),
         *(F.when(F.col(GOOD) & F.col("_printable"),
-                 F.trim(F.substring(F.col("_bytes"), F.lit(c.offset + 1), F.lit(c.length)).cast("string"))).alias(text_name(c))
+                 _plain_text(c)).alias(text_name(c))
           for name, (_, _, members) in lists.items() if quick[name] for c in members),
-        *(F.when(F.col(GOOD) & ~F.col("_printable") if quick[name] else F.col(GOOD), texts(members)).alias(f"{name}_texts")
+        *(F.when(F.col(GOOD) & ~F.col("_printable") if quick[name] else F.col(GOOD), _texts(members)).alias(f"{name}_texts")
           for name, (_, _, members) in lists.items()))
     tried = cut.select(
         "*", *((F.when(F.col("_plain"), F.array(*(quick_value(kind, F.col(text_name(c))) for c in members)))

@@ -302,7 +302,7 @@ def fw_join_counts(spark, sf_dir):
     (those of every third order here) and listed files without rows count 0."""
     lines = lineitem_records(spark, sf_dir)
     clean = clean_records(spark, sf_dir).withColumn("file_path", F.replace("file_path", F.lit("/LI."), F.lit("/LI.CLEAN.")))
-    parsed = parse_lines(lines.unionByName(clean), lineitem_layout(), ParseOptions(LINEITEM_TABLE, extra_columns=EXTRA))
+    parsed = parse_lines(lines.unionByName(clean), lineitem_layout(), ParseOptions(LINEITEM_TABLE, extra_columns=EXTRA)).save_counts()
     counts = parsed.file_counts().select("file_path", "raw_count", "loaded_count")
     listed = counts.select("file_path").unionByName(counts.select(F.concat("file_path", F.lit(".EMPTY")).alias("file_path")))
     inventory = listed.select("file_path", base_name(F.col("file_path")).alias("file_name"))
