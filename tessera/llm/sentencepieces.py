@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding over a piece table.
 
 Encoding follows the relational lattice, over the distinct words of each slice
-of a task's documents, as columns:
+of a task's documents, as columns. The ids of words met before are remembered
+(``_Words``), so only those new to a task go through it:
 
 1. *Explode*: every substring of a word, up to the longest piece, one row each
    (a start is dropped once its substring begins no piece).
@@ -51,6 +52,8 @@ _BITS = 22  # bitmaps over hash prefixes: half a megabyte each
 _CACHE = 1 << 21
 #: Text bytes encoded at once: the lattice takes some 150 bytes of memory for each.
 ENCODE_BYTES = 500_000
+#: Words, and ids of words, that a task remembers before it forgets the rare ones.
+KEPT_WORDS, KEPT_IDS = 1 << 19, 1 << 22
 
 
 class PieceTable:
@@ -192,9 +195,60 @@ def _merge(word: str, table: PieceTable, last: float = np.inf) -> list[int]:
     return [s for s in symbol if s is not None]
 
 
+class _Words:
+    """Ids of words that were encoded, by the words' hashes (in order)."""
+
+    def __init__(self):
+        self.hashes, self.again = np.zeros(0, np.uint64), np.zeros(0, bool)  # again: met in a later slice too
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
+
+    def make_room(self) -> None:
+        """Once there are too many words, forget those not met again; all, if
+        that leaves too many."""
+        if len(self.hashes) <= KEPT_WORDS and self.used <= KEPT_IDS:
+            return
+        old, kept = (self.hashes, self.first, self.count, self.ids), np.flatnonzero(self.again)
+        self.__init__()
+        hashes, first, count = (x[kept] for x in old[:3])
+        offsets = np.concatenate([[0], np.cumsum(count)])
+        if len(kept) <= KEPT_WORDS // 2 and offsets[-1] <= KEPT_IDS // 2:
+            self.add(hashes, old[3][np.repeat(first - offsets[:-1], count) + np.arange(offsets[-1])], offsets)
+
+    def missing(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of the ``hashes`` that are not here."""
+        if not len(self.hashes):
+            return np.arange(len(hashes))
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        here = self.hashes[at] == hashes
+        self.again[at[here]] = True
+        return np.flatnonzero(~here)
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, offsets: np.ndarray) -> None:
+        """Words that are not here yet, in order of their hashes."""
+        end = self.used + len(ids)
+        if end > len(self.ids):
+            grown = np.zeros(2 * end, np.int32)
+            grown[:self.used] = self.ids[:self.used]
+            self.ids = grown
+        self.ids[self.used:end] = ids
+        at = np.searchsorted(self.hashes, hashes)
+        self.first = np.insert(self.first, at, self.used + offsets[:-1])
+        self.count = np.insert(self.count, at, np.diff(offsets))
+        self.again = np.insert(self.again, at, False)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.used = end
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``ids`` the words' ids begin, and how many they are."""
+        at = np.searchsorted(self.hashes, hashes)
+        return self.first[at], self.count[at]
+
+
 class Encoder:
     def __init__(self, table: PieceTable):
         self.table = table
+        self.words = _Words()
         self.pairs = _Pairs(table)
         self.known = np.zeros(0x110000, bool)
         lengths = np.array([len(table.pieces[i]) for i in table.normal])
@@ -233,13 +287,15 @@ class Encoder:
         start = np.flatnonzero(first)
         end = np.append(start[1:], len(points))
         span = _hash(points)
-        _, chosen, which = np.unique(span(start, end), return_index=True, return_inverse=True)
-        ids, word_offsets = self._encode_words(points, span, start[chosen], end[chosen], strange)
-        count = np.diff(word_offsets)[which]
+        distinct, chosen, which = np.unique(span(start, end), return_index=True, return_inverse=True)
+        self.words.make_room()
+        new = self.words.missing(distinct)
+        if len(new):
+            self.words.add(distinct[new], *self._encode_words(points, span, start[chosen[new]], end[chosen[new]], strange))
+        first, count = (x[which] for x in self.words.places(distinct))
         total = np.concatenate([[0], np.cumsum(count)])
-        within = np.arange(total[-1]) - np.repeat(total[:-1], count)
-        out = ids[np.repeat(word_offsets[which], count) + within]
-        return out.astype(np.int32), total[np.searchsorted(start, bounds)]
+        out = self.words.ids[np.repeat(first - total[:-1], count) + np.arange(total[-1])]
+        return out, total[np.searchsorted(start, bounds)]
 
     def _encode_words(self, points, span, start, end, strange):
         """Ids and offsets of distinct words given as spans of ``points``."""
@@ -379,13 +435,16 @@ def encode_pieces(df: DataFrame, model: bytes, *, text_col: str = "text", ids_co
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, _ = _codec(model)
-        for batch in batches:
-            for part in slices(batch, text_col, ENCODE_BYTES):
-                column = part.column(text_col)
-                ids, offsets = encoder.encode(*utf8(column))
-                null = np.append(column.is_null().to_numpy(zero_copy_only=False), False)
-                made = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32), mask=null), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([*part.columns, made], [*part.schema.names, ids_col])
+        try:
+            for batch in batches:
+                for part in slices(batch, text_col, ENCODE_BYTES):
+                    column = part.column(text_col)
+                    ids, offsets = encoder.encode(*utf8(column))
+                    null = np.append(column.is_null().to_numpy(zero_copy_only=False), False)
+                    made = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32), mask=null), pa.array(ids))
+                    yield pa.RecordBatch.from_arrays([*part.columns, made], [*part.schema.names, ids_col])
+        finally:  # the worker lives on, and other stages need the memory
+            encoder.words = _Words()
 
     return kept.mapInArrow(task, schema)
 

@@ -44,3 +44,36 @@ def test_encode_and_decode_frames(spark, model, library):
     assert S.encode_pieces(empty(spark), model).count() == 0
     with pytest.raises(Exception, match="not in the piece table"):
         S.decode_pieces(spark.createDataFrame([([99_999_999],)], "ids array<int>"), model).collect()
+
+
+@pytest.mark.parametrize("kept", [1, 40, 1 << 19])
+def test_words_are_encoded_once_and_rare_ones_forgotten(model, library, monkeypatch, kept):
+    monkeypatch.setattr(S, "KEPT_WORDS", kept)
+    encoder, through = S.Encoder(S.PieceTable(model)), []
+    whole = encoder._encode_words
+    monkeypatch.setattr(encoder, "_encode_words", lambda points, span, start, end, strange: (
+        through.append(len(start)), whole(points, span, start, end, strange))[1])
+    rng = random.Random(5)
+    common = ["the", "of", "and  ", "é", "日本", " x"]
+    for _ in range(30):
+        texts = [" ".join([*rng.choices(common, k=20), f"w{rng.randrange(10**9)}"]) for _ in range(5)]
+        ids, offsets = encoder.encode(*utf8(pa.array([*texts, ""])))
+        assert [ids[lo:hi].tolist() for lo, hi in zip(offsets, offsets[1:], strict=False)] == [library.encode(t) for t in [*texts, ""]]
+        assert len(encoder.words.hashes) <= kept + 40
+    if kept > 1:
+        assert sum(through) < 30 * 10
+
+
+def test_a_task_leaves_no_words_in_the_worker(model, monkeypatch):
+    class Rows:  # hands the task over instead of running it
+        columns, schema = ["text"], S.T.StructType([S.T.StructField("text", S.T.StringType())])
+
+        def mapInArrow(self, task, schema):
+            return task
+
+    monkeypatch.setattr(S, "_with_column", lambda df, name, kind: (df, df.schema))
+    monkeypatch.setattr(S, "_ready", {})
+    encoder, _ = S._codec(model)
+    rows = S.encode_pieces(Rows(), model)(iter([pa.RecordBatch.from_pydict({"text": ["one two", None]})]))
+    assert next(rows).num_rows == 2 and len(encoder.words.hashes) == 2
+    assert list(rows) == [] and len(encoder.words.hashes) == 0
