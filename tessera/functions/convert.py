@@ -227,6 +227,18 @@ def date_regex(pattern: str) -> tuple[str, str]:
     return regex, f"{ref('Y', '1900')}-{ref('m', '1')}-{ref('d', '1')}"
 
 
+def is_day(v: Column) -> Column:
+    """Whether eight digits, ``yyyymmdd``, are a day of the calendar (no year 0).
+    A cast of a text that is none is null too, but makes an exception first,
+    which takes far longer than all else that is done to a date."""
+    year, month, day = F.substring(v, 1, 4), F.substring(v, 5, 2), F.substring(v, 7, 2)
+    y = year.try_cast("int")
+    leap = (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0))
+    last = (F.when(month == "02", F.when(leap, F.lit("29")).otherwise(F.lit("28")))
+            .when(month.isin("04", "06", "09", "11"), F.lit("30")).otherwise(F.lit("31")))
+    return (year != "0000") & month.between("01", "12") & day.between(F.lit("01"), last)
+
+
 _MATCH_MARK = "\u0001"
 
 
@@ -252,7 +264,7 @@ def plan_date(ref: Ref, pattern: str = "YYYYMMDD", with_key: bool = True) -> Fie
                          F.split(F.substr(ref("r"), F.lit(2)), "-"))},
         # year 0 does not exist (strptime rejects it); the month is 1-12 by the
         # regex; the day must exist in that month (no 30 February)
-        {"p": F.when(ref("q"), F.when(year != "0000", iso.try_cast("date")))
+        {"p": F.when(ref("q"), F.when(is_day(v), iso.try_cast("date")))
               .when((y >= 1) & (d <= F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1))))),
                      F.make_date(y, m, d))},
     ]
@@ -358,9 +370,10 @@ def has_quick_value(kind: str, date_pattern: str, is_key: bool) -> bool:
 
 
 def quick_value(kind: str, v: Column) -> Column:
-    """The converted value of a stripped text in plain form, equal to that of
+    """The converted value of a text in plain form, equal to that of
     ``plan_field``; null where the text needs the whole conversion, always so
-    if it is an error."""
+    if it is an error. Of an ASCII text only the blanks need be stripped: with
+    other white space at an end it has no plain form."""
     if kind == "numeric":
         return F.when(v.rlike(QUICK_INT_RE), v.try_cast("bigint")).when(v == "", F.lit(DEFAULT_NUMBER).cast("bigint"))
     if kind == "amount":
@@ -373,9 +386,10 @@ def quick_value(kind: str, v: Column) -> Column:
         day = F.concat(year, F.lit("-"), F.substring(v, 5, 2), F.lit("-"), F.substring(v, 7, 2)).try_cast("date")
         start = GREGORIAN_START.strftime("%Y%m%d")
         return (F.when((v == "") | (v == ZERO_DATE), F.lit(DEFAULT_DATE))
-                .when(v.rlike(QUICK_DATE_RE) & (year != "0000"),
-                      F.when(v >= start, day).when(day.isNotNull(), F.lit(DEFAULT_DATE))))
-    return v
+                .when(v.rlike(QUICK_DATE_RE) & is_day(v),
+                      F.when(v >= start, day).otherwise(F.lit(DEFAULT_DATE))))
+    # from "!" on, no character of ASCII is white space
+    return F.when((v == "") | ((v >= "!") & (F.substring(v, -1, 1) >= "!")), v)
 
 
 def convert_one(df: DataFrame, text: Column, datatype: str, prefix: str, keep: list,

@@ -208,13 +208,12 @@ def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
     """Parse fixed-width lines with a short chain of projections.
 
     Nearly every text has a plain form, which one short expression per field
-    settles (``quick_value``). Only the texts that it leaves open, and all texts
-    of records that are not printable ASCII, go through the whole conversion
-    (``convert_list``). The first projections cut and strip every field and try
-    the plain forms; a record's open texts are then put into one list for each
-    datatype, null in the places of settled ones, and records without any skip
-    the conversion. The last projection assembles typed values, the business key
-    and the array of errors. All of it is narrow (no shuffle).
+    settles (``quick_value``). Only the texts that it leaves open go through the
+    whole conversion (``convert_list``). The first projections cut every field
+    and try the plain forms; a record's open texts are then put into one list
+    for each datatype, null in the places of settled ones, and records without
+    any skip the conversion. The last projection assembles typed values, the
+    business key and the array of errors. All of it is narrow (no shuffle).
 
     No projection holds a whole conversion as columns: their code passed the
     size up to which the JIT compiles a method. Layouts of ``options.wide_from``
@@ -238,21 +237,25 @@ def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
     def quick(c) -> Column:
         return F.col(f"_quick{c.position}")
 
-    cut = prepared.select(PATH, GOOD, VALUE, "_bytes", "_ascii", "_printable", (F.col(GOOD) & F.col("_printable")).alias("_plain"),
-                          *(F.when(F.col(GOOD) & F.col("_printable"), _plain_text(c)).alias(f"_text{c.position}") for c in outs))
+    # blanks are stripped; other white space only where it costs nothing (not in
+    # ASCII records), as no text that has any at its ends is settled
+    cut = prepared.select(PATH, GOOD, VALUE, *(
+        F.when(F.col(GOOD), F.when(F.col("_ascii"), _plain_text(c)).otherwise(py_strip(F.substring(VALUE, c.offset + 1, c.length)))).alias(f"_text{c.position}")
+        for c in outs))
     tried = cut.select("*", *(
         (quick_value(kind, text(c)) if has_quick_value(kind, options.date_pattern, is_key) else F.lit(None).cast(spark_type(kind))).alias(f"_quick{c.position}")
         for c in outs for _, _, kind, is_key in (kinds[c.position],)))
 
     def still_open(members: list) -> Column:
         some = reduce(or_, (quick(c).isNull() for c in members))
-        return (F.when(F.col("_plain") & some, F.array(*(F.when(quick(c).isNull(), text(c)) for c in members)))
-                .when(F.col(GOOD) & ~F.col("_printable"), _texts(members)))
+        return F.when(F.col(GOOD) & some, F.array(*(F.when(quick(c).isNull(), py_strip(text(c))) for c in members)))
 
     kept = [PATH, GOOD, VALUE, *(f"_quick{c.position}" for c in outs)]
-    # of a null list, the conversion is null
-    converted = tried.select(*kept, *(convert_list(still_open(members), kind, options.date_pattern, is_key).alias(f"{name}_done")
-                                      for name, (kind, is_key, members) in lists.items()))
+    opened = tried.select(*kept, *(still_open(members).alias(f"{name}_open") for name, (_, _, members) in lists.items()))
+    # the list functions are interpreted: nothing of them is reached without an open text
+    converted = opened.select(*kept, *(
+        F.when(F.col(f"{name}_open").isNotNull(), convert_list(F.col(f"{name}_open"), kind, options.date_pattern, is_key)).alias(f"{name}_done")
+        for name, (kind, is_key, _) in lists.items()))
 
     def done(c, part: str) -> Column:
         name, i, _, _ = kinds[c.position]
