@@ -178,17 +178,22 @@ class Parsed:
                 .select("file_path", F.col(col).alias("dq_count")))
 
     # -- materialization -------------------------------------------------------
+    def _asked_for(self) -> DataFrame:
+        """The parsed lines without the business keys of rows that have no error:
+        no output asks for them, and they would be the stage's largest column."""
+        return self.frame.withColumn(KEY, F.when(F.col(NERR) > 0, F.col(KEY)))
+
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "Parsed":
         """Keep the parsed lines so the outputs do not re-read and re-parse the text.
         Lost executor blocks are recomputed from the (short, narrow) lineage."""
-        self.frame = self.frame.persist(level)
+        self.frame = self._asked_for().persist(level)
         self._persisted.append(self.frame)
         return self
 
     def stage(self, path: str) -> "Parsed":
         """Write the parsed lines once to shared storage and read them back; cuts
         lineage and survives executor loss without re-parsing."""
-        self.frame.write.mode("overwrite").parquet(path)
+        self._asked_for().write.mode("overwrite").parquet(path)
         self.frame = self.frame.sparkSession.read.parquet(path)
         return self
 

@@ -140,3 +140,14 @@ def test_per_file_counts_match_fixtures_sf01(spark):
     assert got == EXPECTED_SF01
     by_col = {r.column_name: r["count"] for r in p.exceptions().groupBy("column_name").count().collect()}
     assert by_col == ERRORS_BY_COLUMN_SF01
+
+
+def test_stage_holds_the_keys_of_failing_rows_only(spark, tmp_dir):
+    whole = parsed(spark)
+    staged, kept = parsed(spark).stage(f"{tmp_dir}/stage"), parsed(spark).persist()
+    for p in (staged, kept):
+        assert p.frame.where((F.col("_n_errors") > 0) != F.col("_key").isNotNull()).count() == 0
+        for output in ("typed", "exceptions", "width_rejects", "file_counts"):
+            a, b = getattr(p, output)(), getattr(whole, output)()
+            assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0, output
+    kept.unpersist()
