@@ -328,16 +328,18 @@ def convert_list(texts: Column, kind: str, date_pattern: str = "YYYYMMDD", with_
     ``transform`` that adds its intermediates to the element's struct, so the
     plan has the size of one field however many there are. Elements of the
     result: ``value, bad, error_text, message, key_text``; the texts are null
-    unless the value is an error or a key.
+    unless the value is an error or a key. Null elements stay null, and cost
+    nothing but the passing.
     """
     def plan(element: Column) -> FieldPlan:
         return plan_field(kind, element.getField, date_pattern, with_key)
 
     stages = [list(stage) for stage in plan(F.lit(None)).stages]
-    names, current = ["v"], F.transform(texts, lambda v: F.struct(v.alias("v")))
+    names, current = ["v"], F.transform(texts, lambda v: F.when(v.isNotNull(), F.struct(v.alias("v"))))
+
     def stage(k: int, before: tuple[str, ...]) -> Callable[[Column], Column]:
         def step(s: Column) -> Column:
-            return F.struct(*(s.getField(n).alias(n) for n in before), *(e.alias(n) for n, e in plan(s).stages[k].items()))
+            return F.when(s.isNotNull(), F.struct(*(s.getField(n).alias(n) for n in before), *(e.alias(n) for n, e in plan(s).stages[k].items())))
         return step
 
     for k, added in enumerate(stages):
@@ -348,8 +350,9 @@ def convert_list(texts: Column, kind: str, date_pattern: str = "YYYYMMDD", with_
         c = plan(s).result
         bad = F.lit(False) if c.bad is None else c.bad
         text, message = (F.lit(None).cast("string") if x is None or c.bad is None else F.when(bad, x) for x in (c.error_text, c.message))
-        return F.struct(c.value.alias("value"), bad.alias("bad"), text.alias("error_text"), message.alias("message"),
-                        (c.key_text if with_key else F.lit(None).cast("string")).alias("key_text"))
+        return F.when(s.isNotNull(), F.struct(
+            c.value.alias("value"), bad.alias("bad"), text.alias("error_text"), message.alias("message"),
+            (c.key_text if with_key else F.lit(None).cast("string")).alias("key_text")))
 
     return F.transform(current, finish)
 
@@ -369,29 +372,120 @@ def has_quick_value(kind: str, date_pattern: str, is_key: bool) -> bool:
     return not (is_key and kind in ("amount", "rate"))
 
 
-def quick_value(kind: str, v: Column) -> Column:
+def quick_value(kind: str, v: Column, known: Column | None = None) -> Column:
     """The converted value of a text in plain form, equal to that of
     ``plan_field``; null where the text needs the whole conversion, always so
     if it is an error. Of an ASCII text only the blanks need be stripped: with
-    other white space at an end it has no plain form."""
+    other white space at an end it has no plain form. Numbers ``known`` to have
+    a plain form (``all_plain``) are not tested again."""
+    def plain(regex: str) -> Column:
+        return v.rlike(regex) if known is None else known | v.rlike(regex)
+
     if kind == "numeric":
-        return F.when(v.rlike(QUICK_INT_RE), v.try_cast("bigint")).when(v == "", F.lit(DEFAULT_NUMBER).cast("bigint"))
+        return F.when(v == "", F.lit(DEFAULT_NUMBER).cast("bigint")).when(plain(QUICK_INT_RE), v.try_cast("bigint"))
     if kind == "amount":
-        return F.when(v.rlike(QUICK_DECIMAL_RE), v.try_cast(DECIMAL_TYPE)).when(v == "", F.lit(DEFAULT_NUMBER).cast(DECIMAL_TYPE))
-    if kind == "rate":
-        number = F.btrim(v, F.lit("%")).try_cast("double") / F.when(F.contains(v, F.lit("%")), F.lit(100.0)).otherwise(F.lit(1.0))
-        return F.when(v.rlike(QUICK_RATE_RE), number.cast("float"))
+        return F.when(v == "", F.lit(DEFAULT_NUMBER).cast(DECIMAL_TYPE)).when(plain(QUICK_DECIMAL_RE), v.try_cast(DECIMAL_TYPE))
+    if kind == "rate":  # a plain form has its only % at the end
+        number = F.when(F.endswith(v, F.lit("%")), F.substring_index(v, "%", 1).try_cast("double") / 100.0).otherwise(v.try_cast("double"))
+        return F.when(plain(QUICK_RATE_RE), number.cast("float"))
     if kind == "date":
         year = F.substring(v, 1, 4)
         day = F.concat(year, F.lit("-"), F.substring(v, 5, 2), F.lit("-"), F.substring(v, 7, 2)).try_cast("date")
         start = GREGORIAN_START.strftime("%Y%m%d")
         return (F.when((v == "") | (v == ZERO_DATE), F.lit(DEFAULT_DATE))
-                .when(v.rlike(QUICK_DATE_RE) & is_day(v),
+                .when(plain(QUICK_DATE_RE) & is_day(v),
                       F.when(v >= start, day).otherwise(F.lit(DEFAULT_DATE))))
     # from "!" on, no character of ASCII is white space
     return F.when((v == "") | ((v >= "!") & (F.substring(v, -1, 1) >= "!")), v)
 
 
+def has_plain_form(kind: str, v: Column, known: Column) -> Column:
+    """Whether ``quick_value`` settles a text: it is no error then."""
+    if kind == "date":
+        return (v == "") | (v == ZERO_DATE) | ((known | v.rlike(QUICK_DATE_RE)) & is_day(v))
+    if kind == "string":
+        return quick_value(kind, v).isNotNull()
+    plain = known | v.rlike(QUICK_RE[kind])
+    return plain if kind == "rate" else (v == "") | plain
+
+
+#: The plain forms by kind. As often as not all texts of a record have theirs.
+QUICK_RE = {"numeric": QUICK_INT_RE, "amount": QUICK_DECIMAL_RE, "rate": QUICK_RATE_RE, "date": QUICK_DATE_RE}
+#: The same for texts that each end in a line break (possessive: none is read twice).
+_QUICK_LINE_RE = {
+    "numeric": r"(?:[-+]?+[0-9]{1,18}+)?+\n",
+    "amount": r"(?:[-+]?+[0-9]{1,20}+(?:\.[0-9]{1,18}+)?+)?+\n",
+    "rate": r"[-+]?+[0-9]++(?:\.[0-9]*+)?+%?+\n",
+    "date": r"(?:[0-9]{8}+)?+\n",
+}
+
+
+def _others(allowed: str) -> str:
+    """The printable ASCII characters that are not ``allowed``, for a regex class."""
+    return "".join(f"\\x{n:02x}" for n in range(0x21, 0x7F) if chr(n) not in allowed)
+
+
+#: Characters that make a text an error wherever they stand in it.
+_FOREIGN = {
+    "numeric": _others("0123456789+-._"),
+    "amount": _others("0123456789+-._eE"),
+    "rate": _others("0123456789+-._eE%" + "infinitynan" + "INFINITYNAN"),
+    "date": _others("0123456789"),
+}
+
+
+def has_default(kind: str, v: Column) -> Column:
+    """Whether a text without a plain form has its kind's default for its value
+    as a glance at its characters shows (False: the conversion must tell)."""
+    if kind == "string":
+        return F.lit(False)
+    foreign = v.rlike(f"[{_FOREIGN[kind]}]")
+    return foreign | (v == "") if kind == "rate" else foreign
+
+
+def joined(texts: list[Column]) -> Column:
+    """The texts that ``all_plain`` and ``all_settled`` test, as one. (Another
+    line break, within a text, makes one line too many.)"""
+    return F.concat_ws("\n", *texts, F.lit(""))
+
+
+def all_plain(kind: str, text: Column, n: int) -> Column:
+    """Whether ``n`` joined texts of numbers or dates all match the kind's plain
+    form or, except rates, are blank, by one regex for all of them."""
+    return text.rlike(f"^(?:{_QUICK_LINE_RE[kind]}){{{n}}}+\\z")
+
+
+def all_settled(kind: str, text: Column, n: int) -> Column:
+    """Whether all are that, or have the default (``has_default``)."""
+    foreign = _FOREIGN[kind]
+    return text.rlike(f"^(?:{_QUICK_LINE_RE[kind]}|\n|[^\n{foreign}]*+[{foreign}][^\n]*+\n){{{n}}}+\\z")
+
+
+def default_value(kind: str) -> Column:
+    """What a blank text or an error is replaced by."""
+    default = {"date": DEFAULT_DATE, "rate": DEFAULT_RATE, "string": ""}.get(kind, DEFAULT_NUMBER)
+    return F.lit(default).cast(spark_type(kind))
+
+
+def day_number(v: Column, known: Column) -> Column:
+    """Eight digits, ``yyyymmdd``, as a number; null for other texts."""
+    return F.when((v != "") & (known | v.rlike(QUICK_DATE_RE)), v.try_cast("int"))
+
+
+def number_date(n: Column) -> Column:
+    """The converted value of a day number: ``DEFAULT_DATE`` if it is no day, or
+    one before the calendar's start."""
+    def div(k: int) -> Column:
+        return F.call_function("div", n, F.lit(k)).cast("int")
+
+    year, month, day = div(10_000), div(100) % 100, n % 100
+    leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+    last = (F.when(month == 2, F.when(leap, F.lit(29)).otherwise(F.lit(28)))
+            .when(month.isin(4, 6, 9, 11), F.lit(30)).otherwise(F.lit(31)))
+    real = (n >= int(GREGORIAN_START.strftime("%Y%m%d"))) & month.between(1, 12) & (day >= 1) & (day <= last)
+    return F.when(real, F.make_date(year, month, day)).otherwise(F.lit(DEFAULT_DATE))
+
+
 def convert_one(df: DataFrame, text: Column, datatype: str, prefix: str, keep: list,
                 date_pattern: str = "YYYYMMDD", with_key: bool = False) -> tuple[DataFrame, Converted]:
     staged, conv = convert_columns(df, [(prefix, text, datatype)], keep, date_pattern,

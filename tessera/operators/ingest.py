@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.convert import convert_list, field_kind, has_quick_value, quick_value, spark_type
+from ..functions.convert import (QUICK_RE, all_plain, all_settled, convert_list, day_number, default_value, field_kind, has_default, has_plain_form,
+                                 has_quick_value, joined, number_date, quick_value, spark_type)
 from ..functions.text import base_name, py_strip
 from ..session import saved
 from .layout import Layout
@@ -32,8 +33,6 @@ ROW_FIXED_TIMESTAMP = ""
 REGION_AU_MARK, REGION_NZ_MARK = ".AU_", ".NZ_"
 REGION_AU, REGION_NZ = "AU", "NZ"
 
-PRINTABLE = r"^[ -~]*$"
-
 # Internal column names of the parsed frame.
 GOOD, PATH, KEY, ERRORS, NERR, REJECT, VALUE = "_good", "_path", "_key", "_errors", "_n_errors", "_reject", "_value"
 
@@ -203,11 +202,6 @@ class Parsed:
         self._persisted.clear()
 
 
-def _stripped(text: Column) -> Column:
-    """``py_strip``; in printable ASCII records a blank is the only white space."""
-    return F.when(F.col("_printable"), F.trim(text)).otherwise(py_strip(text))
-
-
 def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
                 value_col: str = "value", path_col: str = "file_path") -> Parsed:
     """Parse fixed-width lines with a short chain of projections.
@@ -227,12 +221,11 @@ def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
     """
     value = F.col(value_col)
     outs = layout.output_columns
+    if len(outs) >= options.wide_from:
+        return _parse_wide(lines, layout, options, value_col, path_col)
     prepared = lines.select(value.alias(VALUE), F.col(path_col).alias(PATH), value.cast("binary").alias("_bytes"),
                             (F.octet_length(value) == F.length(value)).alias("_ascii"),
-                            value.rlike(PRINTABLE).alias("_printable"),
                             (F.length(value) == layout.record_length).alias(GOOD))
-    if len(outs) >= options.wide_from:
-        return _parse_wide(prepared, layout, options)
     lists = _lists(outs)
     kinds = {c.position: (name, i, kind, is_key) for name, (kind, is_key, members) in lists.items() for i, c in enumerate(members)}
 
@@ -245,7 +238,7 @@ def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
     # blanks are stripped; other white space only where it costs nothing (not in
     # ASCII records), as no text that has any at its ends is settled
     cut = prepared.select(PATH, GOOD, VALUE, *(
-        F.when(F.col(GOOD), F.when(F.col("_ascii"), _plain_text(c)).otherwise(py_strip(F.substring(VALUE, c.offset + 1, c.length)))).alias(f"_text{c.position}")
+        F.when(F.col(GOOD), F.when(F.col("_ascii"), _plain_text(c, F.col("_bytes"))).otherwise(py_strip(F.substring(VALUE, c.offset + 1, c.length)))).alias(f"_text{c.position}")
         for c in outs))
     tried = cut.select("*", *(
         (quick_value(kind, text(c)) if has_quick_value(kind, options.date_pattern, is_key) else F.lit(None).cast(spark_type(kind))).alias(f"_quick{c.position}")
@@ -296,100 +289,130 @@ def _lists(fields) -> dict[str, tuple[str, bool, list]]:
     return {f"_list{k}": (kind, is_key, members) for k, ((kind, is_key), members) in enumerate(groups.items())}
 
 
-def _plain_text(c) -> Column:
-    """A field's stripped text in a printable ASCII record."""
-    return F.trim(F.substring(F.col("_bytes"), F.lit(c.offset + 1), F.lit(c.length)).cast("string"))
+def _plain_text(c, record: Column) -> Column:
+    """A field's text in an ASCII record, given as bytes, without its blanks."""
+    return F.trim(F.substring(record, F.lit(c.offset + 1), F.lit(c.length)).cast("string"))
 
 
-def _texts(members: list) -> Column:
-    """The stripped texts of fields, in whatever record."""
-    places = F.array(*(F.struct(F.lit(c.offset + 1).alias("at"), F.lit(c.length).alias("size")) for c in members))
-    return F.transform(places, lambda p: _stripped(
-        F.when(F.col("_ascii"), F.substring(F.col("_bytes"), p.getField("at"), p.getField("size")).cast("string"))
-        .otherwise(F.substring(F.col(VALUE), p.getField("at"), p.getField("size")))))
+def _apart(arg: Column, f) -> Column:
+    """``f(arg)``, by a list function: Spark interprets it, and compiles the
+    projection that holds it expression by expression instead of as a part of a
+    whole stage, where the code of many fields would be one method, beyond the
+    size up to which the JIT compiles."""
+    return F.get(F.transform(F.array(arg), f), F.lit(0))
 
 
-def _parse_wide(prepared: DataFrame, layout: Layout, options: ParseOptions) -> Parsed:
-    """The parse by lists: fields of one datatype make an array, whatever their number.
+def _parse_wide(lines: DataFrame, layout: Layout, options: ParseOptions, value_col: str, path_col: str) -> Parsed:
+    """The parse of many fields, in projections that are compiled expression by
+    expression (``_apart``).
 
-    Nearly every text has a plain form, which one short expression per field
-    settles (``quick_value``). Texts that it leaves open, and all texts of
-    records that are not printable ASCII, go through the whole conversion
-    (``convert_list``) as a list of the open ones. The projections hold lambda
-    functions, so Spark compiles them expression by expression: no generated
-    method passes the size up to which the JIT compiles.
-
-    The parsed frame holds one array of values per datatype; a field's value is
-    its element. Errors can only be among the texts left open.
+    The first one cuts the texts. The second tests the plain forms of a
+    datatype's texts all at once (``all_plain``); only where that fails is each
+    text tested by itself. A value is then the plain form's or, for a text that
+    can be none, the default; what is neither goes through the whole conversion
+    in the datatype's list (``convert_list``), null in the places of the others.
+    The lists of the texts that may be errors are others: the values need none
+    of them.
     """
     outs = layout.output_columns
     lists = _lists(outs)
     quick = {name: has_quick_value(kind, options.date_pattern, is_key) for name, (kind, is_key, _) in lists.items()}
+    place = {c.position: (name, i) for name, (_, _, members) in lists.items() for i, c in enumerate(members)}
+    tested = [name for name, (kind, _, _) in lists.items() if quick[name] and kind != "string"]
+    days = [c for c in outs if quick[place[c.position][0]] and field_kind(c.datatype) == "date"]
+    even = F.col("_odd").isNull()
+    text_of = {c.position: F.when(even, F.col(f"_text{c.position}")).otherwise(F.get(F.col("_odd"), F.lit(i))) for i, c in enumerate(outs)}
+    known_of = {name: F.col(f"{name}_plain") if name in tested else F.lit(False) for name in lists}
+
+    def text(c) -> Column:
+        return text_of[c.position]
+
+    def known(name: str) -> Column:
+        return known_of[name]
+
+    # the length takes longer to count than a field to convert: out of a list,
+    # a filter on it is not pushed down to be counted again
+    rows = lines.select(F.inline_outer(F.array(F.struct(
+        F.col(path_col).alias(PATH), F.col(value_col).alias(VALUE), (F.length(F.col(value_col)) == layout.record_length).alias(GOOD)))))
+    ascii_ = F.octet_length(VALUE) == layout.record_length
+    places = F.array(*(F.struct(F.lit(c.offset + 1).alias("at"), F.lit(c.length).alias("size")) for c in outs))
+    texts = {c.position: _plain_text(c, F.col(VALUE).cast("binary")) for c in outs}
+
+    def flags(name: str) -> list[Column]:
+        kind, _, members = lists[name]
+        lines_ = joined([texts[c.position] for c in members])
+        plain = all_plain(kind, lines_, len(members)) & F.col(GOOD) & ascii_
+        settled = plain | (F.col(GOOD) & ascii_ & all_settled(kind, lines_, len(members)))
+        return [plain.alias(f"{name}_plain"), settled.alias(f"{name}_settled")]
+
+    cut = rows.select(
+        PATH, GOOD, VALUE, *(texts[c.position].alias(f"_text{c.position}") for c in outs),
+        F.when(F.col(GOOD) & ~ascii_, F.transform(places, lambda p: py_strip(F.substring(VALUE, p.getField("at"), p.getField("size"))))).alias("_odd"),
+        *(flag for name in tested for flag in flags(name)))
+
+    def convert_some(name: str, is_open, settled: Column) -> Column:
+        kind, is_key, members = lists[name]
+        found_open = [is_open(c) for c in members]
+        some = F.coalesce(*(F.when(o, F.lit(True)) for o in found_open)).isNotNull()
+        open_texts = F.array(*(F.when(o, py_strip(text(c))) for o, c in zip(found_open, members, strict=True)))
+        return F.when(F.col(GOOD) & ~settled & some, convert_list(open_texts, kind, options.date_pattern, is_key))
+
+    def open_value(c) -> Column:
+        name, kind = place[c.position][0], field_kind(c.datatype)
+        if not quick[name]:
+            return F.lit(True)
+        if name not in tested:
+            return ~has_plain_form(kind, text(c), known(name))
+        return ~((text(c) == "") | text(c).rlike(QUICK_RE[kind]) | has_default(kind, text(c)))
 
-    def text_name(c) -> str:
-        return f"_text{c.position}"
-
-    def placed(array: Column) -> Column:
-        return F.transform(array, lambda v, i: F.struct(i.alias("at"), v.alias("v")))
-
-    cut = prepared.select(
-        PATH, GOOD, VALUE, (F.col(GOOD) & F.col("_printable")).alias("_plain"),
-        *(F.when(F.col(GOOD) & F.col("_printable"),
-                 _plain_text(c)).alias(text_name(c))
-          for name, (_, _, members) in lists.items() if quick[name] for c in members),
-        *(F.when(F.col(GOOD) & ~F.col("_printable") if quick[name] else F.col(GOOD), _texts(members)).alias(f"{name}_texts")
-          for name, (_, _, members) in lists.items()))
-    tried = cut.select(
-        "*", *((F.when(F.col("_plain"), F.array(*(quick_value(kind, F.col(text_name(c))) for c in members)))
-                if quick[name] else F.lit(None).cast(T.ArrayType(spark_type(kind)))).alias(f"{name}_quick")
-               for name, (kind, _, members) in lists.items()),
-        *(placed(F.col(f"{name}_texts")).alias(f"{name}_all") for name in lists))
-
-    def still_open(name: str, members: list) -> Column:
+    def open_error(c) -> Column:
+        return ~has_plain_form(field_kind(c.datatype), text(c), known(place[c.position][0]))
+
+    converted = cut.select(
+        "*", *(day_number(text(c), known(place[c.position][0])).alias(f"_day{c.position}") for c in days),
+        *(convert_some(name, open_value, F.col(f"{name}_settled") if name in tested else F.lit(False)).alias(f"{name}_done") for name in lists),
+        # of dates, a plain form may be no day
+        *(convert_some(name, open_error, F.lit(False) if lists[name][0] == "date" else known(name)).alias(f"{name}_found") for name in tested))
+
+    def done(c, part: str) -> Column:
+        name, i = place[c.position]
+        return _apart(F.col(f"{name}_done"), lambda d: F.get(d, F.lit(i)).getField(part))
+
+    def value_of(c) -> Column:
+        name, kind = place[c.position][0], field_kind(c.datatype)
         if not quick[name]:
-            return F.col(f"{name}_all")
-        values = F.col(f"{name}_quick")
-        some = F.filter(placed(F.array(*(F.col(text_name(c)) for c in members))), lambda s: F.get(values, s.getField("at")).isNull())
-        return F.coalesce(F.col(f"{name}_all"), F.when(F.exists(values, lambda x: x.isNull()), some))
-
-    opened = tried.select(PATH, GOOD, VALUE, *(f"{name}_quick" for name in lists),
-                          *(still_open(name, members).alias(f"{name}_open") for name, (_, _, members) in lists.items()))
-
-    def done(name: str, kind: str, is_key: bool) -> Column:
-        rest = F.col(f"{name}_open")
-        return F.when(rest.isNotNull(), convert_list(F.transform(rest, lambda s: s.getField("v")), kind, options.date_pattern, is_key))
-
-    converted = opened.select("*", *(done(name, kind, is_key).alias(f"{name}_done") for name, (kind, is_key, _) in lists.items()))
-
-    def values_of(name: str) -> Column:
-        values, rest, made = (F.col(f"{name}_{part}") for part in ("quick", "open", "done"))
-        at, value = rest.getField("at"), made.getField("value")
-        merged = F.transform(values, lambda x, i: F.coalesce(x, F.get(value, (F.array_position(at, i) - 1).cast("int"))))
-        return F.when(rest.isNull(), values).otherwise(F.coalesce(merged, value))
-
-    def failing(name: str, members: list) -> Column:
-        names, at = F.array(*(F.lit(c.name) for c in members)), F.col(f"{name}_open").getField("at")
-        slots = F.transform(F.col(f"{name}_done"), lambda s, i: F.when(s.getField("bad"), F.struct(
-            F.get(names, F.get(at, i)).alias("column_name"), s.getField("error_text").alias("column_value"), s.getField("message").alias("error_message"))))
+            return done(c, "value")
+        listed = F.when(F.col(f"{name}_done").isNotNull(), done(c, "value"))
+        if kind == "string":
+            return F.when(F.col(GOOD), F.coalesce(listed, text(c)))
+        if kind == "date":
+            settled = F.when(F.col(f"_day{c.position}").isNotNull(), number_date(F.col(f"_day{c.position}")))
+        else:
+            settled = quick_value(kind, text(c), known(name))
+        return F.when(F.col(GOOD), F.coalesce(settled, listed, default_value(kind)))
+
+    def failing(name: str) -> Column:
+        kind, _, members = lists[name]
+        names = F.array(*(F.lit(c.name) for c in members))
+        slots = F.transform(F.col(f"{name}_{'found' if name in tested else 'done'}"), lambda s, i: F.when(s.getField("bad"), F.struct(
+            F.get(names, i).alias("column_name"), s.getField("error_text").alias("column_value"), s.getField("message").alias("error_message"))))
         return F.coalesce(F.filter(slots, lambda s: s.isNotNull()), F.array().cast(ERROR_TYPE))
 
-    checked = [failing(name, members) for name, (kind, _, members) in lists.items() if kind != "string"]
-    place = {c.position: (name, i) for name, (_, _, members) in lists.items() for i, c in enumerate(members)}
-    found = converted.select("*", *(values_of(name).alias(f"{name}_values") for name in lists),
-                             (F.concat(*checked) if checked else F.array().cast(ERROR_TYPE)).alias("_found"))
+    failed = [failing(name) for name, (kind, _, _) in lists.items() if kind != "string"]
+    found = converted.select(
+        "*", *(value_of(c).alias(field_name(c.position)) for c in outs),
+        (F.concat(*failed) if failed else F.array().cast(ERROR_TYPE)).alias("_found"))
 
     def key_text(c) -> Column:
-        name, i = place[c.position]
         # where there is a quick form, the key's text is that of the value
-        return F.get(F.col(f"{name}_values"), F.lit(i)).cast("string") if quick[name] else F.get(F.col(f"{name}_done"), F.lit(i)).getField("key_text")
+        return F.col(field_name(c.position)).cast("string") if quick[place[c.position][0]] else done(c, "key_text")
 
     keys = [F.concat(F.lit(f"{c.name}="), key_text(c)) for c in outs if c.is_key]
     n_errors = F.size("_found")
     frame = found.select(
-        PATH, GOOD, *(f"{name}_values" for name in lists),
+        PATH, GOOD, *(field_name(c.position) for c in outs),
         (F.concat_ws("|", *keys) if keys else F.lit("")).alias(KEY),
         F.when(F.col(GOOD) & (n_errors > 0), F.col("_found")).alias(ERRORS),
         F.when(F.col(GOOD), n_errors).otherwise(F.lit(0)).alias(NERR),
         F.when(~F.col(GOOD), F.col(VALUE)).alias(REJECT))
-    values = {position: F.get(F.col(f"{name}_values"), F.lit(i)) for position, (name, i) in place.items()}
-    return Parsed(frame, layout, options, values)
+    return Parsed(frame, layout, options, {c.position: F.col(field_name(c.position)) for c in outs})
