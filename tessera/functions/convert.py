@@ -409,7 +409,7 @@ def has_plain_form(kind: str, v: Column, known: Column) -> Column:
     return plain if kind == "rate" else (v == "") | plain
 
 
-#: The plain forms by kind. As often as not all texts of a record have theirs.
+#: The plain forms by kind.
 QUICK_RE = {"numeric": QUICK_INT_RE, "amount": QUICK_DECIMAL_RE, "rate": QUICK_RATE_RE, "date": QUICK_DATE_RE}
 #: The same for texts that each end in a line break (possessive: none is read twice).
 _QUICK_LINE_RE = {

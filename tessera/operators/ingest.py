@@ -37,7 +37,7 @@ REGION_AU, REGION_NZ = "AU", "NZ"
 GOOD, PATH, KEY, ERRORS, NERR, REJECT, VALUE = "_good", "_path", "_key", "_errors", "_n_errors", "_reject", "_value"
 
 
-#: From here on lists are faster than a column per intermediate (README, "Measured").
+#: From here on the wide parse is used (README, "Measured").
 WIDE_FROM = 40
 
 
@@ -63,8 +63,8 @@ class ParseOptions:
     # Names of the two trailing output columns (path, region); None drops both.
     extra_columns: tuple[str, str] | None = ("dataops_file_name_path", "dataops_region")
     exception_columns: tuple[str, ...] = EXCEPTION_COLUMNS
-    # Layouts with this many output fields or more are converted as one list per
-    # datatype: the plan then grows with the datatypes, not with the fields.
+    # Layouts with this many output fields or more are tested by datatype and
+    # compiled field by field (``_parse_wide``).
     wide_from: int = WIDE_FROM
 
     def __post_init__(self):
@@ -216,8 +216,8 @@ def parse_lines(lines: DataFrame, layout: Layout, options: ParseOptions,
 
     No projection holds a whole conversion as columns: their code passed the
     size up to which the JIT compiles a method. Layouts of ``options.wide_from``
-    fields or more would carry several hundred columns between the projections;
-    their values are lists throughout (``_parse_wide``), with equal results.
+    fields or more would pass it by their number alone; their projections are
+    not compiled as one (``_parse_wide``), with equal results.
     """
     value = F.col(value_col)
     outs = layout.output_columns
@@ -294,25 +294,27 @@ def _plain_text(c, record: Column) -> Column:
     return F.trim(F.substring(record, F.lit(c.offset + 1), F.lit(c.length)).cast("string"))
 
 
-def _apart(arg: Column, f) -> Column:
-    """``f(arg)``, by a list function: Spark interprets it, and compiles the
-    projection that holds it expression by expression instead of as a part of a
-    whole stage, where the code of many fields would be one method, beyond the
-    size up to which the JIT compiles."""
-    return F.get(F.transform(F.array(arg), f), F.lit(0))
+def _apart(c: Column) -> Column:
+    """``c``, by a list function: Spark interprets it, and compiles the projection
+    that holds it expression by expression instead of as a part of a whole stage,
+    where the code of many fields would be one method, beyond the size up to
+    which the JIT compiles."""
+    return F.get(F.transform(F.array(c), lambda x: x), F.lit(0))
 
 
 def _parse_wide(lines: DataFrame, layout: Layout, options: ParseOptions, value_col: str, path_col: str) -> Parsed:
     """The parse of many fields, in projections that are compiled expression by
     expression (``_apart``).
 
-    The first one cuts the texts. The second tests the plain forms of a
-    datatype's texts all at once (``all_plain``); only where that fails is each
-    text tested by itself. A value is then the plain form's or, for a text that
-    can be none, the default; what is neither goes through the whole conversion
-    in the datatype's list (``convert_list``), null in the places of the others.
-    The lists of the texts that may be errors are others: the values need none
-    of them.
+    The first one cuts the texts and tests the plain forms of a datatype's texts
+    all at once (``all_plain``); only where that fails is each text tested by
+    itself. Its texts are cut from the bytes of any record, so that Spark takes
+    those once for all fields; records that are not ASCII have theirs in
+    ``_odd`` instead. A value is the plain form's or, for a text that can be
+    none, the default (``has_default``). What is neither goes through the whole
+    conversion in the datatype's list (``convert_list``), null in the places of
+    the others. Texts that may be errors make other lists, of which the values
+    need none.
     """
     outs = layout.output_columns
     lists = _lists(outs)
@@ -322,6 +324,7 @@ def _parse_wide(lines: DataFrame, layout: Layout, options: ParseOptions, value_c
     days = [c for c in outs if quick[place[c.position][0]] and field_kind(c.datatype) == "date"]
     even = F.col("_odd").isNull()
     text_of = {c.position: F.when(even, F.col(f"_text{c.position}")).otherwise(F.get(F.col("_odd"), F.lit(i))) for i, c in enumerate(outs)}
+    stripped = {position: py_strip(t) for position, t in text_of.items()}
     known_of = {name: F.col(f"{name}_plain") if name in tested else F.lit(False) for name in lists}
 
     def text(c) -> Column:
@@ -354,7 +357,7 @@ def _parse_wide(lines: DataFrame, layout: Layout, options: ParseOptions, value_c
         kind, is_key, members = lists[name]
         found_open = [is_open(c) for c in members]
         some = F.coalesce(*(F.when(o, F.lit(True)) for o in found_open)).isNotNull()
-        open_texts = F.array(*(F.when(o, py_strip(text(c))) for o, c in zip(found_open, members, strict=True)))
+        open_texts = F.array(*(F.when(o, stripped[c.position]) for o, c in zip(found_open, members, strict=True)))
         return F.when(F.col(GOOD) & ~settled & some, convert_list(open_texts, kind, options.date_pattern, is_key))
 
     def open_value(c) -> Column:
@@ -374,9 +377,11 @@ def _parse_wide(lines: DataFrame, layout: Layout, options: ParseOptions, value_c
         # of dates, a plain form may be no day
         *(convert_some(name, open_error, F.lit(False) if lists[name][0] == "date" else known(name)).alias(f"{name}_found") for name in tested))
 
+    apart = {name: _apart(F.col(f"{name}_done")) for name in lists}
+
     def done(c, part: str) -> Column:
         name, i = place[c.position]
-        return _apart(F.col(f"{name}_done"), lambda d: F.get(d, F.lit(i)).getField(part))
+        return F.get(apart[name], F.lit(i)).getField(part)
 
     def value_of(c) -> Column:
         name, kind = place[c.position][0], field_kind(c.datatype)
